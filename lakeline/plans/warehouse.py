@@ -1 +1,211 @@
-"""Registered queries (filled in below)."""
+"""Warehouse queries: dimensions, allocation, fact, star questions (K, C10-C12, C16)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeline.plans import delivery as dl
+from lakeline.plans.registry import query
+
+CUISINE_SQL = "[" + ", ".join(f"'{c}'" for c in dl.CUISINES) + "]"
+
+
+def _c(col: str) -> str:
+    return f"CAST(CAST({col} AS DECIMAL(14,2)) * 100 AS BIGINT)"
+
+
+def _from_cents(expr: str) -> str:
+    return f"CAST(CAST({expr} AS DECIMAL(20,0)) / 100 AS DECIMAL(14,2))"
+
+
+_ALLOC = ",\n".join(
+    f"""CASE WHEN t.w_total = 0 THEN (2 * {_c('p.' + a)} + t.n_lines) // (2 * t.n_lines)
+        ELSE (2 * {_c('p.' + a)} * {_c('i.gross_item_amount')} + {_c('t.w_total')}) // (2 * {_c('t.w_total')}) END AS s_{a}"""
+    for a in ("discount_amount", "delivery_fee", "tip_amount"))
+
+_ALLOC_OUT = ",\n".join(
+    f"""{_from_cents(f"s_{a} + CASE WHEN line_number = last_line THEN {_c(a)} - t_{a} ELSE 0 END")} AS allocated_{a}"""
+    for a in ("discount_amount", "delivery_fee", "tip_amount"))
+
+DELIVERY_SQL = f"""
+WITH last_ship AS (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey),
+raw_orders AS (
+  SELECT o.o_orderkey AS order_id, o.o_orderdate AS order_ts, o.o_custkey AS customer_id,
+         o.o_custkey % {dl.COURIERS} AS courier_id, CAST(c.c_nationkey AS BIGINT) AS city_id,
+         CASE WHEN o.o_orderstatus = 'F' THEN 'delivered' WHEN o.o_orderstatus = 'O' THEN 'open' ELSE 'pending' END AS status,
+         CASE WHEN o.o_orderstatus = 'F' THEN ls.last_ship END AS delivered_ts
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN last_ship ls ON o.o_orderkey = ls.l_orderkey),
+raw_items AS (
+  SELECT l.l_orderkey AS order_id,
+         CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_partkey, l.l_suppkey, l.l_extendedprice) AS INTEGER) AS line_number,
+         l.l_partkey AS product_id, l.l_suppkey AS restaurant_id, CAST(l.l_quantity AS INTEGER) AS qty,
+         CAST(p.p_retailprice AS DECIMAL(12,2)) AS unit_price
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+raw_promotions AS (
+  SELECT o_orderkey AS order_id,
+         CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'P' || CAST(o_orderkey % 20 AS VARCHAR) END AS promo_code
+  FROM orders),
+raw_payments AS (
+  SELECT o_orderkey AS order_id, o_orderpriority AS payment_method,
+         CAST(o_totalprice AS DECIMAL(14,2)) AS subtotal,
+         {_from_cents(f"({_c('o_totalprice')} * 1 + 50) // 100")} AS delivery_fee,
+         {_from_cents(f"({_c('o_totalprice')} * 5 + 50) // 100")} AS tip_amount,
+         CASE WHEN o_orderkey % 3 <> 0 THEN {_from_cents(f"({_c('o_totalprice')} * 10 + 50) // 100")}
+              ELSE CAST(0 AS DECIMAL(14,2)) END AS discount_amount
+  FROM orders),
+items AS (SELECT *, CAST(qty * unit_price AS DECIMAL(14,2)) AS gross_item_amount FROM raw_items),
+tot AS (SELECT order_id, sum(gross_item_amount) AS w_total, count(*) AS n_lines, max(line_number) AS last_line
+        FROM items GROUP BY order_id),
+sh AS (
+  SELECT i.*, t.last_line, p.discount_amount, p.delivery_fee, p.tip_amount,
+  {_ALLOC}
+  FROM items i JOIN tot t ON i.order_id = t.order_id JOIN raw_payments p ON i.order_id = p.order_id),
+sums AS (SELECT order_id, sum(s_discount_amount) AS t_discount_amount, sum(s_delivery_fee) AS t_delivery_fee,
+                sum(s_tip_amount) AS t_tip_amount FROM sh GROUP BY order_id),
+alloc AS (
+  SELECT sh.order_id, line_number, product_id, restaurant_id, qty, unit_price, gross_item_amount,
+  {_ALLOC_OUT}
+  FROM sh JOIN sums ON sh.order_id = sums.order_id),
+dim_city AS (
+  SELECT CAST(row_number() OVER (ORDER BY city_id) AS INTEGER) AS city_key, *
+  FROM (SELECT CAST(n.n_nationkey AS BIGINT) AS city_id, n.n_name AS city_name, r.r_name AS region, n.n_name AS country
+        FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)),
+dim_customer AS (
+  SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS customer_key, c_custkey AS customer_id,
+         c_mktsegment AS segment FROM customer),
+dim_restaurant AS (
+  SELECT CAST(row_number() OVER (ORDER BY s_suppkey) AS INTEGER) AS restaurant_key, s_suppkey AS restaurant_id,
+         s_name AS restaurant_name, {CUISINE_SQL}[CAST(s_suppkey % {len(dl.CUISINES)} AS INTEGER) + 1] AS cuisine
+  FROM supplier),
+dim_product AS (
+  SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS INTEGER) AS product_key, p_partkey AS product_id,
+         p_name AS product_name, p_type AS category FROM part),
+dim_payment_method AS (
+  SELECT CAST(row_number() OVER (ORDER BY payment_method) AS INTEGER) AS payment_method_key, payment_method
+  FROM (SELECT DISTINCT payment_method FROM raw_payments WHERE payment_method IS NOT NULL)),
+dim_promotion AS (
+  SELECT CAST(row_number() OVER (ORDER BY promo_code) AS INTEGER) AS promotion_key, promo_code
+  FROM (SELECT DISTINCT coalesce(promo_code, '{dl.PROMO_MEMBER}') AS promo_code FROM raw_promotions)),
+span AS (SELECT min(d) AS lo, max(d) AS hi FROM (
+  SELECT CAST(order_ts AS DATE) AS d FROM raw_orders UNION ALL
+  SELECT CAST(delivered_ts AS DATE) FROM raw_orders WHERE delivered_ts IS NOT NULL)),
+dim_date AS (
+  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, year(d) AS year, month(d) AS month,
+         strftime(d, '%Y-%m') AS year_month
+  FROM (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM span)),
+fact AS (
+  SELECT a.order_id, a.line_number,
+         CAST(strftime(o.order_ts, '%Y%m%d') AS INTEGER) AS order_date_key,
+         CAST(strftime(o.delivered_ts, '%Y%m%d') AS INTEGER) AS delivered_date_key,
+         dc.city_key, cu.customer_key, dr.restaurant_key, o.courier_id, dp.product_key,
+         pm.payment_method_key, pr.promotion_key, o.status, a.qty, a.unit_price, a.gross_item_amount,
+         a.allocated_discount_amount, a.allocated_delivery_fee, a.allocated_tip_amount,
+         CAST(a.gross_item_amount - a.allocated_discount_amount AS DECIMAL(14,2)) AS net_revenue,
+         CAST(trunc((epoch_us(o.delivered_ts) // 1000000 - epoch_us(o.order_ts) // 1000000) / 60.0) AS INTEGER) AS dispatch_minutes
+  FROM alloc a
+  JOIN raw_orders o ON a.order_id = o.order_id
+  JOIN raw_payments p ON a.order_id = p.order_id
+  JOIN raw_promotions q ON a.order_id = q.order_id
+  JOIN dim_city dc ON o.city_id = dc.city_id
+  JOIN dim_payment_method pm ON p.payment_method = pm.payment_method
+  JOIN dim_promotion pr ON coalesce(q.promo_code, '{dl.PROMO_MEMBER}') = pr.promo_code
+  JOIN dim_customer cu ON o.customer_id = cu.customer_id
+  JOIN dim_restaurant dr ON a.restaurant_id = dr.restaurant_id
+  JOIN dim_product dp ON a.product_id = dp.product_id)
+"""
+
+FACT_COLS = ("order_id, line_number, order_date_key, delivered_date_key, city_key, customer_key, restaurant_key, "
+             "courier_id, product_key, payment_method_key, promotion_key, status, qty, "
+             "CAST(unit_price AS DOUBLE) AS unit_price, CAST(gross_item_amount AS DOUBLE) AS gross_item_amount, "
+             "CAST(allocated_discount_amount AS DOUBLE) AS allocated_discount_amount, "
+             "CAST(allocated_delivery_fee AS DOUBLE) AS allocated_delivery_fee, "
+             "CAST(allocated_tip_amount AS DOUBLE) AS allocated_tip_amount, "
+             "CAST(net_revenue AS DOUBLE) AS net_revenue, dispatch_minutes")
+
+_MONEY = ["unit_price", "gross_item_amount", "allocated_discount_amount", "allocated_delivery_fee",
+          "allocated_tip_amount", "net_revenue"]
+
+
+def _doubles(df, cols):
+    return df.withColumns({c: F.col(c).cast("double") for c in cols if c in df.columns})
+
+
+@query("dim_date", DELIVERY_SQL + "SELECT * FROM dim_date")
+def q_dim_date(t):
+    return dl.dim_date(t)
+
+
+@query("dim_city", DELIVERY_SQL + "SELECT * FROM dim_city")
+def q_dim_city(t):
+    return dl.dim_city(t)
+
+
+@query("dim_customer", DELIVERY_SQL + "SELECT * FROM dim_customer")
+def q_dim_customer(t):
+    return dl.dim_customer(t)
+
+
+@query("dim_restaurant", DELIVERY_SQL + "SELECT * FROM dim_restaurant")
+def q_dim_restaurant(t):
+    return dl.dim_restaurant(t)
+
+
+@query("dim_product", DELIVERY_SQL + "SELECT * FROM dim_product")
+def q_dim_product(t):
+    return dl.dim_product(t)
+
+
+@query("dim_payment_method", DELIVERY_SQL + "SELECT * FROM dim_payment_method")
+def q_dim_payment_method(t):
+    return dl.dim_payment_method(t)
+
+
+@query("dim_promotion", DELIVERY_SQL + "SELECT * FROM dim_promotion")
+def q_dim_promotion(t):
+    return dl.dim_promotion(t)
+
+
+@query("allocate_lines", DELIVERY_SQL + """
+SELECT order_id, line_number, CAST(gross_item_amount AS DOUBLE) AS gross_item_amount,
+       CAST(allocated_discount_amount AS DOUBLE) AS allocated_discount_amount,
+       CAST(allocated_delivery_fee AS DOUBLE) AS allocated_delivery_fee,
+       CAST(allocated_tip_amount AS DOUBLE) AS allocated_tip_amount
+FROM alloc""")
+def q_allocate_lines(t):
+    a = dl.allocated_lines(t).select("order_id", "line_number", "gross_item_amount", "allocated_discount_amount",
+                                     "allocated_delivery_fee", "allocated_tip_amount")
+    return _doubles(a, _MONEY)
+
+
+@query("star_fact", DELIVERY_SQL + f"SELECT {FACT_COLS} FROM fact")
+def q_star_fact(t):
+    return _doubles(dl.star_fact(t), _MONEY)
+
+
+@query("star_q1", DELIVERY_SQL + """
+SELECT d.year_month, c.region, r.cuisine, CAST(round(sum(f.net_revenue), 2) AS DOUBLE) AS net_revenue
+FROM fact f JOIN dim_date d ON f.order_date_key = d.date_key JOIN dim_city c ON f.city_key = c.city_key
+JOIN dim_restaurant r ON f.restaurant_key = r.restaurant_key
+GROUP BY d.year_month, c.region, r.cuisine""")
+def q_star_q1(t):
+    return dl.star_q1(dl.star_fact(t), t)
+
+
+@query("star_q2", DELIVERY_SQL + f"""
+SELECT p.promo_code, CAST(round(sum(f.net_revenue), 2) AS DOUBLE) AS net_revenue,
+       count(DISTINCT f.order_id) AS orders,
+       round(count(DISTINCT f.order_id) / (SELECT count(DISTINCT order_id) FROM fact), 8) AS order_share
+FROM fact f JOIN dim_promotion p ON f.promotion_key = p.promotion_key
+WHERE p.promo_code <> '{dl.PROMO_MEMBER}'
+GROUP BY p.promo_code ORDER BY net_revenue DESC, p.promo_code LIMIT 10""")
+def q_star_q2(t):
+    return dl.star_q2(dl.star_fact(t), t)
+
+
+@query("star_q3", DELIVERY_SQL + """
+SELECT courier_id, count(*) AS orders, round(avg(dispatch_minutes), 6) AS avg_cycle_minutes
+FROM (SELECT DISTINCT order_id, courier_id, dispatch_minutes FROM fact WHERE status = 'delivered')
+GROUP BY courier_id""")
+def q_star_q3(t):
+    return dl.star_q3(dl.star_fact(t))
