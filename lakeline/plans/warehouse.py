@@ -209,3 +209,147 @@ FROM (SELECT DISTINCT order_id, courier_id, dispatch_minutes FROM fact WHERE sta
 GROUP BY courier_id""")
 def q_star_q3(t):
     return dl.star_q3(dl.star_fact(t))
+
+
+# --- upsert and incremental merge (D1, D2) -------------------------------
+
+from lakeline.operators import merge  # noqa: E402
+
+# Fixed values of ours: two overlapping extract windows over the events month.
+W1 = ("2024-01-01 00:00:00", "2024-01-16 13:17:00")
+W2 = ("2024-01-12 06:30:00", "2024-02-01 00:00:00")
+INCR_CUT = "2024-01-16 13:17:00"
+
+
+def _window(events, w):
+    return events.filter((F.col("ts") >= F.lit(w[0]).cast("timestamp_ntz")) &
+                         (F.col("ts") < F.lit(w[1]).cast("timestamp_ntz")))
+
+
+def upserted_events(t):
+    """Two extract batches with overlapping windows, upserted by id."""
+    ev = t.events.select("event_id", "ts", "user_id", "event_type", "value", "props")
+    target = None
+    for w in (W1, W2):
+        batch = merge.envelope(_window(ev, w), "event_id", w[0], w[1])
+        target = merge.upsert(target, batch, ["id"], ["extract_window_end_utc", "payload"],
+                              stamp=F.lit(w[1]).cast("timestamp_ntz"))
+        # each load is a written table version; the next load reads it back
+        target = t.spark.read.parquet(merge.write_version(target, "raw-events"))
+    return target
+
+
+@query("upsert_raw", f"""
+SELECT CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN ts >= TIMESTAMP '{W2[0]}' THEN TIMESTAMP '{W2[0]}' ELSE TIMESTAMP '{W1[0]}' END AS extract_window_start_utc,
+       CASE WHEN ts >= TIMESTAMP '{W2[0]}' THEN TIMESTAMP '{W2[1]}' ELSE TIMESTAMP '{W1[1]}' END AS extract_window_end_utc,
+       CASE WHEN ts >= TIMESTAMP '{W2[0]}' THEN TIMESTAMP '{W2[1]}' ELSE TIMESTAMP '{W1[1]}' END AS ingested_at_utc,
+       ts, user_id, event_type, value, props
+FROM events WHERE ts >= TIMESTAMP '{W1[0]}' AND ts < TIMESTAMP '{W2[1]}'""")
+def q_upsert_raw(t):
+    u = upserted_events(t)
+    p = F.col("payload")
+    return u.select(
+        "id", "extract_window_start_utc", "extract_window_end_utc", "ingested_at_utc",
+        F.get_json_object(p, "$.ts").cast("timestamp_ntz").alias("ts"),
+        F.get_json_object(p, "$.user_id").cast("bigint").alias("user_id"),
+        F.get_json_object(p, "$.event_type").alias("event_type"),
+        F.get_json_object(p, "$.value").cast("double").alias("value"),
+        F.get_json_object(p, "$.props").alias("props"),
+    )
+
+
+def daily_events(src):
+    g = src.groupBy(F.to_date("ts").alias("event_date"), "event_type").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum(F.col("value").cast("decimal(12,2)")).alias("_total"),
+        F.max("value").alias("max_value"))
+    return g.select("event_date", "event_type", "events",
+                    F.round("_total", 2).cast("double").alias("total_value"), "max_value")
+
+
+DAILY_EVENTS_SQL = """
+SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS events,
+       CAST(round(sum(CAST(value AS DECIMAL(12,2))), 2) AS DOUBLE) AS total_value, max(value) AS max_value
+FROM events GROUP BY 1, 2"""
+
+
+@query("incremental_daily", DAILY_EVENTS_SQL)
+def q_incremental_daily(t):
+    """Two incremental runs (source cut mid-day, then complete) = one full build."""
+    ev = t.events.select("ts", "event_type", "value")
+    first = ev.filter(F.col("ts") < F.lit(INCR_CUT).cast("timestamp_ntz"))
+    path = merge.incremental_load(None, first, "ts", "event_date", daily_events, ["event_date", "event_type"])
+    path = merge.incremental_load(path, ev, "ts", "event_date", daily_events, ["event_date", "event_type"])
+    return t.spark.read.parquet(path).select("event_date", "event_type", "events", "total_value", "max_value")
+
+
+# --- data tests (T1-T4) ---------------------------------------------------
+
+from lakeline.operators import checks  # noqa: E402
+from lakeline.plans import reports  # noqa: E402
+from lakeline.plans.sqlparts import BRONZE_CTE  # noqa: E402
+
+
+@query("test_not_null", BRONZE_CTE + """
+SELECT 'not_null:pickup_ts' AS test, CAST(count_if(pickup_ts IS NULL) AS BIGINT) AS failures FROM silver_joined
+UNION ALL SELECT 'not_null:pickup_location', CAST(count_if(pickup_location IS NULL) AS BIGINT) FROM silver_joined
+UNION ALL SELECT 'not_null:passengers_count', CAST(count_if(passengers_count IS NULL) AS BIGINT) FROM silver_joined""")
+def q_test_not_null(t):
+    return checks.run_tests(reports.joined(t), [
+        checks.NotNull("pickup_ts"), checks.NotNull("pickup_location"), checks.NotNull("passengers_count")])
+
+
+@query("test_accepted_values", BRONZE_CTE + """
+SELECT 'accepted_values:passengers_count' AS test,
+       CAST(count_if(passengers_count IS NOT NULL AND passengers_count NOT IN (0,1,2,3,4,5,6,7,8)) AS BIGINT) AS failures
+FROM silver_joined
+UNION ALL
+SELECT 'accepted_values:passenger_count_raw', CAST(count_if(passenger_count IS NOT NULL AND passenger_count NOT IN (0,1,2,3,4,5)) AS BIGINT)
+FROM raw_trips""")
+def q_test_accepted_values(t):
+    from lakeline.plans import views
+    a = checks.run_tests(reports.joined(t), [checks.AcceptedValues("passengers_count", list(range(9)))])
+    b = checks.run_tests(views.raw_trips(t).withColumnRenamed("passenger_count", "passenger_count_raw"),
+                         [checks.AcceptedValues("passenger_count_raw", list(range(6)))])
+    return a.unionByName(b)
+
+
+@query("test_relationships", BRONZE_CTE + """
+SELECT 'relationships:pickup_location->location_id' AS test,
+       CAST(count(*) AS BIGINT) AS failures
+FROM silver_joined s WHERE s.pickup_location IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM bronze_zones z WHERE z.location_id = s.pickup_location)
+UNION ALL
+SELECT 'relationships:l_partkey->p_partkey', CAST(count(*) AS BIGINT)
+FROM lineitem l WHERE l.l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)
+UNION ALL
+SELECT 'relationships:o_orderkey->l_orderkey', CAST(count(*) AS BIGINT)
+FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+def q_test_relationships(t):
+    from lakeline.operators.silver import bronze_zones
+    from lakeline.plans import views
+    zones = bronze_zones(views.zones(t))
+    a = checks.run_tests(reports.joined(t), [checks.Relationship("pickup_location", zones, "location_id")])
+    b = checks.run_tests(t.lineitem, [checks.Relationship("l_partkey", t.part, "p_partkey")])
+    # orders without lines: a reverse relationship that does fail on this data
+    c = checks.run_tests(t.orders.withColumnRenamed("o_orderkey", "o_orderkey"),
+                         [checks.Relationship("o_orderkey", t.lineitem, "l_orderkey")])
+    c = c.withColumn("test", F.lit("relationships:o_orderkey->l_orderkey"))
+    return a.unionByName(b).unionByName(c)
+
+
+@query("test_unique", """
+SELECT 'unique:l_orderkey,l_linenumber' AS test, CAST(count(*) AS BIGINT) AS failures
+FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+UNION ALL
+SELECT 'unique:l_orderkey,l_linenumber,l_partkey,l_suppkey,l_extendedprice', CAST(count(*) AS BIGINT)
+FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice HAVING count(*) > 1)
+UNION ALL
+SELECT 'unique:event_id', CAST(count(*) AS BIGINT) FROM (SELECT event_id FROM events GROUP BY 1 HAVING count(*) > 1)""")
+def q_test_unique(t):
+    li = t.lineitem
+    return (checks.run_tests(li, [checks.Unique(["l_orderkey", "l_linenumber"]),
+                                  checks.Unique(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                 "l_extendedprice"])])
+            .unionByName(checks.run_tests(t.events, [checks.Unique(["event_id"])])))
