@@ -1 +1,138 @@
-"""Registered queries (filled in below)."""
+"""Layout queries (L1-L6) and the three partition-aligned workloads (C9)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeline.functions.exprs import money
+from lakeline.operators import layout
+from lakeline.plans.registry import query
+from lakeline.session import scratch_path
+
+# Fixed values of ours: declared partitions of the layout exercises.
+RANGE_FIRST, RANGE_LAST = "1995-01", "2000-12"
+LIST_VALUES = ["AMERICA", "EUROPE", "ASIA"]
+HASH_MODULUS = 4
+RETAIN_FROM = "1998-01"
+YEAR_FILTER = ("1996-01", "1996-12")
+
+ORDERS_REGION_SQL = """
+WITH o AS (
+  SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, r.r_name AS region,
+         CAST(o.o_totalprice AS DECIMAL(14,2)) AS amount
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
+"""
+
+
+def orders_with_region(t):
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", money("o_totalprice").alias("amount"))
+    c = t.customer.select("c_custkey", "c_nationkey")
+    # nation and region are fixed-size TPC-H tables (25 and 5 rows)
+    n = F.broadcast(t.nation.select("n_nationkey", "n_regionkey"))
+    r = F.broadcast(t.region.select("r_regionkey", F.col("r_name").alias("region")))
+    return (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+            .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+            .select("o_orderkey", "o_custkey", "o_orderdate", "region", "amount"))
+
+
+def range_layout(t, name="orders-range"):
+    bounds = layout.month_bounds(RANGE_FIRST, RANGE_LAST)
+    df = layout.with_partition(orders_with_region(t), "order_month", layout.range_route("o_orderdate", bounds))
+    return layout.write_layout(df, "order_month", scratch_path(t.spark, name))
+
+
+def list_layout(t):
+    df = layout.with_partition(orders_with_region(t), "region_part", layout.list_route("region", LIST_VALUES))
+    return layout.write_layout(df, "region_part", scratch_path(t.spark, "orders-list"))
+
+
+def hash_layout(t):
+    df = layout.with_partition(orders_with_region(t), "cust_bucket", layout.hash_route("o_custkey", HASH_MODULUS))
+    return layout.write_layout(df, "cust_bucket", scratch_path(t.spark, "orders-hash"))
+
+
+def _summary(t, path, col, out):
+    return layout.partition_summary(t.spark, path, col, "amount").withColumnRenamed(col, out).withColumnRenamed(
+        "rows", "num_rows")
+
+
+RANGE_SQL_WHERE = f"o_orderdate >= TIMESTAMP '{RANGE_FIRST}-01' AND o_orderdate < TIMESTAMP '{RANGE_LAST}-01' + INTERVAL 1 MONTH"
+
+
+@query("layout_range", ORDERS_REGION_SQL + f"""
+SELECT strftime(o_orderdate, '%Y-%m') AS order_month, count(*) AS num_rows,
+       CAST(round(sum(amount), 2) AS DOUBLE) AS amount
+FROM o WHERE {RANGE_SQL_WHERE} GROUP BY 1""")
+def q_layout_range(t):
+    return _summary(t, range_layout(t), "order_month", "order_month")
+
+
+@query("layout_list", ORDERS_REGION_SQL + f"""
+SELECT region AS region_part, count(*) AS num_rows, CAST(round(sum(amount), 2) AS DOUBLE) AS amount
+FROM o WHERE region IN ({", ".join(f"'{v}'" for v in LIST_VALUES)}) GROUP BY 1""")
+def q_layout_list(t):
+    return _summary(t, list_layout(t), "region_part", "region_part")
+
+
+@query("layout_hash", ORDERS_REGION_SQL + f"""
+SELECT CAST(('0x' || substr(md5(CAST(o_custkey AS VARCHAR)), 1, 8))::BIGINT % {HASH_MODULUS} AS INTEGER) AS cust_bucket,
+       count(*) AS num_rows, CAST(round(sum(amount), 2) AS DOUBLE) AS amount
+FROM o GROUP BY 1""")
+def q_layout_hash(t):
+    return _summary(t, hash_layout(t), "cust_bucket", "cust_bucket")
+
+
+@query("layout_unrouted", ORDERS_REGION_SQL + f"""
+SELECT 'range:order_month' AS layout, CAST(count_if(NOT ({RANGE_SQL_WHERE})) AS BIGINT) AS unrouted_rows FROM o
+UNION ALL
+SELECT 'list:region', CAST(count_if(region NOT IN ({", ".join(f"'{v}'" for v in LIST_VALUES)})) AS BIGINT) FROM o""")
+def q_layout_unrouted(t):
+    bounds = layout.month_bounds(RANGE_FIRST, RANGE_LAST)
+    o = orders_with_region(t).select(
+        layout.range_route("o_orderdate", bounds).alias("r"),
+        layout.list_route("region", LIST_VALUES).alias("l"))
+    row = o.agg(layout.unrouted_count(o, "r").alias("range:order_month"),
+                layout.unrouted_count(o, "l").alias("list:region"))
+    return row.unpivot([], ["range:order_month", "list:region"], "layout", "unrouted_rows").select(
+        "layout", F.col("unrouted_rows").cast("bigint").alias("unrouted_rows"))
+
+
+@query("revenue_by_month", ORDERS_REGION_SQL + f"""
+SELECT strftime(o_orderdate, '%Y-%m') AS order_month, count(*) AS num_orders,
+       CAST(round(sum(amount), 2) AS DOUBLE) AS revenue
+FROM o WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '{YEAR_FILTER[0]}' AND '{YEAR_FILTER[1]}' GROUP BY 1""")
+def q_revenue_by_month(t):
+    """Monthly revenue for one year, read through the month layout (pruned)."""
+    df = t.spark.read.parquet(range_layout(t)).filter(F.col("order_month").between(*YEAR_FILTER))
+    return F_revenue(df, ["order_month"])
+
+
+@query("revenue_by_region", ORDERS_REGION_SQL + f"""
+SELECT region AS region_part, count(*) AS num_orders, CAST(round(sum(amount), 2) AS DOUBLE) AS revenue
+FROM o WHERE region IN ({", ".join(f"'{v}'" for v in LIST_VALUES)}) GROUP BY 1""")
+def q_revenue_by_region(t):
+    return F_revenue(t.spark.read.parquet(list_layout(t)), ["region_part"])
+
+
+@query("revenue_by_customer", ORDERS_REGION_SQL + """
+SELECT o_custkey, count(*) AS num_orders, CAST(round(sum(amount), 2) AS DOUBLE) AS revenue
+FROM o GROUP BY 1""")
+def q_revenue_by_customer(t):
+    return F_revenue(t.spark.read.parquet(hash_layout(t)), ["o_custkey"])
+
+
+@query("retain_since", ORDERS_REGION_SQL + f"""
+SELECT strftime(o_orderdate, '%Y-%m') AS order_month, count(*) AS num_rows,
+       CAST(round(sum(amount), 2) AS DOUBLE) AS amount
+FROM o WHERE {RANGE_SQL_WHERE} AND strftime(o_orderdate, '%Y-%m') >= '{RETAIN_FROM}' GROUP BY 1""")
+def q_retain_since(t):
+    path = range_layout(t, "orders-retained")
+    layout.drop_partitions_before(t.spark, path, "order_month", RETAIN_FROM)
+    return _summary(t, path, "order_month", "order_month")
+
+
+def F_revenue(df, keys):
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_orders"), F.sum("amount").alias("_rev"))
+    return g.select(*keys, "num_orders", F.round("_rev", 2).cast("double").alias("revenue"))

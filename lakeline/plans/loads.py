@@ -1 +1,133 @@
-"""Registered queries (filled in below)."""
+"""Load-side queries: scans, sinks, windows, envelopes, reconciliation (A1-A16)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeline.operators import gold, merge
+from lakeline.plans import reports
+from lakeline.plans.registry import query
+from lakeline.session import scratch_path
+from lakeline.sources import files, jdbc
+
+# Fixed values of ours: the extract window and month used by the load queries.
+WEEK = ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
+MONTH = (1996, 3)
+# Load cap of the capped loader: 21 chunks of 10,000 rows.
+CAP_ROWS = 21 * 10_000
+
+CUSTOMER_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()),
+    T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()),
+    T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType()),
+])
+
+ORDERS_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()),
+    T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()),
+    T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.TimestampNTZType()),
+    T.StructField("o_orderpriority", T.StringType()),
+])
+
+
+@query("scan_csv", "SELECT * FROM customer")
+def q_scan_csv(t):
+    """Customer written as CSV with a header, read back with inferred types."""
+    path = files.write_csv(t.customer, scratch_path(t.spark, "customer-csv"))
+    df = files.read_csv(t.spark, path, infer=True)
+    return df.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name",
+                     F.col("c_nationkey").cast("int").alias("c_nationkey"), "c_acctbal", "c_mktsegment")
+
+
+@query("scan_csv_typed", "SELECT * FROM customer")
+def q_scan_csv_typed(t):
+    path = files.write_csv(t.customer, scratch_path(t.spark, "customer-csv"))
+    return files.read_csv(t.spark, path, schema=CUSTOMER_SCHEMA)
+
+
+@query("roundtrip_csv", "SELECT * FROM orders")
+def q_roundtrip_csv(t):
+    path = files.write_csv(t.orders, scratch_path(t.spark, "orders-csv"))
+    return files.read_csv(t.spark, path, schema=ORDERS_SCHEMA)
+
+
+@query("roundtrip_parquet", "SELECT * FROM lineitem")
+def q_roundtrip_parquet(t):
+    path = files.write_parquet(t.lineitem, scratch_path(t.spark, "lineitem"))
+    return t.spark.read.parquet(path)
+
+
+@query("roundtrip_partitioned", """
+SELECT pickup_month, "PU_zone", num_trips, total_revenue, total_fare, total_tip, tip_pct FROM (
+""" + reports.query_sql("revenue_by_zone_month") + ")")
+def q_roundtrip_partitioned(t):
+    """The flagship gold table written partitioned by month and read back."""
+    gold_df = gold.revenue_by_zone_month(reports.enriched(t))
+    path = files.write_parquet(gold_df, scratch_path(t.spark, "gold-months"), ["pickup_month"])
+    return t.spark.read.parquet(path).select("pickup_month", "PU_zone", "num_trips", "total_revenue",
+                                             "total_fare", "total_tip", "tip_pct")
+
+
+@query("scan_month", f"""
+SELECT * FROM orders
+WHERE o_orderdate >= TIMESTAMP '{MONTH[0]}-{MONTH[1]:02d}-01'
+  AND o_orderdate < TIMESTAMP '{MONTH[0]}-{MONTH[1]:02d}-01' + INTERVAL 1 MONTH""")
+def q_scan_month(t):
+    """Orders laid out one folder per month; one month read back with pruning."""
+    base = files.write_monthly(t.orders, "o_orderdate", scratch_path(t.spark, "orders-monthly"))
+    return files.read_month(t.spark, base, *MONTH)
+
+
+@query("extract_window", f"""
+SELECT * FROM events WHERE ts >= TIMESTAMP '{WEEK[0]}' AND ts < TIMESTAMP '{WEEK[1]}'""")
+def q_extract_window(t):
+    return files.extract_window(t.events, "ts", *WEEK)
+
+
+@query("raw_envelope", f"""
+SELECT CAST(event_id AS VARCHAR) AS id, TIMESTAMP '{WEEK[0]}' AS extract_window_start_utc,
+       TIMESTAMP '{WEEK[1]}' AS extract_window_end_utc,
+       event_id, ts, user_id, event_type, value, props
+FROM events WHERE ts >= TIMESTAMP '{WEEK[0]}' AND ts < TIMESTAMP '{WEEK[1]}'""")
+def q_raw_envelope(t):
+    """Envelope of one extract window; payload fields parsed back to check it."""
+    env = merge.envelope(files.extract_window(t.events, "ts", *WEEK), "event_id", *WEEK)
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    parsed = env.withColumn("p", F.from_json("payload", schema, merge.JSON_OPTIONS))
+    return parsed.select("id", "extract_window_start_utc", "extract_window_end_utc", "p.*")
+
+
+@query("load_reconcile", """
+SELECT (SELECT count(*) FROM lineitem) AS source_rows, (SELECT count(*) FROM lineitem) AS target_rows,
+       CAST(0 AS BIGINT) AS diff""")
+def q_load_reconcile(t):
+    """Load lineitem into a Parquet target, then count source against target."""
+    path = files.write_parquet(t.lineitem, scratch_path(t.spark, "lineitem-load"))
+    return jdbc.reconcile(t.lineitem, t.spark.read.parquet(path))
+
+
+@query("load_capped", f"SELECT * FROM orders ORDER BY o_orderkey LIMIT {CAP_ROWS}")
+def q_load_capped(t):
+    return files.capped(t.orders, ["o_orderkey"], CAP_ROWS)
+
+
+DERBY_URL = "jdbc:derby:memory:lakeline;create=true"
+
+
+@query("load_jdbc")
+def q_load_jdbc(t):
+    """Replace-load of orders into an embedded (in-process) Derby database in
+    batches, then a count read back over JDBC.  Embedded in-memory Derby is
+    visible to this JVM only, so this runs in local mode; on a cluster the URL
+    names a shared database server."""
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    jdbc.create_empty(orders, DERBY_URL, "RAW_ORDERS")
+    jdbc.write_jdbc(orders, DERBY_URL, "RAW_ORDERS", mode="append", batchsize=10_000, num_partitions=4)
+    target = jdbc.read_jdbc(t.spark, DERBY_URL, table="RAW_ORDERS", partition_column="O_ORDERKEY",
+                            lower=0, upper=1 << 40, num_partitions=4)
+    return jdbc.reconcile(orders, target)

@@ -238,3 +238,8 @@ def q_scan_parquet(t):
 
 
 __all__ = ["silver_trips", "enriched", "joined", "inline_orders", "ZONES"]
+
+
+def query_sql(name: str) -> str:
+    from lakeline.plans.registry import REGISTRY
+    return REGISTRY[name].sql
