@@ -68,7 +68,7 @@ def run_tests(df: DataFrame, tests: list) -> DataFrame:
             parts.append(orphans.agg(F.count(F.lit(1)).alias("failures")).select(
                 F.lit(t.name).alias("test"), "failures"))
         elif isinstance(t, Unique):
-            dup = df.groupBy(*t.columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+            dup = df.groupBy(*t.columns).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
             parts.append(dup.agg(F.count(F.lit(1)).alias("failures")).select(
                 F.lit(t.name).alias("test"), "failures"))
         else:

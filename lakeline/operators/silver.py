@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from lakeline.functions.exprs import duration_minutes, duration_minutes_exact, year_month
 from lakeline.operators.joins import checked_broadcast, role_copy
 
-# Quality rules of the trip lab: each must hold (NULL fails the rule).
-TRIP_RULES = {
-    "trip_distance": F.col("trip_distance") >= 0,
-    "total_amount": F.col("total_amount") >= 0,
-    "trip_duration_min": F.col("trip_duration_min") >= 0,
-}
+def trip_rules() -> dict[str, Column]:
+    """Quality rules of the trip lab: each must hold (NULL fails the rule)."""
+    return {
+        "trip_distance": F.col("trip_distance") >= 0,
+        "total_amount": F.col("total_amount") >= 0,
+        "trip_duration_min": F.col("trip_duration_min") >= 0,
+    }
 
 
 def derive_trip_columns(raw: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def apply_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def silver_trips(raw: DataFrame) -> DataFrame:
-    return apply_rules(derive_trip_columns(raw), TRIP_RULES)
+    return apply_rules(derive_trip_columns(raw), trip_rules())
 
 
 def quality_rejects(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -131,3 +131,30 @@ def q_load_jdbc(t):
     target = jdbc.read_jdbc(t.spark, DERBY_URL, table="RAW_ORDERS", partition_column="O_ORDERKEY",
                             lower=0, upper=1 << 40, num_partitions=4)
     return jdbc.reconcile(orders, target)
+
+
+# --- streaming ingest -----------------------------------------------------
+
+from lakeline.streaming import ingest  # noqa: E402
+
+# Fixed values of ours: weekly arrival chunks over the events month.
+CHUNKS = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29", "2024-02-05"]
+EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+                "props string")
+
+
+@query("stream_ingest", f"""
+SELECT CAST(event_id AS VARCHAR) AS id, ts, user_id, event_type, value, props FROM events
+WHERE ts >= TIMESTAMP '{CHUNKS[0]}' AND ts < TIMESTAMP '{CHUNKS[-1]}'""")
+def q_stream_ingest(t):
+    """Events landed as weekly files, ingested by a file stream, one file per
+    micro-batch, each upserted into the raw table by id."""
+    spark = t.spark
+    landing = scratch_path(spark, "landing")
+    ingest.land_in_chunks(t.events, "ts", landing, CHUNKS)
+    target = scratch_path(spark, "raw-stream")
+    ingest.upsert_stream(spark, landing, T._parse_datatype_string(EVENT_SCHEMA), "event_id", "ts", target,
+                         scratch_path(spark, "stream-ckpt"), files_per_batch=1)
+    env = spark.read.parquet(ingest.current_version(spark, target))
+    parsed = env.withColumn("p", F.from_json("payload", EVENT_SCHEMA, merge.JSON_OPTIONS))
+    return parsed.select("id", "p.ts", "p.user_id", "p.event_type", "p.value", "p.props")

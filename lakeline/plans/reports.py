@@ -85,7 +85,7 @@ FROM (SELECT *, (epoch_us(tpep_dropoff_datetime) // 1000000 - epoch_us(tpep_pick
       FROM raw_trips)
 """)
 def q_quality_rejects(t):
-    return silver.quality_rejects(silver.derive_trip_columns(views.raw_trips(t)), silver.TRIP_RULES)
+    return silver.quality_rejects(silver.derive_trip_columns(views.raw_trips(t)), silver.trip_rules())
 
 
 @query("trips_per_day", TRIPS_CTE + """
