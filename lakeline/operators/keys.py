@@ -38,6 +38,8 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
         raise TypeError("group columns must be names")
     keys = [*group_cols, *order_cols]
     n = _parts(df, partitions)
+    if not gnames:
+        return _global_ordinal(df, order_cols, name, n)
     # Range bounds are sampled per exchange (the seed follows the shuffle
     # id), so the sliced rows are written once to the shared checkpoint
     # folder: both branches below then see the same slices, and a lost
@@ -50,13 +52,26 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
     blocks = sliced.groupBy(_PID, *gnames).agg(F.count(F.lit(1)).alias("__n"))
     off_w = Window.partitionBy(*gnames).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("__off", F.coalesce(F.sum("__n").over(off_w), F.lit(0))).drop("__n")
-    if not gnames:
-        # At most `partitions` rows: bounded by construction.
-        blocks = F.broadcast(blocks)
     out = local.join(blocks, [_PID, *gnames], "inner")
     return out.select(*df.columns, (F.col("__local") + F.col("__off")).cast("bigint").alias(name))
 
 
+def _global_ordinal(df: DataFrame, order_cols: list, name: str, n: int) -> DataFrame:
+    """Global position: range slices sorted in place, position inside a slice
+    from ``monotonically_increasing_id`` (slice index in the upper bits), plus
+    the row count of earlier slices (one row per slice, broadcast)."""
+    sliced = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .withColumn("__mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    pid = F.shiftright("__mid", 33)
+    counts = sliced.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
+    out = sliced.withColumn(_PID, pid).join(F.broadcast(offsets), _PID)
+    pos = F.col("__mid") - F.shiftleft(F.col(_PID), 33)
+    return out.select(*df.columns, (pos + 1 + F.col("__off")).cast("bigint").alias(name))
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (as ``percentile`` /

@@ -243,3 +243,23 @@ __all__ = ["silver_trips", "enriched", "joined", "inline_orders", "ZONES"]
 def query_sql(name: str) -> str:
     from lakeline.plans.registry import REGISTRY
     return REGISTRY[name].sql
+
+
+@query("daily_zone_fact_sql", BRONZE_CTE + """
+SELECT CAST(date_trunc('day', pickup_ts) AS DATE) AS pickup_date, pickup_location, pickup_location_name,
+       count(*) AS trips, round(avg(trip_duration_minutes), 6) AS avg_trip_duration_minutes,
+       CAST(round(sum(total_amount), 2) AS DOUBLE) AS total_amount
+FROM silver_joined GROUP BY 1, 2, 3
+""")
+def q_daily_zone_fact_sql(t):
+    """The gold model in its SQL form: a CTE over the silver view and
+    positional grouping, planned by Catalyst like the DataFrame form."""
+    joined(t).createOrReplaceTempView("lakeline_silver_joined")
+    return t.spark.sql("""
+        WITH base AS (
+          SELECT CAST(date_trunc('DAY', pickup_ts) AS DATE) AS pickup_date, pickup_location, pickup_location_name,
+                 count(*) AS trips, round(avg(trip_duration_minutes), 6) AS avg_trip_duration_minutes,
+                 CAST(round(sum(total_amount), 2) AS DOUBLE) AS total_amount
+          FROM lakeline_silver_joined
+          GROUP BY 1, 2, 3)
+        SELECT * FROM base""")

@@ -46,3 +46,13 @@ def test_histogram_last_bin_closed(spark):
     df = spark.createDataFrame([(0.0,), (5.0,), (10.0,)], "x double")
     got = {r["bin"]: r["count"] for r in profile.histogram(df, "x", 2).collect()}
     assert got == {0: 1, 1: 2}
+
+
+def test_schema_contract_reports_type_and_missing_columns(spark):
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(1, "a")], "order_id int, region string")
+    want = T.StructType([T.StructField("order_id", T.LongType(), False),
+                         T.StructField("region", T.StringType()), T.StructField("total_amount", T.DecimalType(12, 2))])
+    assert checks.schema_contract(df, want) == ["type order_id: int != bigint", "missing total_amount"]
+    assert checks.schema_contract(df.withColumn("order_id", F.col("order_id").cast("bigint")),
+                                  T.StructType(want.fields[:2]), check_nullability=True) == ["nullable order_id"]
