@@ -14,6 +14,8 @@ project the columns they need first.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,22 +81,31 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
     Returns one row per (column, p): ``column, p, value``.  NULL and NaN are
     ignored.  No value map is held in memory: the columns are unpivoted,
-    numbered by :func:`ordinal` per column, and only the 2 ranks around each
-    requested position are kept."""
+    numbered in one global sort over (column, value) by :func:`ordinal`, and
+    only the 2 ranks around each requested position are kept."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("s")).select("s.column", "s.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    numbered = ordinal(long, [F.col("v")], ["column"], "rn", partitions)
-    # positions (1-based) lo/hi around (n-1)*p; bounded: |cols| x |probs| rows
-    want = counts.select(
-        "column", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"),
-    ).withColumn("h", (F.col("n") - 1) * F.col("p")).withColumns({
-        "lo": F.floor("h").cast("bigint") + 1,
-        "hi": F.ceil("h").cast("bigint") + 1,
-    })
-    need = F.broadcast(want.select("column", "p", "h", "lo", "hi",
-                                   F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rn")))
+    counts = {r["column"]: r["n"] for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # one global order over (column, value): a column's ranks start after the
+    # rows of the columns sorting before it (|cols| numbers, kept on the driver)
+    start, offsets = 0, {}
+    for c in sorted(counts):
+        offsets[c] = start
+        start += counts[c]
+    numbered = ordinal(long, [F.col("column"), F.col("v")], None, "g", partitions)
+    off = F.create_map(*[x for c, o in offsets.items() for x in (F.lit(c), F.lit(o))])
+    numbered = numbered.withColumn("rn", F.col("g") - F.element_at(off, F.col("column")))
+    spark = df.sparkSession
+    rows = []
+    for c, n in counts.items():
+        for p in probs:
+            h = (n - 1) * float(p)
+            lo, hi = int(math.floor(h)) + 1, int(math.ceil(h)) + 1
+            rows += [(c, float(p), h, lo, hi, r) for r in sorted({lo, hi})]
+    # |cols| x |probs| x 2 rows: bounded by construction
+    need = F.broadcast(spark.createDataFrame(
+        rows, "column string, p double, h double, lo bigint, hi bigint, rn bigint"))
     picks = numbered.join(need, ["column", "rn"])
     g = picks.groupBy("column", "p", "h", "lo").agg(
         F.max(F.when(F.col("rn") == F.col("lo"), F.col("v"))).alias("vlo"),

@@ -64,20 +64,21 @@ def _cents(c: str) -> str:
 
 
 def allocate(lines: DataFrame, orders: DataFrame, order_id: str, line_no: str,
-             weight: str, amounts: list[str]) -> DataFrame:
+             weight: str, amounts: list[str], carry: list[str] | None = None) -> DataFrame:
     """Split order-level amounts over its lines in proportion to ``weight``.
 
     share = amount * weight / order weight, rounded half-up to cents with
     integer arithmetic (exact in any engine); the last line takes the
     residual so every order reconciles to the cent.  Equal split when the
     order's weight is 0.  Amounts come back as decimal(14,2) columns named
-    ``allocated_<amount>``."""
+    ``allocated_<amount>``; ``carry`` order columns ride along on the same
+    join, so a fact needs no second join to its order header."""
     totals = lines.groupBy(order_id).agg(
         F.sum(weight).alias("__w_total"),
         F.count(F.lit(1)).alias("__n_lines"),
         F.max(line_no).alias("__last"),
     )
-    x = lines.join(totals, order_id).join(orders.select(order_id, *amounts), order_id)
+    x = lines.join(totals, order_id).join(orders.select(order_id, *amounts, *(carry or [])), order_id)
     wc, tc = _cents(weight), _cents("__w_total")
     shares = {}
     for a in amounts:

@@ -39,15 +39,10 @@ COURIERS = 50
 PROMO_MEMBER = "NO_PROMO"
 
 
-def raw_orders(t: Tables) -> DataFrame:
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    c = t.customer.select("c_custkey", "c_nationkey")
-    last_ship = t.lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
-    x = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(
-        last_ship, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+def _order_columns() -> list:
     status = (F.when(F.col("o_orderstatus") == "F", "delivered")
               .when(F.col("o_orderstatus") == "O", "open").otherwise("pending"))
-    return x.select(
+    return [
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderdate").alias("order_ts"),
         F.col("o_custkey").alias("customer_id"),
@@ -55,7 +50,19 @@ def raw_orders(t: Tables) -> DataFrame:
         F.col("c_nationkey").cast("bigint").alias("city_id"),
         status.alias("status"),
         F.when(F.col("o_orderstatus") == "F", F.col("last_ship")).alias("delivered_ts"),
-    )
+    ]
+
+
+def _orders_joined(t: Tables, extra: list[str]) -> DataFrame:
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", *extra)
+    c = t.customer.select("c_custkey", "c_nationkey")
+    last_ship = t.lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
+    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(
+        last_ship, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+
+
+def raw_orders(t: Tables) -> DataFrame:
+    return _orders_joined(t, []).select(*_order_columns())
 
 
 @_memo
@@ -79,27 +86,32 @@ def _share_cents(cents, pct: int):
     return F.expr(f"({cents} * {pct} + 50) div 100")
 
 
-def raw_promotions(t: Tables) -> DataFrame:
+def _promo_code():
     k = F.col("o_orderkey")
-    code = F.when(F.pmod(k, F.lit(3)) == 0, F.lit(None).cast("string")).otherwise(
+    return F.when(F.pmod(k, F.lit(3)) == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("P"), F.pmod(k, F.lit(20)).cast("string")))
-    return t.orders.select(k.alias("order_id"), code.alias("promo_code"))
 
 
-def raw_payments(t: Tables) -> DataFrame:
-    o = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
-    sub = money("o_totalprice")
+def _payment_columns() -> list:
     cents = "CAST(CAST(o_totalprice AS DECIMAL(14,2)) * 100 AS BIGINT)"
     has_promo = F.pmod("o_orderkey", F.lit(3)) != 0
-    return o.select(
-        F.col("o_orderkey").alias("order_id"),
+    return [
         F.col("o_orderpriority").alias("payment_method"),
-        sub.alias("subtotal"),
+        money("o_totalprice").alias("subtotal"),
         star.from_cents(_share_cents(cents, 1)).alias("delivery_fee"),
         star.from_cents(_share_cents(cents, 5)).alias("tip_amount"),
         F.when(has_promo, star.from_cents(_share_cents(cents, 10)))
         .otherwise(F.lit(0).cast("decimal(14,2)")).alias("discount_amount"),
-    )
+    ]
+
+
+def raw_promotions(t: Tables) -> DataFrame:
+    return t.orders.select(F.col("o_orderkey").alias("order_id"), _promo_code().alias("promo_code"))
+
+
+def raw_payments(t: Tables) -> DataFrame:
+    o = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return o.select(F.col("o_orderkey").alias("order_id"), *_payment_columns())
 
 
 # --- dimensions ---------------------------------------------------------
@@ -163,22 +175,29 @@ def dim_promotion(t: Tables) -> DataFrame:
 
 # --- fact ----------------------------------------------------------------
 
-def allocated_lines(t: Tables) -> DataFrame:
+HEADER = ["order_ts", "customer_id", "courier_id", "city_id", "status", "delivered_ts", "payment_method",
+          "promo_code"]
+AMOUNTS = ["discount_amount", "delivery_fee", "tip_amount"]
+
+
+def order_header(t: Tables) -> DataFrame:
+    """Every order-level attribute the fact needs (order, payment, promotion),
+    from one scan of orders: they share the order key, so no joins between them."""
+    x = _orders_joined(t, ["o_orderpriority", "o_totalprice"])
+    return x.select(*_order_columns(), *_payment_columns(),
+                    F.coalesce(_promo_code(), F.lit(PROMO_MEMBER)).alias("promo_code"))
+
+
+def allocated_lines(t: Tables, carry: list[str] | None = None) -> DataFrame:
     items = raw_order_items(t).withColumn(
         "gross_item_amount", (F.col("qty") * F.col("unit_price")).cast("decimal(14,2)"))
-    pay = raw_payments(t).select("order_id", "discount_amount", "delivery_fee", "tip_amount")
-    return star.allocate(items, pay, "order_id", "line_number", "gross_item_amount",
-                         ["discount_amount", "delivery_fee", "tip_amount"])
+    header = order_header(t) if carry else raw_payments(t).select("order_id", *AMOUNTS)
+    return star.allocate(items, header, "order_id", "line_number", "gross_item_amount", AMOUNTS, carry)
 
 
 @_memo
 def star_fact(t: Tables) -> DataFrame:
-    lines = allocated_lines(t)
-    o = raw_orders(t)
-    pay = raw_payments(t).select("order_id", "payment_method")
-    promo = raw_promotions(t).select(
-        "order_id", F.coalesce("promo_code", F.lit(PROMO_MEMBER)).alias("promo_code"))
-    f = (lines.join(o, "order_id").join(pay, "order_id").join(promo, "order_id"))
+    f = allocated_lines(t, HEADER)
     # Small dimensions (bounded by nation count / distinct codes) are broadcast
     # after a size check; customer, product, restaurant grow with the data and
     # are left to the planner (sort-merge, or AQE's runtime broadcast).
