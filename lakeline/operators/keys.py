@@ -8,8 +8,8 @@ per slice, at most the number of range partitions per group) stitches the
 slices together.  The order columns must give a total order within a group
 for the numbers to be deterministic.
 
-Cost: one range shuffle and one checkpoint write of the input; callers
-project the columns they need first.
+Cost: one range shuffle, a checkpoint write of the input and one of the
+numbered output; callers project the columns they need first.
 """
 
 from __future__ import annotations
@@ -55,7 +55,10 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
     off_w = Window.partitionBy(*gnames).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("__off", F.coalesce(F.sum("__n").over(off_w), F.lit(0))).drop("__n")
     out = local.join(blocks, [_PID, *gnames], "inner")
-    return out.select(*df.columns, (F.col("__local") + F.col("__off")).cast("bigint").alias(name))
+    # written once: callers use the numbered rows in several branches, and
+    # the planner would otherwise redo the window in each of them
+    return out.select(*df.columns, (F.col("__local") + F.col("__off")).cast("bigint").alias(name)).checkpoint(
+        eager=True)
 
 
 def _global_ordinal(df: DataFrame, order_cols: list, name: str, n: int) -> DataFrame:

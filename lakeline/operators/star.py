@@ -87,7 +87,9 @@ def allocate(lines: DataFrame, orders: DataFrame, order_id: str, line_no: str,
         prop = F.expr(f"(2 * {ac} * {wc} + {tc}) div (2 * {tc})")
         eq = F.expr(f"(2 * {ac} + __n_lines) div (2 * __n_lines)")
         shares[f"__s_{a}"] = F.when(F.col("__w_total") == 0, eq).otherwise(prop).cast("bigint")
-    x = x.withColumns(shares)
+    # line-level shares feed both the per-order sums and the final rows:
+    # materialise them once instead of re-joining lines, totals and orders twice
+    x = x.withColumns(shares).checkpoint(eager=True)
     sums = x.groupBy(order_id).agg(*[F.sum(f"__s_{a}").alias(f"__t_{a}") for a in amounts])
     x = x.join(sums, order_id)
     outs = {}
