@@ -52,17 +52,27 @@ def with_partition(df: DataFrame, part_col: str, route: Column) -> DataFrame:
     return df.withColumn(part_col, route)
 
 
-def write_layout(df: DataFrame, part_col: str, path: str, strict: bool = False) -> str:
+def write_layout(df: DataFrame, part_col: str, path: str, strict: bool = False,
+                 spread: list[str] | None = None, tasks: int | None = None) -> str:
     """Write routed rows partitioned by ``part_col``.
 
     ``strict``: fail if any row is unrouted (declarative partitions, no
     default).  Otherwise unrouted rows are written nowhere and reported by
-    :func:`unrouted_count`."""
+    :func:`unrouted_count`.
+
+    ``spread``: range-partition on (part_col, *spread) before writing, so each
+    task holds a contiguous run of partition values (few files per folder
+    instead of one per task per folder) while a large partition value is
+    still split across several tasks by the spread columns."""
     if strict:
         bad = df.filter(F.col(part_col).isNull()).limit(1).count()
         if bad:
             raise ValueError(f"rows outside every declared partition of {part_col}")
-    df.filter(F.col(part_col).isNotNull()).write.mode("overwrite").partitionBy(part_col).parquet(path)
+    out = df.filter(F.col(part_col).isNotNull())
+    if spread:
+        n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartitionByRange(n, part_col, *spread)
+    out.write.mode("overwrite").partitionBy(part_col).parquet(path)
     return path
 
 

@@ -40,17 +40,17 @@ def orders_with_region(t):
 def range_layout(t, name="orders-range"):
     bounds = layout.month_bounds(RANGE_FIRST, RANGE_LAST)
     df = layout.with_partition(orders_with_region(t), "order_month", layout.range_route("o_orderdate", bounds))
-    return layout.write_layout(df, "order_month", scratch_path(t.spark, name))
+    return layout.write_layout(df, "order_month", scratch_path(t.spark, name), spread=["o_orderkey"])
 
 
 def list_layout(t):
     df = layout.with_partition(orders_with_region(t), "region_part", layout.list_route("region", LIST_VALUES))
-    return layout.write_layout(df, "region_part", scratch_path(t.spark, "orders-list"))
+    return layout.write_layout(df, "region_part", scratch_path(t.spark, "orders-list"), spread=["o_orderkey"])
 
 
 def hash_layout(t):
     df = layout.with_partition(orders_with_region(t), "cust_bucket", layout.hash_route("o_custkey", HASH_MODULUS))
-    return layout.write_layout(df, "cust_bucket", scratch_path(t.spark, "orders-hash"))
+    return layout.write_layout(df, "cust_bucket", scratch_path(t.spark, "orders-hash"), spread=["o_custkey"])
 
 
 def _summary(t, path, col, out):
