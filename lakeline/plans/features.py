@@ -14,9 +14,16 @@ D = 9  # digits kept on scaled outputs
 
 
 def feats(t):
-    """housing + a nullable category (flag missing where tax is) + a split label."""
-    h = housing(t).withColumn("flag_n", F.when(F.col("tax").isNotNull(), F.col("flag")))
-    return pp.split_three(h, "row_key", TEST, VALID)
+    """housing + a nullable category (flag missing where tax is) + a split label.
+
+    Built once per query: each fit step (medians, moments, modes, categories)
+    is another pass over it, so the hashed split is computed on all cores
+    and written once instead of recomputed per pass."""
+    cache = t.__dict__.setdefault("_built", {})
+    if "feats" not in cache:
+        h = housing(t, spread=True).withColumn("flag_n", F.when(F.col("tax").isNotNull(), F.col("flag")))
+        cache["feats"] = pp.split_three(h, "row_key", TEST, VALID).checkpoint(eager=True)
+    return cache["feats"]
 
 
 FEATS_SQL = HOUSING_SQL + f"""
