@@ -61,10 +61,22 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
         eager=True)
 
 
+# Below this many rows a global numbering runs as one sorted task; the
+# count that proves the bound is one cheap pass.
+SINGLE_TASK_ROWS = 1_000_000
+
+
 def _global_ordinal(df: DataFrame, order_cols: list, name: str, n: int) -> DataFrame:
     """Global position: range slices sorted in place, position inside a slice
     from ``monotonically_increasing_id`` (slice index in the upper bits), plus
-    the row count of earlier slices (one row per slice, broadcast)."""
+    the row count of earlier slices (one row per slice, broadcast).
+
+    An input proven to hold at most ``SINGLE_TASK_ROWS`` rows (a dimension's
+    distinct keys, say) is numbered by one window instead: bounded, and it
+    saves the sampling and checkpoint jobs."""
+    if df.limit(SINGLE_TASK_ROWS + 1).count() <= SINGLE_TASK_ROWS:
+        w = Window.orderBy(*order_cols)
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     sliced = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("__mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))

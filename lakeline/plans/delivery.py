@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from lakeline.functions.exprs import date_key, duration_minutes, money
 from lakeline.operators import star
-from lakeline.operators.joins import checked_broadcast
 from lakeline.operators.keys import ordinal
 from lakeline.plans.tables import Tables
 
@@ -198,12 +197,12 @@ def allocated_lines(t: Tables, carry: list[str] | None = None) -> DataFrame:
 @_memo
 def star_fact(t: Tables) -> DataFrame:
     f = allocated_lines(t, HEADER)
-    # Small dimensions (bounded by nation count / distinct codes) are broadcast
-    # after a size check; customer, product, restaurant grow with the data and
-    # are left to the planner (sort-merge, or AQE's runtime broadcast).
-    city = checked_broadcast(dim_city(t).select("city_id", "city_key"))
-    pm = checked_broadcast(dim_payment_method(t))
-    pr = checked_broadcast(dim_promotion(t))
+    # Dimension sides are left to the planner: AQE measures each dimension's
+    # shuffle output at run time and turns the join into a broadcast only if
+    # it is small (the size check), else keeps the sort-merge join.
+    city = dim_city(t).select("city_id", "city_key")
+    pm = dim_payment_method(t)
+    pr = dim_promotion(t)
     cust = dim_customer(t).select("customer_id", "customer_key")
     rest = dim_restaurant(t).select("restaurant_id", "restaurant_key")
     prod = dim_product(t).select("product_id", "product_key")
@@ -227,8 +226,8 @@ def star_fact(t: Tables) -> DataFrame:
 
 def star_q1(fact: DataFrame, t: Tables) -> DataFrame:
     """Net revenue per month, region and cuisine."""
-    dd = checked_broadcast(dim_date(t).select("date_key", "year_month"))
-    city = checked_broadcast(dim_city(t).select("city_key", "region"))
+    dd = dim_date(t).select("date_key", "year_month")
+    city = dim_city(t).select("city_key", "region")
     rest = dim_restaurant(t).select("restaurant_key", "cuisine")
     x = (fact.join(dd, fact["order_date_key"] == dd["date_key"]).join(city, "city_key")
          .join(rest, "restaurant_key"))
@@ -238,8 +237,7 @@ def star_q1(fact: DataFrame, t: Tables) -> DataFrame:
 
 def star_q2(fact: DataFrame, t: Tables, n: int = 10) -> DataFrame:
     """Top-n promo codes by net revenue, with their share of all orders."""
-    pr = checked_broadcast(dim_promotion(t))
-    x = fact.join(pr, "promotion_key")
+    x = fact.join(dim_promotion(t), "promotion_key")
     all_orders = fact.agg(F.count_distinct("order_id")).first()[0]  # one scalar
     g = x.filter(F.col("promo_code") != PROMO_MEMBER).groupBy("promo_code").agg(
         F.sum("net_revenue").alias("_net"), F.count_distinct("order_id").alias("orders"))

@@ -122,3 +122,21 @@ def test_forest_flags_the_planted_outlier(spark):
     model = forest.fit(df, "k", ["a", "b"], n_trees=50, sample_size=128, seed=3)
     top = model.score(df).orderBy(F.desc("score")).first()
     assert top["k"] == 99999 and top["score"] > 0.6
+
+
+def test_surrogate_keys_keep_existing_and_extend(spark):
+    first = star.surrogate_keys(spark.createDataFrame([(30, "c"), (10, "a")], "id long, name string"), ["id"], "k")
+    assert sorted((r["k"], r["id"]) for r in first.collect()) == [(1, 10), (2, 30)]
+    batch = spark.createDataFrame([(20, "b"), (10, "a"), (40, "d"), (20, "b")], "id long, name string")
+    second = star.surrogate_keys(batch, ["id"], "k", existing=first)
+    assert sorted((r["k"], r["id"]) for r in second.collect()) == [(1, 10), (2, 30), (3, 20), (4, 40)]
+
+
+def test_global_ordinal_distributed_path_matches_row_number(spark, monkeypatch):
+    monkeypatch.setattr(keys, "SINGLE_TASK_ROWS", 10)  # force the range-slice path
+    df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5003).alias("v"), F.col("id"))
+    got = keys.ordinal(df, [F.col("v"), F.col("id")], None, "rn", partitions=8)
+    want = df.withColumn("rn", F.row_number().over(Window.orderBy("v", "id")).cast("bigint"))
+    assert got.exceptAll(want).count() == 0 and got.count() == 5000
+    q = keys.quantile_map(df, ["v"], [0.5])
+    assert q[("v", 0.5)] == float(np.quantile(np.array([(i * 7919) % 5003 for i in range(5000)]), 0.5))
