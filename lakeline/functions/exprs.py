@@ -10,6 +10,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from lakeline.functions import fixed
 
 # Money is carried as DECIMAL so sums are exact and engine-independent.
 MONEY = "decimal(14,2)"
@@ -58,7 +59,7 @@ def safe_ratio(num, den) -> Column:
     return col(num) / F.nullif(col(den), F.lit(0))
 
 
-def net_amount(amount, flag, factor: str = "0.9") -> Column:
+def net_amount(amount, flag, factor: str = fixed.DISCOUNT_FACTOR) -> Column:
     """Discounted amount when the flag is 1, else the amount.
 
     The factor is a decimal literal, so a decimal amount stays exact."""
@@ -66,12 +67,12 @@ def net_amount(amount, flag, factor: str = "0.9") -> Column:
 
 
 def year_month(ts) -> Column:
-    return F.date_format(col(ts), "yyyy-MM")
+    return F.date_format(col(ts), fixed.MONTH_FORMAT)
 
 
 def date_key(d) -> Column:
     """Integer yyyymmdd key of a date or timestamp."""
-    return F.date_format(col(d), "yyyyMMdd").cast("int")
+    return F.date_format(col(d), fixed.DATE_KEY_FORMAT).cast("int")
 
 
 def md5_bucket(c, n: int) -> Column:

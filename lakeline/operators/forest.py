@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from lakeline.functions import fixed
 
 EULER = 0.5772156649015329
 
@@ -111,7 +112,8 @@ class Forest:
         return df.mapInPandas(run, schema)
 
 
-def fit(df: DataFrame, key: str, features: list[str], n_trees: int = 100, sample_size: int = 256,
+def fit(df: DataFrame, key: str, features: list[str], n_trees: int = fixed.FOREST_TREES,
+        sample_size: int = fixed.FOREST_SAMPLE,
         seed: int = 42, oversample: float = 4.0) -> Forest:
     n = df.count()
     psi = min(sample_size, n)

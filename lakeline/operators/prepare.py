@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeline.functions.exprs import md5_unit
 from lakeline.operators.keys import exact_quantiles
+from lakeline.functions import fixed
 
 
 def _round(c: Column, digits: int | None) -> Column:
@@ -120,7 +121,7 @@ class Affine:
         return out
 
 
-def fit_minmax(df: DataFrame, columns: list[str], lo: float = -1.0, hi: float = 1.0,
+def fit_minmax(df: DataFrame, columns: list[str], lo: float = fixed.MINMAX_RANGE[0], hi: float = fixed.MINMAX_RANGE[1],
                digits: int | None = None) -> Affine:
     """Scale to [lo, hi]; a constant column maps to ``lo``."""
     row = df.agg(*[F.min(c).alias(f"{c}|min") for c in columns], *[F.max(c).alias(f"{c}|max") for c in columns]).first()
@@ -176,7 +177,8 @@ def fit_mixed(df: DataFrame, numeric: list[str], categorical: list[str], digits:
 
 # --- split and outlier rules ---------------------------------------------
 
-def split_three(df: DataFrame, key: str, test: float = 0.2, valid: float = 0.16) -> DataFrame:
+def split_three(df: DataFrame, key: str, test: float = fixed.SPLIT_TEST,
+                valid: float = fixed.SPLIT_VALID) -> DataFrame:
     """Deterministic train / valid / test label from md5 of a key.
 
     The same row always lands in the same split, whatever the partitioning,
@@ -185,14 +187,14 @@ def split_three(df: DataFrame, key: str, test: float = 0.2, valid: float = 0.16)
     return df.withColumn("split", F.when(u < test, "test").when(u < test + valid, "valid").otherwise("train"))
 
 
-def zscore_flags(df: DataFrame, column: str, limit: float = 3.0, digits: int = 9) -> DataFrame:
+def zscore_flags(df: DataFrame, column: str, limit: float = fixed.ZSCORE_LIMIT, digits: int = 9) -> DataFrame:
     """z = (x - mean) / population std; outlier when |z| > limit."""
     row = df.agg(F.avg(column).alias("m"), F.stddev_pop(column).alias("s")).first()
     z = (F.col(column) - F.lit(row["m"])) / F.lit(row["s"] or 1.0)
     return df.withColumns({"zscore": F.round(z, digits), "is_outlier": F.abs(z) > F.lit(limit)})
 
 
-def iqr_flags(df: DataFrame, column: str, whisker: float = 1.5) -> DataFrame:
+def iqr_flags(df: DataFrame, column: str, whisker: float = fixed.IQR_WHISKER) -> DataFrame:
     """Outlier when outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR] (exact quartiles)."""
     q = {r["p"]: r["value"] for r in exact_quantiles(df, [column], [0.25, 0.75]).collect()}
     q1, q3 = q[0.25], q[0.75]

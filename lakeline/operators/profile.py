@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from lakeline.functions.exprs import md5_unit
 from lakeline.operators.keys import exact_quantiles
+from lakeline.functions import fixed
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -145,7 +146,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
                     (F.lit(lo) + (F.col("bin") + 1) * F.lit(w)).alias("upper"), "count")
 
 
-def boxplot_stats(df: DataFrame, columns: list[str], whisker: float = 1.5, digits: int = 6) -> DataFrame:
+def boxplot_stats(df: DataFrame, columns: list[str], whisker: float = fixed.IQR_WHISKER, digits: int = 6) -> DataFrame:
     """Quartiles, IQR, whiskers (furthest points within 1.5 IQR) and outliers."""
     q = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     qs = {(r["column"], r["p"]): r["value"] for r in q.collect()}  # |columns| x 3 values

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from lakeline.functions import fixed
 
 INTERCEPT = "intercept"
 
@@ -87,7 +88,7 @@ def fit_pinv(df: DataFrame, features: list[str], target: str, intercept: bool =
     return Linear(_terms(features, intercept), np.linalg.pinv(G) @ b)
 
 
-def fit_gd(df: DataFrame, features: list[str], target: str, rate: float = 0.1, epochs: int = 1000,
+def fit_gd(df: DataFrame, features: list[str], target: str, rate: float = fixed.GD_RATE, epochs: int = fixed.GD_EPOCHS,
            intercept: bool = True) -> Linear:
     """Batch gradient descent: θ ← θ − rate · 2/m (Gθ − b), on G and b only.
 
@@ -100,8 +101,9 @@ def fit_gd(df: DataFrame, features: list[str], target: str, rate: float = 0.1, e
     return Linear(_terms(features, intercept), theta)
 
 
-def fit_minibatch(df: DataFrame, key: str, features: list[str], target: str, epochs: int = 50,
-                  batch_size: int = 20, t0: float = 200.0, t1: float = 1000.0, seed: int = 42,
+def fit_minibatch(df: DataFrame, key: str, features: list[str], target: str, epochs: int = fixed.MINIBATCH_EPOCHS,
+                  batch_size: int = fixed.MINIBATCH_SIZE, t0: float = fixed.MINIBATCH_T0,
+                  t1: float = fixed.MINIBATCH_T1, seed: int = 42,
                   intercept: bool = True) -> Linear:
     """Mini-batch descent with a t0 / (t + t1) learning schedule.
 

@@ -8,8 +8,9 @@ from lakeline.operators import prepare as pp
 from lakeline.operators import profile as pf
 from lakeline.plans.profiles import HOUSING_SQL, _exact_mean, housing
 from lakeline.plans.registry import query
+from lakeline.functions import fixed
 
-TEST, VALID = 0.2, 0.16
+TEST, VALID = fixed.SPLIT_TEST, fixed.SPLIT_VALID
 D = 9  # digits kept on scaled outputs
 
 

@@ -8,11 +8,12 @@ from lakeline.functions.exprs import money
 from lakeline.operators import layout
 from lakeline.plans.registry import query
 from lakeline.session import scratch_path
+from lakeline.functions import fixed
 
 # Fixed values of ours: declared partitions of the layout exercises.
 RANGE_FIRST, RANGE_LAST = "1995-01", "2000-12"
-LIST_VALUES = ["AMERICA", "EUROPE", "ASIA"]
-HASH_MODULUS = 4
+LIST_VALUES = fixed.LIST_REGIONS
+HASH_MODULUS = fixed.HASH_MODULUS
 RETAIN_FROM = "1998-01"
 YEAR_FILTER = ("1996-01", "1996-12")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+
+from lakeline.functions import fixed
 from pyspark.sql import types as T
 
 from lakeline.operators import gold, merge
@@ -14,8 +16,7 @@ from lakeline.sources import files, jdbc
 # Fixed values of ours: the extract window and month used by the load queries.
 WEEK = ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
 MONTH = (1996, 3)
-# Load cap of the capped loader: 21 chunks of 10,000 rows.
-CAP_ROWS = 21 * 10_000
+CAP_ROWS = fixed.LOAD_CHUNKS * fixed.LOAD_CHUNK_ROWS
 
 CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()),
@@ -153,7 +154,7 @@ def q_stream_ingest(t):
     landing = scratch_path(spark, "landing")
     ingest.land_in_chunks(t.events, "ts", landing, CHUNKS)
     target = scratch_path(spark, "raw-stream")
-    ingest.upsert_stream(spark, landing, T._parse_datatype_string(EVENT_SCHEMA), "event_id", "ts", target,
+    ingest.upsert_stream(spark, landing, EVENT_SCHEMA, "event_id", "ts", target,
                          scratch_path(spark, "stream-ckpt"), files_per_batch=1)
     env = spark.read.parquet(ingest.current_version(spark, target))
     parsed = env.withColumn("p", F.from_json("payload", EVENT_SCHEMA, merge.JSON_OPTIONS))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeline.operators import profile as pf
 from lakeline.plans.registry import query
+from lakeline.functions import fixed
 
 # housing-shaped view: numeric features, one column with missing values
 # (tax = 0 read as missing), two text categories, and a unique row key.
@@ -97,7 +98,7 @@ def q_duplicate_count(t):
     return pf.duplicate_count(t.documents.select("text"))
 
 
-HIST_BINS = 50
+HIST_BINS = fixed.HISTOGRAM_BINS
 
 
 @query("histogram", HOUSING_SQL + f"""

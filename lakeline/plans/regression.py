@@ -9,6 +9,7 @@ from lakeline.operators import prepare as pp
 from lakeline.operators import regress as rg
 from lakeline.plans.profiles import HOUSING_SQL, housing
 from lakeline.plans.registry import query
+from lakeline.functions import fixed
 
 # price explained by quantity (one feature, so SQL's regr_* functions check it)
 X, Y = "quantity", "price"
@@ -39,7 +40,7 @@ def q_ols_gd(t):
     """Batch descent (rate 0.1, 1000 epochs) on the standardised feature."""
     h = housing(t)
     scaled = pp.fit_standard(h, [X]).transform(h)
-    return rg.fit_gd(scaled, [X], Y, rate=0.1, epochs=1000).frame(t.spark)
+    return rg.fit_gd(scaled, [X], Y).frame(t.spark)
 
 
 @query("ols_minibatch")
@@ -49,7 +50,7 @@ def q_ols_minibatch(t):
     within a tolerance in tests, not by SQL."""
     h = housing(t)
     scaled = pp.fit_standard(h, [X]).transform(h)
-    return rg.fit_minibatch(scaled, "row_key", [X], Y, epochs=50, batch_size=20).frame(t.spark)
+    return rg.fit_minibatch(scaled, "row_key", [X], Y).frame(t.spark)
 
 
 @query("ols_predict", HOUSING_SQL + f"""
@@ -68,8 +69,8 @@ FOREST_FEATURES = ["quantity", "price", "discount"]
 def q_outlier_forest(t):
     """Isolation-forest score and flag (contamination 1 %) per row."""
     h = housing(t, spread=True)  # Python scoring: use every core even on a one-file table
-    model = forest.fit(h, "row_key", FOREST_FEATURES, n_trees=100, sample_size=256, seed=42)
+    model = forest.fit(h, "row_key", FOREST_FEATURES, seed=42)
     # scored once: the contamination cut and the output both read it
     scored = model.score(h.select("row_key", *FOREST_FEATURES)).checkpoint(eager=True)
-    return forest.flag(scored, contamination=0.01).select("row_key", F.round("score", 6).alias("score"),
+    return forest.flag(scored, contamination=fixed.FOREST_CONTAMINATION).select("row_key", F.round("score", 6).alias("score"),
                                                           "is_outlier")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeline.functions import fixed
+
 from lakeline.functions.exprs import duration_minutes, duration_minutes_exact, money
 from lakeline.operators import gold, silver
 from lakeline.plans import views
@@ -175,7 +177,7 @@ SELECT pickup_month, count(*) AS num_trips, CAST(round(sum(total_amount), 2) AS
 FROM silver_trips GROUP BY pickup_month ORDER BY pickup_month, total_revenue DESC LIMIT 10
 """)
 def q_revenue_by_month_top10(t):
-    return gold.revenue_by_month_top(silver_trips(t), 10)
+    return gold.revenue_by_month_top(silver_trips(t), fixed.TOP_N)
 
 
 # --- inline-orders shape over orders ---------------------------------------

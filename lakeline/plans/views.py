@@ -1,6 +1,6 @@
 """Trip-shaped and zone-shaped views over the test tables.
 
-The coursework works on taxi trips and a zone lookup; the test tables are
+The trip layers expect trip records and a zone lookup; the test tables are
 TPC-H shaped.  These views give the trip and zone column names the layers
 expect (mapping in SURVEY §7.3):
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeline.functions import fixed
+
 from lakeline.plans import delivery as dl
 from lakeline.plans.registry import query
 
@@ -200,7 +202,7 @@ FROM fact f JOIN dim_promotion p ON f.promotion_key = p.promotion_key
 WHERE p.promo_code <> '{dl.PROMO_MEMBER}'
 GROUP BY p.promo_code ORDER BY net_revenue DESC, p.promo_code LIMIT 10""")
 def q_star_q2(t):
-    return dl.star_q2(dl.star_fact(t), t)
+    return dl.star_q2(dl.star_fact(t), t, fixed.TOP_N)
 
 
 @query("star_q3", DELIVERY_SQL + """
@@ -309,7 +311,7 @@ SELECT 'accepted_values:passenger_count_raw', CAST(count_if(passenger_count IS N
 FROM raw_trips""")
 def q_test_accepted_values(t):
     from lakeline.plans import views
-    a = checks.run_tests(reports.joined(t), [checks.AcceptedValues("passengers_count", list(range(9)))])
+    a = checks.run_tests(reports.joined(t), [checks.AcceptedValues("passengers_count", fixed.ACCEPTED_PASSENGERS)])
     b = checks.run_tests(views.raw_trips(t).withColumnRenamed("passenger_count", "passenger_count_raw"),
                          [checks.AcceptedValues("passenger_count_raw", list(range(6)))])
     return a.unionByName(b)

@@ -9,7 +9,6 @@ only when the session has none, which is the case in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,12 +71,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared folder."""
     base = shared_dir(spark)
     return base.rstrip("/") + "/lakeline/" + f"{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs a plain path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)

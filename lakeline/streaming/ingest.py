@@ -36,7 +36,7 @@ def current_version(spark: SparkSession, base: str, before: int | None = None) -
     return f"{base.rstrip('/')}/epoch={vs[-1]}" if vs else None
 
 
-def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType, id_col: str, ts_col: str,
+def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str, id_col: str, ts_col: str,
                   target_base: str, checkpoint: str, files_per_batch: int = 1) -> None:
     """Run the stream over all files present now (``availableNow``) and stop."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
