@@ -20,6 +20,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _PID = "__slice"
+# A numbering task may hold this many rows: below it, a global numbering runs
+# as one sorted task and a grouped one as a plain window; the count that
+# proves the bound is one cheap pass.
+SINGLE_TASK_ROWS = 1_000_000
 
 
 def _parts(df: DataFrame, partitions: int | None) -> int:
@@ -33,7 +37,9 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
     """Add ``name`` = 1-based position of each row in its group by ``order_cols``.
 
     Equivalent to ``row_number() over (partition by group order by order)``
-    but no task ever holds more than one range partition of rows."""
+    but no task ever holds more than one range partition of rows.  When the
+    largest group is checked to hold at most ``SINGLE_TASK_ROWS`` rows, the
+    plain per-group window is used (bounded by that check)."""
     group_cols = list(group_cols or [])
     gnames = [c if isinstance(c, str) else None for c in group_cols]
     if None in gnames:
@@ -42,6 +48,12 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
     n = _parts(df, partitions)
     if not gnames:
         return _global_ordinal(df, order_cols, name, n)
+    largest = df.groupBy(*gnames).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0
+    if largest <= SINGLE_TASK_ROWS:
+        # every group is proven small: a per-group window holds at most that
+        # many rows in a task, whatever the skew between groups
+        w = Window.partitionBy(*gnames).orderBy(*order_cols)
+        return df.withColumn(name, F.row_number().over(w).cast("bigint")).checkpoint(eager=True)
     # Range bounds are sampled per exchange (the seed follows the shuffle
     # id), so the sliced rows are written once to the shared checkpoint
     # folder: both branches below then see the same slices, and a lost
@@ -61,11 +73,6 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
         eager=True)
 
 
-# Below this many rows a global numbering runs as one sorted task; the
-# count that proves the bound is one cheap pass.
-SINGLE_TASK_ROWS = 1_000_000
-
-
 def _global_ordinal(df: DataFrame, order_cols: list, name: str, n: int) -> DataFrame:
     """Global position: range slices sorted in place, position inside a slice
     from ``monotonically_increasing_id`` (slice index in the upper bits), plus

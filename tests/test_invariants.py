@@ -30,14 +30,19 @@ def test_allocation_equal_split_on_zero_weight(spark):
     assert [float(r["allocated_amt"]) for r in out] == [0.33, 0.33, 0.34]
 
 
-def test_ordinal_matches_row_number_with_a_hot_key(spark):
-    # one key holds a third of the rows
+def test_ordinal_matches_row_number_with_a_hot_key(spark, monkeypatch):
+    # one key holds a third of the rows; force the range-slice path (the
+    # bounded-window shortcut would otherwise take this small input)
+    monkeypatch.setattr(keys, "SINGLE_TASK_ROWS", 100)
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("g"),
         F.col("id").alias("v"))
     got = keys.ordinal(df, [F.col("v")], ["g"], "rn", partitions=8)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v")).cast("bigint"))
     assert got.exceptAll(want).count() == 0 and got.count() == 3000
+    monkeypatch.setattr(keys, "SINGLE_TASK_ROWS", 1_000_000)  # and the bounded-window path
+    again = keys.ordinal(df, [F.col("v")], ["g"], "rn", partitions=8)
+    assert again.exceptAll(want).count() == 0 and again.count() == 3000
 
 
 def test_exact_quantiles_match_numpy(spark):
