@@ -43,3 +43,14 @@ def test_strict_layout_rejects_unrouted_rows(spark):
         raise AssertionError("expected a failure")
     except ValueError:
         pass
+
+
+def test_flagship_plan_pushes_rules_and_pre_aggregates(tables):
+    from lakeline.operators import gold
+    plan = _plan(gold.revenue_by_zone_month(reports.enriched(tables)))
+    # quality rules reach the lineitem scan, only used columns are read
+    assert "(l_quantity" in plan and "DataFilters: [isnotnull(l_quantity" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_quantity:double" in plan
+    # map-side partial aggregation before the one grouping shuffle
+    assert "partial_sum(total_amount" in plan
+    assert plan.count("BroadcastHashJoin") >= 2
