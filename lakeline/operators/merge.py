@@ -102,3 +102,22 @@ def incremental_load(table_path: str | None, source: DataFrame, ts_col: str, par
     else:
         fresh = build(source.filter(F.col(ts_col) >= F.lit(last).cast("timestamp_ntz")))
     return merge_partitions(table_path, fresh, keys, part_col)
+
+
+def upsert_into(table_path: str | None, batch: DataFrame, keys: list[str], order: list[str],
+                stamp: Column | None = None, buckets: int = 64,
+                stamp_col: str = "ingested_at_utc", bucket_col: str = "key_bucket") -> str | None:
+    """Upsert a batch into a table stored by hash bucket of the key.
+
+    Only the buckets holding the batch's keys are read and rewritten
+    (staged, dynamic partition overwrite), so a batch costs its touched
+    buckets, not the whole table.  Re-running the same batch gives the
+    same table, so a retried load converges.  Returns the table path."""
+    stamp = F.current_timestamp().cast("timestamp_ntz") if stamp is None else stamp
+    if batch.isEmpty():
+        return table_path
+    fresh = (latest_per_key(batch, keys, order).withColumn(stamp_col, stamp)
+             .withColumn(bucket_col, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")))
+    if table_path is None:
+        return write_version(fresh, "raw-table", [bucket_col])
+    return merge_partitions(table_path, fresh, keys, bucket_col)

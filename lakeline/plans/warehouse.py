@@ -231,14 +231,14 @@ def _window(events, w):
 def upserted_events(t):
     """Two extract batches with overlapping windows, upserted by id."""
     ev = t.events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-    target = None
+    path = None
     for w in (W1, W2):
         batch = merge.envelope(_window(ev, w), "event_id", w[0], w[1])
-        target = merge.upsert(target, batch, ["id"], ["extract_window_end_utc", "payload"],
-                              stamp=F.lit(w[1]).cast("timestamp_ntz"))
-        # each load is a written table version; the next load reads it back
-        target = t.spark.read.parquet(merge.write_version(target, "raw-events"))
-    return target
+        # the raw table is stored by key bucket; each load rewrites only the
+        # buckets its ids fall in
+        path = merge.upsert_into(path, batch, ["id"], ["extract_window_end_utc", "payload"],
+                                 stamp=F.lit(w[1]).cast("timestamp_ntz"))
+    return t.spark.read.parquet(path).drop("key_bucket")
 
 
 @query("upsert_raw", f"""

@@ -145,3 +145,15 @@ def test_global_ordinal_distributed_path_matches_row_number(spark, monkeypatch):
     assert got.exceptAll(want).count() == 0 and got.count() == 5000
     q = keys.quantile_map(df, ["v"], [0.5])
     assert q[("v", 0.5)] == float(np.quantile(np.array([(i * 7919) % 5003 for i in range(5000)]), 0.5))
+
+
+def test_upsert_into_updates_touched_buckets_and_repeats_cleanly(spark):
+    schema = "id string, payload string, w int"
+    b1 = spark.createDataFrame([(str(i), f"p{i}", 1) for i in range(200)], schema)
+    path = merge.upsert_into(None, b1, ["id"], ["w", "payload"], stamp=F.lit(1), buckets=16)
+    b2 = spark.createDataFrame([("5", "new", 2), ("999", "x", 2), ("5", "older", 1)], schema)
+    path = merge.upsert_into(path, b2, ["id"], ["w", "payload"], stamp=F.lit(2), buckets=16)
+    path = merge.upsert_into(path, b2, ["id"], ["w", "payload"], stamp=F.lit(2), buckets=16)  # a retry
+    rows = {r["id"]: r["payload"] for r in spark.read.parquet(path).collect()}
+    assert len(rows) == 201 and rows["5"] == "new" and rows["999"] == "x" and rows["6"] == "p6"
+    assert spark.read.parquet(path).count() == 201
