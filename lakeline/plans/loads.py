@@ -156,6 +156,6 @@ def q_stream_ingest(t):
     target = scratch_path(spark, "raw-stream")
     ingest.upsert_stream(spark, landing, EVENT_SCHEMA, "event_id", "ts", target,
                          scratch_path(spark, "stream-ckpt"), files_per_batch=1)
-    env = spark.read.parquet(ingest.current_version(spark, target))
+    env = spark.read.parquet(target)
     parsed = env.withColumn("p", F.from_json("payload", EVENT_SCHEMA, merge.JSON_OPTIONS))
     return parsed.select("id", "p.ts", "p.user_id", "p.event_type", "p.value", "p.props")

@@ -2,10 +2,10 @@
 
 A single-process loader reads a file and appends it in chunks; here new
 files arriving in a folder are the chunks.  Each micro-batch is wrapped in
-the raw envelope and upserted by id into the target.  Every batch writes a
-new table version named after its epoch id, so a retried batch rewrites the
-same version (idempotent) and the checkpoint makes the whole run
-exactly-once and restartable after a lost executor or driver.
+the raw envelope and upserted by id into the target, rewriting only the key
+buckets it touches.  Re-applying a batch gives the same table, so a batch
+retried after a failure is harmless, and the stream checkpoint makes the
+run restartable after a lost executor or driver.
 """
 
 from __future__ import annotations
@@ -17,28 +17,22 @@ from pyspark.sql import types as T
 from lakeline.operators import merge
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def _exists(spark: SparkSession, path: str) -> bool:
+    """The target folder exists.  (A dynamic partition overwrite leaves no
+    ``_SUCCESS`` marker at the root; a partly written first batch is fine,
+    since re-applying a batch replaces its keys in full.)"""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("epoch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
-def current_version(spark: SparkSession, base: str, before: int | None = None) -> str | None:
-    vs = [v for v in _versions(spark, base) if before is None or v < before]
-    return f"{base.rstrip('/')}/epoch={vs[-1]}" if vs else None
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str, id_col: str, ts_col: str,
-                  target_base: str, checkpoint: str, files_per_batch: int = 1) -> None:
-    """Run the stream over all files present now (``availableNow``) and stop."""
+                  target: str, checkpoint: str, files_per_batch: int = 1, buckets: int = 64) -> None:
+    """Run the stream over all files present now (``availableNow``) and stop.
+
+    The target is stored by hash bucket of the id; each micro-batch rewrites
+    only the buckets its ids fall in.  A batch retried after a failure is
+    applied again and gives the same table."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .option("recursiveFileLookup", True).parquet(source_dir))
 
@@ -47,11 +41,15 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType | s
             return
         bounds = batch.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
         env = merge.envelope(batch, id_col, bounds["lo"], bounds["hi"])
-        prev_path = current_version(spark, target_base, before=epoch_id)
-        prev = spark.read.parquet(prev_path) if prev_path else None
-        out = merge.upsert(prev, env, ["id"], ["extract_window_end_utc", "payload"],
-                           stamp=F.lit(bounds["hi"]).cast("timestamp_ntz"))
-        out.write.mode("overwrite").parquet(f"{target_base.rstrip('/')}/epoch={epoch_id}")
+        stamp = F.lit(bounds["hi"]).cast("timestamp_ntz")
+        order = ["extract_window_end_utc", "payload"]
+        if _exists(spark, target):
+            fresh = (merge.latest_per_key(env, ["id"], order).withColumn("ingested_at_utc", stamp)
+                     .withColumn("key_bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")))
+            merge.merge_partitions(target, fresh, ["id"], "key_bucket")
+        else:
+            first = merge.upsert_into(None, env, ["id"], order, stamp=stamp, buckets=buckets)
+            spark.read.parquet(first).write.mode("overwrite").partitionBy("key_bucket").parquet(target)
 
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
