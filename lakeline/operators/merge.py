@@ -58,9 +58,19 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str], order: l
     return kept.unionByName(fresh)
 
 
-def write_version(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+def _spread(df: DataFrame, part_col: str, keys: list[str]) -> DataFrame:
+    """Contiguous runs of partition values per task (few files per folder);
+    the keys still split a large partition value over several tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, part_col, *keys)
+
+
+def write_version(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                  keys: list[str] | None = None) -> str:
     """Write a new table version under the shared folder and return its path."""
     path = scratch_path(df.sparkSession, name)
+    if partition_by and keys:
+        df = _spread(df, partition_by[0], keys)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -77,7 +87,7 @@ def merge_partitions(table_path: str, fresh: DataFrame, keys: list[str], part_co
     touched = fresh.select(part_col).distinct()
     old = spark.read.parquet(table_path).join(touched, part_col, "left_semi")
     merged = old.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
-    stage = write_version(merged, "merge-stage", [part_col])
+    stage = write_version(merged, "merge-stage", [part_col], keys)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
@@ -95,7 +105,7 @@ def incremental_load(table_path: str | None, source: DataFrame, ts_col: str, par
     loaded day (``max(part_col)`` of the table) and merge on ``keys``."""
     spark = source.sparkSession
     if table_path is None:
-        return write_version(build(source), "incremental", [part_col])
+        return write_version(build(source), "incremental", [part_col], keys)
     last = spark.read.parquet(table_path).agg(F.max(part_col)).first()[0]
     if last is None:
         fresh = build(source)
@@ -119,5 +129,5 @@ def upsert_into(table_path: str | None, batch: DataFrame, keys: list[str], order
     fresh = (latest_per_key(batch, keys, order).withColumn(stamp_col, stamp)
              .withColumn(bucket_col, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")))
     if table_path is None:
-        return write_version(fresh, "raw-table", [bucket_col])
+        return write_version(fresh, "raw-table", [bucket_col], keys)
     return merge_partitions(table_path, fresh, keys, bucket_col)
