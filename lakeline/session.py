@@ -9,6 +9,8 @@ only when the session has none, which is the case in tests.
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -50,6 +52,28 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     shared_dir(spark)
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lakeline`` importable in the Python workers, once per application.
+
+    Pandas functions (forest build and scoring) are pickled by reference, so
+    executors import this package; it is zipped on the driver and handed to
+    ``addPyFile``, which serves it to every executor (as ``--py-files`` would)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import lakeline
+
+    pkg_dir = os.path.dirname(os.path.abspath(lakeline.__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="lakeline-pkg-"), "lakeline")
+    archive = shutil.make_archive(out, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="lakeline")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
