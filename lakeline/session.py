@@ -32,10 +32,18 @@ BASE_CONF = {
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "lakeline", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "lakeline", extra: dict | None = None,
+                  max_partition_bytes: int | None = None) -> SparkSession:
+    """Session with our settings.
+
+    Sizing at scale: ``shuffle_partitions`` ~ 2-3x the total executor cores
+    (AQE coalesces small ones); ``max_partition_bytes`` sets the input split
+    (128 MB default), so each scan task fits in executor memory."""
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if max_partition_bytes:
+        conf["spark.sql.files.maxPartitionBytes"] = str(max_partition_bytes)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
