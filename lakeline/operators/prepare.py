@@ -51,9 +51,20 @@ def fit_mode(df: DataFrame, columns: list[str]) -> Fill:
 
 # --- encoding -----------------------------------------------------------
 
-def categories(df: DataFrame, column: str) -> list:
-    """Sorted distinct non-null values (category-sized, collected)."""
-    return [r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
+MAX_CATEGORIES = 10_000
+
+
+def categories(df: DataFrame, column: str, max_categories: int = MAX_CATEGORIES) -> list:
+    """Sorted distinct non-null values, collected only below a checked bound.
+
+    Encoders need the category list on the driver; a column with more
+    distinct values than ``max_categories`` (an id, free text) is refused
+    instead of being pulled whole into the driver."""
+    vals = (df.select(column).filter(F.col(column).isNotNull()).distinct()
+            .orderBy(column).limit(max_categories + 1).collect())
+    if len(vals) > max_categories:
+        raise ValueError(f"{column} has more than {max_categories} categories; not an encodable category")
+    return [r[0] for r in vals]
 
 
 @dataclass

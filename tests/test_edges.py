@@ -56,3 +56,14 @@ def test_schema_contract_reports_type_and_missing_columns(spark):
     assert checks.schema_contract(df, want) == ["type order_id: int != bigint", "missing total_amount"]
     assert checks.schema_contract(df.withColumn("order_id", F.col("order_id").cast("bigint")),
                                   T.StructType(want.fields[:2]), check_nullability=True) == ["nullable order_id"]
+
+
+def test_encoder_refuses_unbounded_categories(spark):
+    from lakeline.operators import prepare
+    df = spark.range(0, 50).select(F.col("id").cast("string").alias("c"))
+    assert len(prepare.categories(df, "c", max_categories=50)) == 50
+    try:
+        prepare.categories(df, "c", max_categories=10)
+        raise AssertionError("expected a refusal")
+    except ValueError:
+        pass
