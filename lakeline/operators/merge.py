@@ -122,7 +122,11 @@ def upsert_into(table_path: str | None, batch: DataFrame, keys: list[str], order
     Only the buckets holding the batch's keys are read and rewritten
     (staged, dynamic partition overwrite), so a batch costs its touched
     buckets, not the whole table.  Re-running the same batch gives the
-    same table, so a retried load converges.  Returns the table path."""
+    same table, so a retried load converges.  Returns the table path.
+
+    Size ``buckets`` so one bucket is about a gigabyte (64 suits the test
+    tables; a 100 TB raw table wants ~100k).  The count is part of the
+    table's layout: keep it fixed for the table's life."""
     stamp = F.current_timestamp().cast("timestamp_ntz") if stamp is None else stamp
     if batch.isEmpty():
         return table_path

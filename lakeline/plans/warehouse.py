@@ -221,6 +221,7 @@ from lakeline.operators import merge  # noqa: E402
 W1 = ("2024-01-01 00:00:00", "2024-01-16 13:17:00")
 W2 = ("2024-01-12 06:30:00", "2024-02-01 00:00:00")
 INCR_CUT = "2024-01-16 13:17:00"
+RAW_BUCKETS = 64  # key buckets of the raw table: ~1 GB each is the target at scale
 
 
 def _window(events, w):
@@ -237,7 +238,7 @@ def upserted_events(t):
         # the raw table is stored by key bucket; each load rewrites only the
         # buckets its ids fall in
         path = merge.upsert_into(path, batch, ["id"], ["extract_window_end_utc", "payload"],
-                                 stamp=F.lit(w[1]).cast("timestamp_ntz"))
+                                 stamp=F.lit(w[1]).cast("timestamp_ntz"), buckets=RAW_BUCKETS)
     return t.spark.read.parquet(path).drop("key_bucket")
 
 

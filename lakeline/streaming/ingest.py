@@ -32,7 +32,8 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType | s
 
     The target is stored by hash bucket of the id; each micro-batch rewrites
     only the buckets its ids fall in.  A batch retried after a failure is
-    applied again and gives the same table."""
+    applied again and gives the same table.  ``buckets`` is part of the
+    target's layout (about a gigabyte per bucket at scale)."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .option("recursiveFileLookup", True).parquet(source_dir))
 
