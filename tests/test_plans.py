@@ -54,3 +54,16 @@ def test_flagship_plan_pushes_rules_and_pre_aggregates(tables):
     # map-side partial aggregation before the one grouping shuffle
     assert "partial_sum(total_amount" in plan
     assert plan.count("BroadcastHashJoin") >= 2
+
+
+def test_month_file_set_read_prunes_folders(spark, tables):
+    from lakeline.sources import files
+    base = files.write_monthly(tables.orders, "o_orderdate", scratch_path(spark, "orders-monthly-test"))
+    plan = _plan(files.read_month(spark, base, 1996, 3))
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan and "(month" in plan
+
+
+def test_spread_floor_on_single_file_table(spark, tables):
+    want = spark.sparkContext.defaultParallelism
+    assert tables.read("lineitem").rdd.getNumPartitions() < want
+    assert tables.spread("lineitem").rdd.getNumPartitions() >= want
