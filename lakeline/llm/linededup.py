@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 from lakeline.llm.common import written
 
 WINDOW = 3
+BLANK = r"[ \t\x0B\f\r]+$"
 
 
 def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
     """(id, mark, first, last, h1, h2): one row for each window; ``mark``: hash
     of the text; ``first`` / ``last``: line positions from 0."""
     text = F.col(text_col).cast("string")
-    lines = F.filter(F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("at"), F.rtrim(F.regexp_replace(x, r"\s+$", "")).alias("line"))),
+    lines = F.filter(F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("at"), F.regexp_replace(x, BLANK, "").alias("line"))),
                      lambda x: F.length(x["line"]) > 0)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), lines.alias("lines")).where(F.size("lines") >= size)
     at = F.sequence(F.lit(1), F.size("lines") - (size - 1))

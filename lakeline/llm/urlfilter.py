@@ -9,7 +9,8 @@ statistics of suffixes - and judge the urls without a rule.
 Suffix statistics: for the last one and two host labels, the first path
 segment and the file suffix, the number of labelled urls and the smoothed
 share of blocked ones, over all labelled urls, in 2**BUCKET_BITS hash buckets
-each.  A training row's own label is taken out of its statistics.
+each, drawn toward the overall share by a prior (taking a row's own label out
+would give the label away by the gap it leaves).
 
 Defined results: a null url or one without ``://`` has an empty host and path,
 no rule, and the method's verdict.  With no labelled url the method allows;
@@ -37,7 +38,7 @@ from lakeline.llm.common import written
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 TRAIN_ROWS = 20_000
 BUCKET_BITS = 12
-PRIOR = 4.0     # weight of the overall share in a suffix's share
+PRIOR = 20.0    # weight of the overall share in a suffix's share
 TREES, DEPTH, SEED = 20, 4, 11
 
 SUFFIXES = ("tld", "domain", "segment", "file")
@@ -104,13 +105,11 @@ def lexical(rows: DataFrame) -> DataFrame:
     return rows.withColumns({f"k_{k}": F.xxhash64(F.lit(k), v).bitwiseAND((1 << BUCKET_BITS) - 1).cast("int") for k, v in suffix.items()})
 
 
-def with_statistics(rows: DataFrame, labelled: DataFrame, share: float, own: Column) -> DataFrame:
-    """Count and smoothed blocked share of each suffix; ``own``: 0/1 label to
-    take out of a row's own statistics, null for none."""
+def with_statistics(rows: DataFrame, labelled: DataFrame, share: float) -> DataFrame:
+    """Count and smoothed blocked share of each suffix."""
     for k in SUFFIXES:
         stat = written(labelled.groupBy(f"k_{k}").agg(F.count("*").alias(f"n_{k}"), F.sum("label").alias(f"b_{k}")), "suffix")
-        n = F.coalesce(F.col(f"n_{k}"), F.lit(0)) - own.isNotNull().cast("int")
-        b = F.coalesce(F.col(f"b_{k}"), F.lit(0.0)) - F.coalesce(own, F.lit(0.0))
+        n, b = F.coalesce(F.col(f"n_{k}"), F.lit(0)), F.coalesce(F.col(f"b_{k}"), F.lit(0.0))
         rows = rows.join(F.broadcast(stat), f"k_{k}", "left").withColumns({f"count_{k}": F.log1p(n.cast("double")), f"share_{k}": (b + PRIOR * share) / (n + PRIOR)}) \
             .drop(f"n_{k}", f"b_{k}")
     return rows
@@ -123,7 +122,7 @@ def train(labelled: DataFrame, share: float, most: int = TRAIN_ROWS, trees: int
     """Trees fitted on the ``most`` labelled urls of least hash."""
     h = F.xxhash64("_url")
     sample = labelled.orderBy(h, "_url", "label").limit(most)
-    ready = with_statistics(sample, labelled, share, F.col("label"))
+    ready = with_statistics(sample, labelled, share)
     ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(ready)
     ready = written(ready.select("label", "features", h.alias("h"), "_url").coalesce(1).sortWithinPartitions("h", "_url", "label").select("label", "features"), "train")
     return GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, seed=SEED).fit(ready.coalesce(1))
@@ -136,7 +135,7 @@ def scored(rows: DataFrame, labelled: DataFrame, most: int = TRAIN_ROWS) -> Data
         return rows.withColumn("guess", F.lit("block" if 1.0 in kinds else "allow"))
     share = kinds[1.0] / sum(kinds.values())
     model = train(labelled, share, most)
-    ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_statistics(rows, labelled, share, F.lit(None).cast("double")))
+    ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_statistics(rows, labelled, share))
     return model.transform(ready).withColumn("guess", F.when(F.col("prediction") > 0.5, "block").otherwise("allow"))
 
 
