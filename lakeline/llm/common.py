@@ -43,6 +43,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """Mark a join side that grows with the data: the join is a sort-merge one
+    at every size (never a broadcast), and AQE may split its hot keys."""
+    return df.hint("merge")
+
+
 def tasks(spark: SparkSession, at_least: int = 1) -> int:
     """Shuffle width of this session."""
     return max(at_least, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.common import written
+from lakeline.llm.common import growing, written
 
 WINDOW = 3
 BLANK = r"[ \t\x0B\f\r]+$"
@@ -48,7 +48,7 @@ def repeats(windows: DataFrame) -> DataFrame:
     place = F.struct(F.col("id"), F.col("mark"), F.col("first"))
     # Rows equal in id and text are the same place; they make no repeat.
     known = windows.groupBy("h1", "h2").agg(F.min(place).alias("least"), F.max(place).alias("most")).where(~F.col("least").eqNullSafe(F.col("most")))
-    later = windows.join(written(known.select("h1", "h2", "least"), "known"), ["h1", "h2"]).where(~place.eqNullSafe(F.col("least")))
+    later = windows.join(growing(written(known.select("h1", "h2", "least"), "known")), ["h1", "h2"]).where(~place.eqNullSafe(F.col("least")))
     return later.groupBy("id", "mark").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans"))
 
 
@@ -63,7 +63,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stop = F.concat(F.transform("spans", lambda s: s["first"]), F.array(n))
     kept = F.flatten(F.transform(F.arrays_zip(start.alias("a"), stop.alias("b")),
                                  lambda r: F.when(r["b"] > r["a"], F.slice(lines, r["a"] + 1, r["b"] - r["a"])).otherwise(F.array().cast("array<string>"))))
-    joined = rows.join(found, F.col("_id").eqNullSafe(found["id"]) & (F.col("_mark") == found["mark"]), "left")
+    joined = rows.join(growing(found), F.col("_id").eqNullSafe(found["id"]) & (F.col("_mark") == found["mark"]), "left")
     clean = joined.select(F.col("_id"), F.col("_text"), n.alias("_n"), F.when(F.col("spans").isNotNull(), kept).alias("_kept"))
     return clean.select(F.col("_id").alias(id_col), F.when(F.col("_kept").isNull(), F.col("_text")).otherwise(F.array_join("_kept", "\n")).alias(text_col),
                         F.col("_n").cast("long").alias("n_lines"), F.when(F.col("_kept").isNull(), 0).otherwise(F.col("_n") - F.size("_kept")).cast("long").alias("n_removed"))
