@@ -66,6 +66,12 @@ def net_amount(amount, flag, factor: str = fixed.DISCOUNT_FACTOR) -> Column:
     return F.when(col(flag) == 1, col(amount) * F.lit(Decimal(factor))).otherwise(col(amount))
 
 
+def present(c) -> Column:
+    """A number as double, with NaN read as missing (NULL)."""
+    x = col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def year_month(ts) -> Column:
     return F.date_format(col(ts), fixed.MONTH_FORMAT)
 

@@ -64,11 +64,12 @@ def run_tests(df: DataFrame, tests: list) -> DataFrame:
             col_aggs.append(F.count_if(F.col(t.column).isNotNull() & ~F.col(t.column).isin(t.values)).alias(t.name))
         elif isinstance(t, Relationship):
             orphans = df.select(t.column).filter(F.col(t.column).isNotNull()).join(
-                t.to.select(F.col(t.field).alias(t.column)).distinct(), t.column, "left_anti")
+                t.to.select(F.col(t.field).alias(t.column)), t.column, "left_anti")
             parts.append(orphans.agg(F.count(F.lit(1)).alias("failures")).select(
                 F.lit(t.name).alias("test"), "failures"))
         elif isinstance(t, Unique):
-            dup = df.groupBy(*t.columns).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+            # A key with a NULL part is no duplicate, as in a SQL unique rule.
+            dup = df.dropna(subset=list(t.columns)).groupBy(*t.columns).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
             parts.append(dup.agg(F.count(F.lit(1)).alias("failures")).select(
                 F.lit(t.name).alias("test"), "failures"))
         else:

@@ -119,10 +119,10 @@ def fit(df: DataFrame, key: str, features: list[str], n_trees: int = fixed.FORES
     psi = min(sample_size, n)
     p = min(1.0, oversample * psi / max(n, 1))
     limit = int(math.ceil(math.log2(max(psi, 2))))
-    u = lambda t: (F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    u = lambda t: (F.shiftrightunsigned(F.xxhash64(F.col(key), t, F.lit(seed)), 1) / F.lit(float(1 << 63)))
     trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) < F.lit(p))
     cand = (df.select(key, *features, F.explode(trees).alias("tree"))
-            .withColumn("u", u(F.col("tree"))))
+            .withColumn("u", F.shiftrightunsigned(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)), 1)))
     # each tree group holds ~oversample * psi rows: bounded
     pick = cand.withColumn("r", F.row_number().over(Window.partitionBy("tree").orderBy("u", key))).filter(
         F.col("r") <= psi).drop("r", "u")
@@ -147,3 +147,14 @@ def flag(scored: DataFrame, score: str = "score", contamination: float | None =
         from lakeline.operators.keys import exact_quantiles
         cut = exact_quantiles(scored, [score], [1.0 - contamination]).first()["value"]
     return scored.withColumn("is_outlier", F.col(score) > F.lit(cut))
+
+
+def outlier_share(flagged: DataFrame) -> DataFrame:
+    """rows, outliers and their share."""
+    g = flagged.agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_outlier").alias("outliers"))
+    return g.withColumn("share", F.col("outliers") / F.col("rows"))
+
+
+def inliers(flagged: DataFrame) -> DataFrame:
+    """The rows that are no outliers, without the flag."""
+    return flagged.filter(~F.col("is_outlier")).drop("is_outlier")

@@ -1,24 +1,11 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helpers.  Broadcasting is left to the planner and AQE, which go by size in bytes."""
+
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension above this many rows is left to the planner (sort-merge
-# join, turned into a broadcast by AQE only if the runtime size allows).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The count is one cheap pass over a (projected) dimension; on a bare
-    Parquet scan it is answered from file footers.  Beyond the bound the
-    frame is returned untouched and Spark shuffles both sides."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
 
 def role_copy(dim: DataFrame, prefix: str, mapping: dict[str, str]) -> DataFrame:
     """One role of a role-playing dimension: select + alias with a prefix."""

@@ -16,14 +16,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _PID = "__slice"
-# A numbering task may hold this many rows: below it, a global numbering runs
-# as one sorted task and a grouped one as a plain window; the count that
-# proves the bound is one cheap pass.
-SINGLE_TASK_ROWS = 1_000_000
 
 
 def _parts(df: DataFrame, partitions: int | None) -> int:
@@ -37,9 +33,7 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
     """Add ``name`` = 1-based position of each row in its group by ``order_cols``.
 
     Equivalent to ``row_number() over (partition by group order by order)``
-    but no task ever holds more than one range partition of rows.  When the
-    largest group is checked to hold at most ``SINGLE_TASK_ROWS`` rows, the
-    plain per-group window is used (bounded by that check)."""
+    but no task ever holds more than one range partition of rows."""
     group_cols = list(group_cols or [])
     gnames = [c if isinstance(c, str) else None for c in group_cols]
     if None in gnames:
@@ -48,12 +42,6 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
     n = _parts(df, partitions)
     if not gnames:
         return _global_ordinal(df, order_cols, name, n)
-    largest = df.groupBy(*gnames).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0
-    if largest <= SINGLE_TASK_ROWS:
-        # every group is proven small: a per-group window holds at most that
-        # many rows in a task, whatever the skew between groups
-        w = Window.partitionBy(*gnames).orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint")).checkpoint(eager=True)
     # Range bounds are sampled per exchange (the seed follows the shuffle
     # id), so the sliced rows are written once to the shared checkpoint
     # folder: both branches below then see the same slices, and a lost
@@ -76,14 +64,7 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
 def _global_ordinal(df: DataFrame, order_cols: list, name: str, n: int) -> DataFrame:
     """Global position: range slices sorted in place, position inside a slice
     from ``monotonically_increasing_id`` (slice index in the upper bits), plus
-    the row count of earlier slices (one row per slice, broadcast).
-
-    An input proven to hold at most ``SINGLE_TASK_ROWS`` rows (a dimension's
-    distinct keys, say) is numbered by one window instead: bounded, and it
-    saves the sampling and checkpoint jobs."""
-    if df.limit(SINGLE_TASK_ROWS + 1).count() <= SINGLE_TASK_ROWS:
-        w = Window.orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    the row count of earlier slices (one row per slice, broadcast)."""
     sliced = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("__mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
@@ -99,56 +80,47 @@ def _global_ordinal(df: DataFrame, order_cols: list, name: str, n: int) -> DataF
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (as ``percentile`` /
-    ``quantile_cont``) for several columns in one distributed sort.
+    ``quantile_cont``) for several columns.
 
     Returns one row per (column, p): ``column, p, value``.  NULL and NaN are
-    ignored.  No value map is held in memory: the columns are unpivoted,
-    numbered in one global sort over (column, value) by :func:`ordinal`, and
-    only the 2 ranks around each requested position are kept."""
+    ignored.  Rows are first counted per (column, value), combined map-side,
+    so a value that most rows share is one row.  The distinct values are cut
+    into range slices; slice totals (at most slices x columns, on the driver)
+    say which slices hold the wanted ranks, and only those are counted
+    through."""
+    spark = df.sparkSession
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("s")).select("s.column", "s.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = {r["column"]: r["n"] for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # one global order over (column, value): a column's ranks start after the
-    # rows of the columns sorting before it (|cols| numbers, kept on the driver)
-    start, offsets = 0, {}
-    for c in sorted(counts):
-        offsets[c] = start
-        start += counts[c]
-    numbered = ordinal(long, [F.col("column"), F.col("v")], None, "g", partitions)
-    off = F.create_map(*[x for c, o in offsets.items() for x in (F.lit(c), F.lit(o))])
-    numbered = numbered.withColumn("rn", F.col("g") - F.element_at(off, F.col("column")))
-    spark = df.sparkSession
-    rows = []
-    for c, n in counts.items():
+    values = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("m"))
+    sliced = values.repartitionByRange(_parts(df, partitions), "column", "v") \
+        .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+    totals = sorted(tuple(r) for r in sliced.groupBy("column", _PID).agg(F.sum("m")).collect())
+    n: dict = {}
+    for c, _, m in totals:
+        n[c] = n.get(c, 0) + m
+    wanted = []  # (column, p, share of the upper value, is upper, slice, rank inside it)
+    for c, size in n.items():
         for p in probs:
-            h = (n - 1) * float(p)
-            lo, hi = int(math.floor(h)) + 1, int(math.ceil(h)) + 1
-            rows += [(c, float(p), h, lo, hi, r) for r in sorted({lo, hi})]
-    # |cols| x |probs| x 2 rows: bounded by construction
-    need = F.broadcast(spark.createDataFrame(
-        rows, "column string, p double, h double, lo bigint, hi bigint, rn bigint"))
-    picks = numbered.join(need, ["column", "rn"])
-    g = picks.groupBy("column", "p", "h", "lo").agg(
-        F.max(F.when(F.col("rn") == F.col("lo"), F.col("v"))).alias("vlo"),
-        F.max(F.when(F.col("rn") == F.col("hi"), F.col("v"))).alias("vhi"),
-    )
-    frac = F.col("h") - (F.col("lo") - 1)
-    return g.select("column", "p", (F.col("vlo") + frac * (F.col("vhi") - F.col("vlo"))).alias("value"))
+            h = (size - 1) * float(p)
+            for upper, rank in ((False, math.floor(h) + 1), (True, math.ceil(h) + 1)):
+                before = 0
+                for pid, m in ((pid, m) for cc, pid, m in totals if cc == c):
+                    if before < rank <= before + m:
+                        wanted.append((c, float(p), h - math.floor(h), upper, pid, rank - before))
+                    before += m
+    need = spark.createDataFrame(wanted, f"column string, p double, part double, upper boolean, {_PID} int, rank bigint")
+    run = Window.partitionBy(_PID, "column").orderBy("v")
+    used = sorted({w[4] for w in wanted})
+    passed = sliced.filter(F.col(_PID).isin(used)).withColumn("upto", F.sum("m").over(run))
+    picks = passed.join(F.broadcast(need), [_PID, "column"]).filter(  # |cols| x |probs| x 2 rows
+        (F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("m")))
+    g = picks.groupBy("column", "p", "part").agg(
+        F.max(F.when(~F.col("upper"), F.col("v"))).alias("vlo"), F.max(F.when(F.col("upper"), F.col("v"))).alias("vhi"))
+    return g.select("column", "p", (F.col("vlo") + F.col("part") * (F.col("vhi") - F.col("vlo"))).alias("value"))
 
 
 def quantile_map(df: DataFrame, cols: list[str], probs: list[float]) -> dict:
     """Driver-side {(column, p): value}; size is |cols| x |probs|."""
     return {(r["column"], r["p"]): r["value"] for r in exact_quantiles(df, cols, probs).collect()}
 
-
-def wide_quantiles(df: DataFrame, cols: list[str], probs: list[float], names: dict | None = None) -> DataFrame:
-    """One row, a column per (column, p): ``{column}_{name}``."""
-    q = exact_quantiles(df, cols, probs)
-    names = names or {p: f"p{int(round(p * 100))}" for p in probs}
-    aggs: list[Column] = []
-    for c in cols:
-        for p in probs:
-            aggs.append(F.max(F.when((F.col("column") == c) & (F.col("p") == float(p)), F.col("value")))
-                        .alias(f"{c}_{names[p]}"))
-    return q.agg(*aggs)

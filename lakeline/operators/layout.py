@@ -52,13 +52,24 @@ def with_partition(df: DataFrame, part_col: str, route: Column) -> DataFrame:
     return df.withColumn(part_col, route)
 
 
-def write_layout(df: DataFrame, part_col: str, path: str, strict: bool = False,
+def month_span(df: DataFrame, col: str) -> list[tuple[str, str, str]]:
+    """Monthly bounds from the first to the last month of the data (two scalars)."""
+    lo, hi = df.agg(F.date_format(F.min(col), "yyyy-MM"), F.date_format(F.max(col), "yyyy-MM")).first()
+    return month_bounds(lo, hi) if lo else []
+
+
+def list_values(df: DataFrame, col: str) -> list[str]:
+    """Distinct values of a list-partitioned column: one for each partition folder."""
+    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+
+
+def write_layout(df: DataFrame, part_col: str, path: str, strict: bool = True,
                  spread: list[str] | None = None, tasks: int | None = None) -> str:
     """Write routed rows partitioned by ``part_col``.
 
-    ``strict``: fail if any row is unrouted (declarative partitions, no
-    default).  Otherwise unrouted rows are written nowhere and reported by
-    :func:`unrouted_count`.
+    ``strict``: fail if any row is unrouted, as declarative partitions
+    without a default do.  Otherwise such rows go to the default partition
+    ``UNROUTED``; none is dropped.
 
     ``spread``: range-partition on (part_col, *spread) before writing, so each
     task holds a contiguous run of partition values (few files per folder
@@ -68,7 +79,7 @@ def write_layout(df: DataFrame, part_col: str, path: str, strict: bool = False,
         bad = df.filter(F.col(part_col).isNull()).limit(1).count()
         if bad:
             raise ValueError(f"rows outside every declared partition of {part_col}")
-    out = df.filter(F.col(part_col).isNotNull())
+    out = df if strict else df.withColumn(part_col, F.coalesce(F.col(part_col).cast("string"), F.lit(UNROUTED)))
     if spread:
         n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         out = out.repartitionByRange(n, part_col, *spread)

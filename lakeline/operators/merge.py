@@ -84,16 +84,14 @@ def merge_partitions(table_path: str, fresh: DataFrame, keys: list[str], part_co
     spark = fresh.sparkSession
     fresh_path = write_version(fresh, "merge-fresh")
     fresh = spark.read.parquet(fresh_path)
-    touched = fresh.select(part_col).distinct()
-    old = spark.read.parquet(table_path).join(touched, part_col, "left_semi")
+    # As literals (one for each touched folder), so the scan lists those alone.
+    touched = [r[0] for r in fresh.select(part_col).distinct().collect()]
+    part = F.col(part_col)
+    old = spark.read.parquet(table_path).filter(part.isin([v for v in touched if v is not None]) | (part.isNull() if None in touched else F.lit(False)))
     merged = old.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
     stage = write_version(merged, "merge-stage", [part_col], keys)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.read.parquet(stage).write.mode("overwrite").partitionBy(part_col).parquet(table_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(part_col).parquet(table_path)
     return table_path
 
 

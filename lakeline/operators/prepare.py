@@ -13,8 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.functions.exprs import md5_unit
-from lakeline.operators.keys import exact_quantiles
+from lakeline.functions.exprs import md5_unit, present
+from lakeline.operators.keys import exact_quantiles, ordinal
 from lakeline.functions import fixed
 
 
@@ -29,7 +29,9 @@ class Fill:
     values: dict
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in self.values.items() if v is not None})
+        kinds = dict(df.dtypes)
+        known = {c: present(c) if kinds[c] in ("double", "float") else F.col(c) for c in self.values}
+        return df.withColumns({c: F.coalesce(known[c], F.lit(v)) for c, v in self.values.items() if v is not None})
 
 
 def fit_median(df: DataFrame, columns: list[str]) -> Fill:
@@ -51,34 +53,29 @@ def fit_mode(df: DataFrame, columns: list[str]) -> Fill:
 
 # --- encoding -----------------------------------------------------------
 
-MAX_CATEGORIES = 10_000
-
-
-def categories(df: DataFrame, column: str, max_categories: int = MAX_CATEGORIES) -> list:
-    """Sorted distinct non-null values, collected only below a checked bound.
-
-    Encoders need the category list on the driver; a column with more
-    distinct values than ``max_categories`` (an id, free text) is refused
-    instead of being pulled whole into the driver."""
-    vals = (df.select(column).filter(F.col(column).isNotNull()).distinct()
-            .orderBy(column).limit(max_categories + 1).collect())
-    if len(vals) > max_categories:
-        raise ValueError(f"{column} has more than {max_categories} categories; not an encodable category")
-    return [r[0] for r in vals]
+def categories(df: DataFrame, column: str) -> list:
+    """Sorted distinct non-null values: one for each column that dummies or
+    one-hot encoding will make, so no longer than the result is wide."""
+    return [r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
 
 
 @dataclass
 class Ordinal:
     column: str
-    categories: list
+    codes: DataFrame  # (value, code)
 
     def transform(self, df: DataFrame, out: str | None = None) -> DataFrame:
-        m = F.create_map(*[x for i, v in enumerate(self.categories) for x in (F.lit(v), F.lit(i))])
-        return df.withColumn(out or self.column, F.element_at(m, F.col(self.column)).cast("int"))
+        name = out or self.column
+        codes = self.codes.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+        joined = df.join(codes, F.col(self.column) == F.col("__value"), "left")
+        return joined.withColumn(name, F.col("__code")).drop("__value", "__code")
 
 
 def fit_ordinal(df: DataFrame, column: str) -> Ordinal:
-    return Ordinal(column, categories(df, column))
+    """Codes from 0 in value order, as a table that is joined back: any number
+    of categories; an unseen or NULL value has no code."""
+    values = df.select(F.col(column).alias("value")).filter("value IS NOT NULL").distinct()
+    return Ordinal(column, ordinal(values, [F.col("value")], None, "n").select("value", (F.col("n") - 1).cast("int").alias("code")))
 
 
 @dataclass
@@ -135,7 +132,7 @@ class Affine:
 def fit_minmax(df: DataFrame, columns: list[str], lo: float = fixed.MINMAX_RANGE[0], hi: float = fixed.MINMAX_RANGE[1],
                digits: int | None = None) -> Affine:
     """Scale to [lo, hi]; a constant column maps to ``lo``."""
-    row = df.agg(*[F.min(c).alias(f"{c}|min") for c in columns], *[F.max(c).alias(f"{c}|max") for c in columns]).first()
+    row = df.agg(*[F.min(present(c)).alias(f"{c}|min") for c in columns], *[F.max(present(c)).alias(f"{c}|max") for c in columns]).first()
     params = {}
     for c in columns:
         mn, mx = row[f"{c}|min"], row[f"{c}|max"]
@@ -146,8 +143,8 @@ def fit_minmax(df: DataFrame, columns: list[str], lo: float = fixed.MINMAX_RANGE
 
 def fit_standard(df: DataFrame, columns: list[str], digits: int | None = None) -> Affine:
     """Mean 0, *population* deviation 1; a constant column gets factor 1."""
-    row = df.agg(*[F.avg(c).alias(f"{c}|mean") for c in columns],
-                 *[F.stddev_pop(c).alias(f"{c}|std") for c in columns]).first()
+    row = df.agg(*[F.avg(present(c)).alias(f"{c}|mean") for c in columns],
+                 *[F.stddev_pop(present(c)).alias(f"{c}|std") for c in columns]).first()
     params = {}
     for c in columns:
         mean, std = row[f"{c}|mean"], row[f"{c}|std"]
@@ -200,8 +197,8 @@ def split_three(df: DataFrame, key: str, test: float = fixed.SPLIT_TEST,
 
 def zscore_flags(df: DataFrame, column: str, limit: float = fixed.ZSCORE_LIMIT, digits: int = 9) -> DataFrame:
     """z = (x - mean) / population std; outlier when |z| > limit."""
-    row = df.agg(F.avg(column).alias("m"), F.stddev_pop(column).alias("s")).first()
-    z = (F.col(column) - F.lit(row["m"])) / F.lit(row["s"] or 1.0)
+    row = df.agg(F.avg(present(column)).alias("m"), F.stddev_pop(present(column)).alias("s")).first()
+    z = (present(column) - F.lit(row["m"])) / F.lit(row["s"] or 1.0)
     return df.withColumns({"zscore": F.round(z, digits), "is_outlier": F.abs(z) > F.lit(limit)})
 
 

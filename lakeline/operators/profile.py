@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeline.functions.exprs import md5_unit
+from lakeline.functions.exprs import md5_unit, present
 from lakeline.operators.keys import exact_quantiles
+from lakeline.operators.merge import JSON_OPTIONS
 from lakeline.functions import fixed
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -81,7 +82,7 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, digits: in
     cols = columns or numeric_columns(df)
     stats = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = present(c)
         mean = exact_rounded_mean(c, decimals, digits) if decimals is not None else F.avg(x)
         stats += [F.count(x).alias(f"{c}|count"), mean.alias(f"{c}|mean"),
                   F.stddev_samp(x).alias(f"{c}|std"), F.min(x).alias(f"{c}|min"), F.max(x).alias(f"{c}|max")]
@@ -123,7 +124,7 @@ def duplicate_count(df: DataFrame, columns: list[str] | None = None, digest: boo
     aggregation collapses a hot duplicate before the shuffle either way."""
     cols = columns or df.columns
     if digest:
-        enc = F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
+        enc = F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols]), JSON_OPTIONS), 256)
         keyed = df.select(enc.alias("__k"))
         groups = keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("n"))
     else:
@@ -134,14 +135,14 @@ def duplicate_count(df: DataFrame, columns: list[str] | None = None, digest: boo
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins between min and max; the last bin is closed on the right."""
-    x = F.col(column).cast("double")
+    x = present(column)
     lo_hi = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()  # two scalars
     lo, hi = lo_hi["lo"], lo_hi["hi"]
     if lo is None:
         return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, count bigint")
     w = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.lit(bins - 1), F.floor((x - F.lit(lo)) / F.lit(w)).cast("int"))
-    g = df.filter(x.isNotNull() & ~F.isnan(x)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    g = df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     return g.select("bin", (F.lit(lo) + F.col("bin") * F.lit(w)).alias("lower"),
                     (F.lit(lo) + (F.col("bin") + 1) * F.lit(w)).alias("upper"), "count")
 
@@ -158,7 +159,7 @@ def boxplot_stats(df: DataFrame, columns: list[str], whisker: float = fixed.IQR_
             continue
         iqr = q3 - q1
         lo, hi = q1 - whisker * iqr, q3 + whisker * iqr
-        x = F.col(c).cast("double")
+        x = present(c)
         inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
         aggs += [F.min(F.when(inside, x)).alias(f"{c}|wlo"), F.max(F.when(inside, x)).alias(f"{c}|whi"),
                  F.count_if(x.isNotNull() & ~inside).alias(f"{c}|out")]
@@ -174,25 +175,35 @@ def boxplot_stats(df: DataFrame, columns: list[str], whisker: float = fixed.IQR_
                        F.col("outliers").cast("bigint").alias("outliers"))
 
 
+def _corr(a: str, b: str) -> Column:
+    """Pearson correlation over rows with both values; NULL if either is
+    constant there (the built-in one fails on a zero deviation)."""
+    x, y = present(a), present(b)
+    both = x.isNotNull() & y.isNotNull()
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y)))
+
+
 def corr_matrix(df: DataFrame, columns: list[str], digits: int = 8) -> DataFrame:
     """Pearson correlation of every pair (pairwise-complete rows), long form.
 
     d*(d-1)/2 ``corr`` aggregates in one pass; beyond ~50 columns
     ``pyspark.ml.stat.Correlation`` on a vector column scales better."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
+    row = df.agg(*[_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
     long = row.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"`{a}|{b}`").alias("corr"))
         for a, b in pairs])).alias("s")).select("s.*")
     mirrored = long.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
-    diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "col_a string, col_b string, corr double")
+    # A constant column has no correlation, not even with itself.
+    own = df.agg(*[F.when(F.stddev_pop(present(c)) > 0, 1.0).alias(c) for c in columns])
+    diag = own.unpivot([], columns, "col_a", "corr").select("col_a", F.col("col_a").alias("col_b"), "corr")
     return long.unionByName(mirrored).unionByName(diag).select(
         "col_a", "col_b", F.round("corr", digits).alias("corr"))
 
 
 def corr_rank(df: DataFrame, target: str, columns: list[str], digits: int = 8) -> DataFrame:
     """Correlation of each column with the target, strongest first."""
-    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in columns])
+    row = df.agg(*[_corr(c, target).alias(c) for c in columns])
     long = row.unpivot([], columns, "column", "corr")
     return long.select("column", F.round("corr", digits).alias("corr")).orderBy(F.desc("corr"))
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.functions.exprs import duration_minutes, duration_minutes_exact, year_month
-from lakeline.operators.joins import checked_broadcast, role_copy
+from lakeline.functions.exprs import duration_minutes, duration_minutes_exact, net_amount, year_month
+from lakeline.operators.joins import role_copy
 
 def trip_rules() -> dict[str, Column]:
     """Quality rules of the trip lab: each must hold (NULL fails the rule)."""
@@ -17,6 +17,25 @@ def trip_rules() -> dict[str, Column]:
     }
 
 
+def order_rules() -> dict[str, Column]:
+    """Quality rules of inline orders; a timestamp that does not parse is
+    kept (its month is NULL) and shows up in the reject counts only."""
+    return {"amount": F.col("amount") >= 0}
+
+
+def derive_order_columns(raw: DataFrame) -> DataFrame:
+    """Parse the text timestamp leniently; add the month and the net amount."""
+    typed = raw.withColumn("order_ts", F.expr("try_to_timestamp(order_ts)"))
+    return typed.withColumns({"year_month": year_month("order_ts"), "net_amount": net_amount("amount", "is_discounted")})
+
+
+ORDER_COLUMNS = ["order_id", "order_ts", "year_month", "city", "amount", "net_amount", "is_discounted"]
+
+
+def silver_orders(raw: DataFrame) -> DataFrame:
+    return apply_rules(derive_order_columns(raw), order_rules()).select(*ORDER_COLUMNS)
+
+
 def derive_trip_columns(raw: DataFrame) -> DataFrame:
     """Rename the source timestamps and add date, month, hour, duration."""
     return raw.withColumnsRenamed({
@@ -60,13 +79,12 @@ def quality_rejects(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 ZONE_ROLE = {"LocationID": "location_id", "Borough": "borough", "Zone": "zone"}
 
 
-def enrich_zones(trips: DataFrame, zones: DataFrame, how: str = "left",
-                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def enrich_zones(trips: DataFrame, zones: DataFrame, how: str = "left") -> DataFrame:
     """Join the zone lookup twice (pickup and drop-off roles).
 
-    The lookup is broadcast once its size is checked; the trip side is
-    never shuffled for these joins."""
-    z = checked_broadcast(zones.select(*ZONE_ROLE), max_broadcast_rows)
+    The planner broadcasts a lookup under its byte threshold, and the trip
+    side is then not shuffled for these joins."""
+    z = zones.select(*ZONE_ROLE)
     pu = role_copy(z, "PU", ZONE_ROLE)
     do = role_copy(z, "DO", ZONE_ROLE)
     return (
@@ -102,10 +120,9 @@ def bronze_zones(zones: DataFrame) -> DataFrame:
     )
 
 
-def silver_joined(bronze: DataFrame, zones_bronze: DataFrame,
-                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def silver_joined(bronze: DataFrame, zones_bronze: DataFrame) -> DataFrame:
     """Inner join to zones twice, keep trips with at least one passenger."""
-    z = checked_broadcast(zones_bronze.select("location_id", "zone_name"), max_broadcast_rows)
+    z = zones_bronze.select("location_id", "zone_name")
     zp = z.select(F.col("location_id").alias("zp_id"), F.col("zone_name").alias("pickup_location_name"))
     zd = z.select(F.col("location_id").alias("zd_id"), F.col("zone_name").alias("dropoff_location_name"))
     return (

@@ -23,7 +23,10 @@ def surrogate_keys(df: DataFrame, natural: list[str], key: str,
     Keys already in ``existing`` are kept; new natural keys get
     ``max(existing key) + position`` in natural-key order (an identity
     column that never reuses or renumbers)."""
-    distinct = df.dropDuplicates(natural)
+    rest = [c for c in df.columns if c not in natural]
+    # Of several versions of a key the greatest stays, whatever the order of rows.
+    best = df.groupBy(*natural).agg(F.max(F.struct(*rest)).alias("__best")) if rest else df.distinct()
+    distinct = best.select(*natural, *[F.col(f"__best.{c}").alias(c) for c in rest]).select(*df.columns)
     if existing is None:
         numbered = ordinal(distinct, [F.col(c) for c in natural], None, key)
         return numbered.withColumn(key, F.col(key).cast("int")).select(key, *df.columns)

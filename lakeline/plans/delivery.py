@@ -129,7 +129,7 @@ def dim_date(t: Tables) -> DataFrame:
 def dim_city(t: Tables) -> DataFrame:
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     r = t.region.select("r_regionkey", "r_name")
-    cities = n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+    cities = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
         F.col("n_nationkey").cast("bigint").alias("city_id"),
         F.col("n_name").alias("city_name"),
         F.col("r_name").alias("region"),

@@ -15,8 +15,8 @@ HOUSING_TYPES = {"row_key": "string", "quantity": "double", "price": "double", "
 NUMERIC = ["quantity", "price", "discount", "tax"]
 
 
-def housing(t, spread: bool = False):
-    li = t.spread("lineitem") if spread else t.lineitem
+def housing(t):
+    li = t.lineitem
     key = F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                       F.round(F.col("l_extendedprice") * 100).cast("bigint"))
     return li.select(

@@ -68,7 +68,7 @@ FOREST_FEATURES = ["quantity", "price", "discount"]
 @query("outlier_forest")
 def q_outlier_forest(t):
     """Isolation-forest score and flag (contamination 1 %) per row."""
-    h = housing(t, spread=True)  # Python scoring: use every core even on a one-file table
+    h = housing(t)
     model = forest.fit(h, "row_key", FOREST_FEATURES, seed=42)
     # scored once: the contamination cut and the output both read it
     scored = model.score(h.select("row_key", *FOREST_FEATURES)).checkpoint(eager=True)

@@ -191,7 +191,7 @@ def inline_orders(t: Tables) -> DataFrame:
     n = t.nation.select("n_nationkey", "n_name")
     return (
         o.join(c, F.col("o_custkey") == F.col("c_custkey"))
-        .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))  # nation: 25 rows by definition
+        .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("o_orderkey").alias("order_id"),
             F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_ts"),
@@ -222,7 +222,7 @@ SELECT order_id, order_ts, year_month, city, CAST(amount AS DOUBLE) AS amount,
        CAST(net_amount AS DOUBLE) AS net_amount, is_discounted FROM silver
 """)
 def q_net_amount(t):
-    return _money_as_double(gold.orders_silver(inline_orders(t)), ["amount", "net_amount"])
+    return _money_as_double(silver.silver_orders(inline_orders(t)), ["amount", "net_amount"])
 
 
 @query("orders_by_city_month", INLINE_ORDERS_SQL + """
@@ -231,7 +231,7 @@ SELECT year_month, city, count(*) AS num_orders, CAST(round(sum(net_amount), 2)
 FROM silver GROUP BY year_month, city
 """)
 def q_orders_by_city_month(t):
-    return gold.orders_by_city_month(gold.orders_silver(inline_orders(t)))
+    return gold.orders_by_city_month(silver.silver_orders(inline_orders(t)))
 
 
 @query("scan_parquet", "SELECT count(*) AS n_rows FROM lineitem")

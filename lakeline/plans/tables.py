@@ -24,25 +24,7 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def spread(self, name: str) -> DataFrame:
-        """The table with at least ``defaultParallelism`` partitions.
-
-        A few large unsplittable files (one row group each) scan as a few
-        tasks; views that do heavy per-row work (hashing, JSON, Python
-        scoring) then run on a few cores.  Below the floor the rows are
-        spread round-robin; a big table of many files is left as it is."""
-        df = self.read(name)
-        want = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
-        return df
-
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
             return self.read(name)
         raise AttributeError(name)
-
-    def register_views(self) -> None:
-        """Expose every table as a temp view for the SQL forms."""
-        for t in TABLE_NAMES:
-            self.read(t).createOrReplaceTempView(t)

@@ -62,7 +62,7 @@ def zones(t: Tables) -> DataFrame:
     """Zone lookup: nation ⨝ region (both fixed-size TPC-H tables)."""
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     r = t.region.select("r_regionkey", "r_name")
-    return n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
         F.col("n_nationkey").alias("LocationID"),
         F.col("r_name").alias("Borough"),
         F.col("n_name").alias("Zone"),

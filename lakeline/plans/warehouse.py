@@ -217,9 +217,9 @@ def q_star_q3(t):
 
 from lakeline.operators import merge  # noqa: E402
 
-# Fixed values of ours: two overlapping extract windows over the events month.
-W1 = ("2024-01-01 00:00:00", "2024-01-16 13:17:00")
-W2 = ("2024-01-12 06:30:00", "2024-02-01 00:00:00")
+# Fixed values of ours: two overlapping extract windows that cover all time.
+W1 = ("1970-01-01 00:00:00", "2024-01-16 13:17:00")
+W2 = ("2024-01-12 06:30:00", "2100-01-01 00:00:00")
 INCR_CUT = "2024-01-16 13:17:00"
 RAW_BUCKETS = 64  # key buckets of the raw table: ~1 GB each is the target at scale
 

@@ -93,6 +93,8 @@ def shared_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
+    elif not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     else:
         # Tests and single-machine runs only: the session names no folder.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lakeline-ckpt-"))
@@ -100,6 +102,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path under the shared folder."""
-    base = shared_dir(spark)
-    return base.rstrip("/") + "/lakeline/" + f"{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused path under the shared folder, in a folder of this
+    application that is deleted when the driver's JVM ends."""
+    sc = spark.sparkContext
+    own = shared_dir(spark).rstrip("/") + "/lakeline/" + sc.applicationId
+    if own not in _OWN:
+        place = sc._jvm.org.apache.hadoop.fs.Path(own)
+        fs = place.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(place)
+        fs.deleteOnExit(place)
+        _OWN.add(own)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_OWN: set[str] = set()

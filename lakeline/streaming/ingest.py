@@ -10,6 +10,8 @@ run restartable after a lost executor or driver.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,6 +59,15 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType | s
     q.awaitTermination()
 
 
+def week_bounds(df: DataFrame, ts_col: str) -> list[str]:
+    """Week starts from before the first to after the last time of the data."""
+    lo, hi = df.agg(F.to_date(F.min(ts_col)), F.to_date(F.max(ts_col))).first()
+    out = [lo] if lo else []
+    while out and out[-1] <= hi:
+        out.append(out[-1] + dt.timedelta(days=7))
+    return [f"{d:%Y-%m-%d}" for d in out]
+
+
 def land_in_chunks(df: DataFrame, ts_col: str, folder: str, bounds: list[str]) -> None:
     """Write a table as one file set per time window (the arriving chunks)."""
     for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):

@@ -58,12 +58,48 @@ def test_schema_contract_reports_type_and_missing_columns(spark):
                                   T.StructType(want.fields[:2]), check_nullability=True) == ["nullable order_id"]
 
 
-def test_encoder_refuses_unbounded_categories(spark):
+def test_ordinal_codes_any_number_of_categories(spark):
     from lakeline.operators import prepare
-    df = spark.range(0, 50).select(F.col("id").cast("string").alias("c"))
-    assert len(prepare.categories(df, "c", max_categories=50)) == 50
-    try:
-        prepare.categories(df, "c", max_categories=10)
-        raise AssertionError("expected a refusal")
-    except ValueError:
-        pass
+    df = spark.range(0, 12_000).select(F.format_string("%05d", F.col("id")).alias("c"))
+    got = prepare.fit_ordinal(df, "c").transform(df.union(spark.sql("SELECT 'unseen' AS c")), "code")
+    assert got.filter("code = try_cast(c AS int)").count() == 12_000 and got.filter("code IS NULL").count() == 1
+
+
+def test_nan_is_missing_everywhere(spark):
+    from lakeline.operators import prepare, profile
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    assert sorted(r.x for r in prepare.fit_median(df, ["x"]).transform(df).collect()) == [1.0, 2.0, 2.0, 3.0]
+    assert prepare.fit_minmax(df, ["x"], 0.0, 1.0).params["x"][:2] == (1.0, 0.5)
+    assert prepare.fit_standard(df, ["x"]).params["x"][:2] == (2.0, 1.0)
+    row = profile.describe_numeric(df, ["x"]).first()
+    assert (row["count"], row["mean"], row["min"], row["max"]) == (2, 2.0, 1.0, 3.0)
+    assert sum(r["count"] for r in profile.histogram(df, "x", 2).collect()) == 2
+    assert profile.boxplot_stats(df, ["x"]).first()["outliers"] == 0
+    assert sorted(r.zscore for r in prepare.zscore_flags(df, "x").collect() if r.zscore is not None) == [-1.0, 1.0]
+
+
+def test_duplicates_differ_by_microseconds_and_null_keys_are_unique(spark):
+    from lakeline.operators import profile
+    df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00.000001' AS t UNION ALL SELECT timestamp_ntz'2024-01-01 00:00:00.000002'")
+    assert profile.duplicate_count(df).first()["duplicate_rows"] == 0
+    keyed = spark.createDataFrame([(None,), (None,), (1,), (1,), (2,)], "k int")
+    assert checks.run_tests(keyed, [checks.Unique(["k"])]).first()["failures"] == 1
+
+
+def test_constant_column_has_no_correlation(spark):
+    from lakeline.operators import profile
+    df = spark.range(5).selectExpr("cast(id AS double) AS a", "1.0D AS b")
+    got = {(r.col_a, r.col_b): r["corr"] for r in profile.corr_matrix(df, ["a", "b"]).collect()}
+    assert got["a", "a"] == 1.0 and got["b", "b"] is None
+
+
+def test_capped_load_below_the_table_size(tables):
+    from lakeline.sources import files
+    keys = [r.o_orderkey for r in files.capped(tables.orders, ["o_orderkey"], 100).collect()]
+    assert keys == sorted(r.o_orderkey for r in tables.orders.select("o_orderkey").collect())[:100]
+
+
+def test_outlier_share_and_inliers(spark):
+    from lakeline.operators import forest
+    flagged = spark.createDataFrame([(1, True), (2, False), (3, False), (4, False)], "k int, is_outlier boolean")
+    assert tuple(forest.outlier_share(flagged).first()) == (4, 1, 0.25) and forest.inliers(flagged).count() == 3

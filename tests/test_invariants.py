@@ -30,19 +30,14 @@ def test_allocation_equal_split_on_zero_weight(spark):
     assert [float(r["allocated_amt"]) for r in out] == [0.33, 0.33, 0.34]
 
 
-def test_ordinal_matches_row_number_with_a_hot_key(spark, monkeypatch):
-    # one key holds a third of the rows; force the range-slice path (the
-    # bounded-window shortcut would otherwise take this small input)
-    monkeypatch.setattr(keys, "SINGLE_TASK_ROWS", 100)
+def test_ordinal_matches_row_number_with_a_hot_key(spark):
+    # one key holds a third of the rows
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("g"),
         F.col("id").alias("v"))
     got = keys.ordinal(df, [F.col("v")], ["g"], "rn", partitions=8)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v")).cast("bigint"))
     assert got.exceptAll(want).count() == 0 and got.count() == 3000
-    monkeypatch.setattr(keys, "SINGLE_TASK_ROWS", 1_000_000)  # and the bounded-window path
-    again = keys.ordinal(df, [F.col("v")], ["g"], "rn", partitions=8)
-    assert again.exceptAll(want).count() == 0 and again.count() == 3000
 
 
 def test_exact_quantiles_match_numpy(spark):
@@ -137,8 +132,7 @@ def test_surrogate_keys_keep_existing_and_extend(spark):
     assert sorted((r["k"], r["id"]) for r in second.collect()) == [(1, 10), (2, 30), (3, 20), (4, 40)]
 
 
-def test_global_ordinal_distributed_path_matches_row_number(spark, monkeypatch):
-    monkeypatch.setattr(keys, "SINGLE_TASK_ROWS", 10)  # force the range-slice path
+def test_global_ordinal_distributed_path_matches_row_number(spark):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5003).alias("v"), F.col("id"))
     got = keys.ordinal(df, [F.col("v"), F.col("id")], None, "rn", partitions=8)
     want = df.withColumn("rn", F.row_number().over(Window.orderBy("v", "id")).cast("bigint"))
@@ -157,3 +151,11 @@ def test_upsert_into_updates_touched_buckets_and_repeats_cleanly(spark):
     rows = {r["id"]: r["payload"] for r in spark.read.parquet(path).collect()}
     assert len(rows) == 201 and rows["5"] == "new" and rows["999"] == "x" and rows["6"] == "p6"
     assert spark.read.parquet(path).count() == 201
+
+
+def test_quantiles_when_most_rows_share_one_value(spark):
+    x = [5.0] * 900 + [float(k) for k in range(100)]
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    got = keys.quantile_map(df, ["x"], [0.0, 0.02, 0.25, 0.5, 0.97, 1.0])
+    assert all(got["x", p] == float(np.quantile(x, p)) for p in (0.0, 0.25, 0.5, 1.0))
+    assert all(abs(got["x", p] - float(np.quantile(x, p))) < 1e-9 for p in (0.02, 0.97))

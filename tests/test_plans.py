@@ -63,7 +63,37 @@ def test_month_file_set_read_prunes_folders(spark, tables):
     assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan and "(month" in plan
 
 
-def test_spread_floor_on_single_file_table(spark, tables):
-    want = spark.sparkContext.defaultParallelism
-    assert tables.read("lineitem").rdd.getNumPartitions() < want
-    assert tables.spread("lineitem").rdd.getNumPartitions() >= want
+def test_region_and_customer_reads_are_pruned(spark, tables):
+    from lakeline.plans import layouts
+
+    path = layouts.list_layout(tables)
+    assert "PartitionFilters: [isnotnull(region_part" in _plan(spark.read.parquet(path).filter(F.col("region_part") == "ASIA"))
+    df = spark.read.parquet(layouts.hash_layout(tables))
+    one = layouts.of_customer(df, 7)
+    assert "PartitionFilters: [isnotnull(cust_bucket" in _plan(one)
+    assert one.count() == df.filter("o_custkey = 7").count()
+
+
+def test_layouts_keep_every_row(spark, tables):
+    from lakeline.plans import layouts
+
+    n = tables.orders.count()
+    for make in (layouts.range_layout, layouts.list_layout, layouts.hash_layout):
+        assert spark.read.parquet(make(tables)).count() == n
+
+
+def test_merge_reads_and_writes_only_touched_folders(spark):
+    import os
+
+    from lakeline.operators import merge
+
+    old = spark.range(100).selectExpr("id AS k", "id % 10 AS part", "'old' AS v")
+    path = merge.write_version(old, "merge-test", ["part"], ["k"])
+    local = path.removeprefix("file:")
+    files = lambda: {d: sorted(os.listdir(f"{local}/{d}")) for d in os.listdir(local) if d.startswith("part=")}
+    before = files()
+    merge.merge_partitions(path, spark.sql("SELECT 3L AS k, 3L AS part, 'new' AS v"), ["k"], "part")
+    after = files()
+    assert [d for d in before if before[d] != after[d]] == ["part=3"]
+    rows = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert len(rows) == 100 and rows[3] == "new" and rows[13] == "old"

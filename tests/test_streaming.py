@@ -7,7 +7,7 @@ from lakeline.streaming import ingest
 
 def test_stream_ingest_is_complete_and_reapplying_converges(spark, tables):
     landing = scratch_path(spark, "landing-test")
-    ingest.land_in_chunks(tables.events, "ts", landing, loads.CHUNKS)
+    ingest.land_in_chunks(tables.events, "ts", landing, ingest.week_bounds(tables.events, "ts"))
     target = scratch_path(spark, "raw-stream-test")
     ingest.upsert_stream(spark, landing, loads.EVENT_SCHEMA, "event_id", "ts", target,
                          scratch_path(spark, "ckpt-a"), buckets=8)
