@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeline.llm.common import NOT_SPACE, Words, out_batches, row_ranges, text_bytes, written
+from lakeline.llm.common import NOT_SPACE, Words, growing, out_batches, row_ranges, text_bytes, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -52,17 +52,17 @@ SLICE_ROWS = 1000
 
 
 def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(id, source, size) of every row."""
+    """(id, source, size, mark) of every row; mark: hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = text_bytes(b.column(2))
             size = np.zeros(b.num_rows, np.int64)
             for lo, hi in row_ranges(off):
                 size[lo:hi] = Words(data[off[lo]: off[hi]], off[lo: hi + 1] - off[lo], NOT_SPACE).counts
-            yield from out_batches({"id": b.column(0), "source": b.column(1), "size": pa.array(size)})
+            yield from out_batches({"id": b.column(0), "source": b.column(1), "size": pa.array(size), "mark": b.column(3)})
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "id long, source string, size long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"),
+                       F.xxhash64(F.col(text_col).cast("string")).alias("mark")).mapInArrow(run, "id long, source string, size long, mark long")
 
 
 def targets(histogram: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -174,18 +174,23 @@ def _times() -> Column:
     return F.when(F.col("size") > 0, F.col("base")).otherwise(0) + F.coalesce(more, F.lit(False)).cast("long")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, **shares) -> DataFrame:
-    """(id, size, source_size, target, taken) of every row of ``docs``."""
+def _taken(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, **shares) -> DataFrame:
     rows = written(word_counts(docs, id_col, text_col, source_col), "sizes")
     plan = decisions(rows, seed, **shares)
     return hashed(rows, seed).join(plan, _same(rows, plan)) \
-        .select(F.col("id").alias(id_col), rows["size"], rows["source"], "source_size", "target", "u", "id", "base", "extra", "n", "cut") \
-        .select(id_col, "size", "source_size", "target", (F.col("size") * _times()).alias("taken"))
+        .select("id", "mark", rows["size"], "source_size", "target", "u", "base", "extra", "n", "cut").withColumn("times", _times())
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, **shares) -> DataFrame:
+    """(id, size, source_size, target, taken) of every row of ``docs``."""
+    return _taken(docs, id_col, text_col, source_col, seed, **shares) \
+        .select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, **shares) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    taken = mix(docs, id_col, text_col, source_col, seed, **shares).where("taken > 0") \
-        .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.expr("taken div size")).cast("int").alias("_times"))
-    out = docs.join(written(taken, "times"), F.col(id_col).eqNullSafe(F.col("_id")))
+    times = _taken(docs, id_col, text_col, source_col, seed, **shares).where("times > 0").groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")) \
+        .agg(F.max("times").cast("int").alias("_times"))
+    own = F.xxhash64(F.col(text_col).cast("string"))
+    out = docs.withColumn("_own", own).join(growing(written(times, "times")), F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark")))
     return out.withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(*docs.columns)

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.common import out_batches, popcount, text_bytes, unsigned_hex, written
+from lakeline.llm.common import growing, out_batches, popcount, text_bytes, unsigned_hex, written
 from lakeline.llm.components import components
 
 SHINGLE = 3
@@ -292,6 +292,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     found = near_duplicates(docs, id_col, text_col)
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    left = docs.join(written(gone, "gone"), F.col(id_col) == F.col("_gone"), "left_anti")
+    left = docs.join(growing(written(gone, "gone")), F.col(id_col) == F.col("_gone"), "left_anti")
     once = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
     return left.withColumn("_row", F.row_number().over(once)).where((F.col("_row") == 1) | F.col(id_col).isNull()).select(*docs.columns)
