@@ -210,7 +210,7 @@ SELECT courier_id, count(*) AS orders, round(avg(dispatch_minutes), 6) AS avg_cy
 FROM (SELECT DISTINCT order_id, courier_id, dispatch_minutes FROM fact WHERE status = 'delivered')
 GROUP BY courier_id""")
 def q_star_q3(t):
-    return dl.star_q3(dl.star_fact(t))
+    return dl.star_q3(t)
 
 
 # --- upsert and incremental merge (D1, D2) -------------------------------
