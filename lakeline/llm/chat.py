@@ -8,18 +8,21 @@ ever become a control id.  In the rendered form a control string inside
 content is escaped: a backslash after its first character, and backslashes are
 doubled; undoing both is exact.
 
-Places in a conversation's id stream come from prefix sums of segment lengths
-(one running total over rows in turn order); the loss mask of a turn is the
-range of its text's ids if the role is trained.
+Places in a conversation's id stream come from prefix sums of segment lengths:
+rows are range-partitioned in turn order, each slice keeps a running total, and
+a conversation that goes on in later slices adds the totals of the slices
+before.  The loss mask of a turn is the range of its text's ids if the role is
+trained.
 
 Defined results: a null text is an empty one, a null role an empty role.  Rows
 come in order of (turn, role, text), nulls first, repeats included.  A null
 conversation id is a conversation of its own.  Empty tables give no rows.
 
-Scale: one shuffle by conversation.  A conversation's rows stream through one
-task in order with a running total, never held together, so one of any length
-needs bounded memory (a digest over a whole conversation is sequential by its
-nature).  Output rows are turns.
+Scale: slices cut a conversation of any length, so a hot one is encoded, and
+decoded when it is read, by many tasks.  Only the digests over a whole
+conversation, sequential by nature, run in one task for each conversation: it
+gets runs of turns joined to about ``RUN_CHARS`` characters and streams them.
+Totals are one row for each (slice, conversation).  Output rows are turns.
 """
 
 from __future__ import annotations
@@ -31,13 +34,16 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeline.llm.common import written
+
 BEGIN, TURN, SAYS, END = "<s>", "[INST]", "[/INST]", "</s>"
 CONTROL = (BEGIN, TURN, SAYS, END)
 ESCAPED = (*CONTROL, "<|endoftext|>")   # never left whole inside content
 TRAINED = ("assistant",)
+RUN_CHARS = 1 << 20   # characters of turns that are digested as one run
 _CONTROL = re.compile("|".join(map(re.escape, ESCAPED)))
 
 
@@ -65,12 +71,12 @@ def reserved(path: str) -> dict[str, int]:
     return {c: size + k for k, c in enumerate(CONTROL)}
 
 
-FORMAT = "conv long, turn long, opens boolean, start long, ids array<int>, loss_from long, loss_to long"
+_TURNS = "slice int, conv long, turn long, start long, ids array<int>, loss_from long, loss_to long"
 
 
 def format_chat(rows: DataFrame, tokenizer_path: str, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
                 trained: tuple[str, ...] = TRAINED) -> DataFrame:
-    """One row a turn, in order within its conversation:
+    """One row a turn:
 
     conv, turn; opens: the conversation's first; start: place of its first id
     in the conversation; ids; loss_from / loss_to: its range under the loss
@@ -78,6 +84,7 @@ def format_chat(rows: DataFrame, tokenizer_path: str, conv_col: str = "conv_id",
     order = [F.col(c).asc_nulls_first() for c in ("conv", "turn", "role", "text")]
     source = rows.select(F.col(conv_col).cast("long").alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"),
                          F.col(text_col).cast("string").alias("text"))
+    sliced = source.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("slice", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, _ = _tokenizer(tokenizer_path)
@@ -90,63 +97,101 @@ def format_chat(rows: DataFrame, tokenizer_path: str, conv_col: str = "conv_id",
                 texts = b.column("text").fill_null("").to_pylist()
                 parts = tokenizer.encode_batch_fast([escape(x) for x in roles + texts], add_special_tokens=False)
                 says, spoken = parts[: len(roles)], parts[len(roles):]
-                opens = [not any_row and k == 0 or c != (conv[k - 1] if k else last) for k, c in enumerate(conv)]
-                ids = [[*([mark[BEGIN]] if o else []), mark[TURN], *r.ids, mark[SAYS], *t.ids, mark[END]] for o, r, t in zip(opens, says, spoken, strict=True)]
+                heads = [not any_row and k == 0 or c != (conv[k - 1] if k else last) for k, c in enumerate(conv)]
+                ids = [[mark[TURN], *r.ids, mark[SAYS], *t.ids, mark[END]] for r, t in zip(says, spoken, strict=True)]
                 # Prefix sums of segment lengths, begun anew at each conversation.
                 size = np.array([len(x) for x in ids], np.int64)
                 total = place + np.cumsum(size)
-                base = np.zeros(len(ids), np.int64)
-                heads = np.flatnonzero(opens)
-                base[heads] = total[heads] - size[heads]
+                base = np.where(heads, total - size, 0)
                 start = total - size - np.maximum.accumulate(base)
                 text_to = start + size - 1
                 trains = np.array([r in trained for r in roles])
                 text_from = np.where(trains, text_to - np.array([len(t.ids) for t in spoken], np.int64), text_to)
                 place, last, any_row = int(start[-1] + size[-1]), conv[-1], True
-                yield pa.RecordBatch.from_arrays([b.column("conv"), b.column("turn"), pa.array(opens), pa.array(start), pa.array(ids, pa.list_(pa.int32())),
-                                                  pa.array(text_from), pa.array(text_to)], ["conv", "turn", "opens", "start", "ids", "loss_from", "loss_to"])
-
-    return source.repartition(F.col("conv")).sortWithinPartitions(*order).mapInArrow(run, FORMAT)
-
-
-def read_chat(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Per conversation, from the ids alone: (conv, n_turns, turns_sha256,
-    loss_chars, loss_sha256, formatted_chars).  ``formatted``: a written table."""
+                yield pa.RecordBatch.from_arrays([b.column("slice"), b.column("conv"), b.column("turn"), pa.array(start), pa.array(ids, pa.list_(pa.int32())),
+                                                  pa.array(text_from), pa.array(text_to)], ["slice", "conv", "turn", "start", "ids", "loss_from", "loss_to"])
+
+    turns = written(sliced.mapInArrow(run, _TURNS), "turns")
+    earlier = Window.partitionBy("conv").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    # Of each slice only its first conversation can have begun before it.
+    more = turns.groupBy("conv", "slice").agg(F.max(F.col("loss_to") + 1).alias("total")) \
+        .select(F.col("slice").alias("_slice"), F.col("conv").alias("_conv"), F.sum("total").over(earlier).alias("before")).where("before is not null")
+    more = written(more, "continued")
+    before, opens = F.coalesce("before", F.lit(0)), F.col("before").isNull() & (F.col("start") == 0)
+    begin = F.array(F.lit(reserved(tokenizer_path)[BEGIN]).cast("int"))
+    return turns.join(more, (F.col("slice") == F.col("_slice")) & F.col("conv").eqNullSafe(F.col("_conv")), "left").select(
+        "conv", "turn", opens.alias("opens"), F.when(opens, 0).otherwise(before + F.col("start") + 1).cast("long").alias("start"),
+        F.when(opens, F.concat(begin, "ids")).otherwise(F.col("ids")).alias("ids"),
+        (before + F.col("loss_from") + 1).alias("loss_from"), (before + F.col("loss_to") + 1).alias("loss_to"))
+
+
+_RUN = pa.schema([("conv", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("turns", pa.large_string()), ("loss", pa.large_string()), ("chars", pa.int64())])
+_READ = pa.schema([("conv", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()),
+                   ("formatted_chars", pa.int64())])
+
+
+def _plain_runs(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
+    """Turns decoded where they lie; neighbours of one conversation are joined."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, size = _tokenizer(tokenizer_path)
+        says = size + CONTROL.index(SAYS)
         now: dict | None = None
 
-        def rows(done: list[dict]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{"conv": d["conv"], "n_turns": d["n"], "turns_sha256": d["turns"].hexdigest(), "loss_chars": d["loss_chars"],
-                                                "loss_sha256": d["loss"].hexdigest(), "formatted_chars": d["chars"]} for d in done], _READ)
+        def out(d: dict) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{**d, "turns": "".join(d["turns"]), "loss": "".join(d["loss"])}], _RUN)
 
         for whole in batches:
             for lo in range(0, whole.num_rows, 1024):
-                b, done, cut = whole.slice(lo, 1024).to_pylist(), [], []
+                b, cut = whole.slice(lo, 1024).to_pylist(), []
                 for r in b:
                     ids, begin, end = r["ids"], 1 if r["opens"] else 0, len(r["ids"]) - 1
-                    middle = next(k for k in range(begin, end + 1) if ids[k] == size + 2)
-                    loss = ids[r["loss_from"] - r["start"]: r["loss_to"] - r["start"]]
-                    cut.append((ids[begin + 1: middle], ids[middle + 1: end], loss, len(CONTROL[0]) * begin + len(TURN + SAYS + END)))
-                flat = tokenizer.decode_batch([x for c in cut for x in c[:3]], skip_special_tokens=False)
-                for k, (r, c) in enumerate(zip(b, cut, strict=True)):
+                    middle = ids.index(says)
+                    cut += [ids[begin + 1: middle], ids[middle + 1: end], ids[r["loss_from"] - r["start"]: r["loss_to"] - r["start"]]]
+                flat = tokenizer.decode_batch(cut, skip_special_tokens=False)
+                for k, r in enumerate(b):
                     role, text, loss = flat[3 * k: 3 * k + 3]
-                    if now is None or r["opens"]:
-                        done += [now] if now else []
-                        now = {"conv": r["conv"], "n": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256(), "loss_chars": 0, "chars": 0}
+                    if now is None or now["chars"] >= RUN_CHARS or r["conv"] != now["conv"] or r["start"] != now["next"]:
+                        if now:
+                            yield out(now)
+                        now = {"conv": r["conv"], "start": r["start"], "n": 0, "turns": [], "loss": [], "chars": 0}
                     now["n"] += 1
-                    now["chars"] += c[3] + len(role) + len(text)
-                    now["turns"].update(f"{unescape(role)}\n{unescape(text)}\n".encode())
-                    plain = unescape(loss)
-                    now["loss_chars"] += len(plain)
-                    now["loss"].update(plain.encode())
-                if done:
-                    yield rows(done)
+                    now["next"] = r["start"] + len(r["ids"])
+                    now["turns"].append(f"{unescape(role)}\n{unescape(text)}\n")
+                    now["loss"].append(unescape(loss))
+                    now["chars"] += (len(BEGIN) if r["opens"] else 0) + len(TURN + SAYS + END) + len(role) + len(text)
         if now:
-            yield rows([now])
+            yield out(now)
+
+    return formatted.select("conv", "opens", "start", "ids", "loss_from", "loss_to") \
+        .mapInArrow(run, "conv long, start long, n long, turns string, loss string, chars long")
 
-    return formatted.repartition(F.col("conv")).sortWithinPartitions(F.col("conv").asc_nulls_first(), "start") \
-        .mapInArrow(run, "conv long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
+def read_chat(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
+    """Per conversation, from the ids alone: (conv, n_turns, turns_sha256,
+    loss_chars, loss_sha256, formatted_chars)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: dict | None = None
+
+        def out(done: list[dict]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"conv": d["conv"], "n_turns": d["n"], "turns_sha256": d["turns"].hexdigest(), "loss_chars": d["loss_chars"],
+                                                "loss_sha256": d["loss"].hexdigest(), "formatted_chars": d["chars"]} for d in done], _READ)
 
-_READ = pa.schema([("conv", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+        for b in batches:
+            done = []
+            for conv, n, turns, loss, chars in zip(*[b.column(c) for c in ("conv", "n", "turns", "loss", "chars")], strict=True):
+                if now is None or conv.as_py() != now["conv"]:
+                    done += [now] if now else []
+                    now = {"conv": conv.as_py(), "n": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256(), "loss_chars": 0, "chars": 0}
+                now["n"] += n.as_py()
+                now["chars"] += chars.as_py()
+                now["turns"].update(turns.as_py().encode())
+                said = loss.as_py()
+                now["loss_chars"] += len(said)
+                now["loss"].update(said.encode())
+            if done:
+                yield out(done)
+        if now:
+            yield out([now])
+
+    return _plain_runs(formatted, tokenizer_path).repartition(F.col("conv")).sortWithinPartitions(F.col("conv").asc_nulls_first(), "start") \
+        .mapInArrow(run, "conv long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

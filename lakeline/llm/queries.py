@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeline.llm import chat, decontaminate, linededup, mixing, quality, sharding, simhash, tokenid, urlfilter, warc
-from lakeline.llm.common import prepare, table, written
+from lakeline.llm.common import prepare, table
 from lakeline.llm.oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,8 +72,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                 F.lit(said).alias("text"))
     path = tokenid.vocabulary("byte_bpe_50k.json")
-    formatted = written(chat.format_chat(rows.unionByName(own), path), "chat")
-    return chat.read_chat(formatted, path).withColumnRenamed("conv", "conv_id")
+    return chat.read_chat(chat.format_chat(rows.unionByName(own), path), path).withColumnRenamed("conv", "conv_id")
 
 
 @_query

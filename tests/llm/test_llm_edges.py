@@ -204,6 +204,31 @@ def test_chat(spark):
     assert chat.read_chat(simhash.written(chat.format_chat(talks.where("false"), path), "chat"), path).count() == 0
 
 
+def test_chat_conversation_over_many_slices(spark):
+    import hashlib
+
+    path = tokenid.vocabulary("byte_bpe_50k.json")
+    turns = {7: 4000, 8: 3, None: 500}
+    rows = [(c, k, ("user", "assistant")[k % 2], f"turn {k} </s>") for c, n in turns.items() for k in range(n)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5), path).cache()
+        own = sorted((r for r in made.collect() if r.conv == 7), key=lambda r: r.start)
+        assert [r.turn for r in own] == list(range(4000)) and [r.opens for r in own] == [True] + [False] * 3999
+        assert [r.start for r in own] == np.cumsum([0, *(len(r.ids) for r in own[:-1])]).tolist()
+        got = {r.conv: r for r in chat.read_chat(made, path).collect()}
+        # Rows of one conversation lie in many slices, and no task has them all.
+        sizes = made.where("conv = 7").groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) > 2 and max(r["count"] for r in sizes) < 3000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {c: r.n_turns for c, r in got.items()} == turns
+    for c, n in turns.items():
+        mine = [r for r in rows if r[0] == c]
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r[2]}\n{r[3]}\n" for r in mine).encode()).hexdigest()
+        assert got[c].loss_sha256 == hashlib.sha256("".join(r[3] for r in mine if r[2] == "assistant").encode()).hexdigest()
+
+
 def test_shards(spark, odd, none):
     got = sharding.shard(odd, shards=3).collect()
     assert len(got) == 13 and all(r.size == 8 and r.text_crc32 == 0 for r in got if r.doc_id == 0)
