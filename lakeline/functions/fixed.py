@@ -27,6 +27,5 @@ FOREST_CONTAMINATION = 0.01
 GD_RATE = 0.1
 GD_EPOCHS = 1000
 MINIBATCH_EPOCHS = 50
-MINIBATCH_SIZE = 20
 MINIBATCH_T0 = 200.0
 MINIBATCH_T1 = 1000.0

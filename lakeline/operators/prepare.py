@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeline.functions.exprs import md5_unit, present
 from lakeline.operators.keys import exact_quantiles, ordinal
+from lakeline.operators.profile import numeric_columns, text_columns
 from lakeline.functions import fixed
 
 
@@ -170,9 +171,12 @@ def fit_numeric(df: DataFrame, columns: list[str], digits: int | None = None) ->
     return Steps([imp, scale])
 
 
-def fit_mixed(df: DataFrame, numeric: list[str], categorical: list[str], digits: int | None = None) -> Steps:
-    """Column groups by type: numbers imputed + scaled as ``num__``, categories
-    imputed by mode + one-hot encoded as ``cat__``."""
+def fit_mixed(df: DataFrame, leave: list[str], digits: int | None = None) -> Steps:
+    """Column groups by type: numbers imputed + scaled as ``num__``, text
+    imputed by mode + one-hot encoded as ``cat__``.  ``leave``: keys and labels
+    that are no features; columns of other types stay as they are."""
+    rest = df.drop(*leave)
+    numeric, categorical = numeric_columns(rest), text_columns(rest)
     imp_n = fit_median(df, numeric)
     x = imp_n.transform(df)
     scale = fit_standard(x, numeric, digits)

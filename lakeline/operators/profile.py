@@ -201,11 +201,13 @@ def corr_matrix(df: DataFrame, columns: list[str], digits: int = 8) -> DataFrame
         "col_a", "col_b", F.round("corr", digits).alias("corr"))
 
 
-def corr_rank(df: DataFrame, target: str, columns: list[str], digits: int = 8) -> DataFrame:
-    """Correlation of each column with the target, strongest first."""
+def corr_rank(df: DataFrame, target: str, columns: list[str] | None = None, digits: int = 8) -> DataFrame:
+    """Correlation of each numeric column with the target, its own row
+    included, strongest first; columns without one come last."""
+    columns = numeric_columns(df) if columns is None else columns
     row = df.agg(*[_corr(c, target).alias(c) for c in columns])
     long = row.unpivot([], columns, "column", "corr")
-    return long.select("column", F.round("corr", digits).alias("corr")).orderBy(F.desc("corr"))
+    return long.select("column", F.round("corr", digits).alias("corr")).orderBy(F.desc_nulls_last("corr"), "column")
 
 
 def scatter_sample(df: DataFrame, key: str, columns: list[str], fraction: float, limit: int) -> DataFrame:

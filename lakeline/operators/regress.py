@@ -3,13 +3,12 @@
 Every solver needs only the Gram matrix ``G = XᵀX`` and ``b = Xᵀy`` (with an
 intercept column of ones): one aggregate pass of d(d+1)/2 + d sums, and the
 d x d algebra runs on the driver.  Batch gradient descent iterates on G and b
-without touching the data again; mini-batch descent needs per-batch sums,
-computed for all epochs in one grouped aggregate.
+without touching the data again; mini-batch descent runs on the sums of a
+fixed number of hash cells of rows, from one grouped aggregate.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +17,8 @@ from pyspark.sql import functions as F
 from lakeline.functions import fixed
 
 INTERCEPT = "intercept"
+BATCHES = 64   # updates of one epoch of mini-batch descent, whatever the number of rows
+CELLS = 8      # hash cells that make one batch
 
 
 def _cols(features: list[str], intercept: bool) -> list[Column]:
@@ -102,29 +103,24 @@ def fit_gd(df: DataFrame, features: list[str], target: str, rate: float = fixed.
 
 
 def fit_minibatch(df: DataFrame, key: str, features: list[str], target: str, epochs: int = fixed.MINIBATCH_EPOCHS,
-                  batch_size: int = fixed.MINIBATCH_SIZE, t0: float = fixed.MINIBATCH_T0,
+                  batches: int = BATCHES, t0: float = fixed.MINIBATCH_T0,
                   t1: float = fixed.MINIBATCH_T1, seed: int = 42,
                   intercept: bool = True) -> Linear:
     """Mini-batch descent with a t0 / (t + t1) learning schedule.
 
-    Each epoch reshuffles rows into ceil(m / batch_size) batches by a seeded
-    hash of the key (repeatable, partition-independent).  The per-batch sums
-    of all epochs come from one grouped aggregate and are streamed to the
-    driver in (epoch, batch) order, one partition at a time; the updates,
-    inherently sequential, are applied there."""
+    Rows fall into ``batches`` x ``CELLS`` cells by a seeded hash of the key
+    (repeatable, partition-independent), and one aggregate sums each cell.
+    Every epoch deals the cells anew into ``batches`` batches, and each batch
+    is one update.  The updates are sequential by nature; the driver holds
+    batches x CELLS x d² numbers, whatever the number of rows."""
     d = len(features) + intercept
-    m = df.filter(F.col(target).isNotNull()).count()
-    n_batches = max(1, math.ceil(m / batch_size))
-    ep = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")
-    with_epoch = df.select("*", ep)
-    batch = F.pmod(F.xxhash64(F.col(key), F.col("epoch"), F.lit(seed)), F.lit(n_batches))
-    per_batch = gram(with_epoch.withColumn("batch", batch), features, target, intercept,
-                     group=[F.col("epoch"), F.col("batch")]).orderBy("epoch", "batch")
-    theta = np.zeros(d)
-    step = 0
-    for row in per_batch.toLocalIterator():
-        G, b, mb = _unpack(row, d)
-        eta = t0 / (step + t1)
-        theta = theta - eta * (2.0 / mb) * (G @ theta - b)
-        step += 1
+    cell = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(batches * CELLS))
+    sums = gram(df, features, target, intercept, group=[cell.alias("cell")]).orderBy("cell").collect()
+    cells = [_unpack(row, d) for row in sums]
+    deal, theta, step = np.random.default_rng(seed), np.zeros(d), 0
+    for _ in range(epochs):
+        for part in np.array_split(deal.permutation(len(cells)), min(batches, len(cells))):
+            G, b, m = (sum(x) for x in zip(*[cells[k] for k in part], strict=True))
+            theta = theta - t0 / (step + t1) * (2.0 / m) * (G @ theta - b)
+            step += 1
     return Linear(_terms(features, intercept), theta)

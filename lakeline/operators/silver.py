@@ -105,6 +105,7 @@ def bronze_trips(raw: DataFrame) -> DataFrame:
         F.col("DOLocationID").cast("int").alias("dropoff_location"),
         F.col("passenger_count").cast("int").alias("passengers_count"),
         F.col("tip_amount").cast("decimal(10,2)").alias("tip_amount"),
+        F.col("tolls_amount").cast("decimal(10,2)").alias("tolls_amount"),
         F.col("total_amount").cast("decimal(10,2)").alias("total_amount"),
         duration_minutes_exact("tpep_pickup_datetime", "tpep_dropoff_datetime")
         .alias("trip_duration_minutes"),

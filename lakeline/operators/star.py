@@ -1,8 +1,9 @@
 """Star-schema building blocks: surrogate keys, dimensions, allocation.
 
-Allocation is written with aggregates and key joins only (no window over an
-order), so an order holding a third of all lines is split by AQE's skew-join
-handling instead of landing whole in one task.
+Allocation joins the lines once, with a stored table of one row per order: no
+window over an order and no aggregate right under the join, so AQE can split
+an order that holds a third of all lines.  The cents that rounding leaves over
+concern last lines only, one row per order.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeline.functions.exprs import date_key
 from lakeline.operators.keys import ordinal
+from lakeline.session import stored
 
 
 def surrogate_keys(df: DataFrame, natural: list[str], key: str,
@@ -66,6 +68,22 @@ def _cents(c: str) -> str:
     return f"CAST(`{c}` * 100 AS BIGINT)"
 
 
+def line_shares(lines: DataFrame, per_order: DataFrame, order_id: str, line_no: str, weight: str, amounts: list[str]) -> DataFrame:
+    """Lines with each amount's share in whole cents (``__s_<amount>``).
+
+    ``per_order``: a stored table, so both sides of the join are plain
+    exchanges and AQE can split a hot order."""
+    wc, tc = _cents(weight), _cents("__w_total")
+    shares = {}
+    for a in amounts:
+        ac = _cents(a)
+        # half-up of ac*wc/tc in integer cents (all amounts >= 0)
+        prop = F.expr(f"(2 * {ac} * {wc} + {tc}) div (2 * {tc})")
+        eq = F.expr(f"(2 * {ac} + __n_lines) div (2 * __n_lines)")
+        shares[f"__s_{a}"] = F.when(F.col("__w_total") == 0, eq).otherwise(prop).cast("bigint")
+    return lines.join(per_order, order_id).withColumns(shares | {"__is_last": F.col(line_no) == F.col("__last")})
+
+
 def allocate(lines: DataFrame, orders: DataFrame, order_id: str, line_no: str,
              weight: str, amounts: list[str], carry: list[str] | None = None) -> DataFrame:
     """Split order-level amounts over its lines in proportion to ``weight``.
@@ -81,25 +99,15 @@ def allocate(lines: DataFrame, orders: DataFrame, order_id: str, line_no: str,
         F.count(F.lit(1)).alias("__n_lines"),
         F.max(line_no).alias("__last"),
     )
-    x = lines.join(totals, order_id).join(orders.select(order_id, *amounts, *(carry or [])), order_id)
-    wc, tc = _cents(weight), _cents("__w_total")
-    shares = {}
-    for a in amounts:
-        ac = _cents(a)
-        # half-up of ac*wc/tc in integer cents (all amounts >= 0)
-        prop = F.expr(f"(2 * {ac} * {wc} + {tc}) div (2 * {tc})")
-        eq = F.expr(f"(2 * {ac} + __n_lines) div (2 * __n_lines)")
-        shares[f"__s_{a}"] = F.when(F.col("__w_total") == 0, eq).otherwise(prop).cast("bigint")
-    # line-level shares feed both the per-order sums and the final rows:
-    # materialise them once instead of re-joining lines, totals and orders twice
-    x = x.withColumns(shares).checkpoint(eager=True)
+    headers = orders.select(order_id, *amounts, *(carry or []))
+    per_order = stored(totals.join(headers, order_id), "order-totals")
+    kept = [*lines.columns, *[c for c in carry or [] if c not in lines.columns]]
+    x = stored(line_shares(lines, per_order, order_id, line_no, weight, amounts).select(
+        *kept, *[f"__s_{a}" for a in amounts], "__is_last"), "line-shares")
     sums = x.groupBy(order_id).agg(*[F.sum(f"__s_{a}").alias(f"__t_{a}") for a in amounts])
-    x = x.join(sums, order_id)
-    outs = {}
-    for a in amounts:
-        last_fix = F.when(F.col(line_no) == F.col("__last"),
-                          F.expr(_cents(a)) - F.col(f"__t_{a}")).otherwise(0)
-        outs[f"allocated_{a}"] = from_cents(F.col(f"__s_{a}") + last_fix)
-    x = x.withColumns(outs)
-    drop = ["__w_total", "__n_lines", "__last", *amounts, *[f"__s_{a}" for a in amounts], *[f"__t_{a}" for a in amounts]]
-    return x.drop(*drop)
+    over = per_order.join(sums, order_id).select(
+        order_id, *[(F.expr(_cents(a)) - F.col(f"__t_{a}")).alias(f"__o_{a}") for a in amounts])
+    outs = [from_cents(F.col(f"__s_{a}")).alias(f"allocated_{a}") for a in amounts]
+    fixed_up = [from_cents(F.col(f"__s_{a}") + F.col(f"__o_{a}")).alias(f"allocated_{a}") for a in amounts]
+    last = x.filter("__is_last").join(over, order_id).select(*kept, *fixed_up)
+    return x.filter("NOT __is_last").select(*kept, *outs).unionByName(last)

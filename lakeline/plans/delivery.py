@@ -22,7 +22,7 @@ from lakeline.functions.exprs import date_key, duration_minutes, money
 from lakeline.operators import star
 from lakeline.operators.keys import ordinal
 from lakeline.plans.tables import Tables
-from lakeline.session import scratch_path
+from lakeline.session import stored
 
 def _memo(fn):
     """Build a frame once per Tables handle, so a query that needs a
@@ -42,20 +42,17 @@ def _stored(fn):
     its size in bytes, so a small dimension is broadcast and a fact is never
     shuffled on a key of few values."""
     def build(t: Tables) -> DataFrame:
-        df = fn(t)
-        path = scratch_path(t.spark, fn.__name__)
-        df.write.parquet(path)
-        return t.spark.read.schema(df.schema).parquet(path)
+        return stored(fn(t), fn.__name__)
     build.__name__ = fn.__name__
     build.__doc__ = fn.__doc__
     return _memo(build)
 
 
-def store_dimensions(t: Tables) -> None:
-    """Write the fact's dimensions side by side: their jobs are small."""
-    made = [dim_city, dim_customer, dim_restaurant, dim_product, dim_payment_method, dim_promotion]
+def side_by_side(t: Tables, *made) -> list[DataFrame]:
+    """Build frames that don't need each other at the same time: the small jobs
+    of the dimensions fill the gaps of the large ones."""
     with ThreadPoolExecutor(len(made)) as pool:
-        list(pool.map(lambda f: f(t), made))
+        return list(pool.map(lambda f: f(t), made))
 
 
 # Fixed values of ours: cuisine labels by s_suppkey mod 5, in this order.
@@ -222,8 +219,8 @@ def allocated_lines(t: Tables, carry: list[str] | None = None) -> DataFrame:
 
 @_memo
 def star_fact(t: Tables) -> DataFrame:
-    store_dimensions(t)
-    f = allocated_lines(t, HEADER)
+    f, *_ = side_by_side(t, lambda t: allocated_lines(t, HEADER), dim_city, dim_customer, dim_restaurant, dim_product,
+                         dim_payment_method, dim_promotion)
     # Dimension sides are left to the planner, which knows their stored size.
     city = dim_city(t).select("city_id", "city_key")
     pm = dim_payment_method(t)

@@ -151,9 +151,9 @@ SELECT row_key, {_std_sql('tax', 'train_imp', alias='num__tax')}, {_std_sql('qua
        CASE WHEN flag_n = 'R' THEN 1.0 ELSE 0.0 END AS cat__flag_n_R
 FROM cat""")
 def q_prep_mixed(t):
-    steps = pp.fit_mixed(train(t), ["tax", "quantity"], ["flag_n"], digits=D)
-    out = steps.transform(feats(t).select("row_key", "tax", "quantity", "flag_n"))
-    return out
+    cols = ["row_key", "tax", "quantity", "flag_n"]
+    steps = pp.fit_mixed(train(t).select(cols), leave=["row_key"], digits=D)
+    return steps.transform(feats(t).select(cols))
 
 
 @query("outlier_zscore", FEATS_SQL + f"""

@@ -45,7 +45,7 @@ def q_ols_gd(t):
 
 @query("ols_minibatch")
 def q_ols_minibatch(t):
-    """Mini-batch descent, 50 epochs of batches of 20, t0/(t+t1) schedule, on
+    """Mini-batch descent, 50 epochs of 64 batches, t0/(t+t1) schedule, on
     the standardised feature.  Stochastic: checked against the closed form
     within a tolerance in tests, not by SQL."""
     h = housing(t)

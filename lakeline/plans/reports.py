@@ -55,12 +55,13 @@ def q_trips_by_zone_month(t):
 @query("silver_trips", TRIPS_CTE + """
 SELECT trip_order, trip_line, "VendorID", pickup_ts, dropoff_ts, passenger_count, trip_distance,
        "PULocationID", "DOLocationID", CAST(fare_amount AS DOUBLE) AS fare_amount,
-       CAST(tip_amount AS DOUBLE) AS tip_amount, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(tip_amount AS DOUBLE) AS tip_amount, CAST(tolls_amount AS DOUBLE) AS tolls_amount,
+       CAST(total_amount AS DOUBLE) AS total_amount,
        pickup_date, pickup_month, pickup_hour, trip_duration_min
 FROM silver_trips
 """)
 def q_silver_trips(t):
-    return _money_as_double(silver_trips(t), ["fare_amount", "tip_amount", "total_amount"])
+    return _money_as_double(silver_trips(t), ["fare_amount", "tip_amount", "tolls_amount", "total_amount"])
 
 
 @query("enrich_left", TRIPS_CTE + """
@@ -144,22 +145,24 @@ def q_event_gaps(t):
 
 @query("bronze_trips", BRONZE_CTE + """
 SELECT vendor_id, pickup_ts, dropoff_ts, pickup_location, dropoff_location, passengers_count,
-       CAST(tip_amount AS DOUBLE) AS tip_amount, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(tip_amount AS DOUBLE) AS tip_amount, CAST(tolls_amount AS DOUBLE) AS tolls_amount,
+       CAST(total_amount AS DOUBLE) AS total_amount,
        trip_duration_minutes
 FROM bronze_trips
 """)
 def q_bronze_trips(t):
-    return _money_as_double(silver.bronze_trips(views.raw_trips(t)), ["tip_amount", "total_amount"])
+    return _money_as_double(silver.bronze_trips(views.raw_trips(t)), ["tip_amount", "tolls_amount", "total_amount"])
 
 
 @query("silver_joined", BRONZE_CTE + """
 SELECT vendor_id, pickup_ts, dropoff_ts, pickup_location, dropoff_location, passengers_count,
-       CAST(tip_amount AS DOUBLE) AS tip_amount, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(tip_amount AS DOUBLE) AS tip_amount, CAST(tolls_amount AS DOUBLE) AS tolls_amount,
+       CAST(total_amount AS DOUBLE) AS total_amount,
        trip_duration_minutes, pickup_location_name, dropoff_location_name
 FROM silver_joined
 """)
 def q_silver_joined(t):
-    return _money_as_double(joined(t), ["tip_amount", "total_amount"])
+    return _money_as_double(joined(t), ["tip_amount", "tolls_amount", "total_amount"])
 
 
 @query("daily_zone_fact", BRONZE_CTE + """

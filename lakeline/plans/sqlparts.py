@@ -10,7 +10,8 @@ raw_trips AS (
          CAST(c.c_nationkey AS BIGINT) AS "DOLocationID",
          CAST(l.l_extendedprice AS DECIMAL(14,2)) AS fare_amount,
          CAST(CAST(l.l_extendedprice AS DECIMAL(14,2)) * CAST(l.l_tax AS DECIMAL(5,4)) AS DECIMAL(20,6)) AS tip_amount,
-         CAST(CAST(l.l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l.l_discount AS DECIMAL(5,4))) AS DECIMAL(20,6)) AS total_amount
+         CAST(CAST(l.l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l.l_discount AS DECIMAL(5,4))) AS DECIMAL(20,6)) AS total_amount,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(14,2)) * CAST(l.l_discount AS DECIMAL(5,4)) AS DECIMAL(20,6)) AS tolls_amount
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
@@ -29,7 +30,7 @@ silver_trips AS (
     SELECT trip_order, trip_line, "VendorID",
            tpep_pickup_datetime AS pickup_ts, tpep_dropoff_datetime AS dropoff_ts,
            passenger_count, trip_distance, "PULocationID", "DOLocationID",
-           fare_amount, tip_amount, total_amount,
+           fare_amount, tip_amount, tolls_amount, total_amount,
            CAST(tpep_pickup_datetime AS DATE) AS pickup_date,
            strftime(tpep_pickup_datetime, '%Y-%m') AS pickup_month,
            hour(tpep_pickup_datetime) AS pickup_hour,
@@ -57,6 +58,7 @@ bronze_trips AS (
          CAST("DOLocationID" AS INTEGER) AS dropoff_location,
          CAST(passenger_count AS INTEGER) AS passengers_count,
          CAST(tip_amount AS DECIMAL(10,2)) AS tip_amount,
+         CAST(tolls_amount AS DECIMAL(10,2)) AS tolls_amount,
          CAST(total_amount AS DECIMAL(10,2)) AS total_amount,
          (epoch_us(tpep_dropoff_datetime) - epoch_us(tpep_pickup_datetime)) / 60000000.0 AS trip_duration_minutes
   FROM raw_trips

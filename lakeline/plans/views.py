@@ -7,6 +7,7 @@ expect (mapping in SURVEY §7.3):
     pickup ts  = o_orderdate          drop-off ts   = l_shipdate
     distance   = l_quantity           fare          = l_extendedprice
     tip        = fare * l_tax         total         = fare * (1 - l_discount)
+    tolls      = fare * l_discount
     pickup loc = supplier nation      drop-off loc  = customer nation
     passengers = l_linenumber - 1
 
@@ -53,6 +54,7 @@ def raw_trips(t: Tables) -> DataFrame:
             F.col("c_nationkey").cast("bigint").alias("DOLocationID"),
             fare.alias("fare_amount"),
             (fare * rate("l_tax")).cast(AMOUNT).alias("tip_amount"),
+            (fare * rate("l_discount")).cast(AMOUNT).alias("tolls_amount"),
             (fare * (F.lit(1) - rate("l_discount"))).cast(AMOUNT).alias("total_amount"),
         )
     )

@@ -191,7 +191,8 @@ FROM fact f JOIN dim_date d ON f.order_date_key = d.date_key JOIN dim_city c ON
 JOIN dim_restaurant r ON f.restaurant_key = r.restaurant_key
 GROUP BY d.year_month, c.region, r.cuisine""")
 def q_star_q1(t):
-    return dl.star_q1(dl.star_fact(t), t)
+    fact, _ = dl.side_by_side(t, dl.star_fact, dl.dim_date)
+    return dl.star_q1(fact, t)
 
 
 @query("star_q2", DELIVERY_SQL + f"""
@@ -215,7 +216,9 @@ def q_star_q3(t):
 
 # --- upsert and incremental merge (D1, D2) -------------------------------
 
-from lakeline.operators import merge  # noqa: E402
+from lakeline.operators import gold, merge  # noqa: E402
+from lakeline.plans import reports  # noqa: E402
+from lakeline.plans.sqlparts import BRONZE_CTE  # noqa: E402
 
 # Fixed values of ours: two overlapping extract windows that cover all time.
 W1 = ("1970-01-01 00:00:00", "2024-01-16 13:17:00")
@@ -287,11 +290,31 @@ def q_incremental_daily(t):
     return t.spark.read.parquet(path).select("event_date", "event_type", "events", "total_value", "max_value")
 
 
+ZONE_CUT = "1998-02-15 00:00:00"  # first run's source ends here, in mid-month
+
+
+def _zone_fact(trips):
+    return gold.daily_zone_fact(trips).withColumn("pickup_month", F.trunc("pickup_date", "month"))
+
+
+@query("incremental_zone_fact", BRONZE_CTE + """
+SELECT CAST(date_trunc('day', pickup_ts) AS DATE) AS pickup_date, pickup_location, pickup_location_name,
+       count(*) AS trips, round(avg(trip_duration_minutes), 6) AS avg_trip_duration_minutes,
+       CAST(round(sum(total_amount), 2) AS DOUBLE) AS total_amount
+FROM silver_joined GROUP BY 1, 2, 3""")
+def q_incremental_zone_fact(t):
+    """The zone fact in two runs, merged on (pickup_date, pickup_location) into
+    month folders: the second rebuilds from the last loaded month on."""
+    trips, keys = reports.joined(t), ["pickup_date", "pickup_location"]
+    first = trips.filter(F.col("pickup_ts") < F.lit(ZONE_CUT).cast("timestamp_ntz"))
+    path = merge.incremental_load(None, first, "pickup_ts", "pickup_month", _zone_fact, keys)
+    path = merge.incremental_load(path, trips, "pickup_ts", "pickup_month", _zone_fact, keys)
+    return t.spark.read.parquet(path).drop("pickup_month")
+
+
 # --- data tests (T1-T4) ---------------------------------------------------
 
 from lakeline.operators import checks  # noqa: E402
-from lakeline.plans import reports  # noqa: E402
-from lakeline.plans.sqlparts import BRONZE_CTE  # noqa: E402
 
 
 @query("test_not_null", BRONZE_CTE + """
@@ -336,8 +359,7 @@ def q_test_relationships(t):
     a = checks.run_tests(reports.joined(t), [checks.Relationship("pickup_location", zones, "location_id")])
     b = checks.run_tests(t.lineitem, [checks.Relationship("l_partkey", t.part, "p_partkey")])
     # orders without lines: a reverse relationship that does fail on this data
-    c = checks.run_tests(t.orders.withColumnRenamed("o_orderkey", "o_orderkey"),
-                         [checks.Relationship("o_orderkey", t.lineitem, "l_orderkey")])
+    c = checks.run_tests(t.orders, [checks.Relationship("o_orderkey", t.lineitem, "l_orderkey")])
     c = c.withColumn("test", F.lit("relationships:o_orderkey->l_orderkey"))
     return a.unionByName(b).unionByName(c)
 

@@ -14,7 +14,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours should carry.  Shuffle width is left to
 # the caller: 8 suits local[8]; a 1000-executor cluster wants thousands,
@@ -116,3 +116,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _OWN: set[str] = set()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the scratch folder: its lineage ends there,
+    and later plans know its size in bytes, so joins with it can be broadcast
+    or, where its keys are hot, split."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -103,6 +103,20 @@ def test_solvers_agree(spark, tables):
     assert np.allclose(gd, closed, rtol=1e-8)
     mb = regress.fit_minibatch(scaled, "row_key", ["quantity"], "price", epochs=5).coef
     assert abs(mb[0] - closed[0]) / abs(closed[0]) < 0.2
+    # Fewer rows than batches, and rows without a feature, do no harm.
+    few = spark.createDataFrame([(k, float(k), 2.0 * k + 1) for k in range(-5, 6)] + [(99, None, 1.0)], "row_key long, x double, y double")
+    assert np.allclose(regress.fit_minibatch(few, "row_key", ["x"], "y", epochs=400, t0=20.0).coef, [1.0, 2.0], atol=1e-3)
+
+
+def test_mixed_preparation_picks_columns_by_type(spark):
+    import datetime
+
+    day = datetime.date(2024, 1, 1)
+    df = spark.createDataFrame([("k1", 1.0, 2, "a", day), ("k2", None, 4, None, day), ("k3", 3.0, 6, "b", day)],
+                               "key string, x double, n int, c string, d date")
+    out = prepare.fit_mixed(df, leave=["key"]).transform(df)
+    assert set(out.columns) == {"key", "d", "num__x", "num__n", "cat__c_a", "cat__c_b"}
+    assert out.filter("key = 'k2'").select("num__x").first()[0] == 0.0
 
 
 def test_unknown_category_is_all_zeros(spark):

@@ -8,7 +8,8 @@ from oracle_check import compare, duck
 from lakeline.plans.registry import load_all
 
 KEYS = ["revenue_by_zone_month", "silver_joined", "star_fact", "star_q2", "upsert_raw", "test_unique",
-        "layout_hash", "describe_numeric", "prep_mixed", "ols_normal", "stream_ingest"]
+        "layout_hash", "describe_numeric", "prep_mixed", "ols_normal", "stream_ingest",
+        "incremental_zone_fact", "corr_rank"]
 SF = "/root/testdata/sf0.001"
 
 

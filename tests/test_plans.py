@@ -97,3 +97,25 @@ def test_merge_reads_and_writes_only_touched_folders(spark):
     assert [d for d in before if before[d] != after[d]] == ["part=3"]
     rows = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
     assert len(rows) == 100 and rows[3] == "new" and rows[13] == "old"
+
+
+def test_allocation_join_splits_a_hot_order(spark):
+    from lakeline.operators import star
+    from lakeline.session import stored
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    lines = stored(spark.range(60_000).repartition(6).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS o", "CAST(id AS INT) AS ln", "CAST(id % 7 + 1 AS DECIMAL(14,2)) AS w"), "hot-lines")
+    totals = lines.groupBy("o").agg(F.sum("w").alias("__w_total"), F.count("*").alias("__n_lines"), F.max("ln").alias("__last"))
+    per_order = stored(totals.withColumn("amt", F.lit(100).cast("decimal(14,2)")), "hot-orders")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        x = star.line_shares(lines, per_order, "o", "ln", "w", ["amt"])
+        assert len(x.collect()) == 60_000
+        assert "skew=true" in _plan(x)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
