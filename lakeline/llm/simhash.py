@@ -292,6 +292,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     found = near_duplicates(docs, id_col, text_col)
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    left = docs.join(growing(written(gone, "gone")), F.col(id_col) == F.col("_gone"), "left_anti")
+    # Rows without an id all stay: they take no part in the joins on ids, where
+    # they would meet in one task.
+    named, nameless = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
+    left = named.join(growing(written(gone, "gone")), F.col(id_col) == F.col("_gone"), "left_anti")
     once = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    return left.withColumn("_row", F.row_number().over(once)).where((F.col("_row") == 1) | F.col(id_col).isNull()).select(*docs.columns)
+    return left.withColumn("_row", F.row_number().over(once)).where("_row = 1").select(*docs.columns).unionByName(nameless)
