@@ -12,7 +12,9 @@ Words: runs of a-z, 0-9 and non-ASCII characters after lower-casing A-Z.
 Scale: documents are never shuffled.  The test items are the only shared data:
 they are taken in blocks of at most ``BLOCK_WORDS`` words, each block one
 broadcast automaton and one pass over the documents, so memory is bounded for
-a benchmark of any size.  Before the automaton runs, a vectorised filter keeps
+a benchmark of any size.  Cuts are decided on the hits of all blocks together;
+with more than one block, cut texts alone are read again by all of them, as
+many rounds as the most nested document needs.  Before the automaton runs, a vectorised filter keeps
 the runs of words whose neighbouring pairs all occur in an item: a longer
 passage cannot be anywhere else.  Word lookups use 64-bit hashes; every hit is
 then compared byte by byte.
@@ -25,14 +27,15 @@ are judged alike.  Without items nothing is hit.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeline.llm.common import ALNUM, Words, lower, out_batches, row_ranges, text_bytes, written
+from lakeline.session import scratch_path
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
@@ -216,13 +219,19 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """(id, text, n_words, n_hit, longest, items array<string>, spans
     array<struct<first, last>>) of every document; spans: hit words, numbered
     from 0, merged."""
-    spark = docs.sparkSession
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
+    send = docs.sparkSession.sparkContext.broadcast
+    out = _marked(docs, F.col(id_col), F.col(text_col), map(send, automata(items, item_col, item_text, window, block_words)))
+    return out.withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)
+
+
+def _marked(docs: DataFrame, row: Column, text: Column, blocks: Iterable) -> DataFrame:
+    """``decontaminate`` over broadcast blocks; ``row`` goes along as ``id``."""
+    out = docs.select(row.alias("id"), text.alias("text"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
                       F.lit(0).cast("long").alias("longest"), F.array().cast("array<string>").alias("items"),
                       F.array().cast("array<struct<first:long,last:long>>").alias("spans"))
-    for k, a in enumerate(automata(items, item_col, item_text, window, block_words)):
-        out = _pass(written(out, "block") if k else out, spark.sparkContext.broadcast(a))
-    return out.withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)
+    for k, shared in enumerate(blocks):
+        out = _pass(written(out, "block") if k else out, shared)
+    return out
 
 
 def _spans(marks: np.ndarray) -> list[dict[str, int]]:
@@ -257,6 +266,14 @@ def _pass(docs: DataFrame, shared) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
+def without(raw: np.ndarray, words: Words, spans: list[dict[str, int]]) -> str:
+    """The text without the words of ``spans``."""
+    keep = np.ones(len(raw), bool)
+    for s in spans:
+        keep[words.start[s["first"]]: words.end[s["last"]]] = False
+    return raw[keep].tobytes().decode()
+
+
 def cut(a: Automaton, text: str, max_coverage: float) -> str | None:
     """The text without its hit words; None if too much of it is hit.  What a
     cut brings together is read again, until nothing is hit."""
@@ -269,37 +286,66 @@ def cut(a: Automaton, text: str, max_coverage: float) -> str | None:
         if first and hit.mean() > max_coverage:
             return None
         first = False
-        keep = np.ones(len(raw), bool)
-        for s in _spans(hit):
-            keep[words.start[s["first"]]: words.end[s["last"]]] = False
-        text = raw[keep].tobytes().decode()
+        text = without(raw, words, _spans(hit))
+
+
+def _cut_by_one(docs: DataFrame, at: int, shared, max_coverage: float) -> DataFrame:
+    """``cut`` by a single block, in one pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, off = text_bytes(b.column(at))
+            texts, keep = {}, np.ones(b.num_rows, bool)
+            for lo, hi in row_ranges(off):
+                words, hit, _, _ = scan(shared.value, data[off[lo]: off[hi]], off[lo: hi + 1] - off[lo])
+                for r in np.unique(words.rows()[hit]):
+                    row = lo + int(r)
+                    texts[row] = cut(shared.value, b.column(at)[row].as_py(), max_coverage)
+                    keep[row] = texts[row] is not None
+            if texts:
+                column = b.column(at).to_pylist()
+                for row, t in texts.items():
+                    column[row] = t
+                b = b.set_column(at, b.schema.field(at), pa.array(column, b.schema.field(at).type))
+            yield b.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _cut_by_all(docs: DataFrame, at: int, blocks: list, max_coverage: float) -> DataFrame:
+    """What ``cut`` gives with all blocks in one: each round marks the words
+    that any block hits, then cuts; cut texts go through a further round."""
+    spark, names = docs.sparkSession, [f"`{c}`" for c in docs.columns]
+    now = docs.select(F.struct(F.lit(0).alias("_"), *(n for k, n in enumerate(names) if k != at)).alias("row"), F.col(names[at]).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = []
+            for text, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
+                raw = np.frombuffer(text.encode(), np.uint8)
+                texts.append(without(raw, Words(lower(raw), np.array([0, len(raw)], np.int64), ALNUM), spans))
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(texts, b.column("text").type)], ["row", "text"])
+
+    paths = []
+    while True:
+        marked = _marked(now, F.col("row"), F.col("text"), blocks)
+        paths.append(scratch_path(spark, "marked"))
+        marked.write.parquet(paths[-1])
+        hit = spark.read.schema(marked.schema).parquet(paths[-1]).where("n_hit > 0")
+        if len(paths) == 1:  # coverage is a share of the original text
+            hit = hit.where(F.col("n_hit") / F.col("n_words") <= max_coverage)
+        if hit.isEmpty():
+            break
+        now = written(hit.mapInArrow(run, now.schema), "cut")
+    clean = spark.read.schema(marked.schema).parquet(*paths).where("n_hit = 0")
+    return clean.select(*(F.col("text").alias(c) if k == at else F.col("id")[c].alias(c) for k, c in enumerate(docs.columns)))
 
 
 def remove_passages(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", length_col: str | None = None,
                     window: int = WINDOW, max_coverage: float = MAX_COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with hit passages cut out of the text and documents over
     ``max_coverage`` dropped; ``length_col``, if given, gets the new length."""
-    spark, at = docs.sparkSession, docs.columns.index(text_col)
-    out = docs
-    for k, a in enumerate(automata(items, item_col, item_text, window, block_words)):
-        shared = spark.sparkContext.broadcast(a)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                data, off = text_bytes(b.column(at))
-                texts, keep = {}, np.ones(b.num_rows, bool)
-                for lo, hi in row_ranges(off):
-                    words, hit, _, _ = scan(shared.value, data[off[lo]: off[hi]], off[lo: hi + 1] - off[lo])
-                    for r in np.unique(words.rows()[hit]):
-                        row = lo + int(r)
-                        texts[row] = cut(shared.value, b.column(at)[row].as_py(), max_coverage)
-                        keep[row] = texts[row] is not None
-                if texts:
-                    column = b.column(at).to_pylist()
-                    for row, t in texts.items():
-                        column[row] = t
-                    b = b.set_column(at, b.schema.field(at), pa.array(column, b.schema.field(at).type))
-                yield b.filter(pa.array(keep))
-
-        out = (written(out, "block") if k else out).mapInArrow(run, docs.schema)
+    at = docs.columns.index(text_col)
+    blocks = [docs.sparkSession.sparkContext.broadcast(a) for a in automata(items, item_col, item_text, window, block_words)]
+    out = _cut_by_one(docs, at, blocks[0], max_coverage) if len(blocks) == 1 else _cut_by_all(docs, at, blocks, max_coverage)
     return out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType)) if length_col else out

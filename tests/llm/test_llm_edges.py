@@ -60,6 +60,22 @@ def test_decontaminate(odd, none, items):
     assert decontaminate.remove_passages(none, items).count() == 0
 
 
+def test_removal_does_not_depend_on_blocks(spark):
+    items = spark.createDataFrame([("p", "a b c"), ("q", "c d e"), ("r", "k l m"), ("s", "x y z")], "item_id string, text string")
+    rows = [(1, "a b c 1 2 3 4 k l m"),             # 30 % and 30 %: over half
+            (2, "a b c 1 2 3 k l m 4 5 6 7"),       # 3 of 13 and 3 of 13; of the ten words left, 3 more
+            (3, "1 2 3 4 a b c d e 5 6"),           # the items overlap
+            (4, "1 2 3 4 a b x y z c 5 6 7 8 9"),   # the last item's cut joins the first one's words
+            (5, "1 2 3 4 a k l x y z m b c 5 6 7 8 9 10 11 12"), (6, "clean"), (7, None), (2, "a b c 1 2 3 k l m 4 5 6 7")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("'x' AS id", "*", "'y' AS spans", "0 AS n_chars")
+    want = [[2, "1 2 3 4 5 6 7"]] * 2 + [[3, "1 2 3 4 5 6"], [4, "1 2 3 4 5 6 7 8 9"], [5, "1 2 3 4 5 6 7 8 9 10 11 12"], [6, "clean"], [7, None]]
+    for size in (3, 6, 100):
+        out = decontaminate.remove_passages(docs, items, length_col="n_chars", window=3, block_words=size)
+        got = by_id(out, "text", "n_chars")
+        assert [[i, t and " ".join(t.split())] for i, t, _ in got] == want, size
+        assert all(n == (None if t is None else len(t)) for _, t, n in got) and out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes)
+
+
 def test_spans_and_longest(odd, items):
     row = decontaminate.decontaminate(odd, items).where("doc_id = 3").first()
     assert [(s.first, s.last) for s in row.spans] == [(2, 13)] and row.longest == 12
