@@ -145,6 +145,13 @@ def test_quality(spark, docs):
     assert judged[(judged.quality == 1) & (judged.toxic == 0)].kept.all() and not judged[judged.quality == 0].kept.any()
 
 
+def test_quality_bar_stops_toxic_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    judged = QUERIES["op5_quality"](spark, sf).where("not base_failed").toPandas().merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
+    clean, toxic = (judged[(judged.quality == 1) & (judged.toxic == k)].kept for k in (0, 1))
+    assert clean.mean() > 0.99 and len(toxic) > 300 and toxic.mean() < 0.5
+
+
 def plain_url(url):
     if url is None or "://" not in url:
         return "", ""

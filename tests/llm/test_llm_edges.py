@@ -183,6 +183,29 @@ def test_quality(odd, none, labels):
     assert quality.quality(none, labels).count() == 0 and quality.keep_good(none, labels).count() == 0
 
 
+def test_quality_bar(spark):
+    assert [quality.limit_rank(n) for n in (0, 1, 458, 459, 1000)] == [0, 0, 0, 1, 3]
+    texts = [" ".join(f"w{k * (i + 3) % (i + 7)} x{i % 5}" for k in range(12)) for i in range(600)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (700, "other " * 30), (1, texts[1])], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "if(doc_id = 700, 1, 0) AS toxic")
+    bucket = [quality.gram_buckets(np.frombuffer(t.encode(), np.uint8)) for t in [*texts, texts[0], "other " * 30, texts[1]]]
+    failed = quality.judge(quality.measure(docs.select("text").toArrow().column(0).combine_chunks(), np.zeros(1 << 16, np.int64)), 0)[0]
+    count = [np.bincount(b, minlength=1 << 16).astype(float) for b in bucket]
+    raw, target = sum(count), sum(count[:600]) + count[602]
+    scores = {}
+    for i in range(600):
+        if not failed[i]:
+            rest = target - count[i]
+            scores[i] = int(quality.log_ratios(rest, raw, rest.sum(), raw.sum())[bucket[i]].sum()) // len(bucket[i])
+    rank = quality.limit_rank(len(scores))
+    bar = quality.trusted_bar(docs, "doc_id", "text", [*range(600)], target, raw)
+    assert bar == (sorted(scores.values())[rank - 1] / quality.SCALE if rank else quality.THRESHOLD) and rank > 0
+    got = quality.quality(docs, labels).toPandas()
+    assert (got.kept == (~got.base_failed & (got.llr >= bar))).all()
+    # Too few trusted documents: the fixed bar.
+    assert quality.trusted_bar(docs, "doc_id", "text", [*range(100)], target, raw) == quality.THRESHOLD
+
+
 def test_urls(spark):
     rows = [(1, "https://a.example.org/es/x?y=1"), (2, None), (3, "no scheme"), (4, "HTTP://ExAmple.ORG/en/12#f"), (4, "HTTP://ExAmple.ORG/en/12#f"), (None, "http://forg/"),
             (5, "http://org"), (6, "x://a.com/de/1"), (7, "http://b.com/fr/" + "9" * 50_000), (8, "http://?q=a://b")]
