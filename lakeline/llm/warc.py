@@ -14,14 +14,17 @@ ones dropped.
 
 Defined results: a null or empty url is a canonical url of its own (empty).
 Records of the same time are no earlier ones.  Of responses of one url and
-time the greater id counts as later.  Null headers are none.  Each revisit row
-gives one row; empty tables give none.
+time the greater id counts as later, then the greater validators; of those
+equal in all, the one with the greatest digest and headers gives them.  Null
+headers are none.  Each revisit row gives one row, also with a null or repeated
+id; empty tables give none.
 
-Scale: (url, time, id, validators) are range-partitioned, so one url's records
+Scale: (url, time, id, validators), with each revisit's headers, are range-partitioned, so one url's records
 spread over many tasks; each slice is resolved by a window, and what a slice
 cannot know - the last response before it - is carried over by one row for
-each (url, slice).  Headers come by a join on the response's id, against
-written tables, so AQE can split a response that many revisits share.
+each (url, slice).  Headers come by a join on the response's url, time, id and
+validators, against written tables, so AQE can split a response that many
+revisits share.
 """
 
 from __future__ import annotations
@@ -72,11 +75,11 @@ def header_lines(headers: Column) -> Column:
 
 
 def as_of(rows: DataFrame) -> DataFrame:
-    """(record_id, found) of each revisit; found: struct of the latest earlier
-    response, null if there is none.  ``rows``: (record_id, curl, ts, response
-    boolean, etag, last_modified)."""
+    """The revisits of ``rows`` with a column found: struct of the latest
+    earlier response, null if there is none.  ``rows``: (record_id, curl, ts,
+    response boolean, etag, last_modified) and others, which go along."""
     # Revisits go before responses of the same time: those are not earlier.
-    order = ["ts", "response", "record_id"]
+    order = ["ts", "response", "record_id", "etag", "last_modified"]
     sliced = written(rows.repartitionByRange(tasks(rows.sparkSession), "curl", *order).withColumn("slice", F.spark_partition_id()), "slices")
     seen = F.when(F.col("response"), F.struct("ts", "record_id", "etag", "last_modified"))
     inside = Window.partitionBy("slice", "curl").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -84,26 +87,34 @@ def as_of(rows: DataFrame) -> DataFrame:
     across = Window.partitionBy("curl").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = sliced.groupBy("curl", "slice").agg(F.max(seen).alias("most")) \
         .withColumn("carry", F.last("most", ignorenulls=True).over(across)).where("carry is not null").select("curl", "slice", "carry")
-    return local.join(written(carried, "carried"), ["curl", "slice"], "left").select("record_id", F.coalesce("found", "carry").alias("found"))
+    return local.join(written(carried, "carried"), ["curl", "slice"], "left").withColumn("found", F.coalesce("found", "carry")).drop("carry", "slice", "response")
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """(record_id, curl, ts, status, refers_to, digest, headers map) of each
     revisit.  status: resolved, no_prior, changed or no_validator."""
-    narrow = records.select("record_id", canonical_url(F.col("url")).alias("curl"), "ts", F.coalesce(F.col("kind") == "response", F.lit(False)).alias("response"), "etag", "last_modified")
-    found = written(as_of(narrow), "found")
-    revisits = records.where(~F.coalesce(F.col("kind") == "response", F.lit(False))) \
-        .select("record_id", canonical_url(F.col("url")).alias("curl"), "ts", "etag", "last_modified", F.col("headers").alias("update"))
+    response = F.coalesce(F.col("kind") == "response", F.lit(False))
+    rows = records.select("record_id", canonical_url(F.col("url")).alias("curl"), "ts", response.alias("response"), "etag", "last_modified",
+                          F.when(~response, F.col("headers")).alias("update"))
     f = F.col("found")
     status = F.when(f.isNull(), "no_prior") \
         .when(F.col("etag").isNotNull(), F.when(weak(F.col("etag")).eqNullSafe(weak(f["etag"])), "resolved").otherwise("changed")) \
         .when(F.col("last_modified").isNotNull(), F.when(F.col("last_modified").eqNullSafe(f["last_modified"]), "resolved").otherwise("changed")) \
         .otherwise("no_validator")
-    judged = revisits.join(found, "record_id").withColumn("status", status) \
-        .withColumn("refers_to", F.when(F.col("status") == "resolved", f["record_id"])).drop("found")
-    stored = records.where(F.col("kind") == "response").select(F.col("record_id").alias("refers_to"), F.col("headers").alias("stored"), "digest")
-    return written(judged, "judged").join(stored, "refers_to", "left") \
-        .select("record_id", "curl", "ts", "status", "refers_to", "digest", F.when(F.col("status") == "resolved", merged_headers(F.col("stored"), F.col("update"))).alias("headers"))
+    judged = written(as_of(rows).withColumn("status", status).drop("etag", "last_modified"), "judged")
+    # One row for each response as it is found, so no revisit meets two; ids may be null or repeat.
+    key = ["ts", "record_id", "etag", "last_modified"]
+    stored = records.where(response).select(canonical_url(F.col("url")).alias("_curl"), *(F.col(c).alias(f"_{c}") for c in key), F.col("headers").alias("stored"), "digest") \
+        .groupBy("_curl", *(f"_{c}" for c in key)) \
+        .agg(F.max_by(F.struct("stored", "digest"), F.struct("digest", header_lines(_lower_names(F.col("stored"))))).alias("one")) \
+        .select("_curl", *(f"_{c}" for c in key), "one.*")
+    same = F.col("curl") == F.col("_curl")
+    for c in key:
+        same = same & f[c].eqNullSafe(F.col(f"_{c}"))
+    resolved = F.col("status") == "resolved"
+    return judged.join(written(stored, "stored"), same, "left") \
+        .select("record_id", "curl", "ts", "status", F.when(resolved, f["record_id"]).alias("refers_to"), F.when(resolved, F.col("digest")).alias("digest"),
+                F.when(resolved, merged_headers(F.col("stored"), F.col("update"))).alias("headers"))
 
 
 def crawl_of_pages(pages: DataFrame) -> DataFrame:

@@ -327,6 +327,15 @@ def test_revisits(spark):
     assert {k: r.status for k, r in got.items()} == {2: "no_prior", 3: "resolved", 4: "changed", 5: "resolved", 6: "no_validator", 8: "resolved", 9: "no_prior"}
     assert got[3].headers == {"etag": '"e"', "content-length": "5", "date": "new"} and got[3].refers_to == 1 and got[8].headers == {} and got[8].digest == "p7"
     assert warc.resolve_revisits(records.where("false")).count() == 0
+    # Null and repeated ids: each revisit row gives one row.
+    rows = [rec(1, "http://c.com", 1, "response", '"e"', None, {"a": "1"}, "p1")] * 3 + [rec(2, "http://c.com", 2, "revisit", '"e"')] * 4 + \
+        [rec(None, "http://d.com", 1, "response", '"n"', None, {"b": "2"}, "pn")] * 2 + [rec(None, "http://d.com", 2, "revisit", '"n"')] * 2 + \
+        [rec(None, "http://c.com", 3, "revisit", '"e"'), rec(1, "http://e.com", 1, "response", '"e"', None, {"a": "3"}, "p3"), rec(2, "http://e.com", 2, "revisit", '"f"')] + \
+        [rec(None, "http://f.com", None, "response", None, None, None, "pf"), rec(None, "http://f.com", None, "revisit")]
+    got = warc.resolve_revisits(spark.createDataFrame(rows, warc.RECORD)).collect()
+    found = sorted([str(r.record_id), r.curl, r.status, str(r.refers_to), str(r.digest), str(r.headers)] for r in got)
+    assert found == sorted([["2", "c.com", "resolved", "1", "p1", "{'a': '1'}"]] * 4 + [["None", "d.com", "resolved", "None", "pn", "{'b': '2'}"]] * 2 +
+                           [["None", "c.com", "resolved", "1", "p1", "{'a': '1'}"], ["2", "e.com", "changed", "None", "None", "None"], ["None", "f.com", "no_prior", "None", "None", "None"]])
     # A url with a third of all records, over many slices.
     n = 3000
     many = spark.range(n).selectExpr("id AS record_id", "CASE WHEN id % 3 = 0 THEN 'http://hot.com' ELSE concat('http://h', id % 50) END AS url", "id AS ts",
