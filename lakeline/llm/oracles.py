@@ -88,9 +88,28 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS t
 FROM documents d LEFT JOIN counted c USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
+_NEGATIVES = """
+WITH part AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * cast(c AS DOUBLE)) for c in embedding] AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([c for c in embedding if c IS NULL OR NOT isfinite(cast(c AS DOUBLE))]) = 0),
+pairs AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, cast(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM part a JOIN part b ON a.id % 100 = 0 AND a.id <> b.id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.id) AS rank, n.id AS negative_id, positive_score,
+         n.score AS negative_score
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, cast(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_revisits": _REVISITS.strip(),
     "op2_decontaminate": _DECONTAMINATE.strip(),
     "op7_chat": _CHAT.strip(),
     "op9_line_dedup": _LINES.strip(),
+    "op12_hard_negatives": _NEGATIVES.strip(),
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeline.llm import chat, decontaminate, linededup, mixing, quality, sharding, simhash, tokenid, urlfilter, warc
+from lakeline.llm import (chat, decontaminate, editprint, linededup, mixing, negatives, quality, sharding, simhash, tokenid, urlfilter, warc,
+                          whitening)
 from lakeline.llm.common import prepare, table
 from lakeline.llm.oracles import ORACLES
 
@@ -90,6 +91,24 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+@_query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+@_query
+def op13_edit_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.edited(table(spark, sf_dir, "documents"))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
