@@ -15,14 +15,15 @@ orthogonal as they are found.
 Defined results: a null vector, an empty one, or one with a null or non-finite
 entry is dropped, and so is one whose length isn't the most common one (of two
 as common, the longer).  Repeated rows and null ids count and are returned as
-rows of their own.  Quantised entries stop at +-2**60.  Directions without
-variance have no component, so equal vectors, one vector or an empty table
+rows of their own.  Quantised entries stop at +-2**60; a deviation of more
+than 38 digits is null.  Directions without variance, to the precision of
+doubles, have no component, so equal vectors, one vector or an empty table
 give an empty result.
 
 Scale: four passes (quantise, sums, moments, result with the measured
 identity error before it), no shuffle of vectors.  A task returns one row for
-each sum: d, d * (d + 1) / 2 and k * (k + 1) / 2 of them, added up by key; the driver gets
-these and solves a d x d problem, whatever the number of rows.
+each sum: d, d * (d + 1) / 2 and k * (k + 1) / 2 of them, added up by key; the
+driver gets these and solves a d x d problem, whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -132,13 +133,13 @@ class Moments:
         """x less the mean."""
         return (x - self.middle) - np.array([r / self.n for r in self.rest])
 
-    def deviations(self, x: np.ndarray) -> list[Decimal]:
-        """Sum of (n*x - S)**2 of each row, exact."""
+    def deviations(self, x: np.ndarray) -> list[Decimal | None]:
+        """Sum of (n*x - S)**2 of each row, exact; null beyond 38 digits."""
         z = x - self.middle
         if (self.n * int(np.abs(z).max()) + max(map(abs, self.rest))) ** 2 * z.shape[1] >= 1 << 62:
             z = z.astype(object)
         y = z * self.n - np.array(self.rest, z.dtype)
-        return [Decimal(int(v)) for v in (y * y).sum(1)]
+        return [Decimal(int(v)) if v < 10 ** 38 else None for v in (y * y).sum(1)]
 
 
 # --- spectrum slicing ------------------------------------------------------
@@ -156,19 +157,20 @@ class Factors:
             beside = size.copy()
             np.fill_diagonal(beside, 0)
             r, (p, q) = int(size.diagonal().argmax()), sorted(divmod(int(beside.argmax()), n - k))
-            if size[r, r] >= _PIVOT * beside[p, q]:
+            if size[r, r] >= _PIVOT * beside[p, q] or beside[p, q] < tiny:
                 self._swap(k, k + r)
                 if abs(w[k, k]) < tiny:
                     w[k, k] = tiny  # s is an eigenvalue, to rounding
                 left, pivot = w[k + 1:, k].copy(), w[k: k + 1, k: k + 1].copy()
                 w[k + 1:, k] = left / pivot[0, 0]
-                w[k + 1:, k + 1:] -= np.outer(w[k + 1:, k], left)
+                w[k + 1:, k + 1:] -= np.outer(left, left) / pivot[0, 0]  # symmetric to the last bit
             else:
                 self._swap(k, k + p)
                 self._swap(k + 1, k + q)
                 left, pivot = w[k + 2:, k: k + 2].copy(), w[k: k + 2, k: k + 2].copy()
                 w[k + 2:, k: k + 2] = left @ np.linalg.inv(pivot)
-                w[k + 2:, k + 2:] -= w[k + 2:, k: k + 2] @ left.T
+                update = w[k + 2:, k: k + 2] @ left.T
+                w[k + 2:, k + 2:] -= (update + update.T) / 2
             self.pivots.append((k, pivot))
             k += len(pivot)
 
