@@ -10,6 +10,8 @@
 3. Scoring: the forest (at most n_trees x (2 x sample_size - 1) nodes) is
    collected and broadcast; ``mapInPandas`` scores Arrow batches with numpy,
    walking all rows of a batch down a tree level by level.
+
+Rows with a missing feature (NULL or NaN) are in no sample and have no score.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from lakeline.functions import fixed
+from lakeline.functions.exprs import present
 
 EULER = 0.5772156649015329
 
@@ -106,7 +109,8 @@ class Forest:
                         node[active] = nxt
                         active = feat[node] >= 0
                     total += leaf[node]
-                pdf[out] = np.power(2.0, -(total / len(forest)) / norm)
+                score = np.power(2.0, -(total / max(1, len(forest))) / (norm or 1.0))
+                pdf[out] = pd.Series(score, pdf.index, dtype="Float64").mask(np.isnan(x).any(axis=1))
                 yield pdf
 
         return df.mapInPandas(run, schema)
@@ -115,6 +119,8 @@ class Forest:
 def fit(df: DataFrame, key: str, features: list[str], n_trees: int = fixed.FOREST_TREES,
         sample_size: int = fixed.FOREST_SAMPLE,
         seed: int = 42, oversample: float = 4.0) -> Forest:
+    for c in features:
+        df = df.filter(present(c).isNotNull())
     n = df.count()
     psi = min(sample_size, n)
     p = min(1.0, oversample * psi / max(n, 1))
@@ -145,8 +151,9 @@ def flag(scored: DataFrame, score: str = "score", contamination: float | None =
         cut = 0.5
     else:
         from lakeline.operators.keys import exact_quantiles
-        cut = exact_quantiles(scored, [score], [1.0 - contamination]).first()["value"]
-    return scored.withColumn("is_outlier", F.col(score) > F.lit(cut))
+        found = exact_quantiles(scored, [score], [1.0 - contamination]).first()
+        cut = found["value"] if found else None  # no scores, no flags
+    return scored.withColumn("is_outlier", F.col(score) > F.lit(cut).cast("double"))
 
 
 def outlier_share(flagged: DataFrame) -> DataFrame:

@@ -1,12 +1,19 @@
-"""Upsert and incremental merge on plain Parquet tables.
-
-Plain Parquet has no MERGE, so a merge is: dedupe the batch per key with an
-aggregate (partial on the map side, so a key repeated a million times in
-one batch costs one row per map task), anti-join the old table against the
-batch keys, union, and write the result to a *new* location (old readers
-stay valid; the caller swaps the pointer).  The incremental form rewrites
-only the date partitions the new rows touch, through a staging folder,
-since a plan must not overwrite the path it reads.
+"""Upserts and incremental merges on plain Parquet.
+
+Plain Parquet has no MERGE.  Tables here are made of immutable folders and a
+published list of them (``versions``), so a merge never overwrites what a
+reader reads:
+
+- ``append_batch`` / ``read_newest``: the raw table as one folder a batch.  A
+  load writes its own rows and nothing else; the newest row of a key is found
+  at read time.  ``compact`` folds batches into one sorted base.
+- ``upsert_into`` and ``incremental_load``: rows are replaced by key inside the
+  folders (key buckets, days, months) that a batch touches; untouched folders
+  are taken over as they are.
+
+Batches are deduplicated per key by an aggregate (partial on the map side, so
+a key repeated a million times in one batch costs one row per map task).
+Every load can be repeated: it gives the same table.
 """
 
 from __future__ import annotations
@@ -14,9 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeline.operators import versions
 from lakeline.session import scratch_path
 
-
 # Keep microseconds in the payload (the default JSON format stops at millis).
 JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -58,69 +65,34 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str], order: l
     return kept.unionByName(fresh)
 
 
-def _spread(df: DataFrame, part_col: str, keys: list[str]) -> DataFrame:
-    """Contiguous runs of partition values per task (few files per folder);
-    the keys still split a large partition value over several tasks."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, part_col, *keys)
-
-
-def write_version(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                  keys: list[str] | None = None) -> str:
-    """Write a new table version under the shared folder and return its path."""
-    path = scratch_path(df.sparkSession, name)
-    if partition_by and keys:
-        df = _spread(df, partition_by[0], keys)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
-def merge_partitions(table_path: str, fresh: DataFrame, keys: list[str], part_col: str) -> str:
-    """Merge ``fresh`` into a date-partitioned table, rewriting only the
-    partitions it touches (dynamic partition overwrite via a staging copy)."""
-    spark = fresh.sparkSession
-    fresh_path = write_version(fresh, "merge-fresh")
-    fresh = spark.read.parquet(fresh_path)
-    # As literals (one for each touched folder), so the scan lists those alone.
-    touched = [r[0] for r in fresh.select(part_col).distinct().collect()]
-    part = F.col(part_col)
-    old = spark.read.parquet(table_path).filter(part.isin([v for v in touched if v is not None]) | (part.isNull() if None in touched else F.lit(False)))
-    merged = old.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
-    stage = write_version(merged, "merge-stage", [part_col], keys)
-    spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(part_col).parquet(table_path)
-    return table_path
-
-
 def incremental_load(table_path: str | None, source: DataFrame, ts_col: str, part_col: str,
-                     build, keys: list[str]) -> str:
-    """One run of an incremental model.
-
-    First run: full build.  Later runs rebuild from the start of the last
-    loaded day (``max(part_col)`` of the table) and merge on ``keys``."""
+                     build, keys: list[str], day_col: str | None = None) -> str:
+    """One run of an incremental model; returns the path of its table
+    (``versions.read`` reads it).
+
+    First run: full build.  Later runs build the rows from the start of the
+    last loaded day on (the greatest ``day_col``, by default ``part_col``) and
+    merge them on ``keys`` into the ``part_col`` folders they fall in.  Rows
+    without a time belong to no day: each run builds their groups anew from
+    all such rows, as a full build does."""
     spark = source.sparkSession
     if table_path is None:
-        return write_version(build(source), "incremental", [part_col], keys)
-    last = spark.read.parquet(table_path).agg(F.max(part_col)).first()[0]
-    if last is None:
-        fresh = build(source)
-    else:
-        fresh = build(source.filter(F.col(ts_col) >= F.lit(last).cast("timestamp_ntz")))
-    return merge_partitions(table_path, fresh, keys, part_col)
+        return versions.create(build(source), scratch_path(spark, "incremental"), part_col, keys)
+    last = versions.read(spark, table_path).agg(F.max(day_col or part_col)).first()[0]
+    if last is not None:
+        source = source.filter((F.col(ts_col) >= F.lit(last).cast("timestamp_ntz")) | F.col(ts_col).isNull())
+    return versions.merge(table_path, build(source), keys, part_col)
 
 
 def upsert_into(table_path: str | None, batch: DataFrame, keys: list[str], order: list[str],
                 stamp: Column | None = None, buckets: int = 64,
                 stamp_col: str = "ingested_at_utc", bucket_col: str = "key_bucket") -> str | None:
-    """Upsert a batch into a table stored by hash bucket of the key.
+    """Upsert a batch into a table stored by hash bucket of the key; returns
+    its path (``versions.read`` reads it).
 
-    Only the buckets holding the batch's keys are read and rewritten
-    (staged, dynamic partition overwrite), so a batch costs its touched
-    buckets, not the whole table.  Re-running the same batch gives the
-    same table, so a retried load converges.  Returns the table path.
+    The buckets of the batch's keys are read and written anew, so this form
+    suits tables that are read far more often than loaded; a batch of fresh
+    ids touches most buckets, which ``append_batch`` avoids.
 
     Size ``buckets`` so one bucket is about a gigabyte (64 suits the test
     tables; a 100 TB raw table wants ~100k).  The count is part of the
@@ -131,5 +103,67 @@ def upsert_into(table_path: str | None, batch: DataFrame, keys: list[str], order
     fresh = (latest_per_key(batch, keys, order).withColumn(stamp_col, stamp)
              .withColumn(bucket_col, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")))
     if table_path is None:
-        return write_version(fresh, "raw-table", [bucket_col], keys)
-    return merge_partitions(table_path, fresh, keys, bucket_col)
+        return versions.create(fresh, scratch_path(batch.sparkSession, "raw-table"), bucket_col, keys)
+    return versions.merge(table_path, fresh, keys, bucket_col)
+
+
+# --- append and resolve ----------------------------------------------------
+
+_SEQ = "batch_seq"  # a batch's folder is batch_seq=<number>; the base is number 0
+_BASE = f"{_SEQ}=0"
+
+
+def append_batch(path: str, batch: DataFrame, name: str, keys: list[str], order: list[str],
+                 stamp: Column | None = None, stamp_col: str = "ingested_at_utc") -> str:
+    """Add a batch to the raw table in ``path``, made if it isn't there.
+
+    The batch, one row per key, goes into a folder of its own; no other file is
+    written or read.  ``name`` says which batch it is: loading it again takes
+    the place of its first load, so retries converge, and a batch that was
+    folded into the base since is left alone.  An empty batch changes nothing."""
+    spark = batch.sparkSession
+    if batch.isEmpty():
+        return path
+    now = versions.latest(spark, path)
+    applied = dict(now.applied) if now else {}
+    folder = f"{_SEQ}={applied.get(name, max(applied.values(), default=0) + 1)}"
+    if name in applied and folder not in now.folders:
+        return path
+    stamp = F.current_timestamp().cast("timestamp_ntz") if stamp is None else stamp
+    seq = applied.setdefault(name, int(folder.split("=")[1]))
+    fresh = latest_per_key(batch, keys, order).withColumn(stamp_col, stamp).withColumn(_SEQ, F.lit(seq))
+    number = now.number + 1 if now else 1
+    folders = versions.write_folders(fresh, path, number, _SEQ, keys)
+    versions.publish(spark, path, versions.Version(number, now.schema if now else fresh.schema, (now.folders if now else {}) | folders, applied))
+    return path
+
+
+def read_newest(spark, path: str, keys: list[str]) -> DataFrame:
+    """The raw table: of each key, the row of the batch loaded last.
+
+    Only the batches since the last compaction are grouped by key; the base,
+    whose keys are unique, is joined with their keys alone and is not shuffled
+    where these are few enough to broadcast."""
+    now = versions.latest(spark, path)
+    if now is None:
+        raise FileNotFoundError(f"no table in {path}")
+    later = [n for n in now.folders if n != _BASE]
+    base = versions.read_folders(spark, path, now, [_BASE]).drop(_SEQ)
+    if not later:
+        return base
+    added = versions.read_folders(spark, path, now, later)
+    newest = added.drop(_SEQ) if len(later) == 1 else latest_per_key(added, keys, [_SEQ]).drop(_SEQ)
+    if len(later) == len(now.folders):
+        return newest
+    changed = added.select(*keys).distinct()
+    return base.join(changed, versions.same_keys(base, changed, keys), "left_anti").unionByName(newest)
+
+
+def compact(spark, path: str, keys: list[str]) -> str:
+    """Fold all batches into a new base, sorted by key; readers of the old
+    version keep it until ``versions.vacuum``."""
+    now = versions.latest(spark, path)
+    whole = read_newest(spark, path, keys).withColumn(_SEQ, F.lit(0))
+    folders = versions.write_folders(whole.select(*now.schema.names), path, now.number + 1, _SEQ, keys)
+    versions.publish(spark, path, versions.Version(now.number + 1, now.schema, folders, now.applied))
+    return path

@@ -207,8 +207,14 @@ def zscore_flags(df: DataFrame, column: str, limit: float = fixed.ZSCORE_LIMIT,
 
 
 def iqr_flags(df: DataFrame, column: str, whisker: float = fixed.IQR_WHISKER) -> DataFrame:
-    """Outlier when outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR] (exact quartiles)."""
+    """Outlier when outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR] (exact quartiles).
+
+    A missing value (NULL or NaN) has no flag (NULL), nor has any row of a
+    table without values."""
     q = {r["p"]: r["value"] for r in exact_quantiles(df, [column], [0.25, 0.75]).collect()}
+    if not q:
+        return df.withColumn("is_outlier", F.lit(None).cast("boolean"))
     q1, q3 = q[0.25], q[0.75]
     lo, hi = q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1)
-    return df.withColumn("is_outlier", (F.col(column) < F.lit(lo)) | (F.col(column) > F.lit(hi)))
+    x = present(column)
+    return df.withColumn("is_outlier", (x < F.lit(lo)) | (x > F.lit(hi)))

@@ -1,50 +1,66 @@
-"""Linear regression from distributed sums.
+"""Linear regression from distributed sums and factors.
 
-Every solver needs only the Gram matrix ``G = XᵀX`` and ``b = Xᵀy`` (with an
-intercept column of ones): one aggregate pass of d(d+1)/2 + d sums, and the
-d x d algebra runs on the driver.  Batch gradient descent iterates on G and b
-without touching the data again; mini-batch descent runs on the sums of a
-fixed number of hash cells of rows, from one grouped aggregate.
+- Normal equations and batch descent need only the Gram matrix ``G = X'X`` and
+  ``b = X'y`` (with an intercept column of ones): one aggregate pass, and the
+  d x d algebra runs on the driver.
+- The pseudo-inverse comes from a tall-skinny QR factorisation: each Arrow
+  batch is reduced to the triangular factor of [X y], factors are stacked and
+  reduced again in a tree, and the last one has the singular values of X
+  itself.  (Those of G are squared: a design of condition 1e9 would lose all
+  digits there.)
+- Mini-batch descent: a step on a batch is an affine map of the coefficients,
+  so runs of batches are composed to one map where their rows lie, and the
+  driver applies the maps in order.  The result is that of the serial loop.
+
+Rows with a null or NaN in a feature or the target take no part.  A fit
+without any row raises ``ValueError``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
 from lakeline.functions import fixed
+from lakeline.functions.exprs import present
 
 INTERCEPT = "intercept"
-BATCHES = 64   # updates of one epoch of mini-batch descent, whatever the number of rows
-CELLS = 8      # hash cells that make one batch
+BATCH_ROWS = 20      # rows of a mini-batch
+TOGETHER = 8         # epochs whose rows are dealt out by one job
+FAN = 256            # factors that one task reduces to one
+RANK_TOL = 1e-13     # singular values below this share of the largest count as zero
 
 
-def _cols(features: list[str], intercept: bool) -> list[Column]:
-    xs = [F.col(c).cast("double") for c in features]
-    return ([F.lit(1.0)] if intercept else []) + xs
+def _complete(df: DataFrame, features: list[str], target: str, intercept: bool, *keep) -> DataFrame:
+    """x0, x1, ... and y as doubles, of the rows that have them all."""
+    cols = [present(c) for c in features]
+    xs = [F.lit(1.0), *cols] if intercept else cols
+    named = [c.alias(f"x{i}") for i, c in enumerate(xs)]
+    ok = present(target).isNotNull()
+    for c in cols:
+        ok = ok & c.isNotNull()
+    return df.filter(ok).select(*keep, *named, present(target).alias("y"))
 
 
-def gram(df: DataFrame, features: list[str], target: str, intercept: bool = True,
-         group: list[Column] | None = None) -> DataFrame:
-    """Aggregate of the upper triangle of XᵀX, Xᵀy and the row count."""
-    xs = _cols(features, intercept)
-    y = F.col(target).cast("double")
+def gram(df: DataFrame, features: list[str], target: str, intercept: bool = True) -> DataFrame:
+    """Aggregate of the upper triangle of X'X, X'y and the row count."""
+    rows, d = _complete(df, features, target, intercept), len(features) + intercept
     aggs = [F.count(F.lit(1)).alias("m")]
-    d = len(xs)
     for i in range(d):
         for j in range(i, d):
-            aggs.append(F.sum(xs[i] * xs[j]).alias(f"g_{i}_{j}"))
-        aggs.append(F.sum(xs[i] * y).alias(f"b_{i}"))
-    ok = F.col(target).isNotNull()
-    for c in features:
-        ok = ok & F.col(c).isNotNull()
-    clean = df.filter(ok)
-    return clean.groupBy(*group).agg(*aggs) if group is not None else clean.agg(*aggs)
+            aggs.append(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"g_{i}_{j}"))
+        aggs.append(F.sum(F.col(f"x{i}") * F.col("y")).alias(f"b_{i}"))
+    return rows.agg(*aggs)
 
 
 def _unpack(row, d: int):
+    if not row["m"]:
+        raise ValueError("no row has all features and the target")
     G = np.zeros((d, d))
     b = np.zeros(d)
     for i in range(d):
@@ -83,10 +99,55 @@ def fit_normal(df: DataFrame, features: list[str], target: str, intercept: bool
     return Linear(_terms(features, intercept), np.linalg.solve(G, b))
 
 
-def fit_pinv(df: DataFrame, features: list[str], target: str, intercept: bool = True) -> Linear:
-    """Minimum-norm least squares via the pseudo-inverse (rank-deficient X)."""
-    G, b, _ = _unpack(gram(df, features, target, intercept).first(), len(features) + intercept)
-    return Linear(_terms(features, intercept), np.linalg.pinv(G) @ b)
+def _triangle(rows: np.ndarray) -> np.ndarray:
+    """R of the QR factorisation, square: padded with zero rows where the
+    input has fewer than columns."""
+    d = rows.shape[1]
+    r = np.linalg.qr(rows, mode="r")
+    return r if len(r) == d else np.vstack([r, np.zeros((d - len(r), d))])
+
+
+def qr_factor(rows: DataFrame, fan: int = FAN) -> np.ndarray:
+    """R of the tall matrix that the double columns of ``rows`` make.
+
+    A task reduces its batches to one R as they come; then ``fan`` of them at a
+    time meet in a task, until ``fan`` are left for the driver.  Nothing grows
+    with the rows but the height of that tree."""
+    d = len(rows.columns)
+
+    def write(r: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+        if r is not None:
+            yield pa.RecordBatch.from_pydict({"r": pa.array([r.ravel().tolist()], pa.list_(pa.float64()))})
+
+    def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = None
+        for b in batches:
+            if b.num_rows:
+                part = np.column_stack([b.column(k).to_numpy() for k in range(d)])
+                r = _triangle(part if r is None else np.vstack([r, part]))
+        yield from write(r)
+
+    def node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = None
+        for b in batches:
+            if b.num_rows:
+                part = b.column(0).flatten().to_numpy().reshape(-1, d)
+                r = _triangle(part if r is None else np.vstack([r, part]))
+        yield from write(r)
+
+    found = rows.mapInArrow(leaf, "r array<double>").checkpoint(eager=True)
+    while (n := found.count()) > fan:
+        found = found.repartition(-(-n // fan)).mapInArrow(node, "r array<double>").checkpoint(eager=True)
+    parts = [np.array(r[0]).reshape(d, d) for r in found.collect()]
+    if not parts:
+        raise ValueError("no row has all features and the target")
+    return _triangle(np.vstack(parts))
+
+
+def fit_pinv(df: DataFrame, features: list[str], target: str, intercept: bool = True, rank_tol: float = RANK_TOL) -> Linear:
+    """Minimum-norm least squares: the pseudo-inverse of X, by QR of [X y]."""
+    r = qr_factor(_complete(df, features, target, intercept))
+    return Linear(_terms(features, intercept), np.linalg.pinv(r[:-1, :-1], rcond=rank_tol) @ r[:-1, -1])
 
 
 def fit_gd(df: DataFrame, features: list[str], target: str, rate: float = fixed.GD_RATE, epochs: int = fixed.GD_EPOCHS,
@@ -103,24 +164,120 @@ def fit_gd(df: DataFrame, features: list[str], target: str, rate: float = fixed.
 
 
 def fit_minibatch(df: DataFrame, key: str, features: list[str], target: str, epochs: int = fixed.MINIBATCH_EPOCHS,
-                  batches: int = BATCHES, t0: float = fixed.MINIBATCH_T0,
+                  batch_rows: int = BATCH_ROWS, t0: float = fixed.MINIBATCH_T0,
                   t1: float = fixed.MINIBATCH_T1, seed: int = 42,
-                  intercept: bool = True) -> Linear:
+                  intercept: bool = True, together: int = TOGETHER, slices: int | None = None) -> Linear:
     """Mini-batch descent with a t0 / (t + t1) learning schedule.
 
-    Rows fall into ``batches`` x ``CELLS`` cells by a seeded hash of the key
-    (repeatable, partition-independent), and one aggregate sums each cell.
-    Every epoch deals the cells anew into ``batches`` batches, and each batch
-    is one update.  The updates are sequential by nature; the driver holds
-    batches x CELLS x d² numbers, whatever the number of rows."""
+    Each epoch puts the rows in a new order, by a seeded hash of the key (ties
+    by the key, then the values), and takes ``batch_rows`` of them a step, the
+    last batch perhaps fewer; t counts the steps of all epochs.  A step is
+    theta <- (I - e G) theta + e b with e = rate * 2 / rows, an affine map, so
+    it needn't wait for theta: the hash range of an epoch is cut into
+    ``slices``, each slice composes the steps of the batches that lie wholly
+    inside to one map, and the driver applies the maps in order, with the
+    batches that lie over an edge put together in between.  Equal to the
+    serial loop up to rounding.
+
+    A job deals out the rows of ``together`` epochs; the driver holds
+    2 d² numbers for each of their slices."""
     d = len(features) + intercept
-    cell = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(batches * CELLS))
-    sums = gram(df, features, target, intercept, group=[cell.alias("cell")]).orderBy("cell").collect()
-    cells = [_unpack(row, d) for row in sums]
-    deal, theta, step = np.random.default_rng(seed), np.zeros(d), 0
-    for _ in range(epochs):
-        for part in np.array_split(deal.permutation(len(cells)), min(batches, len(cells))):
-            G, b, m = (sum(x) for x in zip(*[cells[k] for k in part], strict=True))
-            theta = theta - t0 / (step + t1) * (2.0 / m) * (G @ theta - b)
-            step += 1
+    spark = df.sparkSession
+    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = [f"x{i}" for i in range(d)] + ["y"]
+    rows = _complete(df, features, target, intercept, F.col(key).alias("key")).checkpoint(eager=True)
+    hashed = F.xxhash64("key", F.lit(seed), "epoch")
+    cell = F.col("epoch") * slices + F.expr(f"shiftright(shiftrightunsigned(h, 32) * {slices}, 32)")
+
+    theta, step = np.zeros(d), 0
+    for first in range(0, epochs, together):
+        some = range(first, min(epochs, first + together))
+        dealt = rows.withColumn("epoch", F.explode(F.array(*[F.lit(e).cast("long") for e in some]))).withColumn("h", hashed).withColumn("cell", cell)
+        sizes = dict(dealt.groupBy("cell").count().collect())
+        m = sum(n for c, n in sizes.items() if c // slices == first)
+        if not m:
+            raise ValueError("no row has all features and the target")
+        steps = -(-m // batch_rows)
+        start, before = {}, dict.fromkeys(some, 0)  # rows of the epoch before each cell
+        for c in sorted(sizes):
+            start[c] = before[c // slices]
+            before[c // slices] += sizes[c]
+        run = _composer(d, batch_rows, start, {e: step + (e - first) * steps for e in some}, slices, t0, t1)
+        order = [F.col("cell"), F.expr("shiftrightunsigned(h, 1)"), F.col("h"), F.col("key"), *[F.col(n) for n in names]]
+        sliced = dealt.repartition(slices, "cell").sortWithinPartitions(*order).select("cell", *names)
+        found = sorted((r.cell, *(np.array(v) for v in (r.head, r.move, r.tail))) for r in sliced.mapInArrow(run, _COMPOSED).collect())
+        open_ = np.zeros(d * d + d + 1)  # sums of a batch that isn't full yet
+
+        def close(t: int) -> None:
+            nonlocal theta
+            theta = _moved(theta, open_, d, t0 / (t + t1))
+            open_[:] = 0
+
+        for e in some:
+            for c, head, move, tail in (f for f in found if f[0] // slices == e):
+                open_ += head
+                at = start[c] + int(head[-1])  # rows up to the first batch that begins in this cell
+                if open_[-1] and at % batch_rows == 0:
+                    close(step + at // batch_rows - 1)
+                if len(move):
+                    theta = move[: d * d].reshape(d, d) @ theta + move[d * d:]
+                open_ += tail
+            if open_[-1]:
+                close(step + steps - 1)
+            step += steps
     return Linear(_terms(features, intercept), theta)
+
+
+_COMPOSED = "cell long, head array<double>, move array<double>, tail array<double>"
+
+
+def _summed(x: np.ndarray) -> np.ndarray:
+    """X'X, X'y and the number of rows, flat; ``x``: rows of [X y]."""
+    return np.concatenate([(x[:, :-1].T @ x[:, :-1]).ravel(), x[:, :-1].T @ x[:, -1], [len(x)]])
+
+
+def _moved(theta: np.ndarray, sums: np.ndarray, d: int, rate: float) -> np.ndarray:
+    g, b, m = sums[: d * d].reshape(d, d), sums[d * d: -1], sums[-1]
+    return theta - rate * (2.0 / m) * (g @ theta - b)
+
+
+def _composer(d: int, size: int, start: dict, first_step: dict, slices: int, t0: float, t1: float):
+    """For mapInArrow over rows (cell, x..., y) sorted by cell: of each cell the
+    sums of the rows before its first batch, the composed map of its whole
+    batches, and the sums of the rows after them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, left, head, move, at = None, None, None, None, 0
+
+        def whole() -> Iterator[pa.RecordBatch]:
+            if cell is not None:
+                flat = np.concatenate([move[0].ravel(), move[1]]) if move is not None else np.zeros(0)
+                yield pa.RecordBatch.from_pydict({"cell": pa.array([cell], pa.int64())} | {
+                    n: pa.array([v.tolist()], pa.list_(pa.float64())) for n, v in (("head", head), ("move", flat), ("tail", _summed(left)))})
+
+        for b in batches:
+            cells = b.column(0).to_numpy()
+            x = np.column_stack([b.column(k).to_numpy() for k in range(1, d + 2)])
+            edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if lo == hi:
+                    continue
+                part = x[lo:hi]
+                if cells[lo] != cell:
+                    yield from whole()
+                    cell, left, move, at = int(cells[lo]), x[:0], None, start[int(cells[lo])]
+                    head = np.zeros(d * d + d + 1)
+                if lack := -at % size:  # rows of a batch that began in an earlier cell
+                    head = head + _summed(part[:lack])
+                    at, part = at + len(part[:lack]), part[lack:]
+                rows = np.vstack([left, part])
+                n = len(rows) // size
+                for k in range(n):
+                    sums = _summed(rows[k * size: (k + 1) * size])
+                    rate = t0 / (first_step[cell // slices] + at // size + t1) * 2.0 / size
+                    a, c = np.eye(d) - rate * sums[: d * d].reshape(d, d), rate * sums[d * d: -1]
+                    move = (a, c) if move is None else (a @ move[0], a @ move[1] + c)
+                    at += size
+                left = rows[n * size:]
+        yield from whole()
+
+    return run

@@ -156,13 +156,13 @@ EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 SELECT CAST(event_id AS VARCHAR) AS id, ts, user_id, event_type, value, props FROM events""")
 def q_stream_ingest(t):
     """Events landed as weekly files, ingested by a file stream, one file per
-    micro-batch, each upserted into the raw table by id."""
+    micro-batch, each appended to the raw table and resolved by id."""
     spark = t.spark
     landing = scratch_path(spark, "landing")
     ingest.land_in_chunks(t.events, "ts", landing, ingest.week_bounds(t.events, "ts"))
     target = scratch_path(spark, "raw-stream")
     ingest.upsert_stream(spark, landing, EVENT_SCHEMA, "event_id", "ts", target,
                          scratch_path(spark, "stream-ckpt"), files_per_batch=1)
-    env = spark.read.parquet(target)
+    env = merge.read_newest(spark, target, ["id"])
     parsed = env.withColumn("p", F.from_json("payload", EVENT_SCHEMA, merge.JSON_OPTIONS))
     return parsed.select("id", "p.ts", "p.user_id", "p.event_type", "p.value", "p.props")

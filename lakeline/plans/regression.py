@@ -45,9 +45,9 @@ def q_ols_gd(t):
 
 @query("ols_minibatch")
 def q_ols_minibatch(t):
-    """Mini-batch descent, 50 epochs of 64 batches, t0/(t+t1) schedule, on
-    the standardised feature.  Stochastic: checked against the closed form
-    within a tolerance in tests, not by SQL."""
+    """Mini-batch descent, 50 epochs of batches of 20 rows, each in a new order,
+    t0/(t+t1) schedule, on the standardised feature.  Stochastic: tests compare
+    it with the serial loop and the closed form, not SQL."""
     h = housing(t)
     scaled = pp.fit_standard(h, [X]).transform(h)
     return rg.fit_minibatch(scaled, "row_key", [X], Y).frame(t.spark)

@@ -216,46 +216,54 @@ def q_star_q3(t):
 
 # --- upsert and incremental merge (D1, D2) -------------------------------
 
-from lakeline.operators import gold, merge  # noqa: E402
+from lakeline.operators import gold, merge, versions  # noqa: E402
 from lakeline.plans import reports  # noqa: E402
 from lakeline.plans.sqlparts import BRONZE_CTE  # noqa: E402
-
-# Fixed values of ours: two overlapping extract windows that cover all time.
-W1 = ("1970-01-01 00:00:00", "2024-01-16 13:17:00")
-W2 = ("2024-01-12 06:30:00", "2100-01-01 00:00:00")
-INCR_CUT = "2024-01-16 13:17:00"
-RAW_BUCKETS = 64  # key buckets of the raw table: ~1 GB each is the target at scale
-
-
-def _window(events, w):
-    return events.filter((F.col("ts") >= F.lit(w[0]).cast("timestamp_ntz")) &
-                         (F.col("ts") < F.lit(w[1]).cast("timestamp_ntz")))
-
-
-def upserted_events(t):
-    """Two extract batches with overlapping windows, upserted by id."""
+from lakeline.session import scratch_path  # noqa: E402
+
+INCR_CUT = "2024-01-16 13:17:00"  # fixed value of ours: the first run's source ends here, in mid-day
+RAW_ORDER = ["extract_window_end_utc", "payload"]
+
+# Two extract windows over the data's own span, in eighths of it: they overlap,
+# so records in between are loaded twice.  Rows without a time go with the
+# last window.
+WINDOWS = ((0, 5), (4, 8))
+WINDOWS_SQL = f"""
+span AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) + 1 - epoch_us(min(ts)) AS size FROM events),
+edges AS (SELECT make_timestamp(lo + size * {WINDOWS[0][0]} // 8) AS lo1, make_timestamp(lo + size * {WINDOWS[0][1]} // 8) AS hi1,
+                 make_timestamp(lo + size * {WINDOWS[1][0]} // 8) AS lo2, make_timestamp(lo + size * {WINDOWS[1][1]} // 8) AS hi2 FROM span)"""
+
+
+def extract_windows(events, parts=WINDOWS):
+    """(name, rows, start, end) of each window over the span of ``ts``."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(micros), F.max(micros) + 1).first()
+    if lo is None:
+        return
+    for a, b in parts:
+        start, end = (F.timestamp_micros(F.lit(lo + (hi - lo) * k // 8)).cast("timestamp_ntz") for k in (a, b))
+        inside = (F.col("ts") >= start) & (F.col("ts") < end)
+        yield f"{a}-{b}", events.filter(inside | F.col("ts").isNull() if b == 8 else inside), start, end
+
+
+def raw_events(t, parts=WINDOWS, again=(), compact_after=()):
+    """The raw table of ``parts`` extract windows, loaded in order, each one
+    appended as its own folder and resolved by id at read time.  Windows in
+    ``again`` are loaded a second time, as a retry would; after those in
+    ``compact_after`` the batches are folded into the base."""
     ev = t.events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-    path = None
-    for w in (W1, W2):
-        batch = merge.envelope(_window(ev, w), "event_id", w[0], w[1])
-        # the raw table is stored by key bucket; each load rewrites only the
-        # buckets its ids fall in
-        path = merge.upsert_into(path, batch, ["id"], ["extract_window_end_utc", "payload"],
-                                 stamp=F.lit(w[1]).cast("timestamp_ntz"), buckets=RAW_BUCKETS)
-    return t.spark.read.parquet(path).drop("key_bucket")
+    path = scratch_path(t.spark, "raw-table")
+    for k, (name, rows, start, end) in enumerate(extract_windows(ev, parts)):
+        for _ in range(1 + (k in again)):
+            merge.append_batch(path, merge.envelope(rows, "event_id", start, end), name, ["id"], RAW_ORDER, stamp=end)
+        if k in compact_after:
+            merge.compact(t.spark, path, ["id"])
+    return path
 
 
-@query("upsert_raw", f"""
-SELECT CAST(event_id AS VARCHAR) AS id,
-       CASE WHEN ts >= TIMESTAMP '{W2[0]}' THEN TIMESTAMP '{W2[0]}' ELSE TIMESTAMP '{W1[0]}' END AS extract_window_start_utc,
-       CASE WHEN ts >= TIMESTAMP '{W2[0]}' THEN TIMESTAMP '{W2[1]}' ELSE TIMESTAMP '{W1[1]}' END AS extract_window_end_utc,
-       CASE WHEN ts >= TIMESTAMP '{W2[0]}' THEN TIMESTAMP '{W2[1]}' ELSE TIMESTAMP '{W1[1]}' END AS ingested_at_utc,
-       ts, user_id, event_type, value, props
-FROM events WHERE ts >= TIMESTAMP '{W1[0]}' AND ts < TIMESTAMP '{W2[1]}'""")
-def q_upsert_raw(t):
-    u = upserted_events(t)
+def _parsed(raw):
     p = F.col("payload")
-    return u.select(
+    return raw.select(
         "id", "extract_window_start_utc", "extract_window_end_utc", "ingested_at_utc",
         F.get_json_object(p, "$.ts").cast("timestamp_ntz").alias("ts"),
         F.get_json_object(p, "$.user_id").cast("bigint").alias("user_id"),
@@ -265,6 +273,37 @@ def q_upsert_raw(t):
     )
 
 
+@query("upsert_raw", f"""
+WITH {WINDOWS_SQL}
+SELECT CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN ts < lo2 THEN lo1 ELSE lo2 END AS extract_window_start_utc,
+       CASE WHEN ts < lo2 THEN hi1 ELSE hi2 END AS extract_window_end_utc,
+       CASE WHEN ts < lo2 THEN hi1 ELSE hi2 END AS ingested_at_utc,
+       ts, user_id, event_type, value, props
+FROM events, edges""")
+def q_upsert_raw(t):
+    """Two overlapping extract windows upserted by id."""
+    return _parsed(merge.read_newest(t.spark, raw_events(t), ["id"]))
+
+
+WEEKS = tuple((k, k + 2) for k in range(7))
+
+
+@query("upsert_compacted", f"""
+WITH span AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) + 1 - epoch_us(min(ts)) AS size FROM events),
+windows AS (SELECT k, make_timestamp(lo + size * k // 8) AS starts, make_timestamp(lo + size * (k + 2) // 8) AS ends
+            FROM span, (SELECT unnest(range({len(WEEKS)})) AS k)),
+loads AS (SELECT event_id, k, starts, ends FROM events JOIN windows ON (ts >= starts AND ts < ends) OR (ts IS NULL AND k = {len(WEEKS) - 1})),
+last AS (SELECT event_id, max(k) AS k FROM loads GROUP BY 1)
+SELECT CAST(e.event_id AS VARCHAR) AS id, starts AS extract_window_start_utc, ends AS extract_window_end_utc, ends AS ingested_at_utc,
+       ts, user_id, event_type, value, props
+FROM events e JOIN last USING (event_id) JOIN windows USING (k)""")
+def q_upsert_compacted(t):
+    """Seven half-overlapping windows; the batches are folded into a sorted base
+    after the third and the sixth, the last one and a folded one are retried."""
+    return _parsed(merge.read_newest(t.spark, raw_events(t, WEEKS, again=(2, 6), compact_after=(2, 5)), ["id"]))
+
+
 def daily_events(src):
     g = src.groupBy(F.to_date("ts").alias("event_date"), "event_type").agg(
         F.count(F.lit(1)).alias("events"),
@@ -287,7 +326,7 @@ def q_incremental_daily(t):
     first = ev.filter(F.col("ts") < F.lit(INCR_CUT).cast("timestamp_ntz"))
     path = merge.incremental_load(None, first, "ts", "event_date", daily_events, ["event_date", "event_type"])
     path = merge.incremental_load(path, ev, "ts", "event_date", daily_events, ["event_date", "event_type"])
-    return t.spark.read.parquet(path).select("event_date", "event_type", "events", "total_value", "max_value")
+    return versions.read(t.spark, path).select("event_date", "event_type", "events", "total_value", "max_value")
 
 
 ZONE_CUT = "1998-02-15 00:00:00"  # first run's source ends here, in mid-month
@@ -304,12 +343,12 @@ SELECT CAST(date_trunc('day', pickup_ts) AS DATE) AS pickup_date, pickup_locatio
 FROM silver_joined GROUP BY 1, 2, 3""")
 def q_incremental_zone_fact(t):
     """The zone fact in two runs, merged on (pickup_date, pickup_location) into
-    month folders: the second rebuilds from the last loaded month on."""
+    month folders: the second builds the days from the last loaded one on."""
     trips, keys = reports.joined(t), ["pickup_date", "pickup_location"]
     first = trips.filter(F.col("pickup_ts") < F.lit(ZONE_CUT).cast("timestamp_ntz"))
-    path = merge.incremental_load(None, first, "pickup_ts", "pickup_month", _zone_fact, keys)
-    path = merge.incremental_load(path, trips, "pickup_ts", "pickup_month", _zone_fact, keys)
-    return t.spark.read.parquet(path).drop("pickup_month")
+    path = merge.incremental_load(None, first, "pickup_ts", "pickup_month", _zone_fact, keys, "pickup_date")
+    path = merge.incremental_load(path, trips, "pickup_ts", "pickup_month", _zone_fact, keys, "pickup_date")
+    return versions.read(t.spark, path).drop("pickup_month")
 
 
 # --- data tests (T1-T4) ---------------------------------------------------

@@ -2,10 +2,11 @@
 
 A single-process loader reads a file and appends it in chunks; here new
 files arriving in a folder are the chunks.  Each micro-batch is wrapped in
-the raw envelope and upserted by id into the target, rewriting only the key
-buckets it touches.  Re-applying a batch gives the same table, so a batch
-retried after a failure is harmless, and the stream checkpoint makes the
-run restartable after a lost executor or driver.
+the raw envelope and appended to the raw table as a batch of its own, named by
+its first and last file time, so no earlier file is written again; the newest
+row of an id is found at read time (``merge.read_newest``).  A batch retried
+after a failure takes its own place, and the stream checkpoint makes the run
+restartable after a lost executor or driver.
 """
 
 from __future__ import annotations
@@ -16,43 +17,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeline.operators import merge
+from lakeline.operators import merge, versions
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """The target folder exists.  (A dynamic partition overwrite leaves no
-    ``_SUCCESS`` marker at the root; a partly written first batch is fine,
-    since re-applying a batch replaces its keys in full.)"""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+_FILE = "__file"
 
 
 def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str, id_col: str, ts_col: str,
-                  target: str, checkpoint: str, files_per_batch: int = 1, buckets: int = 64) -> None:
+                  target: str, checkpoint: str, files_per_batch: int = 1, compact_after: int = 16) -> None:
     """Run the stream over all files present now (``availableNow``) and stop.
 
-    The target is stored by hash bucket of the id; each micro-batch rewrites
-    only the buckets its ids fall in.  A batch retried after a failure is
-    applied again and gives the same table.  ``buckets`` is part of the
-    target's layout (about a gigabyte per bucket at scale)."""
+    Each micro-batch becomes a folder of the raw table in ``target``; read it
+    with ``merge.read_newest``.  A batch is named by the files it holds, so a
+    retried one (same checkpoint or a fresh one) takes the place of its first
+    load.  ``compact_after`` batches at a time are folded into the base."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .option("recursiveFileLookup", True).parquet(source_dir))
+              .option("recursiveFileLookup", True).parquet(source_dir)
+              .select("*", F.col("_metadata.file_path").alias(_FILE)))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
+        # Min and max name the batch: files are taken whole, in order of arrival.
+        bounds = batch.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi"), F.min(_FILE).alias("first"), F.max(_FILE).alias("last"),
+                           F.count(F.lit(1)).alias("rows")).first()
+        if not bounds["rows"]:
             return
-        bounds = batch.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
-        env = merge.envelope(batch, id_col, bounds["lo"], bounds["hi"])
-        stamp = F.lit(bounds["hi"]).cast("timestamp_ntz")
-        order = ["extract_window_end_utc", "payload"]
-        if _exists(spark, target):
-            fresh = (merge.latest_per_key(env, ["id"], order).withColumn("ingested_at_utc", stamp)
-                     .withColumn("key_bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")))
-            merge.merge_partitions(target, fresh, ["id"], "key_bucket")
-        else:
-            first = merge.upsert_into(None, env, ["id"], order, stamp=stamp, buckets=buckets)
-            spark.read.parquet(first).write.mode("overwrite").partitionBy("key_bucket").parquet(target)
+        env = merge.envelope(batch.drop(_FILE), id_col, bounds["lo"], bounds["hi"])
+        merge.append_batch(target, env, f"{bounds['first']}..{bounds['last']}", ["id"], ["extract_window_end_utc", "payload"],
+                           stamp=F.lit(bounds["hi"]).cast("timestamp_ntz"))
+        if len(versions.latest(spark, target).folders) > compact_after:
+            merge.compact(spark, target, ["id"])
 
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakeline.operators import keys, merge, prepare, regress, star
+from lakeline.operators import keys, merge, prepare, regress, star, versions
 from lakeline.plans import delivery, features, profiles
 
 
@@ -64,7 +64,7 @@ def test_incremental_two_loads_equal_full(spark, tables):
     first = ev.filter(F.col("ts") < F.lit(INCR_CUT).cast("timestamp_ntz"))
     path = merge.incremental_load(None, first, "ts", "event_date", daily_events, ["event_date", "event_type"])
     path = merge.incremental_load(path, ev, "ts", "event_date", daily_events, ["event_date", "event_type"])
-    got = spark.read.parquet(path).select("event_date", "event_type", "events", "total_value", "max_value")
+    got = versions.read(spark, path).select("event_date", "event_type", "events", "total_value", "max_value")
     assert got.exceptAll(daily_events(ev)).count() == 0 and got.count() == daily_events(ev).count()
 
 
@@ -162,9 +162,9 @@ def test_upsert_into_updates_touched_buckets_and_repeats_cleanly(spark):
     b2 = spark.createDataFrame([("5", "new", 2), ("999", "x", 2), ("5", "older", 1)], schema)
     path = merge.upsert_into(path, b2, ["id"], ["w", "payload"], stamp=F.lit(2), buckets=16)
     path = merge.upsert_into(path, b2, ["id"], ["w", "payload"], stamp=F.lit(2), buckets=16)  # a retry
-    rows = {r["id"]: r["payload"] for r in spark.read.parquet(path).collect()}
+    rows = {r["id"]: r["payload"] for r in versions.read(spark, path).collect()}
     assert len(rows) == 201 and rows["5"] == "new" and rows["999"] == "x" and rows["6"] == "p6"
-    assert spark.read.parquet(path).count() == 201
+    assert versions.read(spark, path).count() == 201
 
 
 def test_quantiles_when_most_rows_share_one_value(spark):

@@ -83,19 +83,17 @@ def test_layouts_keep_every_row(spark, tables):
 
 
 def test_merge_reads_and_writes_only_touched_folders(spark):
-    import os
-
-    from lakeline.operators import merge
+    from lakeline.operators import versions
+    from lakeline.session import scratch_path
 
     old = spark.range(100).selectExpr("id AS k", "id % 10 AS part", "'old' AS v")
-    path = merge.write_version(old, "merge-test", ["part"], ["k"])
-    local = path.removeprefix("file:")
-    files = lambda: {d: sorted(os.listdir(f"{local}/{d}")) for d in os.listdir(local) if d.startswith("part=")}
+    path = versions.create(old, scratch_path(spark, "merge-test"), "part", ["k"])
+    files = lambda: {d: sorted(f for f in versions.read(spark, path).inputFiles() if f"/{d}/" in f) for d in versions.latest(spark, path).folders}
     before = files()
-    merge.merge_partitions(path, spark.sql("SELECT 3L AS k, 3L AS part, 'new' AS v"), ["k"], "part")
+    versions.merge(path, spark.sql("SELECT 3L AS k, 3L AS part, 'new' AS v"), ["k"], "part")
     after = files()
     assert [d for d in before if before[d] != after[d]] == ["part=3"]
-    rows = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    rows = {r["k"]: r["v"] for r in versions.read(spark, path).collect()}
     assert len(rows) == 100 and rows[3] == "new" and rows[13] == "old"
 
 
