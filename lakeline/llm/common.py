@@ -49,6 +49,17 @@ def growing(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with underscores before it until no column has it."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        out.append(n)
+        taken.add(n.lower())
+    return out
+
+
 def tasks(spark: SparkSession, at_least: int = 1) -> int:
     """Shuffle width of this session."""
     return max(at_least, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.common import ALNUM, Words, lower, out_batches, row_ranges, text_bytes, written
+from lakeline.llm.common import ALNUM, Words, lower, out_batches, row_ranges, text_bytes, unused, written
 from lakeline.session import scratch_path
 
 WINDOW = 10
@@ -316,7 +316,8 @@ def _cut_by_all(docs: DataFrame, at: int, blocks: list, max_coverage: float) ->
     """What ``cut`` gives with all blocks in one: each round marks the words
     that any block hits, then cuts; cut texts go through a further round."""
     spark, names = docs.sparkSession, [f"`{c}`" for c in docs.columns]
-    now = docs.select(F.struct(F.lit(0).alias("_"), *(n for k, n in enumerate(names) if k != at)).alias("row"), F.col(names[at]).alias("text"))
+    (blank,) = unused(docs.columns, "_")  # a struct has a field at least
+    now = docs.select(F.struct(F.lit(0).alias(blank), *(n for k, n in enumerate(names) if k != at)).alias("row"), F.col(names[at]).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

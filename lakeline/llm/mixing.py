@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeline.llm.common import NOT_SPACE, Words, growing, out_batches, row_ranges, text_bytes, written
+from lakeline.llm.common import NOT_SPACE, Words, growing, out_batches, row_ranges, text_bytes, unused, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -178,7 +178,7 @@ def _taken(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: i
     rows = written(word_counts(docs, id_col, text_col, source_col), "sizes")
     plan = decisions(rows, seed, **shares)
     return hashed(rows, seed).join(plan, _same(rows, plan)) \
-        .select("id", "mark", rows["size"], "source_size", "target", "u", "base", "extra", "n", "cut").withColumn("times", _times())
+        .select("id", "mark", rows["source"], rows["size"], "source_size", "target", "u", "base", "extra", "n", "cut").withColumn("times", _times())
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, **shares) -> DataFrame:
@@ -188,9 +188,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, **shares) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
-    times = _taken(docs, id_col, text_col, source_col, seed, **shares).where("times > 0").groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")) \
-        .agg(F.max("times").cast("int").alias("_times"))
-    own = F.xxhash64(F.col(text_col).cast("string"))
-    out = docs.withColumn("_own", own).join(growing(written(times, "times")), F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark")))
-    return out.withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(*docs.columns)
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    What the mix decides depends on (source, size, id), so rows equal in
+    source, id and text hash share one decision, and no others do."""
+    tie, none, source, nowhere, mark, times = unused(docs.columns, "tie", "none", "source_", "nowhere", "mark", "times")
+
+    def key(i: Column, s: Column, m: Column) -> dict[str, Column]:
+        return {tie: F.coalesce(i, F.lit(0)), none: i.isNull(), source: F.coalesce(s, F.lit("")), nowhere: s.isNull(), mark: m}
+
+    taken = _taken(docs, id_col, text_col, source_col, seed, **shares).where("times > 0").select("id", "source", "mark", "times")
+    keys = [c.alias(n) for n, c in key(F.col("id"), F.col("source"), F.col("mark")).items()]
+    known = written(taken.groupBy(*keys).agg(F.max("times").cast("int").alias(times)), "times")
+    text = F.col(text_col).cast("string")
+    own = docs.withColumns(key(F.col(id_col).cast("long"), F.col(source_col).cast("string"), F.xxhash64(text)))
+    out = own.join(growing(known), [tie, none, source, nowhere, mark])
+    return out.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

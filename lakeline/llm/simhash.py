@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.common import growing, out_batches, popcount, text_bytes, unsigned_hex, written
+from lakeline.llm.common import growing, out_batches, popcount, text_bytes, unsigned_hex, unused, written
 from lakeline.llm.components import components
 
 SHINGLE = 3
@@ -75,18 +75,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(raw)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp long) of every row."""
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, marked: bool = False) -> DataFrame:
+    """(id, fp long) of every row; ``marked``: with mark, a hash of the text."""
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), *[F.xxhash64(F.coalesce(text, F.lit(""))).alias("mark")] * marked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = text_bytes(b.column(1))
             o = off.tolist()
             fp = np.array([fingerprint(data[s:e].tobytes(), shingle) for s, e in zip(o, o[1:], strict=False)], np.uint64)
-            yield from out_batches({"id": b.column(0), "fp": pa.array(fp.view(np.int64))})
+            yield from out_batches({"id": b.column(0), "fp": pa.array(fp.view(np.int64))} | ({"mark": b.column(2)} if marked else {}))
 
-    return source.mapInArrow(run, "id long, fp long")
+    return source.mapInArrow(run, "id long, fp long" + ", mark long" * marked)
 
 
 # --- statistics of all distinct fingerprints --------------------------------
@@ -278,23 +279,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Ids with several fingerprints tie them together.
     many = written(rows.groupBy("id").agg(F.min("fp").alias("u"), F.max("fp").alias("v")).where("u <> v and id is not null"), "many")
     own = rows.join(many.select("id", "u"), "id").select("u", F.col("fp").alias("v"))
-    groups = components(links(fps, max_bits).unionByName(own))
-    named = written(fps.join(groups, fps.fp == groups.node, "left").select("fp", "least", "copies", F.coalesce("root", "fp").alias("root")), "rooted")
+    named = _rooted(fps, links(fps, max_bits).unionByName(own))
     roots = written(named.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("copies").alias("component_size")), "roots")
     known = written(named.join(roots, "root").select("fp", "component_id", "component_size"), "known")
     return rows.join(known, "fp").select(F.col("id").alias(id_col), unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id", "component_size")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, with all its columns: the one that names the
-    group.  Rows that repeat a kept id stay only once (least text hash)."""
-    from pyspark.sql import Window
-
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    # Rows without an id all stay: they take no part in the joins on ids, where
-    # they would meet in one task.
-    named, nameless = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
-    left = named.join(growing(written(gone, "gone")), F.col(id_col) == F.col("_gone"), "left_anti")
-    once = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    return left.withColumn("_row", F.row_number().over(once)).where("_row = 1").select(*docs.columns).unionByName(nameless)
+def _rooted(fps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``fps`` with the root of each one's component."""
+    groups = components(pairs)
+    return written(fps.join(groups, fps.fp == groups.node, "left").select(*fps.columns, F.coalesce("root", "fp").alias("root")), "rooted")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each group of linked texts, with all its columns.
+
+    Rows are told apart by (id, hash of the text), and groups come from the
+    texts alone: a repeated id ties nothing.  Of a group stays the row of least
+    id, then least text hash; one without an id only if the group has no other.
+    Of rows equal in id and text, the one whose other columns hash least."""
+    key = [F.coalesce(F.col("id"), F.lit(0)).alias("tie"), F.col("id").isNull().alias("none")]
+    rows = written(fingerprints(docs, id_col, text_col, shingle, marked=True), "fingerprints")
+    places = written(rows.groupBy("fp", "id", "mark").agg(F.count("*").alias("n")), "places")
+    fps = written(places.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "n")).alias("least")), "distinct")
+    best = _rooted(fps, links(fps, max_bits)).groupBy("root").agg(F.min("least").alias("r")).select("r.*")
+    kept = written(best.select(*key, "mark", "n"), "kept")
+    tie, none, mark, n, rest = unused(docs.columns, "tie", "none", "mark", "n", "rest")
+    names = dict(zip(("tie", "none", "mark", "n"), (tie, none, mark, n), strict=True))
+    id_ = F.col(id_col).cast("long")
+    own = docs.withColumns({tie: F.coalesce(id_, F.lit(0)), none: id_.isNull(), mark: F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))})
+    kept = kept.withColumnsRenamed(names)
+    once = own.join(growing(kept.where(F.col(n) == 1)), [tie, none, mark]).select(*docs.columns)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    copies = own.join(kept.where(F.col(n) > 1), [tie, none, mark]).withColumn(rest, F.xxhash64(F.to_json(F.struct(*others))))
+    one = copies.groupBy(tie, none, mark).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), rest).alias(rest)).select(f"{rest}.*")
+    return once.unionByName(one)

@@ -90,7 +90,7 @@ def test_simhash(spark, odd, none):
     kept = by_id(simhash.keep_one(odd), "text")
     assert simhash.keep_one(odd).columns == odd.columns
     ids = [r[0] for r in kept]
-    assert ids.count(0) == 1 and ids.count(3) == 1 and 5 not in ids and 1 not in ids and ids.count(None) == 2
+    assert ids.count(0) == 1 and ids.count(3) == 1 and 5 not in ids and 1 not in ids and ids.count(None) == 1  # the one without text is a copy of 0
     assert simhash.near_duplicates(none).count() == 0 and simhash.keep_one(none).count() == 0
 
 
@@ -183,27 +183,33 @@ def test_quality(odd, none, labels):
     assert quality.quality(none, labels).count() == 0 and quality.keep_good(none, labels).count() == 0
 
 
-def test_quality_bar(spark):
-    assert [quality.limit_rank(n) for n in (0, 1, 458, 459, 1000)] == [0, 0, 0, 1, 3]
-    texts = [" ".join(f"w{k * (i + 3) % (i + 7)} x{i % 5}" for k in range(12)) for i in range(600)]
-    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (700, "other " * 30), (1, texts[1])], "doc_id long, text string")
+@pytest.mark.parametrize("n", [1, 2, 99, 100, 400])
+def test_quality_bar_is_one_rule_at_every_size(spark, n):
+    """The order statistic of the trusted documents' scores, each judged by the
+    others; a repeated trusted id counts with its least score."""
+    texts = [" ".join(f"w{k * (i + 3) % (i + 7)} x{i % 5}" for k in range(12)) for i in range(n)]
+    rows = [*enumerate(texts), (None, texts[0]), (700, "other " * 30), (0, texts[-1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = docs.selectExpr("doc_id", "1 AS quality", "if(doc_id = 700, 1, 0) AS toxic")
-    bucket = [quality.gram_buckets(np.frombuffer(t.encode(), np.uint8)) for t in [*texts, texts[0], "other " * 30, texts[1]]]
-    failed = quality.judge(quality.measure(docs.select("text").toArrow().column(0).combine_chunks(), np.zeros(1 << 16, np.int64)), 0)[0]
-    count = [np.bincount(b, minlength=1 << 16).astype(float) for b in bucket]
-    raw, target = sum(count), sum(count[:600]) + count[602]
-    scores = {}
-    for i in range(600):
-        if not failed[i]:
-            rest = target - count[i]
-            scores[i] = int(quality.log_ratios(rest, raw, rest.sum(), raw.sum())[bucket[i]].sum()) // len(bucket[i])
-    rank = quality.limit_rank(len(scores))
-    bar = quality.trusted_bar(docs, "doc_id", "text", [*range(600)], target, raw)
-    assert bar == (sorted(scores.values())[rank - 1] / quality.SCALE if rank else quality.THRESHOLD) and rank > 0
+    grams = [quality.gram_buckets(np.frombuffer(t.encode(), np.uint8)) for _, t in rows]
+    count = [np.bincount(g, minlength=1 << 16) for g in grams]
+    good = [i is not None and i != 700 for i, _ in rows]
+    raw, target, half = sum(count), sum(c for c, k in zip(count, good, strict=True) if k), (1 << 16) / 2
+    scores = []
+    for g, c, k in zip(grams, count, good, strict=True):
+        t, r = target - c * k, raw - c
+        ratio = np.log((t[g] + 0.5) / (t.sum() + half)) - np.log((r[g] + 0.5) / (r.sum() + half))
+        wide = min(quality.PASSAGE, len(g))
+        scores.append(np.convolve(ratio, np.ones(wide) / wide, "valid").min())
     got = quality.quality(docs, labels).toPandas()
-    assert (got.kept == (~got.base_failed & (got.llr >= bar))).all()
-    # Too few trusted documents: the fixed bar.
-    assert quality.trusted_bar(docs, "doc_id", "text", [*range(100)], target, raw) == quality.THRESHOLD
+    failed = {t: f for (_, t), f in zip(rows, quality.base_failed(quality.measure(docs.select("text").toArrow().column(0).combine_chunks())), strict=True)}
+    least = {}
+    for (i, t), s, k in zip(rows, scores, good, strict=True):
+        if k and not failed[t]:
+            least[i] = min(least.get(i, np.inf), s)
+    bar = sorted(least.values())[len(least) // 100] if least else -np.inf
+    assert sorted(zip(got.base_failed, got.kept, strict=True)) == sorted((failed[t], not failed[t] and s >= bar - 1e-5) for (_, t), s in zip(rows, scores, strict=True))
+    assert np.allclose(sorted(got.llr), sorted(scores), atol=1e-5)
 
 
 def test_urls(spark):
@@ -362,3 +368,58 @@ def test_pipeline_stages_on_odd_tables(spark, odd, none, items, labels, tmp_path
             out = stage(spark, docs, str(tmp_path))
             assert out.columns == odd.columns or name == "tokens"
             out.count()
+
+
+def stage_rows(spark, rows, *extra):
+    """Documents of (doc_id, text, source), beside columns named like helpers of the stages."""
+    names = ["_row", "_own", "_copy", "_times", "_id", "_", "tie", "none", "mark", "n", "rest", "times", "source_", "nowhere", "least", "root", "row"]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", *[f"concat('{n}', coalesce(doc_id, -1), source) AS `{n}`" for n in names], *extra)
+
+
+def whole(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+WORDS = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcdefgh"]
+
+
+def test_simhash_stage_keeps_one_row_of_each_group(spark):
+    copy = WORDS[1] + " tail"
+    rows = [(1, WORDS[0], "s"), (1, WORDS[2], "s"),              # unrelated texts under one id: both stay
+            (None, WORDS[3], "s"), (None, WORDS[3], "s"),        # copies without an id: one stays
+            (None, WORDS[4], "s"), (9, WORDS[4], "s"),           # the one with an id stays
+            (7, WORDS[1], "s"), (5, WORDS[1], "t"),              # the least id stays
+            (6, WORDS[5], "s"), (6, WORDS[5], "a"), (6, WORDS[5], "s"),  # equal in id and text: one of them, with its own columns
+            (None, None, "s"), (20, "", "s")]                    # no text is the empty text
+    docs = stage_rows(spark, rows)
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns and got.dtypes == docs.dtypes
+    found = whole(got)
+    every = whole(docs)
+    assert all(r in every for r in found)
+    assert sorted((str(r[0]), r[1]) for r in found) == sorted([("1", WORDS[0]), ("1", WORDS[2]), ("None", WORDS[3]), ("9", WORDS[4]), ("5", WORDS[1]), ("6", WORDS[5]), ("20", "")])
+    assert whole(simhash.keep_one(docs.repartition(5))) == found and copy not in [r[1] for r in found]
+    assert simhash.keep_one(docs.where("false")).count() == 0
+
+
+def test_mixing_stage_takes_what_the_mix_decides(spark):
+    rows = [(1, WORDS[0], "a"), (1, WORDS[0], "b"), (1, WORDS[0], "b"), (None, WORDS[1], "a"), (None, WORDS[1], None), (3, WORDS[2], "c"), (4, None, "c"), (5, "", "a")]
+    rows += [(k, WORDS[k % 8] + f" {k}", "abc"[k % 3]) for k in range(10, 60)]
+    docs = stage_rows(spark, rows)
+    taken = mixing._taken(docs, "doc_id", "text", "source", mixing.SEED).collect()
+    want = {}
+    for r in taken:
+        want.setdefault((r.id, r.source, r.mark), set()).add(r.times)
+    assert all(len(t) == 1 for t in want.values())
+    marks = {r[0]: r[1] for r in docs.select("text", F.xxhash64("text")).collect()}
+    expected = sorted((tuple(r) for r in docs.collect() for _ in range(next(iter(want[(r.doc_id, r.source, marks[r.text])])))), key=str)
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns and whole(got) == expected
+
+
+def test_passages_are_cut_beside_clashing_columns(spark, items):
+    docs = stage_rows(spark, [(1, f"x {PASSAGE} y " + WORDS[0], "s"), (2, WORDS[1], "s"), (2, PASSAGE, "s")])
+    one = decontaminate.remove_passages(docs, items)
+    many = decontaminate.remove_passages(docs, items, block_words=3)
+    assert whole(one) == whole(many) and len(whole(one)) == 2
+    assert [r[2:] for r in whole(one)] == [r[2:] for r in whole(docs.where("doc_id = 1 or text like 'b%'"))]
