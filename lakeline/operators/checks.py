@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +84,57 @@ def run_tests(df: DataFrame, tests: list) -> DataFrame:
     return out.select("test", F.col("failures").cast("bigint").alias("failures"))
 
 
+def _fails(df: DataFrame, tests: list) -> tuple[DataFrame, dict]:
+    """``df`` with what the tests need beside a row, and for each test the
+    condition under which a row fails."""
+    bad = {}
+    for k, t in enumerate(tests):
+        if isinstance(t, NotNull):
+            bad[t.name] = F.col(t.column).isNull()
+        elif isinstance(t, AcceptedValues):
+            bad[t.name] = F.col(t.column).isNotNull() & ~F.col(t.column).isin(t.values)
+        elif isinstance(t, Relationship):
+            known = t.to.select(F.col(t.field).alias(f"__key{k}")).distinct().withColumn(f"__hit{k}", F.lit(True))
+            df = df.join(known, F.col(t.column) == F.col(f"__key{k}"), "left")
+            bad[t.name] = F.col(t.column).isNotNull() & F.col(f"__hit{k}").isNull()
+        else:
+            raise TypeError(f"{t} is no test of a single row: run it on the written table")
+    return df, bad
+
+
+def write_checked(df: DataFrame, tests: list, path: str) -> DataFrame:
+    """Write ``df`` and test its rows in the same pass over it.
+
+    Rows that pass and rows that don't go to folders of their own under
+    ``path`` (``kept``, ``quarantined``), the latter with the names of the tests
+    they fail in ``failed``.  Returns (measure, rows): rows
+    in, kept and quarantined, and each test's failures, all counted by the
+    write itself (an Observation), so the source is read once."""
+    rows, bad = _fails(df, tests)
+    failed = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in bad.items()]), lambda n: n.isNotNull())
+    flagged = rows.select(*df.columns, failed.alias("failed"))
+    seen = Observation()
+    counted = flagged.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(F.size("failed") == 0).alias("rows_kept"),
+                              F.count_if(F.size("failed") > 0).alias("rows_quarantined"), *[F.count_if(F.array_contains("failed", n)).alias(n) for n in bad])
+    counted.withColumn("__state", F.when(F.size("failed") == 0, "good").otherwise("bad")).write.mode("overwrite").partitionBy("__state").parquet(path)
+    return df.sparkSession.createDataFrame(list(seen.get.items()), "measure string, rows long")
+
+
+def kept(spark, path: str, schema: T.StructType) -> DataFrame:
+    """Rows that passed; ``schema``: that of the frame that was written."""
+    return _state(spark, path, schema, "good").drop("failed")
+
+
+def quarantined(spark, path: str, schema: T.StructType) -> DataFrame:
+    """Rows that failed, with the tests they failed."""
+    return _state(spark, path, schema, "bad")
+
+
+def _state(spark, path: str, schema: T.StructType, state: str) -> DataFrame:
+    whole = T.StructType([*schema.fields, T.StructField("failed", T.ArrayType(T.StringType())), T.StructField("__state", T.StringType())])
+    return spark.read.schema(whole).parquet(path).filter(F.col("__state") == state).drop("__state")
+
+
 def schema_contract(df: DataFrame, expected: T.StructType, check_nullability: bool = False) -> list[str]:
     """Differences between a frame's schema and the expected one (T5)."""
     problems = []

@@ -29,11 +29,15 @@ def _parts(df: DataFrame, partitions: int | None) -> int:
 
 
 def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
-            name: str = "rn", partitions: int | None = None) -> DataFrame:
+            name: str = "rn", partitions: int | None = None, written: bool = True) -> DataFrame:
     """Add ``name`` = 1-based position of each row in its group by ``order_cols``.
 
     Equivalent to ``row_number() over (partition by group order by order)``
-    but no task ever holds more than one range partition of rows."""
+    but no task ever holds more than one range partition of rows.
+
+    ``written=False``: only the sliced rows are written, and each use of the
+    result numbers them again (or not at all, where the number isn't read);
+    for callers that write what they make of it themselves."""
     group_cols = list(group_cols or [])
     gnames = [c if isinstance(c, str) else None for c in group_cols]
     if None in gnames:
@@ -54,11 +58,14 @@ def ordinal(df: DataFrame, order_cols: list, group_cols: list | None = None,
     blocks = sliced.groupBy(_PID, *gnames).agg(F.count(F.lit(1)).alias("__n"))
     off_w = Window.partitionBy(*gnames).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("__off", F.coalesce(F.sum("__n").over(off_w), F.lit(0))).drop("__n")
-    out = local.join(blocks, [_PID, *gnames], "inner")
+    blocks = blocks.withColumnsRenamed({c: f"__of_{c}" for c in (_PID, *gnames)})
+    same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in (_PID, *gnames)]  # null is a group, too
+    # left: a caller that doesn't read the number pays for neither join nor window
+    out = local.join(blocks, same, "inner" if written else "left")
+    numbered = out.select(*df.columns, (F.col("__local") + F.col("__off")).cast("bigint").alias(name))
     # written once: callers use the numbered rows in several branches, and
     # the planner would otherwise redo the window in each of them
-    return out.select(*df.columns, (F.col("__local") + F.col("__off")).cast("bigint").alias(name)).checkpoint(
-        eager=True)
+    return numbered.checkpoint(eager=True) if written else numbered
 
 
 def _global_ordinal(df: DataFrame, order_cols: list, name: str, n: int) -> DataFrame:

@@ -64,7 +64,7 @@ def list_values(df: DataFrame, col: str) -> list[str]:
 
 
 def write_layout(df: DataFrame, part_col: str, path: str, strict: bool = True,
-                 spread: list[str] | None = None, tasks: int | None = None) -> str:
+                 spread: list[str] | None = None, tasks: int | None = None, row_group_bytes: int | None = None) -> str:
     """Write routed rows partitioned by ``part_col``.
 
     ``strict``: fail if any row is unrouted, as declarative partitions
@@ -74,19 +74,45 @@ def write_layout(df: DataFrame, part_col: str, path: str, strict: bool = True,
     ``spread``: range-partition on (part_col, *spread) before writing, so each
     task holds a contiguous run of partition values (few files per folder
     instead of one per task per folder) while a large partition value is
-    still split across several tasks by the spread columns."""
+    still split across several tasks by the spread columns.  Rows lie in the
+    order of the spread columns, so the least and greatest values of a row
+    group tell a reader which groups a filter on them can skip;
+    ``row_group_bytes`` sets their size.
+
+    The strict check runs inside the write: the first unrouted row fails it,
+    and no second pass over the input looks for one."""
     if strict:
-        bad = df.filter(F.col(part_col).isNull()).limit(1).count()
-        if bad:
-            raise ValueError(f"rows outside every declared partition of {part_col}")
-    out = df if strict else df.withColumn(part_col, F.coalesce(F.col(part_col).cast("string"), F.lit(UNROUTED)))
+        routed = F.when(F.col(part_col).isNull(), F.raise_error(F.lit(f"rows outside every declared partition of {part_col}"))).otherwise(F.col(part_col))
+    else:
+        routed = F.coalesce(F.col(part_col).cast("string"), F.lit(UNROUTED))
+    out = df.withColumn(part_col, routed)
     if spread:
         n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, part_col, *spread)
-    out.write.mode("overwrite").partitionBy(part_col).parquet(path)
+        out = out.repartitionByRange(n, part_col, *spread).sortWithinPartitions(part_col, *spread)
+    w = out.write.mode("overwrite").partitionBy(part_col)
+    if row_group_bytes:
+        w = w.option("parquet.block.size", row_group_bytes)
+    try:
+        w.parquet(path)
+    except Exception as e:
+        if strict and "outside every declared partition" in str(e):
+            raise ValueError(f"rows outside every declared partition of {part_col}") from e
+        raise
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """A catalog table with its rows in ``buckets`` by hash of ``keys``, sorted
+    by them, in ``path``: joins and aggregates on the keys need no shuffle, and
+    a filter on them reads one bucket.
+
+    Rows are dealt out by the same hash first, so each bucket is one file.  Join
+    tables of equal (or multiple) bucket counts and equal key types; a key that
+    holds much of the table makes its bucket as large."""
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def unrouted_count(df: DataFrame, part_col: str) -> Column:
     return F.count_if(F.col(part_col).isNull())
 

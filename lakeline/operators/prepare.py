@@ -60,6 +60,12 @@ def categories(df: DataFrame, column: str) -> list:
     return [r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
 
 
+def _counts(df: DataFrame, column: str) -> dict:
+    """Rows of each non-null value, in value order: as many as one-hot columns."""
+    found = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(column).collect()
+    return {r[0]: r[1] for r in found}
+
+
 @dataclass
 class Ordinal:
     column: str
@@ -111,6 +117,31 @@ def fit_onehot(df: DataFrame, column: str, prefix: str = "") -> OneHot:
     return OneHot(column, categories(df, column), prefix=prefix)
 
 
+@dataclass
+class Sparse:
+    """One-hot as one sparse column: (size, indices, values), the fields of a
+    sparse vector.  ``codes``: (value, code), a table."""
+    column: str
+    codes: DataFrame
+    size: int
+
+    def transform(self, df: DataFrame, out: str) -> DataFrame:
+        codes = self.codes.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+        joined = df.join(codes, F.col(self.column) == F.col("__value"), "left")
+        hit = F.col("__code").isNotNull()
+        none = F.array()
+        vector = F.struct(F.lit(self.size).alias("size"), F.when(hit, F.array("__code")).otherwise(none.cast("array<int>")).alias("indices"),
+                          F.when(hit, F.array(F.lit(1.0))).otherwise(none.cast("array<double>")).alias("values"))
+        return joined.withColumn(out, vector).drop("__value", "__code")
+
+
+def fit_sparse(df: DataFrame, column: str) -> Sparse:
+    """One-hot for any number of categories: they are numbered and joined back
+    as a table, none is collected; an unseen or NULL value is the empty vector."""
+    codes = fit_ordinal(df, column).codes
+    return Sparse(column, codes, codes.agg(F.coalesce(F.max("code") + 1, F.lit(0))).first()[0])
+
+
 # --- scaling --------------------------------------------------------------
 
 @dataclass
@@ -181,9 +212,10 @@ def fit_mixed(df: DataFrame, leave: list[str], digits: int | None = None) -> Ste
     x = imp_n.transform(df)
     scale = fit_standard(x, numeric, digits)
     scale.prefix = "num__"
-    imp_c = fit_mode(x, categorical)
-    x = imp_c.transform(x)
-    encs = [fit_onehot(x, c, prefix="cat__") for c in categorical]
+    # One count of its values gives a text column's mode and its categories.
+    counts = {c: _counts(x, c) for c in categorical}
+    imp_c = Fill({c: max(n, key=n.get) if n else None for c, n in counts.items()})
+    encs = [OneHot(c, list(n), prefix="cat__") for c, n in counts.items()]
     return Steps([imp_n, scale, imp_c, *encs])
 
 

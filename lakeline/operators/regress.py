@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from lakeline.functions import fixed
 from lakeline.functions.exprs import present
+from lakeline.operators.wide import FAN, reduce_arrays
 
 INTERCEPT = "intercept"
 BATCH_ROWS = 20      # rows of a mini-batch
 TOGETHER = 8         # epochs whose rows are dealt out by one job
-FAN = 256            # factors that one task reduces to one
 RANK_TOL = 1e-13     # singular values below this share of the largest count as zero
 
 
@@ -108,40 +108,17 @@ def _triangle(rows: np.ndarray) -> np.ndarray:
 
 
 def qr_factor(rows: DataFrame, fan: int = FAN) -> np.ndarray:
-    """R of the tall matrix that the double columns of ``rows`` make.
-
-    A task reduces its batches to one R as they come; then ``fan`` of them at a
-    time meet in a task, until ``fan`` are left for the driver.  Nothing grows
-    with the rows but the height of that tree."""
+    """R of the tall matrix that the double columns of ``rows`` make: a task
+    reduces its batches to one R as they come, and these meet in a tree."""
     d = len(rows.columns)
 
-    def write(r: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-        if r is not None:
-            yield pa.RecordBatch.from_pydict({"r": pa.array([r.ravel().tolist()], pa.list_(pa.float64()))})
-
-    def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = None
-        for b in batches:
-            if b.num_rows:
-                part = np.column_stack([b.column(k).to_numpy() for k in range(d)])
-                r = _triangle(part if r is None else np.vstack([r, part]))
-        yield from write(r)
+    def stacked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return _triangle(np.vstack([a.reshape(d, d), b.reshape(d, d)])).ravel()
 
-    def node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = None
-        for b in batches:
-            if b.num_rows:
-                part = b.column(0).flatten().to_numpy().reshape(-1, d)
-                r = _triangle(part if r is None else np.vstack([r, part]))
-        yield from write(r)
-
-    found = rows.mapInArrow(leaf, "r array<double>").checkpoint(eager=True)
-    while (n := found.count()) > fan:
-        found = found.repartition(-(-n // fan)).mapInArrow(node, "r array<double>").checkpoint(eager=True)
-    parts = [np.array(r[0]).reshape(d, d) for r in found.collect()]
-    if not parts:
+    r = reduce_arrays(rows, lambda x: _triangle(x).ravel(), stacked, fan)
+    if r is None:
         raise ValueError("no row has all features and the target")
-    return _triangle(np.vstack(parts))
+    return r.reshape(d, d)
 
 
 def fit_pinv(df: DataFrame, features: list[str], target: str, intercept: bool = True, rank_tol: float = RANK_TOL) -> Linear:

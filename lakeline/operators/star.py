@@ -85,7 +85,7 @@ def line_shares(lines: DataFrame, per_order: DataFrame, order_id: str, line_no:
 
 
 def allocate(lines: DataFrame, orders: DataFrame, order_id: str, line_no: str,
-             weight: str, amounts: list[str], carry: list[str] | None = None) -> DataFrame:
+             weight: str, amounts: list[str], carry: list[str] | None = None, dense: bool = False) -> DataFrame:
     """Split order-level amounts over its lines in proportion to ``weight``.
 
     share = amount * weight / order weight, rounded half-up to cents with
@@ -93,11 +93,13 @@ def allocate(lines: DataFrame, orders: DataFrame, order_id: str, line_no: str,
     residual so every order reconciles to the cent.  Equal split when the
     order's weight is 0.  Amounts come back as decimal(14,2) columns named
     ``allocated_<amount>``; ``carry`` order columns ride along on the same
-    join, so a fact needs no second join to its order header."""
+    join, so a fact needs no second join to its order header.  ``dense``: line
+    numbers run from 1, so the last one is the count, and the totals are made
+    without numbering the lines.  Lines are written once, with their shares."""
     totals = lines.groupBy(order_id).agg(
         F.sum(weight).alias("__w_total"),
         F.count(F.lit(1)).alias("__n_lines"),
-        F.max(line_no).alias("__last"),
+        (F.count(F.lit(1)).cast("int") if dense else F.max(line_no)).alias("__last"),
     )
     headers = orders.select(order_id, *amounts, *(carry or []))
     per_order = stored(totals.join(headers, order_id), "order-totals")

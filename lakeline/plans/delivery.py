@@ -22,7 +22,7 @@ from lakeline.functions.exprs import date_key, duration_minutes, money
 from lakeline.operators import star
 from lakeline.operators.keys import ordinal
 from lakeline.plans.tables import Tables
-from lakeline.session import stored
+from lakeline.session import stored_once
 
 def _memo(fn):
     """Build a frame once per Tables handle, so a query that needs a
@@ -37,12 +37,16 @@ def _memo(fn):
     return wrapper
 
 
+SOURCES = ("orders", "lineitem", "customer", "supplier", "part", "nation", "region")
+
+
 def _stored(fn):
-    """``_memo`` of a frame written as a table: keyed once, and later plans see
-    its size in bytes, so a small dimension is broadcast and a fact is never
-    shuffled on a key of few values."""
+    """The star's tables: written once for an application and state of the
+    source tables, and read by every question (its own columns alone).  Plans
+    see their size in bytes, so a small dimension is broadcast and a fact is
+    never shuffled on a key of few values."""
     def build(t: Tables) -> DataFrame:
-        return stored(fn(t), fn.__name__)
+        return stored_once(t.spark, fn.__name__, [t.path(s) for s in SOURCES], lambda: fn(t))
     build.__name__ = fn.__name__
     build.__doc__ = fn.__doc__
     return _memo(build)
@@ -93,7 +97,7 @@ def raw_order_items(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
     p = t.part.select("p_partkey", "p_retailprice")
     numbered = ordinal(li, [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")],
-                       ["l_orderkey"], "line_number")
+                       ["l_orderkey"], "line_number", written=False)
     return numbered.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("line_number").cast("int").alias("line_number"),
@@ -140,10 +144,9 @@ def raw_payments(t: Tables) -> DataFrame:
 
 @_stored
 def dim_date(t: Tables) -> DataFrame:
-    o = raw_orders(t)
-    dates = o.select(F.col("order_ts").alias("d")).unionByName(
-        o.select(F.col("delivered_ts").alias("d")).filter(F.col("d").isNotNull()))
-    return star.date_dimension(dates, "d")
+    # One pass over the orders: both ends of both dates, then two rows.
+    ends = raw_orders(t).agg(F.least(F.min("order_ts"), F.min("delivered_ts")).alias("lo"), F.greatest(F.max("order_ts"), F.max("delivered_ts")).alias("hi"))
+    return star.date_dimension(ends.select(F.explode(F.array("lo", "hi")).alias("d")), "d")
 
 
 @_stored
@@ -214,10 +217,10 @@ def allocated_lines(t: Tables, carry: list[str] | None = None) -> DataFrame:
     items = raw_order_items(t).withColumn(
         "gross_item_amount", (F.col("qty") * F.col("unit_price")).cast("decimal(14,2)"))
     header = order_header(t) if carry else raw_payments(t).select("order_id", *AMOUNTS)
-    return star.allocate(items, header, "order_id", "line_number", "gross_item_amount", AMOUNTS, carry)
+    return star.allocate(items, header, "order_id", "line_number", "gross_item_amount", AMOUNTS, carry, dense=True)
 
 
-@_memo
+@_stored
 def star_fact(t: Tables) -> DataFrame:
     f, *_ = side_by_side(t, lambda t: allocated_lines(t, HEADER), dim_city, dim_customer, dim_restaurant, dim_product,
                          dim_payment_method, dim_promotion)

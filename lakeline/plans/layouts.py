@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakeline.functions.exprs import money
 from lakeline.operators import gold, layout
+from lakeline.plans import delivery as dl
 from lakeline.plans.registry import query
 from lakeline.session import scratch_path
 from lakeline.functions import fixed
@@ -144,6 +147,83 @@ def q_revenue_by_customer(t):
     return gold.revenue_by(t.spark.read.parquet(hash_layout(t)), ["o_custkey"])
 
 
+# --- bucketed tables, dynamic pruning, row-group skipping ---------------------
+
+BUCKETS = 16  # a bucket of a few gigabytes at scale: the count is part of the layout
+
+
+def bucketed(t, df, name, key):
+    """``df`` as a table of the session's catalog, its files in the scratch folder."""
+    return layout.write_bucketed(df, f"{name}_{uuid.uuid4().hex[:12]}", scratch_path(t.spark, name), [key], BUCKETS)
+
+
+def bucketed_orders(t):
+    return bucketed(t, t.orders.select("o_orderkey", "o_custkey", money("o_totalprice").alias("amount")), "orders_bucketed", "o_custkey")
+
+
+def bucketed_customers(t):
+    return bucketed(t, t.customer.select("c_custkey", "c_mktsegment"), "customers_bucketed", "c_custkey")
+
+
+def revenue_by_customer_segment(orders, customers):
+    """One row for each customer with orders: join and aggregate on the bucket key."""
+    x = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+    return gold.revenue_by(x.withColumnRenamed("c_mktsegment", "segment"), ["o_custkey", "segment"])
+
+
+@query("bucketed_join", """
+SELECT o_custkey, c_mktsegment AS segment, count(*) AS num_orders, CAST(round(sum(CAST(o_totalprice AS DECIMAL(14,2))), 2) AS DOUBLE) AS revenue
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""")
+def q_bucketed_join(t):
+    """Orders and customers, both bucketed by customer: no shuffle is left."""
+    return revenue_by_customer_segment(bucketed_orders(t), bucketed_customers(t))
+
+
+@query("bucketed_lookup", """
+SELECT o_custkey, count(*) AS num_orders, CAST(round(sum(CAST(o_totalprice AS DECIMAL(14,2))), 2) AS DOUBLE) AS revenue
+FROM orders WHERE o_custkey = 7 GROUP BY 1""")
+def q_bucketed_lookup(t):
+    """One customer, read from its bucket alone."""
+    return gold.revenue_by(bucketed_orders(t).filter("o_custkey = 7"), ["o_custkey"])
+
+
+QUARTER = (1996, (4, 5, 6))
+
+
+def of_quarter(df, dates):
+    """Rows of a month layout in the quarter that the date dimension names: the
+    fact's folders are pruned by the months that the dimension's filter leaves."""
+    months = dates.filter((F.col("year") == QUARTER[0]) & F.col("month").isin(*QUARTER[1])).select(F.col("year_month").alias("order_month")).distinct()
+    return df.join(months, "order_month")
+
+
+@query("revenue_of_quarter", ORDERS_REGION_SQL + f"""
+SELECT strftime(o_orderdate, '%Y-%m') AS order_month, region, count(*) AS num_orders, CAST(round(sum(amount), 2) AS DOUBLE) AS revenue
+FROM o WHERE year(o_orderdate) = {QUARTER[0]} AND month(o_orderdate) IN {QUARTER[1]} GROUP BY 1, 2""")
+def q_revenue_of_quarter(t):
+    df = t.spark.read.parquet(range_layout(t))
+    return gold.revenue_by(of_quarter(df, dl.dim_date(t)), ["order_month", "region"])
+
+
+KEY_SPAN = (1000, 1999)
+
+
+def ordered_layout(t, row_group_bytes=1 << 20):
+    """Months, and inside a month the rows in order of their key."""
+    bounds = layout.month_span(t.orders, "o_orderdate")
+    df = layout.with_partition(orders_with_region(t), "order_month", layout.range_route("o_orderdate", bounds))
+    return layout.write_layout(df, "order_month", scratch_path(t.spark, "orders-ordered"), spread=["o_orderkey"], row_group_bytes=row_group_bytes)
+
+
+@query("revenue_of_key_span", ORDERS_REGION_SQL + f"""
+SELECT strftime(o_orderdate, '%Y') AS year, count(*) AS num_orders, CAST(round(sum(amount), 2) AS DOUBLE) AS revenue
+FROM o WHERE o_orderkey BETWEEN {KEY_SPAN[0]} AND {KEY_SPAN[1]} GROUP BY 1""")
+def q_revenue_of_key_span(t):
+    """A span of order keys: row groups whose keys lie outside are skipped."""
+    df = t.spark.read.parquet(ordered_layout(t)).filter(F.col("o_orderkey").between(*KEY_SPAN))
+    return gold.revenue_by(df.withColumn("year", F.date_format("o_orderdate", "yyyy")), ["year"])
+
+
 @query("retain_since", ORDERS_REGION_SQL + f"""
 SELECT strftime(o_orderdate, '%Y-%m') AS order_month, count(*) AS num_rows,
        CAST(round(sum(amount), 2) AS DOUBLE) AS amount

@@ -11,7 +11,7 @@ from lakeline.operators import gold, merge
 from lakeline.plans import reports
 from lakeline.plans.registry import query
 from lakeline.session import scratch_path
-from lakeline.sources import files, jdbc
+from lakeline.sources import files, jdbc, records
 
 # Fixed values of ours: the extract window and month used by the load queries.
 WEEK = ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
@@ -122,17 +122,43 @@ def q_load_capped(t):
 LOAD_BATCHES = 4
 
 
+def _batch():
+    return F.pmod(F.xxhash64("o_orderkey"), F.lit(LOAD_BATCHES)).cast("int")
+
+
 @query("load_append_batches", "SELECT count(*) AS source_rows, count(*) AS target_rows, CAST(0 AS BIGINT) AS diff FROM orders")
 def q_load_append_batches(t):
-    """Orders appended in batches; each batch owns a folder that a retry
-    overwrites, so a batch applied twice counts once (the last one is)."""
+    """Orders appended in batches with one scan; the last batch is loaded again,
+    as a retry would, takes its own place and counts once."""
     target = scratch_path(t.spark, "orders-append")
-    batch = F.pmod(F.xxhash64("o_orderkey"), F.lit(LOAD_BATCHES))
-    for k in [*range(LOAD_BATCHES), LOAD_BATCHES - 1]:
-        t.orders.filter(batch == k).write.mode("overwrite").parquet(f"{target}/batch={k}")
+    for rows in (t.orders, t.orders.filter(_batch() == LOAD_BATCHES - 1)):
+        files.append_batches(rows, _batch(), target)
     return jdbc.reconcile(t.orders, t.spark.read.parquet(target))
 
 
+@query("load_source_batches", "SELECT * FROM orders")
+def q_load_source_batches(t):
+    """Orders loaded batch by batch through the record store's data source, the
+    last batch twice; all rows read back through it."""
+    records.register(t.spark)
+    path = scratch_path(t.spark, "orders-records")
+    for k in [*range(LOAD_BATCHES), LOAD_BATCHES - 1]:
+        records.append(t.orders.filter(_batch() == k), path, f"batch-{k}")
+    return records.read(t.spark, path, t.orders.schema)
+
+
+@query("extract_source_window", f"""
+SELECT * FROM events WHERE ts >= TIMESTAMP '{WEEK[0]}' AND ts < TIMESTAMP '{WEEK[1]}'""")
+def q_extract_source_window(t):
+    """One extract window read from the record store: its bounds are pushed to
+    the source, which plans the parts that can hold them."""
+    records.register(t.spark)
+    path = scratch_path(t.spark, "event-records")
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    records.append(t.events.repartitionByRange(n, "ts"), path, "all")
+    return files.extract_window(records.read(t.spark, path, t.events.schema), "ts", *WEEK)
+
+
 @query("load_replace", "SELECT * FROM orders")
 def q_load_replace(t):
     """An empty table of the source's schema, replaced by a full load twice:

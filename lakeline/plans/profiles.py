@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeline.functions import fixed
 from lakeline.operators import profile as pf
+from lakeline.operators import sketches, versions, wide
 from lakeline.plans.registry import query
-from lakeline.functions import fixed
+from lakeline.session import scratch_path
 
 # housing-shaped view: numeric features, one column with missing values
 # (tax = 0 read as missing), two text categories, and a unique row key.
@@ -15,7 +17,8 @@ HOUSING_TYPES = {"row_key": "string", "quantity": "double", "price": "double", "
 NUMERIC = ["quantity", "price", "discount", "tax"]
 
 
-def housing(t):
+def housing(t, *more):
+    """The view, with further columns of lineitem if named."""
     li = t.lineitem
     key = F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                       F.round(F.col("l_extendedprice") * 100).cast("bigint"))
@@ -27,6 +30,7 @@ def housing(t):
         F.when(F.col("l_tax") != 0, F.col("l_tax")).alias("tax"),
         F.col("l_returnflag").alias("flag"),
         F.col("l_linestatus").alias("status"),
+        *more,
     )
 
 
@@ -142,6 +146,41 @@ def q_corr_rank(t):
     return pf.corr_rank(housing(t), "price")
 
 
+DIMENSIONS = 64  # of the embeddings: as many columns
+
+
+@query("corr_wide", f"""
+WITH e AS (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+SELECT 'x' || a.i AS col_a, 'x' || b.i AS col_b, CASE WHEN a.i = b.i THEN 1.0 ELSE round(corr(CAST(a.v AS DOUBLE), CAST(b.v AS DOUBLE)), 8) END AS corr
+FROM e a JOIN e b USING (vec_id) WHERE a.i < {DIMENSIONS} AND b.i < {DIMENSIONS} GROUP BY a.i, b.i""")
+def q_corr_wide(t):
+    """Correlations of all pairs of embedding dimensions, from co-moment matrices."""
+    cols = [F.get("embedding", i).alias(f"x{i}") for i in range(DIMENSIONS)]
+    return wide.corr_wide(t.embeddings.select(*cols), [f"x{i}" for i in range(DIMENSIONS)])
+
+
+SKETCHED = ["quantity", "price", "tax"]
+
+
+def sketched_months(t):
+    """Sketches of the housing columns by ship month, kept in two loads."""
+    rows = housing(t, F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+    path = scratch_path(t.spark, "sketches")
+    sketches.refresh(rows.filter("month < '1995-01'"), path, "month", SKETCHED)
+    return rows, sketches.refresh(rows.filter("month >= '1995-01'"), path, "month", SKETCHED)
+
+
+@query("describe_sketched", HOUSING_SQL + _union(
+    [f"""SELECT '{c}' AS "column", count({c}) AS count, min({c}) AS min, max({c}) AS max, true AS within_error FROM housing""" for c in SKETCHED]))
+def q_describe_sketched(t):
+    """Counts, ends and quartiles of the months' merged sketches; the ranks of
+    the quartiles are compared with the bound on all rows."""
+    rows, path = sketched_months(t)
+    found = sketches.describe(versions.read(t.spark, path))
+    errors = sketches.rank_errors(rows, found).groupBy("column").agg((F.max("error") <= 2 * sketches.rank_error()).alias("within_error"))
+    return found.join(errors, "column").select("column", "count", "min", "max", "within_error")
+
+
 SAMPLE_FRACTION, SAMPLE_LIMIT = 0.05, 500
 
 

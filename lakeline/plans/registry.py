@@ -42,6 +42,6 @@ def query(name: str, sql: str | None = None, note: str = ""):
 def load_all() -> dict[str, Query]:
     # Importing the modules fills the registry.
     from lakeline.plans import (  # noqa: F401
-        features, layouts, loads, profiles, regression, reports, warehouse,
+        features, layouts, loads, profiles, regression, reports, streams, warehouse,
     )
     return REGISTRY

@@ -417,3 +417,68 @@ def q_test_unique(t):
                                   checks.Unique(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                  "l_extendedprice"])])
             .unionByName(checks.run_tests(t.events, [checks.Unique(["event_id"])])))
+
+
+# --- tests while writing, quarantine ---------------------------------------
+
+ACCEPTED = list(range(6))  # passenger counts that the load takes
+CLOSED = "AFRICA"          # trips from this borough's zones refer to no open zone
+
+CHECKED_SQL = BRONZE_CTE + f""",
+judged AS (
+  SELECT *, passenger_count IS NOT NULL AND passenger_count NOT IN ({", ".join(map(str, ACCEPTED))}) AS bad_count,
+         tpep_pickup_datetime IS NULL AS bad_time,
+         "PULocationID" IS NOT NULL AND "PULocationID" NOT IN (SELECT "LocationID" FROM zones WHERE "Borough" <> '{CLOSED}') AS bad_zone
+  FROM raw_trips)
+"""
+
+
+def checked_load(t):
+    from lakeline.plans import views
+    rows = views.raw_trips(t)
+    open_zones = views.zones(t).filter(F.col("Borough") != CLOSED)
+    path = scratch_path(t.spark, "checked-trips")
+    found = checks.write_checked(rows, [checks.NotNull("tpep_pickup_datetime"), checks.AcceptedValues("passenger_count", ACCEPTED),
+                                        checks.Relationship("PULocationID", open_zones, "LocationID")], path)
+    return found, path, rows.schema
+
+
+@query("load_checked", CHECKED_SQL + """
+SELECT 'rows_in' AS measure, CAST(count(*) AS BIGINT) AS rows FROM judged
+UNION ALL SELECT 'rows_kept', count(*) FROM judged WHERE NOT (bad_count OR bad_time OR bad_zone)
+UNION ALL SELECT 'rows_quarantined', count(*) FROM judged WHERE bad_count OR bad_time OR bad_zone
+UNION ALL SELECT 'not_null:tpep_pickup_datetime', count(*) FROM judged WHERE bad_time
+UNION ALL SELECT 'accepted_values:passenger_count', count(*) FROM judged WHERE bad_count
+UNION ALL SELECT 'relationships:PULocationID->LocationID', count(*) FROM judged WHERE bad_zone""")
+def q_load_checked(t):
+    """Trips written and tested in one pass over their source."""
+    return checked_load(t)[0]
+
+
+@query("load_quarantine", CHECKED_SQL + """
+SELECT trip_order, passenger_count, "PULocationID", CAST(fare_amount AS DOUBLE) AS fare_amount,
+       array_to_string([f for f in [CASE WHEN bad_time THEN 'not_null:tpep_pickup_datetime' END, CASE WHEN bad_count THEN 'accepted_values:passenger_count' END,
+                                    CASE WHEN bad_zone THEN 'relationships:PULocationID->LocationID' END] if f IS NOT NULL], ' ') AS failed
+FROM judged WHERE bad_count OR bad_time OR bad_zone""")
+def q_load_quarantine(t):
+    """The rows that the checked load put aside, with the tests they failed."""
+    _, path, schema = checked_load(t)
+    return checks.quarantined(t.spark, path, schema).select(
+        "trip_order", "passenger_count", "PULocationID", F.col("fare_amount").cast("double").alias("fare_amount"), F.array_join("failed", " ").alias("failed"))
+
+
+CONTRACT = "trip_order bigint, tpep_pickup_datetime timestamp_ntz, passenger_count bigint, fare_amount decimal(14,2), total_amount decimal(20,6), zone_name string"
+
+
+@query("test_contract", """
+SELECT 'missing zone_name' AS problem, CAST(count(*) AS BIGINT) AS rows FROM lineitem
+UNION ALL SELECT 'type fare_amount: double != decimal(14,2)', count(*) FROM lineitem""")
+def q_test_contract(t):
+    """The trips' schema against a contract that it breaks twice, beside the
+    number of rows that the breach concerns."""
+    from pyspark.sql import types as T
+
+    from lakeline.plans import views
+    rows = views.raw_trips(t).withColumn("fare_amount", F.col("fare_amount").cast("double"))
+    problems = checks.schema_contract(rows, T.StructType.fromDDL(CONTRACT))
+    return rows.agg(F.count(F.lit(1)).alias("rows")).select(F.explode(F.array(*map(F.lit, problems))).alias("problem"), "rows")

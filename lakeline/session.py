@@ -12,7 +12,9 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -126,3 +128,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_KEPT: dict[tuple, str] = {}
+_BUILDING: dict[tuple, threading.Lock] = {}
+_GUARD = threading.Lock()
+
+
+def state_of(spark: SparkSession, path: str) -> tuple:
+    """Bytes, files and time of change of a table's folder (or file)."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = fs.getContentSummary(place)
+    return path, held.getLength(), held.getFileCount(), fs.getFileStatus(place).getModificationTime()
+
+
+def stored_once(spark: SparkSession, name: str, sources: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """``stored``, once for an application and state of the tables it is made
+    from: a later call reads the table that the first one wrote, as long as no
+    source changed its size, number of files or time of change."""
+    key = (spark.sparkContext.applicationId, name, *(state_of(spark, s) for s in sources))
+    with _GUARD:
+        lock = _BUILDING.setdefault(key, threading.Lock())
+    with lock:
+        if key not in _KEPT:
+            df = build()
+            path = scratch_path(spark, name)
+            df.write.parquet(path)
+            _KEPT[key] = path
+    return spark.read.parquet(_KEPT[key])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +49,21 @@ def month_columns(df: DataFrame, ts: str) -> DataFrame:
 
 
 def write_monthly(df: DataFrame, ts: str, path: str) -> str:
-    """Lay out a table as one folder per (year, month)."""
-    return write_parquet(month_columns(df, ts), path, ["year", "month"])
+    """Lay out a table as one folder per (year, month).
+
+    Range-partitioned by time first: each task writes a run of months, so
+    there are about as many files as tasks and months together, not a file for
+    each task and month, and a large month is split over several tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return write_parquet(month_columns(df.repartitionByRange(n, ts), ts), path, ["year", "month"])
+
+
+def append_batches(df: DataFrame, batch: Column, path: str) -> str:
+    """Append rows to a file table in batches (``batch``: a row's batch number)
+    with one scan: a folder a batch, and batches that ``df`` has rows of take
+    the place of their earlier load, others stay."""
+    df.withColumn("batch", batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+    return path
 
 
 def read_month(spark: SparkSession, base: str, year: int, month: int) -> DataFrame:
