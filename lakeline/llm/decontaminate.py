@@ -9,11 +9,12 @@ hit words out of the text, and drops a document whose hit share is over
 
 Words: runs of a-z, 0-9 and non-ASCII characters after lower-casing A-Z.
 
-Scale: documents are never shuffled.  The test items are the only shared data:
-they are taken in blocks of at most ``BLOCK_WORDS`` words, each block one
-broadcast automaton and one pass over the documents, so memory is bounded for
-a benchmark of any size.  Cuts are decided on the hits of all blocks together;
-with more than one block, cut texts alone are read again by all of them, as
+Scale: the test items are the only shared data: they are taken in blocks of at
+most ``BLOCK_WORDS`` words, each block one broadcast automaton and one pass
+over the documents, so memory is bounded for a benchmark of any size.  With one
+block documents are not shuffled; with more, each pass writes the hits it
+finds, by text hash, and documents meet the merged hits of all blocks once.
+Cuts are decided on these; cut texts alone are read again by all blocks, as
 many rounds as the most nested document needs.  Before the automaton runs, a vectorised filter keeps
 the runs of words whose neighbouring pairs all occur in an item: a longer
 passage cannot be anywhere else.  Word lookups use 64-bit hashes; every hit is
@@ -27,14 +28,15 @@ are judged alike.  Without items nothing is hit.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.common import ALNUM, Words, lower, out_batches, row_ranges, text_bytes, unused, written
+from lakeline.llm.common import ALNUM, Words, growing, lower, out_batches, row_ranges, text_bytes, unused, written
 from lakeline.session import scratch_path
 
 WINDOW = 10
@@ -219,51 +221,125 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """(id, text, n_words, n_hit, longest, items array<string>, spans
     array<struct<first, last>>) of every document; spans: hit words, numbered
     from 0, merged."""
-    send = docs.sparkSession.sparkContext.broadcast
-    out = _marked(docs, F.col(id_col), F.col(text_col), map(send, automata(items, item_col, item_text, window, block_words)))
-    return out.withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)
-
-
-def _marked(docs: DataFrame, row: Column, text: Column, blocks: Iterable) -> DataFrame:
-    """``decontaminate`` over broadcast blocks; ``row`` goes along as ``id``."""
-    out = docs.select(row.alias("id"), text.alias("text"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
-                      F.lit(0).cast("long").alias("longest"), F.array().cast("array<string>").alias("items"),
-                      F.array().cast("array<struct<first:long,last:long>>").alias("spans"))
-    for k, shared in enumerate(blocks):
-        out = _pass(written(out, "block") if k else out, shared)
-    return out
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    one = _only(automata(items, item_col, item_text, window, block_words))
+    if one is not None:
+        marked = _marked(rows, docs.sparkSession.sparkContext.broadcast(one))
+    else:
+        own = rows.withColumns(_digests(F.col("text")))
+        hits = _hits(own, automata(items, item_col, item_text, window, block_words))
+        none = {"n_hit": F.lit(0), "longest": F.lit(0), "items": F.array().cast("array<string>"), "spans": F.array().cast(_SPANS)}
+        marked = _counted(own).join(growing(hits), ["h1", "h2"], "left").withColumns({c: F.coalesce(c, v) for c, v in none.items()}) \
+            .select("id", "text", "n_words", "n_hit", "longest", "items", "spans")
+    return marked.withColumnsRenamed({"id": id_col, "text": text_col})
 
 
-def _spans(marks: np.ndarray) -> list[dict[str, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], marks.astype(np.int8), [0]])))
-    return [{"first": s, "last": e - 1} for s, e in edge.reshape(-1, 2).tolist()]
+def _only(blocks: Iterator[Automaton]) -> Automaton | None:
+    """The block, if there is one alone."""
+    first = next(blocks)
+    return first if next(blocks, None) is None else None
 
 
-def _pass(docs: DataFrame, shared) -> DataFrame:
-    """Add one block's hits to those of the blocks before."""
-    kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+_SPANS = "array<struct<first:long,last:long>>"
+_SPAN_LIST = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
+
+def _marked(rows: DataFrame, shared) -> DataFrame:
+    """(id, text, n_words, n_hit, longest, items, spans) by one block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = text_bytes(b.column("text"))
             n_words, n_hit, longest = (np.zeros(b.num_rows, np.int64) for _ in range(3))
-            items, spans = b.column("items").to_pylist(), b.column("spans").to_pylist()
+            items, spans = [[] for _ in range(b.num_rows)], [[] for _ in range(b.num_rows)]
             for lo, hi in row_ranges(off):
                 words, hit, names, most = scan(shared.value, data[off[lo]: off[hi]], off[lo: hi + 1] - off[lo])
                 n_words[lo:hi], longest[lo:hi] = words.counts, most
                 for k in range(hi - lo):
                     mine = hit[words.first[k]: words.first[k + 1]]
-                    for s in spans[lo + k]:
-                        mine[s["first"]: s["last"] + 1] = True
-                    if names[k]:
-                        items[lo + k] = sorted(names[k].union(items[lo + k]))
-                    n_hit[lo + k] = mine.sum()
-                    spans[lo + k] = _spans(mine) if n_hit[lo + k] else []
-            longest = np.maximum(longest, b.column("longest").to_numpy())
+                    if mine.any():
+                        items[lo + k], n_hit[lo + k], spans[lo + k] = sorted(names[k]), mine.sum(), _spans(mine)
             yield from out_batches({"id": b.column("id"), "text": b.column("text"), "n_words": pa.array(n_words), "n_hit": pa.array(n_hit), "longest": pa.array(longest),
-                                    "items": pa.array(items, pa.list_(pa.string())), "spans": pa.array(spans, kind)})
+                                    "items": pa.array(items, pa.list_(pa.string())), "spans": pa.array(spans, _SPAN_LIST)})
+
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(run, f"id {kinds['id']}, text {kinds['text']}, n_words long, n_hit long, longest long, items array<string>, spans {_SPANS}")
 
-    return docs.mapInArrow(run, docs.schema)
+
+# --- more than one block ---------------------------------------------------
+
+def _digests(text: Column) -> dict[str, Column]:
+    """Two hashes that stand for a text; a null one is empty."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    return {"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text)}
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, text, h1, h2) with n_words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, off = text_bytes(b.column("text"))
+            n = np.zeros(b.num_rows, np.int64)
+            for lo, hi in row_ranges(off):
+                n[lo:hi] = Words(lower(data[off[lo]: off[hi]]), off[lo: hi + 1] - off[lo], ALNUM).counts
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n)], [*b.schema.names, "n_words"])
+
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(run, f"id {kinds['id']}, text {kinds['text']}, h1 long, h2 long, n_words long")
+
+
+def _hits(rows: DataFrame, blocks: Iterable[Automaton]) -> DataFrame:
+    """(h1, h2, n_hit, longest, items, spans) of the texts that any block hits,
+    from ``rows`` (h1, h2, text): equal texts are one row.
+
+    A pass for each block writes its hits alone; its broadcast ends with it."""
+    spark, base = rows.sparkSession, scratch_path(rows.sparkSession, "hits")
+    kinds = f"h1 long, h2 long, longest long, items array<string>, spans {_SPANS}"
+
+    def find(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                data, off = text_bytes(b.column("text"))
+                out = []
+                for lo, hi in row_ranges(off):
+                    words, hit, names, most = scan(shared.value, data[off[lo]: off[hi]], off[lo: hi + 1] - off[lo])
+                    out += [(lo + k, int(most[k]), sorted(names[k]), _spans(hit[words.first[k]: words.first[k + 1]])) for k in range(hi - lo) if names[k]]
+                if out:
+                    at, most, names, spans = zip(*out, strict=True)
+                    yield from out_batches({"h1": b.column("h1").take(pa.array(at)), "h2": b.column("h2").take(pa.array(at)), "longest": pa.array(most, pa.int64()),
+                                            "items": pa.array(names, pa.list_(pa.string())), "spans": pa.array(spans, _SPAN_LIST)})
+        return run
+
+    for k, a in enumerate(blocks):
+        shared = spark.sparkContext.broadcast(a)
+        found = rows.select("h1", "h2", "text").mapInArrow(find(shared), kinds)
+        found.groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in ("longest", "items", "spans")]).write.parquet(f"{base}/block={k}")
+        shared.destroy()
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans = [_joined(s) for s in b.column("spans").to_pylist()]
+            n = [sum(x["last"] - x["first"] + 1 for x in s) for s in spans]
+            yield from out_batches({c: b.column(c) for c in ("h1", "h2", "longest", "items")} | {"spans": pa.array(spans, _SPAN_LIST), "n_hit": pa.array(n, pa.int64())})
+
+    every = spark.read.schema(f"{kinds}, block int").parquet(base).groupBy("h1", "h2").agg(
+        F.max("longest").alias("longest"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
+    return written(every.mapInArrow(merged, f"{kinds}, n_hit long"), "hits")
+
+
+def _joined(spans: list[dict[str, int]]) -> list[dict[str, int]]:
+    """Spans that overlap or touch as one."""
+    out: list[dict[str, int]] = []
+    for s in sorted(spans, key=lambda x: x["first"]):
+        if out and s["first"] <= out[-1]["last"] + 1:
+            out[-1]["last"] = max(out[-1]["last"], s["last"])
+        else:
+            out.append(dict(s))
+    return out
+
+
+def _spans(marks: np.ndarray) -> list[dict[str, int]]:
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], marks.astype(np.int8), [0]])))
+    return [{"first": s, "last": e - 1} for s, e in edge.reshape(-1, 2).tolist()]
 
 
 def without(raw: np.ndarray, words: Words, spans: list[dict[str, int]]) -> str:
@@ -312,34 +388,37 @@ def _cut_by_one(docs: DataFrame, at: int, shared, max_coverage: float) -> DataFr
     return docs.mapInArrow(run, docs.schema)
 
 
-def _cut_by_all(docs: DataFrame, at: int, blocks: list, max_coverage: float) -> DataFrame:
+def _cut_by_all(docs: DataFrame, at: int, blocks: Callable[[], Iterable[Automaton]], max_coverage: float) -> DataFrame:
     """What ``cut`` gives with all blocks in one: each round marks the words
-    that any block hits, then cuts; cut texts go through a further round."""
-    spark, names = docs.sparkSession, [f"`{c}`" for c in docs.columns]
-    (blank,) = unused(docs.columns, "_")  # a struct has a field at least
-    now = docs.select(F.struct(F.lit(0).alias(blank), *(n for k, n in enumerate(names) if k != at)).alias("row"), F.col(names[at]).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = []
-            for text, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
-                raw = np.frombuffer(text.encode(), np.uint8)
-                texts.append(without(raw, Words(lower(raw), np.array([0, len(raw)], np.int64), ALNUM), spans))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(texts, b.column("text").type)], ["row", "text"])
+    that any block hits, then cuts; cut texts alone go through a further round."""
+    name, now, out = docs.columns[at], docs, []
+    h1, h2, spans = unused(docs.columns, "h1", "h2", "spans")
+    own_columns = list(range(len(docs.columns)))
+
+    def cutter(first: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                texts, keep = [], []
+                for text, hit in zip(b.column(at).to_pylist(), b.column(spans).to_pylist(), strict=True):
+                    raw = np.frombuffer(text.encode(), np.uint8)
+                    words = Words(lower(raw), np.array([0, len(raw)], np.int64), ALNUM)
+                    # Coverage is a share of the original text.
+                    keep.append(not first or sum(s["last"] - s["first"] + 1 for s in hit) <= max_coverage * len(words.start))
+                    texts.append(without(raw, words, hit))
+                rows = b.select(own_columns)
+                yield rows.set_column(at, rows.schema.field(at), pa.array(texts, rows.schema.field(at).type)).filter(pa.array(keep))
+        return run
 
-    paths = []
     while True:
-        marked = _marked(now, F.col("row"), F.col("text"), blocks)
-        paths.append(scratch_path(spark, "marked"))
-        marked.write.parquet(paths[-1])
-        hit = spark.read.schema(marked.schema).parquet(paths[-1]).where("n_hit > 0")
-        if len(paths) == 1:  # coverage is a share of the original text
-            hit = hit.where(F.col("n_hit") / F.col("n_words") <= max_coverage)
-        if hit.isEmpty():
-            break
-        now = written(hit.mapInArrow(run, now.schema), "cut")
-    clean = spark.read.schema(marked.schema).parquet(*paths).where("n_hit = 0")
-    return clean.select(*(F.col("text").alias(c) if k == at else F.col("id")[c].alias(c) for k, c in enumerate(docs.columns)))
+        digests = _digests(F.col(f"`{name}`"))
+        own = now.withColumns({h1: digests["h1"], h2: digests["h2"]})
+        hits = _hits(own.select(F.col(h1).alias("h1"), F.col(h2).alias("h2"), F.col(f"`{name}`").alias("text")), blocks()) \
+            .select(F.col("h1").alias(h1), F.col("h2").alias(h2), F.col("spans").alias(spans))
+        out.append(own.join(growing(hits.select(h1, h2)), [h1, h2], "left_anti").select(*docs.columns))
+        hit = own.join(growing(hits), [h1, h2]).select(*docs.columns, spans)
+        now = written(hit.mapInArrow(cutter(len(out) == 1), docs.schema), "cut")
+        if now.isEmpty():
+            return reduce(DataFrame.unionByName, out)
 
 
 def remove_passages(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", length_col: str | None = None,
@@ -347,6 +426,7 @@ def remove_passages(docs: DataFrame, items: DataFrame, text_col: str = "text", i
     """``docs`` with hit passages cut out of the text and documents over
     ``max_coverage`` dropped; ``length_col``, if given, gets the new length."""
     at = docs.columns.index(text_col)
-    blocks = [docs.sparkSession.sparkContext.broadcast(a) for a in automata(items, item_col, item_text, window, block_words)]
-    out = _cut_by_one(docs, at, blocks[0], max_coverage) if len(blocks) == 1 else _cut_by_all(docs, at, blocks, max_coverage)
+    blocks = partial(automata, items, item_col, item_text, window, block_words)
+    one = _only(blocks())
+    out = _cut_by_one(docs, at, docs.sparkSession.sparkContext.broadcast(one), max_coverage) if one is not None else _cut_by_all(docs, at, blocks, max_coverage)
     return out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType)) if length_col else out

@@ -1,13 +1,17 @@
 """Sharding by sampled splitters.
 
-Records are ordered by (CRC-32 of the text, id), so equal texts are neighbours.
-Splitters come from a size-weighted sample: a record is drawn with a chance in
-proportion to its size, by hash.  Quantile boundaries cut the key space into
-many more ranges than shards; exact sizes are then measured, and ranges over
-``OVERFULL`` times their goal are sampled and cut again (a hot text is cut by
-id), until none is left that can be cut.  Ranges in key order fill the shards
-to equal bytes; a record's slot is the rank in its range plus what the shard
-holds before.
+Records are ordered by (CRC-32 of the text, id, salt), so equal texts are
+neighbours.  Splitters come from a size-weighted sample: a record is drawn
+with a chance in proportion to its share of all bytes and of all rows, by
+hash.  Quantile boundaries cut the key space into many more ranges than
+shards; exact sizes are then measured, and ranges with over ``OVERFULL`` times
+their goal of bytes, or the mean of rows, are sampled and cut again, until none is left that can be
+cut (a single record can't).  Ranges in key order fill the shards to equal
+bytes; a record's slot is the rank in its range plus what the shard holds
+before.
+
+The salt is written once with the sizes, so rows equal in text and id are cut
+like any others.
 
 Law: ``bytes``.  Sizes of shards differ by about one range (a shard has
 ``RANGES`` of them at least) or the largest record.
@@ -16,14 +20,19 @@ Defined results: a null text has no bytes (CRC 0) and size 8; a null id sorts
 first; repeated rows get slots of their own; an empty table gives an empty
 result.
 
-Scale: only (id, size, CRC) are shuffled, once for the slots.  The driver gets
-sampled keys and one row for each range: shards * RANGES, or rows /
-``RANGE_ROWS`` if more, times ``DRAWN``.  The range table of that size is the
-one broadcast.
+Scale: only (id, size, CRC) are shuffled, once for the slots.  A record finds
+its range by bisection in an expression over the sorted bounds, no join.  The
+driver gets sampled keys and one row for each range: shards * RANGES, or rows /
+``RANGE_ROWS`` if more, times ``DRAWN``; it sends the bounds with the plan and
+the ranges' shards as the one broadcast.  Every cut leaves a row of an overfull
+range in a range of its own at least, so the rounds end; as samples cut in
+proportion, two or three do.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,85 +43,83 @@ RANGES = 128           # ranges of a shard, at least
 RANGE_ROWS = 2_000_000  # rows of a range, about
 DRAWN = 8              # sampled records for each range
 OVERFULL = 2.0
-ROUNDS = 12
 SEED = 29
 _LOW = -(1 << 63)
-_CELL = 20             # bits of a key below its cell
+KEY = ("crc", "tie", "salt")
+Bound = tuple[int, int, int]
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, size, crc, tie): tie orders null ids first."""
+    """(id, size, crc, tie, salt): tie orders null ids first.  To be written
+    before use: the salt is drawn anew by each evaluation."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("id"), (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("crc")) \
-        .withColumn("tie", F.coalesce("id", F.lit(_LOW)))
-
-
-def _ranges_table(spark, bounds: list[tuple[int, int]]) -> DataFrame:
-    """(cell, range, lo and hi keys): each range under every cell it meets."""
-    rows = []
-    for k, (crc, tie) in enumerate(bounds):
-        hi_crc, hi_tie = bounds[k + 1] if k + 1 < len(bounds) else (1 << 32, _LOW)
-        rows.append((k, crc, tie, hi_crc, hi_tie))
-    flat = literal_table(spark, rows, "range int, lo_crc bigint, lo_tie bigint, hi_crc bigint, hi_tie bigint")
-    cell = F.sequence(F.shiftright("lo_crc", _CELL), F.shiftright("hi_crc", _CELL))
-    return flat.withColumn("cell", F.explode(cell))
+        .withColumn("tie", F.coalesce("id", F.lit(_LOW))).withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
 
 
-def _at_least(crc: str, tie: str) -> Column:
-    return (F.col("crc") > F.col(crc)) | ((F.col("crc") == F.col(crc)) & (F.col("tie") >= F.col(tie)))
+def _range(bounds: list[Bound]) -> Column:
+    """Number of the range that a key lies in: bisection over the lower bounds,
+    the first of which is below every key."""
+    table = F.from_json(F.lit(json.dumps([dict(zip(KEY, b, strict=True)) for b in bounds])), "array<struct<crc: bigint, tie: bigint, salt: bigint>>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+    key = F.struct(*KEY)
+    # get() past the end is null, which is no step.
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.get(table, at + s - 1) <= key, at + s).otherwise(at)) - 1
 
 
-def _assigned(rows: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
-    table = F.broadcast(_ranges_table(rows.sparkSession, bounds))  # a few thousand rows, see Scale
-    return rows.withColumn("cell", F.shiftright("crc", _CELL)).join(table, "cell") \
-        .where(_at_least("lo_crc", "lo_tie") & ~_at_least("hi_crc", "hi_tie")).drop("cell", "lo_crc", "lo_tie", "hi_crc", "hi_tie")
+def _assigned(rows: DataFrame, bounds: list[Bound]) -> DataFrame:
+    return rows.withColumn("range", _range(bounds))
 
 
-def quantiles(sample: list[tuple[int, int, float]], pieces: int) -> list[tuple[int, int]]:
+def quantiles(sample: list[tuple], pieces: int) -> list[Bound]:
     """Keys at which the sample's weight passes 1/pieces, 2/pieces, ..."""
     total, seen, k, out = sum(w for *_, w in sample), 0.0, 1, []
-    for crc, tie, w in sorted(sample):
+    for *key, w in sorted(sample):
         if seen * pieces >= k * total:
-            out.append((crc, tie))
+            out.append(tuple(key))
             k = int(seen * pieces / total) + 1
         seen += w
     return sorted(set(out))
 
 
-def split(rows: DataFrame, shards: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+def _measured(rows: DataFrame, bounds: list[Bound]) -> dict[int, tuple]:
+    """range -> (size, rows, first key, last key)"""
+    key = F.struct(*KEY)
+    found = _assigned(rows, bounds).groupBy("range").agg(F.sum("size"), F.count("*"), F.min(key), F.max(key)).collect()
+    return {r[0]: (r[1], r[2], tuple(r[3]), tuple(r[4])) for r in found}
+
+
+def split(rows: DataFrame, shards: int) -> tuple[list[Bound], list[tuple[int, int]]]:
     """(lower bounds, (size, rows) of each range) after all cuts."""
+    bounds: list[Bound] = [(-1, _LOW, _LOW)]
     total, count = rows.agg(F.sum("size"), F.count("*")).first()
     if not count:
-        return [(0, _LOW)], [(0, 0)]
+        return bounds, [(0, 0)]
     pieces = max(shards * RANGES, count // RANGE_ROWS)
-    goal = total / pieces
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "crc", "tie"), 11) / float(1 << 53)
-    rate = DRAWN / goal
-    drawn = rows.where(draw < F.col("size") * rate).select("crc", "tie", F.greatest(F.col("size").cast("double"), F.lit(1 / rate)).alias("w"))
-    bounds = [(0, _LOW), *quantiles([tuple(r) for r in drawn.collect()], pieces)]
-    bounds = sorted(set(bounds))
-    for turn in range(1, ROUNDS):
-        found = {r[0]: r[1:] for r in _assigned(rows, bounds).groupBy("range").agg(
-            F.sum("size"), F.count("*"), F.min(F.struct("crc", "tie")), F.max(F.struct("crc", "tie"))).collect()}
-        measured = [tuple(found[k][:2]) if k in found else (0, 0) for k in range(len(bounds))]
-        full = [k for k, r in found.items() if r[0] > OVERFULL * goal and tuple(r[2]) != tuple(r[3])]
+    share = F.greatest(F.col("size") / F.lit(float(total)), F.lit(1.0 / count))  # of all bytes, or of all rows
+
+    def drawn(some: DataFrame, turn: int, rate: Column, *more: str) -> list[tuple]:
+        """Sampled (..., key, weight); ``rate``: draws for a share of 1."""
+        at = F.shiftrightunsigned(F.xxhash64(F.lit(SEED + turn), *KEY), 11) / float(1 << 53)
+        return [tuple(r) for r in some.where(at < share * rate).select(*more, *KEY, F.greatest(share, 1 / rate)).collect()]
+
+    sample = drawn(rows, 0, F.lit(float(DRAWN * pieces)))
+    bounds += quantiles(sample, max(1, round(pieces * sum(w for *_, w in sample))))
+    goal, turn = total / pieces, 0
+    while True:
+        found, few = _measured(rows, bounds), count / len(bounds)
+        full = {k: max(size / goal, n / few) for k, (size, n, first, last) in found.items() if first != last and (size > OVERFULL * goal or n > OVERFULL * few)}
         if not full:
-            break
+            return bounds, [found[k][:2] if k in found else (0, 0) for k in range(len(bounds))]
         # Sample the overfull ranges alone, by fresh draws, and cut them again.
-        mine = literal_table(rows.sparkSession, [(k, DRAWN * 2 ** turn / goal) for k in full], "range int, rate double")
-        again = F.shiftrightunsigned(F.xxhash64(F.lit(SEED + turn), "crc", "tie"), 11) / float(1 << 53)
-        drawn = _assigned(rows, bounds).join(F.broadcast(mine), "range").where(again < F.col("size") * F.col("rate")) \
-            .select("range", "crc", "tie", F.greatest(F.col("size").cast("double"), 1 / F.col("rate")))
+        turn += 1
+        mine = literal_table(rows.sparkSession, [(k, float(DRAWN * pieces * 2 ** turn)) for k in full], "range int, rate double")
         by: dict[int, list] = {}
-        for k, *r in drawn.collect():
+        for k, *r in drawn(_assigned(rows, bounds).join(F.broadcast(mine), "range"), turn, F.col("rate"), "range"):
             by.setdefault(k, []).append(tuple(r))
-        more = {b for k, s in by.items() for b in quantiles(s, max(2, round(found[k][0] / goal)))}
-        more |= {tuple(found[k][3]) for k in full}  # at the least, the last key leaves
+        more = {b for k, s in by.items() for b in quantiles(s, max(2, round(2 * full[k])))}
+        more |= {found[k][3] for k in full}  # at the least, the last key leaves
         bounds = sorted(more | set(bounds))
-    else:
-        found = {r[0]: r[1:] for r in _assigned(rows, bounds).groupBy("range").agg(F.sum("size"), F.count("*")).collect()}
-        measured = [tuple(found[k][:2]) if k in found else (0, 0) for k in range(len(bounds))]
-    return bounds, measured
 
 
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
@@ -126,7 +133,7 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
         held[at] += n
         before += size
     info = F.broadcast(literal_table(docs.sparkSession, placed, "range int, shard int, offset bigint"))
-    rank = F.row_number().over(Window.partitionBy("range").orderBy("crc", "tie")) - 1
+    rank = F.row_number().over(Window.partitionBy("range").orderBy(*KEY)) - 1
     return _assigned(rows, bounds).withColumn("rank", rank).join(info, "range") \
         .select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
                 (F.col("offset") + F.col("rank")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -23,7 +23,8 @@ Decoding takes ``MAX_BITS`` bits, looks up (id, length) in a table of
 by side.
 
 Defined results: a null text has no ids but the end id.  Repeated ids of
-documents stay as they are, next to each other; a null id sorts first.  An
+documents stay as they are, next to each other, in order of a hash of their
+token ids; a null id sorts first.  An
 empty table gives no blocks and no rows.
 
 Scale: texts are read once and never shuffled; only ids (two bytes each where
@@ -203,7 +204,9 @@ def _blocks(rows: Iterator[tuple[int | None, bytes]], dtype: np.dtype, code: Cod
 
 
 def encode_blocks(tokens: DataFrame, dtype: np.dtype, lengths: dict[int, int]) -> DataFrame:
-    """Blocks of the ids of ``tokens``, a written table, in ascending id order."""
+    """Blocks of the ids of ``tokens``, a written table, in ascending order of
+    document id, then of a hash of its ids: a total order but for equal rows,
+    and one that splits the rows of a hot id (or of none)."""
     shared = tokens.sparkSession.sparkContext.broadcast(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,8 +215,9 @@ def encode_blocks(tokens: DataFrame, dtype: np.dtype, lengths: dict[int, int]) -
         for x in _blocks(rows, dtype, code):
             yield pa.RecordBatch.from_pylist([x | {"part": part, "checkpoints": x["checkpoints"].tolist()}], _ARROW)
 
-    return tokens.select("id", "ids").repartitionByRange(tasks(tokens.sparkSession), F.col("id").asc_nulls_first()) \
-        .sortWithinPartitions(F.col("id").asc_nulls_first()).mapInArrow(run, BLOCK_SCHEMA)
+    order = [F.col("id").asc_nulls_first(), F.col("mark")]
+    return tokens.select("id", "ids", F.xxhash64("ids").alias("mark")).repartitionByRange(tasks(tokens.sparkSession), *order) \
+        .sortWithinPartitions(*order).mapInArrow(run, BLOCK_SCHEMA)
 
 
 _ARROW = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())),

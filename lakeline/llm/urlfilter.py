@@ -18,8 +18,8 @@ with labels of one kind it gives that kind.  Repeated urls are judged alike;
 an empty table gives an empty result.
 
 Native: DataFrame expressions and Spark ML's JVM trees only.  The trees are
-fitted on at most ``TRAIN_ROWS`` labelled urls, those of least hash
-(documented bound).  Broadcast are the statistics (4 * 2**BUCKET_BITS rows at
+fitted on at most ``TRAIN_ROWS`` different labelled urls, those of least hash
+(documented bound), weighed by their rows.  Broadcast are the statistics (4 * 2**BUCKET_BITS rows at
 most).  The rule list is a parameter of a handful of rules; it becomes one
 expression.
 """
@@ -119,13 +119,16 @@ FEATURES = [*LEXICAL, *(f"{s}_{k}" for k in SUFFIXES for s in ("count", "share")
 
 
 def train(labelled: DataFrame, share: float, most: int = TRAIN_ROWS, trees: int = TREES, depth: int = DEPTH):
-    """Trees fitted on the ``most`` labelled urls of least hash."""
+    """Trees fitted on the ``most`` different labelled urls of least hash, each
+    weighed by its number of rows: a hot url takes one place of the sample."""
     h = F.xxhash64("_url")
-    sample = labelled.orderBy(h, "_url", "label").limit(most)
+    own = ["_url", "label", *LEXICAL, *(f"k_{k}" for k in SUFFIXES)]  # all follow from the url
+    sample = labelled.groupBy(*own).agg(F.count(F.lit(1)).cast("double").alias("weight")).orderBy(h, "_url", "label").limit(most)
     ready = with_statistics(sample, labelled, share)
     ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(ready)
-    ready = written(ready.select("label", "features", h.alias("h"), "_url").coalesce(1).sortWithinPartitions("h", "_url", "label").select("label", "features"), "train")
-    return GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, seed=SEED).fit(ready.coalesce(1))
+    ready = written(ready.select("label", "features", "weight", h.alias("h"), "_url").coalesce(1).sortWithinPartitions("h", "_url", "label")
+                    .select("label", "features", "weight"), "train")
+    return GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", maxIter=trees, maxDepth=depth, seed=SEED).fit(ready.coalesce(1))
 
 
 def scored(rows: DataFrame, labelled: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:

@@ -13,14 +13,15 @@ default ports; no slash at the path's end; query parameters sorted, tracking
 ones dropped.
 
 Defined results: a null or empty url is a canonical url of its own (empty).
-Records of the same time are no earlier ones.  Of responses of one url and
+Records of the same time are no earlier ones; a response without a time is
+earlier than nothing, and a revisit without one has no prior response.  Of responses of one url and
 time the greater id counts as later, then the greater validators; of those
 equal in all, the one with the greatest digest and headers gives them.  Null
 headers are none.  Each revisit row gives one row, also with a null or repeated
 id; empty tables give none.
 
-Scale: (url, time, id, validators), with each revisit's headers, are range-partitioned, so one url's records
-spread over many tasks; each slice is resolved by a window, and what a slice
+Scale: (url, time, id, validators), with each revisit's headers, are
+range-partitioned, so one url's records spread over many tasks; each slice is resolved by a window, and what a slice
 cannot know - the last response before it - is carried over by one row for
 each (url, slice).  Headers come by a join on the response's url, time, id and
 validators, against written tables, so AQE can split a response that many
@@ -81,13 +82,13 @@ def as_of(rows: DataFrame) -> DataFrame:
     # Revisits go before responses of the same time: those are not earlier.
     order = ["ts", "response", "record_id", "etag", "last_modified"]
     sliced = written(rows.repartitionByRange(tasks(rows.sparkSession), "curl", *order).withColumn("slice", F.spark_partition_id()), "slices")
-    seen = F.when(F.col("response"), F.struct("ts", "record_id", "etag", "last_modified"))
+    seen = F.when(F.col("response") & F.col("ts").isNotNull(), F.struct("ts", "record_id", "etag", "last_modified"))
     inside = Window.partitionBy("slice", "curl").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = sliced.withColumn("found", F.last(seen, ignorenulls=True).over(inside)).where(~F.col("response"))
     across = Window.partitionBy("curl").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = sliced.groupBy("curl", "slice").agg(F.max(seen).alias("most")) \
         .withColumn("carry", F.last("most", ignorenulls=True).over(across)).where("carry is not null").select("curl", "slice", "carry")
-    return local.join(written(carried, "carried"), ["curl", "slice"], "left").withColumn("found", F.coalesce("found", "carry")).drop("carry", "slice", "response")
+    return local.join(written(carried, "carried"), ["curl", "slice"], "left").withColumn("found", F.when(F.col("ts").isNotNull(), F.coalesce("found", "carry"))).drop("carry", "slice", "response")
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
