@@ -15,6 +15,10 @@ histogram of document lengths:
    reachable sums, lengths with their remaining counts split in powers of two)
    finds the sum nearest to it.
 
+Step 2 ends with over ``TABLE`` words left only where every length that could
+still be taken is longer than what is left; so the program's table is twice
+the greater of TABLE and the longest document, and no case is left out.
+
 The chosen count of each (source, length) is filled with the documents of
 least seeded hash, so reruns agree and no document goes over 2 times its size.
 
