@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from lakeline.operators import forest
@@ -22,6 +23,19 @@ def q_ols_normal(t):
     return rg.fit_normal(housing(t), [X], Y).frame(t.spark)
 
 
+@query("ols_library", HOUSING_SQL + f"""
+SELECT 'intercept' AS term, round(regr_intercept({Y}, {X}), 6) AS coef FROM housing
+UNION ALL SELECT '{X}', round(regr_slope({Y}, {X}), 6) FROM housing""")
+def q_ols_library(t):
+    """The same fit by Spark's own regression, as a cross-check."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    rows = VectorAssembler(inputCols=[X], outputCol="features").transform(housing(t).select(X, Y).dropna())
+    model = LinearRegression(featuresCol="features", labelCol=Y, solver="normal", regParam=0.0).fit(rows)
+    return rg.Linear(["intercept", X], np.array([model.intercept, *model.coefficients])).frame(t.spark)
+
+
 @query("ols_pinv", HOUSING_SQL + f"""
 SELECT 'intercept' AS term, round(regr_intercept({Y}, {X}), 6) AS coef FROM housing
 UNION ALL SELECT '{X}', round(regr_slope({Y}, {X}) / 5, 6) FROM housing

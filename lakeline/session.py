@@ -130,7 +130,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_KEPT: dict[tuple, str] = {}
+_KEPT: dict[tuple, tuple] = {}
 _BUILDING: dict[tuple, threading.Lock] = {}
 _GUARD = threading.Lock()
 
@@ -155,5 +155,6 @@ def stored_once(spark: SparkSession, name: str, sources: list[str], build: Calla
             df = build()
             path = scratch_path(spark, name)
             df.write.parquet(path)
-            _KEPT[key] = path
-    return spark.read.parquet(_KEPT[key])
+            _KEPT[key] = path, df.schema
+    path, schema = _KEPT[key]
+    return spark.read.schema(schema).parquet(path)
