@@ -19,6 +19,8 @@ from lakeline.session import apply_runtime_conf, scratch_path
 
 # Bytes of text that one vectorised step works on; a longer text is one step.
 CHUNK_BYTES = 1 << 20
+# Rows of one Arrow batch that a Python worker gets.
+BATCH_ROWS = 2000
 # Rows of one Arrow batch given back to Spark.
 OUT_ROWS = 4096
 
@@ -30,6 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def prepare(spark: SparkSession) -> None:
     apply_runtime_conf(spark)
+    # A batch of long texts is held several times over by a Python worker.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
