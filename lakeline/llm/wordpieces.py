@@ -21,7 +21,7 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-REMEMBERED = 600_000
+REMEMBERED = 900_000
 
 _SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
