@@ -29,10 +29,13 @@ from pyspark.sql import functions as F
 from lakeline.functions import fixed
 from lakeline.functions.exprs import present
 from lakeline.operators.wide import FAN, reduce_arrays
+from lakeline.session import shuffles_removed, stored
 
 INTERCEPT = "intercept"
 BATCH_ROWS = 20      # rows of a mini-batch
-TOGETHER = 8         # epochs whose rows are dealt out by one job
+TOGETHER = 8         # epochs whose rows are dealt out by one job, at most
+JOB_ROWS = 20_000_000  # rows that a job of more than one epoch deals out, at most
+SLICE_ROWS = 250_000  # rows of an epoch's slice
 RANK_TOL = 1e-13     # singular values below this share of the largest count as zero
 
 
@@ -147,8 +150,8 @@ def fit_minibatch(df: DataFrame, key: str, features: list[str], target: str, epo
     """Mini-batch descent with a t0 / (t + t1) learning schedule.
 
     Each epoch puts the rows in a new order, by a seeded hash of the key (ties
-    by the key, then the values), and takes ``batch_rows`` of them a step, the
-    last batch perhaps fewer; t counts the steps of all epochs.  A step is
+    by the values), and takes ``batch_rows`` of them a step, the last batch
+    perhaps fewer; t counts the steps of all epochs.  A step is
     theta <- (I - e G) theta + e b with e = rate * 2 / rows, an affine map, so
     it needn't wait for theta: the hash range of an epoch is cut into
     ``slices``, each slice composes the steps of the batches that lie wholly
@@ -156,33 +159,49 @@ def fit_minibatch(df: DataFrame, key: str, features: list[str], target: str, epo
     batches that lie over an edge put together in between.  Equal to the
     serial loop up to rounding.
 
-    A job deals out the rows of ``together`` epochs; the driver holds
-    2 d² numbers for each of their slices."""
+    Every epoch has to deal out every row.  Of a row only its place, the
+    features and the target are sent; a job deals out the rows of ``together``
+    epochs (at most 8), fewer where they are more than ``JOB_ROWS``, and its
+    shuffle files go when it ends, so the disk holds those of one job, not of
+    all epochs.  The driver holds 2 d² numbers for each slice of a job."""
     d = len(features) + intercept
     spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    names = [f"x{i}" for i in range(d)] + ["y"]
-    rows = _complete(df, features, target, intercept, F.col(key).alias("key")).checkpoint(eager=True)
-    hashed = F.xxhash64("key", F.lit(seed), "epoch")
-    cell = F.col("epoch") * slices + F.expr(f"shiftright(shiftrightunsigned(h, 32) * {slices}, 32)")
+    names = [f"x{i}" for i in range(len(features))] + ["y"]
+    rows = stored(_complete(df, features, target, False, F.col(key).alias("key")), "minibatch-rows")
+    m = rows.count()
+    if not m:
+        raise ValueError("no row has all features and the target")
+    slices = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-m // SLICE_ROWS))
+    together = max(1, min(together, TOGETHER, JOB_ROWS // m))
+
+    def placed(some: range, *keep: str) -> DataFrame:
+        """The rows of these epochs: ``e``, the epoch's index among them, ``h``
+        the hash, ``slice`` its part of the epoch's hash range."""
+        return rows.withColumn("e", F.explode(F.array(*[F.lit(k).cast("long") for k in range(len(some))]))) \
+            .select("e", F.xxhash64("key", F.lit(seed), F.col("e") + some.start).alias("h"), *keep) \
+            .withColumn("slice", F.expr(f"shiftright(shiftrightunsigned(h, 32) * {slices}, 32)"))
+
+    with shuffles_removed(spark):
+        counted = placed(range(epochs)).groupBy((F.col("e") * slices + F.col("slice")).alias("cell")).count()
+        sizes = dict(counted.collect())
+    steps = -(-m // batch_rows)
+    start, before = {}, dict.fromkeys(range(epochs), 0)  # rows of the epoch before each cell
+    for c in sorted(sizes):
+        start[c] = before[c // slices]
+        before[c // slices] += sizes[c]
 
     theta, step = np.zeros(d), 0
     for first in range(0, epochs, together):
         some = range(first, min(epochs, first + together))
-        dealt = rows.withColumn("epoch", F.explode(F.array(*[F.lit(e).cast("long") for e in some]))).withColumn("h", hashed).withColumn("cell", cell)
-        sizes = dict(dealt.groupBy("cell").count().collect())
-        m = sum(n for c, n in sizes.items() if c // slices == first)
-        if not m:
-            raise ValueError("no row has all features and the target")
-        steps = -(-m // batch_rows)
-        start, before = {}, dict.fromkeys(some, 0)  # rows of the epoch before each cell
-        for c in sorted(sizes):
-            start[c] = before[c // slices]
-            before[c // slices] += sizes[c]
-        run = _composer(d, batch_rows, start, {e: step + (e - first) * steps for e in some}, slices, t0, t1)
-        order = [F.col("cell"), F.expr("shiftrightunsigned(h, 1)"), F.col("h"), F.col("key"), *[F.col(n) for n in names]]
-        sliced = dealt.repartition(slices, "cell").sortWithinPartitions(*order).select("cell", *names)
-        found = sorted((r.cell, *(np.array(v) for v in (r.head, r.move, r.tail))) for r in sliced.mapInArrow(run, _COMPOSED).collect())
+        own = {c: start[c] for c in start if c // slices in some}
+        run = _composer(len(features), intercept, batch_rows, own, {e: e * steps for e in some}, first, slices, t0, t1)
+        with shuffles_removed(spark):
+            # 3 bits of the epoch, 60 of the hash: the sort hardly ever looks further
+            place = (F.expr("shiftleft(e, 60)") + F.expr("shiftrightunsigned(h, 4)")).alias("place")
+            dealt = placed(some, *names).select("slice", place, F.expr("h & 15").alias("low"), *names)
+            sliced = dealt.repartitionById(slices, F.col("slice").cast("int")).sortWithinPartitions("place", "low", *names)
+            found = sorted((r.cell, *(np.array(v) for v in (r.head, r.move, r.tail)))
+                           for r in sliced.select("place", *names).mapInArrow(run, _COMPOSED).collect())
         open_ = np.zeros(d * d + d + 1)  # sums of a batch that isn't full yet
 
         def close(t: int) -> None:
@@ -218,10 +237,21 @@ def _moved(theta: np.ndarray, sums: np.ndarray, d: int, rate: float) -> np.ndarr
     return theta - rate * (2.0 / m) * (g @ theta - b)
 
 
-def _composer(d: int, size: int, start: dict, first_step: dict, slices: int, t0: float, t1: float):
-    """For mapInArrow over rows (cell, x..., y) sorted by cell: of each cell the
-    sums of the rows before its first batch, the composed map of its whole
-    batches, and the sums of the rows after them."""
+def _chained(a: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The affine maps theta -> a[k] theta + c[k], k = 0, 1, ..., as one."""
+    while len(a) > 1:
+        n = len(a) // 2 * 2
+        a, c = (np.concatenate([a[1:n:2] @ a[:n:2], a[n:]]),
+                np.concatenate([(a[1:n:2] @ c[:n:2, :, None])[:, :, 0] + c[1:n:2], c[n:]]))
+    return a[0], c[0]
+
+
+def _composer(width: int, intercept: bool, size: int, start: dict, first_step: dict, first: int, slices: int, t0: float, t1: float):
+    """For mapInArrow over rows (place, features..., y) sorted by place: of each
+    cell the sums of the rows before its first batch, the composed map of its
+    whole batches, and the sums of the rows after them."""
+    d = width + intercept
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, left, head, move, at = None, None, None, None, 0
 
@@ -232,8 +262,10 @@ def _composer(d: int, size: int, start: dict, first_step: dict, slices: int, t0:
                     n: pa.array([v.tolist()], pa.list_(pa.float64())) for n, v in (("head", head), ("move", flat), ("tail", _summed(left)))})
 
         for b in batches:
-            cells = b.column(0).to_numpy()
-            x = np.column_stack([b.column(k).to_numpy() for k in range(1, d + 2)])
+            place = b.column(0).to_numpy()
+            cells = (first + (place >> 60)) * slices + (((place & ((1 << 60) - 1)) >> 28) * slices >> 32)
+            ones = [np.ones(len(place))] if intercept else []
+            x = np.column_stack(ones + [b.column(k).to_numpy() for k in range(1, width + 2)])
             edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
             for lo, hi in zip(edges, edges[1:], strict=False):
                 if lo == hi:
@@ -248,12 +280,13 @@ def _composer(d: int, size: int, start: dict, first_step: dict, slices: int, t0:
                     at, part = at + len(part[:lack]), part[lack:]
                 rows = np.vstack([left, part])
                 n = len(rows) // size
-                for k in range(n):
-                    sums = _summed(rows[k * size: (k + 1) * size])
-                    rate = t0 / (first_step[cell // slices] + at // size + t1) * 2.0 / size
-                    a, c = np.eye(d) - rate * sums[: d * d].reshape(d, d), rate * sums[d * d: -1]
+                if n:
+                    xs, ys = np.split(rows[: n * size].reshape(n, size, d + 1), [d], axis=2)
+                    turned = xs.transpose(0, 2, 1)
+                    rate = t0 / (first_step[cell // slices] + at // size + np.arange(n) + t1) * 2.0 / size
+                    a, c = _chained(np.eye(d) - rate[:, None, None] * (turned @ xs), rate[:, None] * (turned @ ys)[:, :, 0])
                     move = (a, c) if move is None else (a @ move[0], a @ move[1] + c)
-                    at += size
+                    at += n * size
                 left = rows[n * size:]
         yield from whole()
 

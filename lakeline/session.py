@@ -14,7 +14,8 @@ import shutil
 import tempfile
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -130,6 +131,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that are made and run inside leave no shuffle files behind: they
+    go when the query ends, not when the driver collects its garbage.  For
+    loops of queries that each shuffle much and are run once."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
 _KEPT: dict[tuple, tuple] = {}
 _BUILDING: dict[tuple, threading.Lock] = {}
 _GUARD = threading.Lock()

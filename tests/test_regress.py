@@ -1,6 +1,8 @@
 """Regression solvers: exact mini-batches against the serial loop, QR on an
 ill-conditioned design, missing values and empty tables."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +102,24 @@ def test_outlier_rules_on_missing_values_and_empty_tables(spark):
     flagged = {r.k: r.is_outlier for r in forest.flag(model.score(rows), contamination=0.01).collect()}
     assert flagged[900] is True and flagged[901] is None
     assert forest.fit(rows.filter("false"), "k", ["a", "b"], n_trees=3).score(rows.filter("false")).count() == 0
+
+
+def test_minibatch_jobs_leave_no_shuffle_files_behind(spark, monkeypatch):
+    """Every epoch deals out every row; the disk holds the files of one job."""
+    monkeypatch.setattr(regress, "JOB_ROWS", 1)  # a job for each epoch
+    df = spark.range(20_000).selectExpr("concat('a long key of the row ', id) AS k", "id % 50 / 10.0D AS x", "id % 50 * 0.3D + id % 7 AS y")
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_bytes():
+        files = tracker.getAllFiles()
+        return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+    one = regress.fit_minibatch(df, "k", ["x"], "y", epochs=1, t0=2.0, t1=100.0, slices=4)
+    before = shuffle_bytes()
+    assert len(one.coef) == 2
+    regress.fit_minibatch(df, "k", ["x"], "y", epochs=6, t0=2.0, t1=100.0, slices=4)
+    left, until = shuffle_bytes(), time.time() + 10
+    while left > before + 100_000 and time.time() < until:  # they go in the background
+        time.sleep(0.2)
+        left = shuffle_bytes()
+    assert left <= before + 100_000  # an epoch has 160,000 at least: 8 random bytes a row
