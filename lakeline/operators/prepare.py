@@ -17,6 +17,7 @@ from lakeline.functions.exprs import md5_unit, present
 from lakeline.operators.keys import exact_quantiles, ordinal
 from lakeline.operators.profile import numeric_columns, text_columns
 from lakeline.functions import fixed
+from lakeline.session import stored
 
 
 def _round(c: Column, digits: int | None) -> Column:
@@ -80,9 +81,12 @@ class Ordinal:
 
 def fit_ordinal(df: DataFrame, column: str) -> Ordinal:
     """Codes from 0 in value order, as a table that is joined back: any number
-    of categories; an unseen or NULL value has no code."""
+    of categories; an unseen or NULL value has no code.  The table is stored, so
+    plans know its size (not guess that of the rows it was made from): few codes
+    are broadcast, and no row moves to the task of its value."""
     values = df.select(F.col(column).alias("value")).filter("value IS NOT NULL").distinct()
-    return Ordinal(column, ordinal(values, [F.col("value")], None, "n").select("value", (F.col("n") - 1).cast("int").alias("code")))
+    codes = ordinal(values, [F.col("value")], None, "n").select("value", (F.col("n") - 1).cast("int").alias("code"))
+    return Ordinal(column, stored(codes, "ordinal-codes"))
 
 
 @dataclass

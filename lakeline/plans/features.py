@@ -91,7 +91,8 @@ SELECT f.row_key, f.flag, CAST(c.code AS INTEGER) AS flag_code FROM feats f
 LEFT JOIN (SELECT flag, row_number() OVER (ORDER BY flag) - 1 AS code FROM (SELECT DISTINCT flag FROM train)) c
 ON f.flag = c.flag""")
 def q_encode_ordinal(t):
-    return pp.fit_ordinal(train(t), "flag").transform(feats(t), "flag_code").select("row_key", "flag", "flag_code")
+    rows = split_rows(t).select("row_key", "flag", "split")  # cheaper to read twice than to write
+    return pp.fit_ordinal(rows.filter("split = 'train'"), "flag").transform(rows, "flag_code").select("row_key", "flag", "flag_code")
 
 
 @query("encode_dummies", FEATS_SQL + """

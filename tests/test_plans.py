@@ -117,3 +117,19 @@ def test_allocation_join_splits_a_hot_order(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_few_ordinal_codes_of_many_rows_are_broadcast(spark):
+    """The size of the code table counts, not that of the rows it comes from:
+    else all rows of a frequent value meet in one task."""
+    from lakeline.operators import prepare
+    from lakeline.session import stored
+
+    rows = stored(spark.range(100_000).selectExpr("id AS k", "substr('ANR', CAST(id % 3 AS INT) + 1, 1) AS c"), "ordinal-rows")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50000")  # the rows are above, the codes below
+        coded = prepare.fit_ordinal(rows, "c").transform(rows, "code")
+        assert "BroadcastHashJoin" in _plan(coded) and "SortMergeJoin" not in _plan(coded)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {(r.c, r.code): r["count"] for r in coded.groupBy("c", "code").count().collect()} == {("A", 0): 33_334, ("N", 1): 33_333, ("R", 2): 33_333}
