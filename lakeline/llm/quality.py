@@ -26,12 +26,13 @@ any trusted document past the base rules the method keeps everything that
 passes them.  Repeated rows are judged alike (each by the others, its copies
 among them); an empty table gives an empty result.
 
-Scale: three narrow scans, no shuffle of text; the second, for the bar, takes
-the trusted documents alone and gives one number for each.  Each task adds its
-n-grams into 2**BUCKET_BITS counters and sends only those; the counts are the
-only broadcast (2 * 2**BUCKET_BITS numbers).  Trusted ids are a bounded sample:
-``TRUSTED_DOCS`` labelled documents of least hash (documented parameter of the
-classifier); the raw counts cover all documents.
+Scale: three narrow scans; the second, for the bar, takes the trusted documents
+alone and gives one number for each.  Each task adds its n-grams into
+2**BUCKET_BITS counters and sends only those; the counts are the only broadcast
+of ours (2 * 2**BUCKET_BITS numbers).  Every document labelled good is trusted:
+their ids are a stored table that is joined with the documents, broadcast by
+the planner while it is small and else shuffled; none comes to the driver.  The
+bar is found by position among the sorted scores, in slices.
 """
 
 from __future__ import annotations
@@ -44,11 +45,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.common import NOT_SPACE, Words, literal_table, mix, out_batches, row_ranges, text_bytes, unused, windows
+from lakeline.llm.common import NOT_SPACE, Words, mix, out_batches, row_ranges, text_bytes, unused, windows
+from lakeline.operators.keys import ordinal
+from lakeline.session import stored
 
 GRAM = 4                 # bytes of an n-gram
 BUCKET_BITS = 16         # 2**16 hash buckets
-TRUSTED_DOCS = 20_000    # at most so many labelled documents make the target
 SMOOTHING = 0.5          # added to every bucket of either multinomial
 PASSAGE = 16             # n-grams of a passage
 BAR_QUANTILE = 0.01      # share of the trusted documents that the bar may stop
@@ -78,18 +80,22 @@ def _own(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return gram_buckets(data), lo, np.maximum(off[1:] - GRAM + 1, lo)
 
 
-def ngram_counts(docs: DataFrame, id_col: str, text_col: str, trusted: list[int]) -> DataFrame:
-    """(bucket, target, raw): n-gram counts over all documents."""
-    good = np.array(sorted(trusted), np.int64)
+def marked(docs: DataFrame, id_col: str, trusted: DataFrame, mark: str) -> DataFrame:
+    """``docs`` with the boolean ``mark``: is its id in ``trusted`` (column id,
+    each once)?"""
+    known = trusted.select(F.col("id").alias("__trusted"))
+    return docs.join(known, F.col(id_col).cast("long") == F.col("__trusted"), "left") \
+        .withColumn(mark, F.col("__trusted").isNotNull()).drop("__trusted")
+
 
+def ngram_counts(docs: DataFrame, id_col: str, text_col: str, trusted: DataFrame) -> DataFrame:
+    """(bucket, target, raw): n-gram counts over all documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 1 << BUCKET_BITS
         raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for b in batches:
             data, off = text_bytes(b.column(1))
-            ids = b.column(0)
-            known = ids.is_valid().to_numpy(False)
-            is_good = known & np.isin(ids.fill_null(0).to_numpy(False), good)
+            is_good = b.column(0).to_numpy(False)
             for lo, hi in row_ranges(off):
                 part, o = data[off[lo]: off[hi]], off[lo: hi + 1] - off[lo]
                 grams, s, e = _own(part, o)
@@ -103,16 +109,15 @@ def ngram_counts(docs: DataFrame, id_col: str, text_col: str, trusted: list[int]
         some = np.flatnonzero(raw)
         yield from out_batches({"bucket": pa.array(some.astype(np.int32)), "target": pa.array(target[some]), "raw": pa.array(raw[some])})
 
-    per_task = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
-        .mapInArrow(count, "bucket int, target long, raw long")
+    per_task = marked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", trusted, "good") \
+        .select("good", "text").mapInArrow(count, "bucket int, target long, raw long")
     return per_task.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
 
 
-def trusted_ids(labels: DataFrame, id_col: str, good: Column, most: int = TRUSTED_DOCS) -> list[int]:
-    """Ids of at most ``most`` documents that ``good`` holds for, least hash first."""
-    ids = labels.where(good & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")) \
-        .groupBy("id").agg(F.xxhash64("id").alias("h")).orderBy("h", "id").limit(most)
-    return [r[0] for r in ids.select("id").collect()]
+def trusted_ids(labels: DataFrame, id_col: str, good: Column) -> DataFrame:
+    """(id long): every document that ``good`` holds for, once; a stored table."""
+    ids = labels.where(good & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"))
+    return stored(ids.where("id IS NOT NULL").distinct(), "trusted-ids")
 
 
 def totals(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -124,16 +129,11 @@ def totals(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Counts of both multinomials, and who is trusted."""
+    """Counts of both multinomials."""
 
-    def __init__(self, target: np.ndarray, raw: np.ndarray, trusted: list[int]):
+    def __init__(self, target: np.ndarray, raw: np.ndarray):
         self.target, self.raw = target, raw
         self.n_target, self.n_raw = float(target.sum()), float(raw.sum())
-        self.trusted = np.array(sorted(trusted), np.int64)
-
-    def known(self, ids: pa.Array) -> np.ndarray:
-        """Which rows are trusted."""
-        return ids.is_valid().to_numpy(False) & np.isin(ids.fill_null(0).to_numpy(False), self.trusted)
 
     def score(self, grams: np.ndarray, trusted: bool) -> int:
         """Fixed-point mean ratio of the worst passage of a text with these n-grams."""
@@ -149,20 +149,20 @@ class Model:
         return int((total[wide:] - total[:-wide]).min()) // wide
 
 
-def trusted_bar(docs: DataFrame, id_col: str, text_col: str, shared) -> int | None:
+def trusted_bar(docs: DataFrame, id_col: str, text_col: str, shared, trusted: DataFrame) -> int | None:
     """The bar, in fixed point; None without a trusted document past the base
     rules.  One score (the least) comes for each trusted id."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            m = measure(b.column(1), shared.value, shared.value.known(b.column(0)))
+            m = measure(b.column(1), shared.value, np.ones(b.num_rows, bool))
             ok = ~base_failed(m)
             yield from out_batches({"id": b.column(0).filter(pa.array(ok)), "score": pa.array(m["score"][ok])})
 
-    # At most TRUSTED_DOCS ids, so this broadcast does not grow.
-    ids = literal_table(docs.sparkSession, [(i,) for i in shared.value.trusted.tolist()], "id long")
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id", "left_semi")
-    scores = sorted(r[1] for r in own.mapInArrow(score, "id long, score long").groupBy("id").agg(F.min("score")).collect())
-    return scores[int(len(scores) * BAR_QUANTILE)] if scores else None
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(trusted, "id", "left_semi")
+    scores = stored(own.mapInArrow(score, "id long, score long").groupBy("id").agg(F.min("score").alias("score")), "trusted-scores")
+    at = int(scores.count() * BAR_QUANTILE) + 1
+    found = ordinal(scores, [F.col("score"), F.col("id")], None, "position").where(F.col("position") == at).first()
+    return found["score"] if found else None
 
 
 def _sums(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -224,10 +224,10 @@ def judge(m: dict[str, np.ndarray], bar: int | None) -> tuple[np.ndarray, np.nda
     return failed, ~failed & (bar is None or m["score"] >= bar)
 
 
-def _fitted(docs: DataFrame, id_col: str, text_col: str, trusted: list[int]):
+def _fitted(docs: DataFrame, id_col: str, text_col: str, trusted: DataFrame):
     """(broadcast model, bar)"""
-    shared = docs.sparkSession.sparkContext.broadcast(Model(*totals(ngram_counts(docs, id_col, text_col, trusted)), trusted))
-    return shared, trusted_bar(docs, id_col, text_col, shared)
+    shared = docs.sparkSession.sparkContext.broadcast(Model(*totals(ngram_counts(docs, id_col, text_col, trusted))))
+    return shared, trusted_bar(docs, id_col, text_col, shared, trusted)
 
 
 def _good() -> Column:
@@ -238,12 +238,13 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             good: Column | None = None) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     llr double, base_failed, kept) of every document; llr: of the worst passage."""
-    shared, bar = _fitted(docs, id_col, text_col, trusted_ids(labels, label_id, _good() if good is None else good))
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("number"))
+    trusted = trusted_ids(labels, label_id, _good() if good is None else good)
+    shared, bar = _fitted(docs, id_col, text_col, trusted)
+    source = marked(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", trusted, "good")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            m = measure(b.column(1), shared.value, shared.value.known(b.column(2)))
+            m = measure(b.column(1), shared.value, b.column(2).to_numpy(False))
             failed, kept = judge(m, bar)
             cols = {"id": b.column(0)} | {k: pa.array(m[k]) for k in MEASURES[:-1]}
             yield from out_batches(cols | {"llr": pa.array(m["score"] / SCALE), "base_failed": pa.array(failed), "kept": pa.array(kept)})
@@ -254,14 +255,15 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps, with all their columns; no join."""
-    shared, bar = _fitted(docs, id_col, text_col, trusted_ids(labels, id_col, _good()))
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
+    trusted = trusted_ids(labels, id_col, _good())
+    shared, bar = _fitted(docs, id_col, text_col, trusted)
     at, number = docs.columns.index(text_col), len(docs.columns)
-    (extra,) = unused(docs.columns, "number")
+    (extra,) = unused(docs.columns, "good")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kept = judge(measure(b.column(at), shared.value, shared.value.known(b.column(number))), bar)[1]
+            kept = judge(measure(b.column(at), shared.value, b.column(number).to_numpy(False)), bar)[1]
             yield b.select(list(range(number))).filter(pa.array(kept))
 
-    return docs.withColumn(extra, F.col(id_col).cast("long")).mapInArrow(keep, docs.schema)
+    return marked(docs, id_col, trusted, extra).mapInArrow(keep, docs.schema)

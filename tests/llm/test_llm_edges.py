@@ -423,3 +423,13 @@ def test_passages_are_cut_beside_clashing_columns(spark, items):
     many = decontaminate.remove_passages(docs, items, block_words=3)
     assert whole(one) == whole(many) and len(whole(one)) == 2
     assert [r[2:] for r in whole(one)] == [r[2:] for r in whole(docs.where("doc_id = 1 or text like 'b%'"))]
+
+
+def test_every_document_labelled_good_is_trusted(spark):
+    """More than 20,000 of them: none is left out of the target."""
+    n = 20_500
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "CAST(0 AS INT) AS toxic")
+    trusted = quality.trusted_ids(labels.union(labels.limit(5)), "doc_id", quality._good())
+    docs = spark.range(n + 10).selectExpr("id AS doc_id", "if(id < 20500, 'abcdefg', 'hijk') AS text")
+    counts = quality.ngram_counts(docs, "doc_id", "text", trusted).selectExpr("sum(target)", "sum(raw)").first()
+    assert tuple(counts) == (4 * n, 4 * n + 10)
