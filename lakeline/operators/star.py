@@ -1,16 +1,18 @@
 """Star-schema building blocks: surrogate keys, dimensions, allocation.
 
-Allocation joins the lines once, with a stored table of one row per order: no
-window over an order and no aggregate right under the join, so AQE can split
-an order that holds a third of all lines.  The cents that rounding leaves over
-concern last lines only, one row per order.
+Allocation has two forms.  ``allocate_together`` moves the lines once, to their
+order: totals, header and leftover cents meet them there, which takes an order
+that fits one task.  ``allocate``, for hot orders, joins the lines with a stored
+table of one row per order: no window over an order and no aggregate right
+under the join, so AQE can split an order that holds a third of all lines.  The
+cents that rounding leaves over concern last lines only, one row per order.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeline.functions.exprs import date_key
@@ -61,7 +63,7 @@ def junk_dimension(df: DataFrame, col: str, out: str, key: str, null_member: str
 
 def from_cents(c) -> "F.Column":
     """Integer cents to decimal(14,2), exactly."""
-    return (c.cast("decimal(20,0)") / F.lit(Decimal(100))).cast("decimal(14,2)")
+    return (c.cast("decimal(14,0)") * F.lit(Decimal("0.01"))).cast("decimal(14,2)")
 
 
 def _cents(c: str) -> str:
@@ -73,6 +75,11 @@ def line_shares(lines: DataFrame, per_order: DataFrame, order_id: str, line_no:
 
     ``per_order``: a stored table, so both sides of the join are plain
     exchanges and AQE can split a hot order."""
+    return lines.join(per_order, order_id).withColumns(
+        _shares(weight, amounts) | {"__is_last": F.col(line_no) == F.col("__last")})
+
+
+def _shares(weight: str, amounts: list[str]) -> dict:
     wc, tc = _cents(weight), _cents("__w_total")
     shares = {}
     for a in amounts:
@@ -81,7 +88,30 @@ def line_shares(lines: DataFrame, per_order: DataFrame, order_id: str, line_no:
         prop = F.expr(f"(2 * {ac} * {wc} + {tc}) div (2 * {tc})")
         eq = F.expr(f"(2 * {ac} + __n_lines) div (2 * __n_lines)")
         shares[f"__s_{a}"] = F.when(F.col("__w_total") == 0, eq).otherwise(prop).cast("bigint")
-    return lines.join(per_order, order_id).withColumns(shares | {"__is_last": F.col(line_no) == F.col("__last")})
+    return shares
+
+
+def allocate_together(lines: DataFrame, orders: DataFrame, order_id: str, line_no: str,
+                      weight: str, amounts: list[str], carry: list[str] | None = None, dense: bool = False) -> DataFrame:
+    """``allocate`` for orders that fit one task each: the same rows, and nothing
+    is written.  Lines that are already dealt out by ``order_id`` (numbered by a
+    window over it, say) don't move again."""
+    whole = Window.partitionBy(order_id)
+    n_lines = F.count(F.lit(1)).over(whole)
+    sized = lines.withColumns({"__w_total": F.sum(weight).over(whole), "__n_lines": n_lines,
+                               "__last": n_lines.cast("int") if dense else F.max(line_no).over(whole)})
+    # An order with several headers: its last lines take the rest of each.
+    headers = orders.select(order_id, *amounts, *(carry or [])) \
+        .withColumn("__headers", F.collect_list(F.struct(*amounts)).over(whole))
+    kept = [*lines.columns, *[c for c in carry or [] if c not in lines.columns]]
+    x = sized.join(headers, order_id).withColumns(_shares(weight, amounts) | {"__is_last": F.col(line_no) == F.col("__last")})
+    x = x.withColumns({f"__t_{a}": F.sum(f"__s_{a}").over(whole) for a in amounts})
+
+    # One row of each line, of a last one a row for each header.
+    none = F.array(F.lit(None).cast(x.schema["__headers"].dataType.elementType))
+    x = x.withColumn("__header", F.explode(F.when(F.col("__is_last"), F.col("__headers")).otherwise(none)))
+    over = {a: F.when(F.col("__is_last"), F.expr(f"CAST(`__header`.`{a}` * 100 AS BIGINT) - `__t_{a}`")).otherwise(F.lit(0)) for a in amounts}
+    return x.select(*kept, *[from_cents(F.col(f"__s_{a}") + over[a]).alias(f"allocated_{a}") for a in amounts])
 
 
 def allocate(lines: DataFrame, orders: DataFrame, order_id: str, line_no: str,

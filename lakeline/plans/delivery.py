@@ -79,10 +79,12 @@ def _order_columns() -> list:
     ]
 
 
-def _orders_joined(t: Tables, extra: list[str]) -> DataFrame:
+def _orders_joined(t: Tables, extra: list[str], customers: DataFrame | None = None, ends: DataFrame | None = None) -> DataFrame:
+    """Orders with their customer's nation and last ship date; ``customers`` and
+    ``ends``: tables that bring further columns along on the same joins."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", *extra)
-    c = t.customer.select("c_custkey", "c_nationkey")
-    last_ship = t.lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
+    c = t.customer.select("c_custkey", "c_nationkey") if customers is None else customers
+    last_ship = t.lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship")) if ends is None else ends
     return o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(
         last_ship, F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
@@ -91,21 +93,52 @@ def raw_orders(t: Tables) -> DataFrame:
     return _orders_joined(t, []).select(*_order_columns())
 
 
+HOT_LINES = 100_000  # an order of more lines is not handled by one task
+
+
+@_stored
+def order_ends(t: Tables) -> DataFrame:
+    """Last ship date and number of lines of each order."""
+    return t.lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"), F.count(F.lit(1)).alias("n_lines"))
+
+
 @_memo
-def raw_order_items(t: Tables) -> DataFrame:
-    """Items with a line number that is unique per order (the source's is not)."""
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    p = t.part.select("p_partkey", "p_retailprice")
-    numbered = ordinal(li, [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")],
-                       ["l_orderkey"], "line_number", written=False)
-    return numbered.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("line_number").cast("int").alias("line_number"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("restaurant_id"),
-        F.col("l_quantity").cast("int").alias("qty"),
-        F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price"),
-    )
+def hot_orders(t: Tables) -> DataFrame | None:
+    """Orders of more than ``HOT_LINES`` lines (so at most a row for that many
+    lines), if any."""
+    hot = order_ends(t).filter((F.col("n_lines") > HOT_LINES) & F.col("l_orderkey").isNotNull()).select(F.col("l_orderkey").alias("order_id"))
+    return None if hot.isEmpty() else hot
+
+
+ITEM_ORDER = ["product_id", "restaurant_id", "l_extendedprice"]
+
+
+def _priced_lines(t: Tables, keyed: bool) -> DataFrame:
+    """Lines with their part's prices (a list: a part may come twice, and a line
+    is numbered before it meets them) and, ``keyed``, the star's keys."""
+    li = t.lineitem.filter(F.col("l_orderkey").isNotNull()).select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("restaurant_id"),
+        "l_extendedprice", F.col("l_quantity").cast("int").alias("qty"))
+    price = F.struct(F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price"))
+    parts = t.part.groupBy(F.col("p_partkey").alias("product_id")).agg(F.collect_list(price).alias("prices"))
+    if keyed:
+        parts = parts.join(dim_product(t).select("product_id", "product_key"), "product_id", "left")
+        li = li.join(dim_restaurant(t).select("restaurant_id", "restaurant_key"), "restaurant_id", "left")
+    return li.join(parts, "product_id", "left")
+
+
+def raw_order_items(t: Tables, hot: bool = False, keyed: bool = False) -> DataFrame:
+    """Items with a line number that is unique per order (the source's is not):
+    those of hot orders, numbered in slices, or those of the others, numbered
+    where the lines of an order meet."""
+    li, many = _priced_lines(t, keyed), hot_orders(t)
+    if hot:
+        numbered = ordinal(li.join(F.broadcast(many), "order_id", "left_semi"), [F.col(c) for c in ITEM_ORDER], ["order_id"], "line_number", written=False)
+    else:
+        some = li if many is None else li.join(F.broadcast(many), "order_id", "left_anti")
+        numbered = some.withColumn("line_number", F.row_number().over(Window.partitionBy("order_id").orderBy(*ITEM_ORDER)))
+    return numbered.select("order_id", F.col("line_number").cast("int").alias("line_number"), "product_id", "restaurant_id", "qty",
+                           *(["product_key", "restaurant_key"] if keyed else []), F.inline("prices"))
 
 
 def _share_cents(cents, pct: int):
@@ -200,39 +233,45 @@ def dim_promotion(t: Tables) -> DataFrame:
 
 # --- fact ----------------------------------------------------------------
 
-HEADER = ["order_ts", "customer_id", "courier_id", "city_id", "status", "delivered_ts", "payment_method",
-          "promo_code"]
+LINE_KEYS = ["product_key", "restaurant_key"]
+ORDER_KEYS = ["city_key", "customer_key", "payment_method_key", "promotion_key"]
+HEADER = ["order_ts", "courier_id", "status", "delivered_ts", *ORDER_KEYS]
 AMOUNTS = ["discount_amount", "delivery_fee", "tip_amount"]
 
 
 def order_header(t: Tables) -> DataFrame:
     """Every order-level attribute the fact needs (order, payment, promotion),
-    from one scan of orders: they share the order key, so no joins between them."""
-    x = _orders_joined(t, ["o_orderpriority", "o_totalprice"])
-    return x.select(*_order_columns(), *_payment_columns(),
-                    F.coalesce(_promo_code(), F.lit(PROMO_MEMBER)).alias("promo_code"))
+    from one scan of orders: they share the order key, so no joins between them.
+    The keys of its dimensions are looked up here, once for an order, null where
+    there is none; sides to broadcast are left to the planner, which knows their
+    stored size."""
+    customers = t.customer.select("c_custkey", "c_nationkey").join(
+        dim_customer(t).select(F.col("customer_id").alias("c_custkey"), "customer_key"), "c_custkey", "left")
+    x = _orders_joined(t, ["o_orderpriority", "o_totalprice"], customers, order_ends(t).drop("n_lines"))
+    orders = x.select(*_order_columns(), *_payment_columns(),
+                      F.coalesce(_promo_code(), F.lit(PROMO_MEMBER)).alias("promo_code"), "customer_key")
+    return (orders.join(dim_city(t).select("city_id", "city_key"), "city_id", "left")
+            .join(dim_payment_method(t), "payment_method", "left").join(dim_promotion(t), "promo_code", "left"))
+
+
+def allocated_lines(t: Tables, carry: list[str] | None = None, keyed: bool = False) -> DataFrame:
+    def items(hot: bool) -> DataFrame:
+        return raw_order_items(t, hot, keyed).withColumn(
+            "gross_item_amount", (F.col("qty") * F.col("unit_price")).cast("decimal(14,2)"))
 
-
-def allocated_lines(t: Tables, carry: list[str] | None = None) -> DataFrame:
-    items = raw_order_items(t).withColumn(
-        "gross_item_amount", (F.col("qty") * F.col("unit_price")).cast("decimal(14,2)"))
     header = order_header(t) if carry else raw_payments(t).select("order_id", *AMOUNTS)
-    return star.allocate(items, header, "order_id", "line_number", "gross_item_amount", AMOUNTS, carry, dense=True)
-
-
-@_stored
-def star_fact(t: Tables) -> DataFrame:
-    f, *_ = side_by_side(t, lambda t: allocated_lines(t, HEADER), dim_city, dim_customer, dim_restaurant, dim_product,
-                         dim_payment_method, dim_promotion)
-    # Dimension sides are left to the planner, which knows their stored size.
-    city = dim_city(t).select("city_id", "city_key")
-    pm = dim_payment_method(t)
-    pr = dim_promotion(t)
-    cust = dim_customer(t).select("customer_id", "customer_key")
-    rest = dim_restaurant(t).select("restaurant_id", "restaurant_key")
-    prod = dim_product(t).select("product_id", "product_key")
-    f = (f.join(city, "city_id").join(pm, "payment_method").join(pr, "promo_code")
-         .join(cust, "customer_id").join(rest, "restaurant_id").join(prod, "product_id"))
+    how = ("order_id", "line_number", "gross_item_amount", AMOUNTS, carry)
+    out, many = star.allocate_together(items(False), header, *how, dense=True), hot_orders(t)
+    if many is None:
+        return out
+    return out.unionByName(star.allocate(items(True), header.join(F.broadcast(many), "order_id", "left_semi"), *how, dense=True))
+
+
+def fact_lines(t: Tables) -> DataFrame:
+    """The fact's rows: lines move to their part and to their order, with the
+    keys of their dimensions, and no further."""
+    side_by_side(t, order_ends, dim_city, dim_customer, dim_restaurant, dim_product, dim_payment_method, dim_promotion)
+    f = allocated_lines(t, HEADER, keyed=True).dropna(subset=[*LINE_KEYS, *ORDER_KEYS])
     net = (F.col("gross_item_amount") - F.col("allocated_discount_amount")).cast("decimal(14,2)")
     return f.select(
         "order_id", "line_number",
@@ -249,6 +288,11 @@ def star_fact(t: Tables) -> DataFrame:
     )
 
 
+@_stored
+def star_fact(t: Tables) -> DataFrame:
+    return fact_lines(t)
+
+
 def star_q1(fact: DataFrame, t: Tables) -> DataFrame:
     """Net revenue per month, region and cuisine."""
     dd = dim_date(t).select("date_key", "year_month")

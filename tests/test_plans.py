@@ -133,3 +133,39 @@ def test_few_ordinal_codes_of_many_rows_are_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {(r.c, r.code): r["count"] for r in coded.groupBy("c", "code").count().collect()} == {("A", 0): 33_334, ("N", 1): 33_333, ("R", 2): 33_333}
+
+
+def _hot(monkeypatch, most):
+    from lakeline.plans import delivery
+
+    monkeypatch.setattr(delivery, "HOT_LINES", most)
+
+
+def test_allocation_of_hot_orders_equals_that_of_others(spark, tables, monkeypatch):
+    from lakeline.plans import delivery
+    from lakeline.plans.tables import Tables
+
+    plain = delivery.fact_lines(Tables(spark, tables.sf_dir))
+    _hot(monkeypatch, 4)
+    t = Tables(spark, tables.sf_dir)
+    both = delivery.fact_lines(t)
+    assert 0 < delivery.hot_orders(t).count() < t.orders.count()
+    assert plain.exceptAll(both).isEmpty() and both.exceptAll(plain).isEmpty()
+
+
+def test_star_lines_move_to_their_part_and_their_order_only(spark, tables, monkeypatch):
+    """Nothing is written on the way, and dimensions of an order are looked up
+    for the order: no line moves to its customer, city, payment or promotion."""
+    from lakeline.operators import star
+    from lakeline.plans import delivery
+    from lakeline.plans.tables import Tables
+
+    monkeypatch.delattr(star, "stored")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = _plan(delivery.fact_lines(Tables(spark, tables.sf_dir)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(order_id") == 2  # lines, headers
+    for key in ("customer_id", "customer_key"):
+        assert f"Exchange hashpartitioning({key}" not in plan
