@@ -30,9 +30,9 @@ Scale: three narrow scans; the second, for the bar, takes the trusted documents
 alone and gives one number for each.  Each task adds its n-grams into
 2**BUCKET_BITS counters and sends only those; the counts are the only broadcast
 of ours (2 * 2**BUCKET_BITS numbers).  Every document labelled good is trusted:
-their ids are a stored table that is joined with the documents, broadcast by
-the planner while it is small and else shuffled; none comes to the driver.  The
-bar is found by position among the sorted scores, in slices.
+their ids are a stored table that is joined with the documents, broadcast up to
+``BROADCAST_IDS`` of them (so no text moves) and beyond that as the planner
+sees fit, with the same result.  The bar is found by position among the sorted scores, in slices.
 """
 
 from __future__ import annotations
@@ -51,6 +51,7 @@ from lakeline.session import stored
 
 GRAM = 4                 # bytes of an n-gram
 BUCKET_BITS = 16         # 2**16 hash buckets
+BROADCAST_IDS = 2_000_000  # trusted ids that are broadcast, at most; more are joined by a shuffle
 SMOOTHING = 0.5          # added to every bucket of either multinomial
 PASSAGE = 16             # n-grams of a passage
 BAR_QUANTILE = 0.01      # share of the trusted documents that the bar may stop
@@ -115,9 +116,11 @@ def ngram_counts(docs: DataFrame, id_col: str, text_col: str, trusted: DataFrame
 
 
 def trusted_ids(labels: DataFrame, id_col: str, good: Column) -> DataFrame:
-    """(id long): every document that ``good`` holds for, once; a stored table."""
+    """(id long): every document that ``good`` holds for, once; a stored table,
+    marked for broadcast while it is small."""
     ids = labels.where(good & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"))
-    return stored(ids.where("id IS NOT NULL").distinct(), "trusted-ids")
+    found = stored(ids.where("id IS NOT NULL").distinct(), "trusted-ids")
+    return F.broadcast(found) if found.count() <= BROADCAST_IDS else found
 
 
 def totals(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:

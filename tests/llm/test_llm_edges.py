@@ -433,3 +433,19 @@ def test_every_document_labelled_good_is_trusted(spark):
     docs = spark.range(n + 10).selectExpr("id AS doc_id", "if(id < 20500, 'abcdefg', 'hijk') AS text")
     counts = quality.ngram_counts(docs, "doc_id", "text", trusted).selectExpr("sum(target)", "sum(raw)").first()
     assert tuple(counts) == (4 * n, 4 * n + 10)
+
+
+def test_trusted_ids_too_many_to_broadcast_give_the_same_verdicts(odd, labels, spark, monkeypatch):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = quality.quality(odd, labels)
+        assert "BroadcastHashJoin" in plan(few) and "SortMergeJoin" not in plan(few)  # no text moves
+        one = sorted(map(str, few.collect()))
+        monkeypatch.setattr(quality, "BROADCAST_IDS", -1)
+        many = quality.quality(odd, labels)
+        assert "SortMergeJoin" in plan(many) and sorted(map(str, many.collect())) == one
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
