@@ -134,35 +134,34 @@ class Code:
     """Canonical code words: by length, then by id."""
 
     def __init__(self, lengths: dict[int, int]):
-        order = sorted(lengths, key=lambda i: (lengths[i], i))
+        ids, n = np.array(list(lengths), np.int64), np.array(list(lengths.values()), np.int64)
+        order = np.lexsort((ids, n))
+        ids, n = ids[order], n[order]
         self.bits = max(lengths.values(), default=1)
         size = max(lengths, default=0) + 1
-        self.word, self.length = np.zeros(size, np.uint64), np.zeros(size, np.uint8)
+        # Code words follow one another: each takes its share of the look-up table.
+        share = 1 << (self.bits - n)
+        end = np.cumsum(share)
+        self.top, self.length = np.zeros(size, np.uint64), np.zeros(size, np.uint8)  # ``top``: the code word as the highest bits of 64
+        self.top[ids], self.length[ids] = (end - share).astype(np.uint64) << np.uint64(64 - self.bits), n
         self.table_id, self.table_length = np.zeros(1 << self.bits, np.uint32), np.zeros(1 << self.bits, np.uint8)
-        word = before = 0
-        for i in order:
-            n = lengths[i]
-            word <<= n - before
-            before = n
-            self.word[i], self.length[i] = word, n
-            lo = word << (self.bits - n)
-            self.table_id[lo: lo + (1 << (self.bits - n))] = i
-            self.table_length[lo: lo + (1 << (self.bits - n))] = n
-            word += 1
+        used = int(share.sum())
+        self.table_id[:used], self.table_length[:used] = np.repeat(ids, share), np.repeat(n, share)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """(bits, bit offset of every STRIDE-th id)"""
-        n = self.length[ids].astype(np.int64)
-        end = np.cumsum(n)
+        n = self.length[ids]
+        end = np.cumsum(n, dtype=np.uint64)
         at = end - n
         out = np.zeros((int(end[-1]) + 31) // 32 + 2, np.uint64)
-        # A code word lies in its 32-bit word and perhaps the next one.
-        both = self.word[ids] << (64 - n - (at & 31)).astype(np.uint64)
-        cell = at >> 5
+        # A code word lies in its 32-bit word and perhaps the next one; those
+        # that begin in one 32-bit word share no bit, so their sum joins them.
+        cell = (at >> np.uint64(5)).astype(np.int64)
         first = np.flatnonzero(np.diff(cell, prepend=-1))
-        out[cell[first]] += np.add.reduceat(both >> np.uint64(32), first)
-        out[cell[first] + 1] += np.add.reduceat(both & np.uint64(0xFFFFFFFF), first)
-        return out.astype(">u4").tobytes(), at[::STRIDE]
+        both = np.add.reduceat(self.top[ids] >> (at & np.uint64(31)), first)
+        out[cell[first]] += both >> np.uint64(32)
+        out[cell[first] + 1] += both & np.uint64(0xFFFFFFFF)
+        return out.astype(">u4").tobytes(), at[::STRIDE].astype(np.int64)
 
     def decode(self, bits: bytes, checkpoints: np.ndarray, n_tokens: int) -> np.ndarray:
         words = np.frombuffer(bits, ">u4").astype(np.uint64)
@@ -213,7 +212,7 @@ def encode_blocks(tokens: DataFrame, dtype: np.dtype, lengths: dict[int, int]) -
         part, code = TaskContext.get().partitionId(), Code(shared.value)
         rows = ((i.as_py(), x.as_py()) for b in batches for i, x in zip(b.column(0), b.column(1), strict=True))
         for x in _blocks(rows, dtype, code):
-            yield pa.RecordBatch.from_pylist([x | {"part": part, "checkpoints": x["checkpoints"].tolist()}], _ARROW)
+            yield pa.RecordBatch.from_pylist([x | {"part": part}], _ARROW)
 
     order = [F.col("id").asc_nulls_first(), F.col("mark")]
     return tokens.select("id", "ids", F.xxhash64("ids").alias("mark")).repartitionByRange(tasks(tokens.sparkSession), *order) \

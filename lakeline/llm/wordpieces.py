@@ -6,8 +6,8 @@ distinct piece is encoded once and remembered.  ``encoder`` checks that a
 tokenizer is of this kind (pieces split out by a pattern that never matches
 white space, no template around a text); others encode each text whole.
 
-A worker remembers ``REMEMBERED`` pieces at most, newest generation first, so
-its memory does not grow with the corpus.
+A worker remembers ``REMEMBERED`` pieces at most between texts, so its memory
+does not grow with the corpus.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -34,19 +35,40 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in _VISIBLE} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+class _Memory(dict):
+    """piece -> bytes of its ids; a piece not met yet is learnt when looked up.
+    Known pieces, nearly all of a text, cost one look-up each and no Python step."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.learn(piece)
+        return ids
+
+    def trim(self, most: int) -> None:
+        """From ``most`` pieces on, forget the quarter met last: frequent pieces
+        are met early, and a change of language still has that quarter's room."""
+        if len(self) > most:
+            for _ in range(len(self) - most * 3 // 4):
+                self.popitem()
+
+
 class _Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.low_specials = [t["content"].lower() for t in config.get("added_tokens", [])]
         self.by_piece = self._drops_space(config)
         self.letters = _byte_letters()
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.kind = "H" if self.dtype.itemsize == 2 else "I"
+        self.known = _Memory(self._learn)
 
     @staticmethod
     def _drops_space(config: dict) -> bool:
@@ -63,21 +85,11 @@ class _Encoder:
         """The ids of each text as bytes of ``dtype``."""
         if not self.by_piece:
             return self._whole(texts)
-        pieces = [self._pieces(t) for t in texts]
-        new, old = self.new, self.old
-        if len(new) > REMEMBERED // 2:
-            self.old = old = new
-            self.new = new = {}
-        missing = []
-        for p in pieces:
-            for w in set(p).difference(new):
-                if w in old:
-                    new[w] = old[w]
-                else:
-                    new[w] = b""
-                    missing.append(w)
-        self._learn(missing)
-        return [b"".join(map(new.__getitem__, p)) for p in pieces]
+        out = []
+        for t in texts:
+            out.append(b"".join(map(self.known.__getitem__, self._pieces(t))))
+            self.known.trim(REMEMBERED)
+        return out
 
     def _pieces(self, text: str) -> list[str]:
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to split() alone
@@ -93,28 +105,16 @@ class _Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, missing: list[str]) -> None:
-        """Encode pieces not seen before.  A run of lower-case Latin-1 letters
+    def _learn(self, piece: str) -> bytes:
+        """Encode a piece not seen before.  A run of lower-case Latin-1 letters
         is one unit for the model, as normalising leaves it alone."""
-        model, table, new, kind = self.tokenizer.model, self.letters, self.new, "H" if self.dtype.itemsize == 2 else "I"
-        hard = []
-        for w in missing:
-            stem = w if w.isalpha() else w.rstrip(".,!?;:*$%&#")
-            if not (stem.islower() and stem.isalpha() and _latin(stem)):
-                hard.append(w)
-                continue
-            ids = new.get(stem)
-            if not ids:
-                ids = array(kind, [t.id for t in model.tokenize(stem if stem.isascii() else stem.encode().decode("latin-1").translate(table))]).tobytes()
-                new[stem] = ids
-            if stem is not w:
-                new[w] = ids + self._tail(w[len(stem):])
-        for w, ids in zip(hard, self._whole(hard), strict=True):
-            new[w] = ids
-
-    @cache  # noqa: B019  few different tails; the encoder lives as long as its worker
-    def _tail(self, marks: str) -> bytes:
-        return self._whole([marks])[0]
+        stem = piece if piece.isalpha() else piece.rstrip(".,!?;:*$%&#")
+        if not (stem.islower() and stem.isalpha() and _latin(stem)):
+            return self._whole([piece])[0]
+        if len(stem) < len(piece):
+            return self.known[stem] + self.known[piece[len(stem):]]
+        units = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters)
+        return array(self.kind, [t.id for t in self.model.tokenize(units)]).tobytes()
 
 
 def _latin(text: str) -> bool:

@@ -173,6 +173,21 @@ def test_code_lengths_are_optimal_and_limited():
         assert max(limited.values()) <= max(10, (n - 1).bit_length()) and sum(2.0 ** -v for v in limited.values()) <= 1
 
 
+def test_code_words_are_canonical():
+    """By length, then by id; each the next after the one before."""
+    rnd = random.Random(5)
+    for n in (1, 2, 5, 300):
+        lengths = tokenid.code_lengths({k * 3: rnd.randint(1, 10 ** rnd.randint(1, 6)) for k in range(n)})
+        code, word, before = tokenid.Code(lengths), 0, 0
+        for bits, i in sorted((v, k) for k, v in lengths.items()):
+            word <<= bits - before
+            before = bits
+            assert code.length[i] == bits and int(code.top[i]) == word << (64 - bits)
+            word += 1
+        ids = np.array(rnd.choices(list(lengths), k=1000), np.uint32)
+        assert code.decode(*code.encode(ids), len(ids)).tolist() == ids.tolist()
+
+
 def test_quality(odd, none, labels):
     got = by_id(quality.quality(odd, labels), "n_words", "base_failed", "kept")
     assert len(got) == 13 and [0, 0, True, False] in got and [2, 0, True, False] in got

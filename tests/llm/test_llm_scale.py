@@ -1,6 +1,8 @@
 """Behaviour that matters at scale: hot keys, equal rows, many blocks, any text."""
 
 import random
+from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -78,6 +80,30 @@ def test_word_pieces_give_the_library_ids(monkeypatch):
     wordpieces.encoder.cache_clear()
 
 
+def test_early_pieces_are_encoded_once_and_memory_is_bounded(monkeypatch):
+    """Before, two turns of the memory forgot frequent pieces, to be encoded again."""
+    from lakeline.llm import wordpieces
+
+    monkeypatch.setattr(wordpieces, "REMEMBERED", 400)
+    own, met = wordpieces._Encoder(tokenid.vocabulary()), Counter()
+    library, model = own.tokenizer, own.tokenizer.model
+
+    def tokenize(units):
+        met[units] += 1
+        return model.tokenize(units)
+
+    own.model = SimpleNamespace(tokenize=tokenize)
+    own.tokenizer = SimpleNamespace(model=own.model, encode_batch_fast=library.encode_batch_fast)
+    letters = "abcdefghij"
+    words = ["x" + "".join(letters[int(c)] for c in f"{k:05d}") for k in range(10000)]
+    common = " ".join(words[:100])
+    texts = [common, *(" ".join(words[k: k + 250]) + ", " + words[k] + "!?" for k in range(100, 9850, 250)), common]
+    got = [np.frombuffer(own([t])[0], own.dtype).tolist() for t in texts]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert {met[w] for w in words[:100]} == {1}
+    assert len(own.known) <= 400
+
+
 def test_a_hot_url_takes_one_place_of_the_sample(spark):
     urls = spark.range(900).selectExpr("id AS page_id", """CASE WHEN id % 3 = 0 THEN 'http://hot.example.org/es/a' WHEN id % 3 = 1 THEN concat('http://h', id, '.org/p', id)
                                        ELSE concat('http://g', id, '.com/de/', id) END AS url""")
