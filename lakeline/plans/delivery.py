@@ -22,7 +22,7 @@ from lakeline.functions.exprs import date_key, duration_minutes, money
 from lakeline.operators import star
 from lakeline.operators.keys import ordinal
 from lakeline.plans.tables import Tables
-from lakeline.session import stored_once
+from lakeline.session import stored, stored_once
 
 def _memo(fn):
     """Build a frame once per Tables handle, so a query that needs a
@@ -41,11 +41,14 @@ SOURCES = ("orders", "lineitem", "customer", "supplier", "part", "nation", "regi
 
 
 def _stored(fn):
-    """The star's tables: written once for an application and state of the
-    source tables, and read by every question (its own columns alone).  Plans
-    see their size in bytes, so a small dimension is broadcast and a fact is
-    never shuffled on a key of few values."""
+    """The star's tables: written once for a run of a query and read by its
+    steps (their own columns alone).  Plans see their size in bytes, so a small
+    dimension is broadcast and a fact is never shuffled on a key of few values.
+    Only handles that aren't ``apart`` share them, for an application and state
+    of the source tables."""
     def build(t: Tables) -> DataFrame:
+        if t.apart:
+            return stored(fn(t), fn.__name__)
         return stored_once(t.spark, fn.__name__, [t.path(s) for s in SOURCES], lambda: fn(t))
     build.__name__ = fn.__name__
     build.__doc__ = fn.__doc__

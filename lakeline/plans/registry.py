@@ -21,7 +21,7 @@ class Query:
 
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_runtime_conf(spark)
-        return self.build(Tables(spark, sf_dir))
+        return self.build(Tables(spark, sf_dir, apart=True))  # each call does its whole job
 
 
 REGISTRY: dict[str, Query] = {}

@@ -12,11 +12,14 @@ TABLE_NAMES = (
 
 class Tables:
     """Lazily opened Parquet tables; each access is a fresh scan so Catalyst
-    can prune columns and push filters per query."""
+    can prune columns and push filters per query.  ``apart``: the handle of one
+    run of a query, which makes every table that it derives, and reads none
+    that another handle made."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, apart: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.apart = apart
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"

@@ -164,7 +164,8 @@ def state_of(spark: SparkSession, path: str) -> tuple:
 def stored_once(spark: SparkSession, name: str, sources: list[str], build: Callable[[], DataFrame]) -> DataFrame:
     """``stored``, once for an application and state of the tables it is made
     from: a later call reads the table that the first one wrote, as long as no
-    source changed its size, number of files or time of change."""
+    source changed its size, number of files or time of change.  Not for a
+    registered query, each call of which does its whole job."""
     key = (spark.sparkContext.applicationId, name, *(state_of(spark, s) for s in sources))
     with _GUARD:
         lock = _BUILDING.setdefault(key, threading.Lock())

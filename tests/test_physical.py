@@ -130,3 +130,48 @@ def test_star_tables_are_written_once_and_read_narrow(spark, tables):
     assert set(one.inputFiles()) == set(two.inputFiles())
     q = delivery.star_q2(one, Tables(spark, tables.sf_dir))
     assert "ReadSchema: struct<order_id:bigint,promotion_key:int,net_revenue:decimal(14,2)>" in plan(q)
+
+
+def test_each_call_of_a_star_query_does_its_whole_job(spark, tmp_path):
+    """A second call reads nothing that the first one derived: it sees rows that
+    changed in place, with no other size, number of files or time of change."""
+    import datetime as dt
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from lakeline.plans.registry import load_all
+    from lakeline.session import state_of
+
+    day = pa.array([dt.datetime(2024, 1, d) for d in (1, 2)], pa.timestamp("us"))
+    made = {
+        "region": {"r_regionkey": [0], "r_name": ["ASIA"]},
+        "nation": {"n_nationkey": [0], "n_name": ["INDIA"], "n_regionkey": [0]},
+        "customer": {"c_custkey": [1], "c_nationkey": pa.array([0], pa.int32()), "c_mktsegment": ["A"]},
+        "supplier": {"s_suppkey": [1], "s_name": ["one"]},
+        "part": {"p_partkey": [1], "p_name": ["bolt"], "p_type": ["metal"], "p_retailprice": [2.5]},
+        "orders": {"o_orderkey": [1, 2], "o_custkey": [1, 1], "o_orderstatus": ["F", "F"], "o_orderdate": day,
+                   "o_totalprice": [10.0, 20.0], "o_orderpriority": ["LOW", "LOW"]},
+        "lineitem": {"l_orderkey": [1, 2], "l_partkey": [1, 1], "l_suppkey": [1, 1], "l_quantity": [3.0, 4.0],
+                     "l_extendedprice": [7.0, 9.0], "l_shipdate": day},
+    }
+
+    def put(name):
+        pq.write_table(pa.table(made[name]), tmp_path / f"{name}.parquet", compression="none", use_dictionary=False)
+        os.utime(tmp_path / f"{name}.parquet", (1_700_000_000, 1_700_000_000))
+
+    for name in made:
+        put(name)
+    fact, q1 = load_all()["star_fact"], load_all()["star_q1"]
+    one = fact(spark, str(tmp_path))
+    assert sorted((r.order_id, r.qty) for r in one.collect()) == [(1, 3), (2, 4)]
+    before = q1(spark, str(tmp_path)).first().net_revenue
+    state = state_of(spark, str(tmp_path / "lineitem.parquet"))
+    made["lineitem"]["l_quantity"] = [5.0, 6.0]
+    put("lineitem")
+    assert state_of(spark, str(tmp_path / "lineitem.parquet")) == state
+    two = fact(spark, str(tmp_path))
+    assert sorted((r.order_id, r.qty) for r in two.collect()) == [(1, 5), (2, 6)]
+    assert not set(one.inputFiles()) & set(two.inputFiles())
+    assert q1(spark, str(tmp_path)).first().net_revenue == before + 4 * 2.5
