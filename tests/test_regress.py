@@ -123,3 +123,43 @@ def test_minibatch_jobs_leave_no_shuffle_files_behind(spark, monkeypatch):
         time.sleep(0.2)
         left = shuffle_bytes()
     assert left <= before + 100_000  # an epoch has 160,000 at least: 8 random bytes a row
+
+
+def test_epoch_hashes_equal_those_of_spark(spark):
+    keys = spark.createDataFrame([("",), ("a",), (None,), ("1|2|3|4|500",), ("a much longer key of more than thirty-two bytes",)], "key string")
+    for seed in (42, 2**40):
+        k = np.array([r[0] for r in keys.select(F.xxhash64("key", F.lit(seed))).collect()], np.int64).view(np.uint64)
+        for e in (0, 1, 49, 10**6):
+            want = [r[0] for r in keys.select(F.xxhash64("key", F.lit(seed), F.lit(e).cast("long"))).collect()]
+            assert regress._hashed(k, e).view(np.int64).tolist() == want
+
+
+def test_rows_are_dealt_out_in_blocks():
+    """Spark moves a block for each epoch and slice of a chunk, not a row for each row and epoch."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    rows = rng.integers(0, 2**63, (5000, 3), dtype=np.uint64)
+    stored = pa.RecordBatch.from_pydict({"block": pa.array([rows[:3000].tobytes(), rows[3000:].tobytes()], pa.binary())})
+    heavy = np.zeros((2, 7), bool)
+    heavy[1, 4] = True
+    out = [r for b in regress._dealer(3, range(4, 6), 7, heavy)(iter([stored])) for r in b.to_pylist()]
+    assert sorted(r["cell"] for r in out) == [*range(28, 35), *(c for c in range(35, 42) if c != 39)]
+    got = np.concatenate([np.frombuffer(r["block"], np.uint64).reshape(-1, 3) for r in out if r["cell"] < 35])
+    h = regress._hashed(rows[:, 0], 4)
+    assert sorted(map(tuple, got.tolist())) == sorted(zip(h.tolist(), rows[:, 1].tolist(), rows[:, 2].tolist(), strict=True))
+    left = [r for b in regress._heavy_rows(3, range(4, 6), 7, heavy)(iter([stored])) for r in b.to_pylist()]
+    assert len(left) + sum(len(r["block"]) // 24 for r in out) == 10_000 and {r["slice"] for r in left} == {4}
+
+
+@pytest.mark.parametrize("cell_bytes,chunk_bytes", [(1 << 26, 1 << 9), (1, 1 << 21), (2500, 1 << 10)])
+def test_hot_keys_and_parts_of_cells_equal_the_serial_loop(spark, monkeypatch, cell_bytes, chunk_bytes):
+    """Cells that are too large for a task's memory, and cells sorted part by part."""
+    monkeypatch.setattr(regress, "CELL_BYTES", cell_bytes)
+    monkeypatch.setattr(regress, "CHUNK_BYTES", chunk_bytes)
+    rng = np.random.default_rng(5)
+    keys = [*range(300), *[7] * 150, *[11] * 20]  # equal keys come in the order of their values
+    rows = sorted((int(k), *map(float, rng.normal(size=2)), float(rng.normal())) for k in keys)
+    df = spark.createDataFrame(rows, "k long, a double, b double, y double").repartition(4)
+    got = regress.fit_minibatch(df, "k", ["a", "b"], "y", epochs=5, batch_rows=20, t0=3.0, t1=50.0, seed=9, together=2, slices=6)
+    assert np.allclose(got.coef, serial(spark, rows, 5, 20, 3.0, 50.0, 9), rtol=1e-9, atol=1e-12)
