@@ -201,8 +201,6 @@ def fit_minibatch(df: DataFrame, key: str, features: list[str], target: str, epo
         with shuffles_removed(spark):
             dealt = rows.select("block").mapInArrow(_dealer(width, some, slices, heavy[some.start:some.stop]), "slice int, cell long, block binary") \
                 .repartitionById(slices, F.col("slice"))
-            if len(some) > 1:
-                dealt = dealt.sortWithinPartitions("cell")
             got = dealt.select("cell", "block").mapInArrow(_composer(begun), _COMPOSED).collect()
             if heavy[some.start:some.stop].any():
                 places = ", ".join(["slice int, place long, low long", *(f"{n} double" for n in names)])
@@ -461,7 +459,8 @@ def _in_order(rows: np.ndarray) -> np.ndarray:
 
 
 def _composer(b: _Begun):
-    """For mapInArrow over (cell, block), the blocks of a cell together."""
+    """For mapInArrow over (cell, block), a slice's cells whole: some
+    ``TASK_BYTES``, held until all have come."""
     width, d = b.features + 2, b.features + b.intercept
     some = b.size * max(1, (1 << 22) // (8 * d * d * b.size))  # rows at a time: the maps of their batches take 4 MB or so
 
@@ -489,16 +488,12 @@ def _composer(b: _Begun):
         return out.found()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held = None, []
+        held = {}
         for batch in batches:
             for c, v in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if c != cell and held:
-                    yield composed(cell, held)
-                    held = []
-                cell = c
-                held.append(_block(v, width))
-        if held:
-            yield composed(cell, held)
+                held.setdefault(c, []).append(_block(v, width))
+        for c in sorted(held):
+            yield composed(c, held.pop(c))
 
     return run
 
